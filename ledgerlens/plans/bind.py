@@ -86,3 +86,47 @@ def orders_geo(t: Tables, cols=("o_orderkey", "o_custkey", "o_orderstatus", "o_t
     o = t("orders").select(*cols)
     c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     return o.join(c, "o_custkey").join(geo(t), "n_nationkey")
+
+
+def rev_by_nation_year(t: Tables) -> DataFrame:
+    """(n_name, yr, revenue, n_orders): order revenue per customer nation and order year,
+    reduced per (customer, year) before the customer join."""
+    o = t("orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_totalprice")
+    per = o.groupBy("o_custkey", "yr").agg(F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("n_orders"))
+    c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    x = per.join(c, "o_custkey").groupBy("n_nationkey", "yr").agg(
+        F.sum("revenue").alias("revenue"), F.sum("n_orders").alias("n_orders")
+    )
+    return x.join(geo(t), "n_nationkey").select("n_name", "yr", "revenue", "n_orders")
+
+
+def out_rev_by_nation(t: Tables) -> DataFrame:
+    """(n_name, out_rev, n_lines): lineitem revenue by supplier nation (pre-reduced per supplier)."""
+    li = t("lineitem").groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("amt"), F.count(F.lit(1)).alias("n"))
+    sup = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+    x = li.join(sup, "l_suppkey").groupBy("n_nationkey").agg(F.sum("amt").alias("out_rev"), F.sum("n").alias("n_lines"))
+    return x.join(geo(t), "n_nationkey").select("n_name", "out_rev", "n_lines")
+
+
+def in_rev_by_nation(t: Tables) -> DataFrame:
+    """(n_name, in_rev): lineitem revenue by the ordering customer's nation.
+
+    lineitem is reduced per order, joined to orders, reduced per customer, then joined to customer.
+    """
+    li = t("lineitem").groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("amt"))
+    o = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    per_c = li.join(o, "l_orderkey").groupBy("o_custkey").agg(F.sum("amt").alias("amt"))
+    c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    x = per_c.join(c, "o_custkey").groupBy("n_nationkey").agg(F.sum("amt").alias("in_rev"))
+    return x.join(geo(t), "n_nationkey").select("n_name", "in_rev")
+
+
+def after_status(status: str = "o_orderstatus", priority: str = "o_orderpriority"):
+    """Status in the later snapshot: urgent/high pending orders are granted, low-priority open
+    orders fall to pending; everything else is unchanged."""
+    s, p = F.col(status), F.col(priority)
+    return (
+        F.when((s == "P") & p.isin("1-URGENT", "2-HIGH"), F.lit("F"))
+        .when((s == "O") & (p == "5-LOW"), F.lit("P"))
+        .otherwise(s)
+    )

@@ -8,6 +8,7 @@ from .registry import REGISTRY, Entry
 
 _FAMILIES = [
     "cat_compare",
+    "cat_aggs",
 ]
 
 
