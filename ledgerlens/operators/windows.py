@@ -137,19 +137,22 @@ def latest_report(df: DataFrame, key, report: str, value: str) -> DataFrame:
     )
 
 
-def flag_spikes(df: DataFrame, key, value: str, count: str | None = None, spike_share: float = 50.0) -> DataFrame:
-    """Per key: largest single-period share, spike flag, and repeated-cell defects (value = count)."""
+def flag_spikes(df: DataFrame, key, value: str, repeated: Column | None = None, spike_share: float = 50.0) -> DataFrame:
+    """Per key: largest single-period share, spike flag, and repeated-cell defects.
+
+    ``repeated`` is the defect predicate of one cell (e.g. an amount cell that repeats a count cell).
+    """
     aggs = [
         (safe_ratio(F.max(value), F.sum(value)) * 100).alias("max_share_pct"),
         F.count(F.lit(1)).alias("n_periods"),
     ]
-    if count:
-        aggs.append(F.count_if(F.col(value) == F.col(count)).alias("n_repeated_cells"))
+    if repeated is not None:
+        aggs.append(F.count_if(repeated).alias("n_repeated_cells"))
     out = df.groupBy(*_keys(key)).agg(*aggs)
     return out.withColumn("spike", F.col("max_share_pct") >= spike_share)
 
 
-def seq_number(df: DataFrame, key, order: str, bucket: Column, out: str = "step") -> DataFrame:
+def seq_number(df: DataFrame, key, order, bucket: Column, out: str = "step") -> DataFrame:
     """1-based ordinal of each row inside its key by ``order`` (ties: later columns of the frame
     are not used; equal ``order`` values get consecutive numbers in an arbitrary but fixed order).
 
@@ -163,7 +166,7 @@ def seq_number(df: DataFrame, key, order: str, bucket: Column, out: str = "step"
     counts = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
     wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
-    wi = Window.partitionBy(*keys, "__b").orderBy(order)
+    wi = Window.partitionBy(*keys, "__b").orderBy(*_keys(order))
     return (
         b.withColumn("__rn", F.row_number().over(wi))
         .join(offsets, [*keys, "__b"], "inner")
@@ -172,18 +175,19 @@ def seq_number(df: DataFrame, key, order: str, bucket: Column, out: str = "step"
     )
 
 
-def trajectory(df: DataFrame, key, date: str, bucket: str = "year") -> DataFrame:
+def trajectory(df: DataFrame, key, date: str, tiebreak: Sequence[str] = (), bucket: str = "year") -> DataFrame:
     """Ordered waypoints per key in long form with a step number."""
-    return seq_number(df, key, date, F.date_trunc(bucket, F.col(date)))
+    return seq_number(df, key, [date, *tiebreak], F.date_trunc(bucket, F.col(date)))
 
 
-def trajectory_factor(df: DataFrame, key, date: str, value: str) -> DataFrame:
+def trajectory_factor(df: DataFrame, key, date: str, value: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """First and last value by date and their ratio (E14): min_by / max_by aggregates."""
+    order = F.struct(date, *tiebreak)
     return (
         df.groupBy(*_keys(key))
         .agg(
-            F.min_by(value, F.struct(date, value)).alias("first_value"),
-            F.max_by(value, F.struct(date, value)).alias("last_value"),
+            F.min_by(value, order).alias("first_value"),
+            F.max_by(value, order).alias("last_value"),
         )
         .withColumn("factor", safe_ratio(F.col("first_value"), F.col("last_value")))
     )

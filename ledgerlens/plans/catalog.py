@@ -9,6 +9,7 @@ from .registry import REGISTRY, Entry
 _FAMILIES = [
     "cat_compare",
     "cat_aggs",
+    "cat_windows",
 ]
 
 
