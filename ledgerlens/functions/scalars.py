@@ -127,7 +127,7 @@ def parse_amount(c) -> Column:
     cur = F.regexp_extract(c, _AMOUNT_RE, 2)
     num = F.regexp_replace(F.regexp_extract(c, _AMOUNT_RE, 3), ",", "")
     suf = F.lower(F.regexp_extract(c, _AMOUNT_RE, 4))
-    base = F.try_cast(F.nullif(num, F.lit("")), "double")
+    base = F.nullif(num, F.lit("")).try_cast("double")
     mult = F.coalesce(F.try_element_at(literal_map(AMOUNT_SUFFIX), suf), F.lit(1.0))
     value = F.when(suf == "%", base).otherwise(base * mult)
     value = F.when(sign == "-", -value).otherwise(value)
@@ -192,7 +192,7 @@ def fiscal_label(d, start_month: int = 4) -> Column:
 def parse_date(c, formats: Sequence[str] = ("yyyy-MM-dd", "d MMM yyyy", "d MMMM yyyy", "dd/MM/yyyy")) -> Column:
     """First format that parses wins; unparsable -> null (H9). Month names match in any case."""
     c = F.initcap(F.lower(F.trim(_col(c))))
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def rnd(c, n: int) -> Column:

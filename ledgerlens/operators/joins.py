@@ -126,9 +126,9 @@ def build_panel(base: DataFrame, *sources: DataFrame, on: str | Sequence[str]) -
 def parse_ranges(taxonomy: DataFrame, text_col: str) -> DataFrame:
     """'28, 31-38' -> one row per (lo, hi) range; a single number is a one-code range."""
     parts = taxonomy.withColumn("__part", F.explode(F.split(F.col(text_col), r"\s*,\s*")))
-    lo = F.try_cast(F.trim(F.split_part(F.col("__part"), F.lit("-"), F.lit(1))), "int")
+    lo = F.trim(F.split_part(F.col("__part"), F.lit("-"), F.lit(1))).try_cast("int")
     hi_txt = F.trim(F.split_part(F.col("__part"), F.lit("-"), F.lit(2)))
-    hi = F.coalesce(F.try_cast(F.nullif(hi_txt, F.lit("")), "int"), lo)
+    hi = F.coalesce(F.nullif(hi_txt, F.lit("")).try_cast("int"), lo)
     return parts.withColumn("lo", lo).withColumn("hi", hi).drop("__part")
 
 

@@ -10,6 +10,7 @@ _FAMILIES = [
     "cat_compare",
     "cat_aggs",
     "cat_windows",
+    "cat_scalars",
 ]
 
 
