@@ -11,6 +11,7 @@ _FAMILIES = [
     "cat_aggs",
     "cat_windows",
     "cat_scalars",
+    "cat_joins",
 ]
 
 
