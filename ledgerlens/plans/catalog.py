@@ -12,6 +12,7 @@ _FAMILIES = [
     "cat_windows",
     "cat_scalars",
     "cat_joins",
+    "cat_sources",
 ]
 
 
