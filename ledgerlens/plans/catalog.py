@@ -13,6 +13,7 @@ _FAMILIES = [
     "cat_scalars",
     "cat_joins",
     "cat_sources",
+    "cat_stream",
 ]
 
 
