@@ -208,15 +208,31 @@ def open_windows(
     end_col: str,
     date_col: str,
     max_dates: int = 100_000,
+    grid: str | None = None,
 ) -> DataFrame:
     """Items open at each date: start <= d and (end is null or end >= d); days left to close.
 
-    The date list is the small side (a calendar) and is broadcast after a size check; the items
-    side streams, so nothing large is shuffled.
+    The date list is a calendar (small side, broadcast after a size check).
+
+    * ``grid=None``: a broadcast nested-loop join; cost is items x dates.
+    * ``grid='month'|'day'|'year'|...``: every calendar date is a truncation to that unit. Each
+      item then expands to the grid points inside its interval (``sequence``), which are
+      equi-joined to the calendar: the work is the number of (item, date) matches, not the
+      product. Open-ended items run to the last calendar date.
     """
     d = bounded(dates, max_dates)
-    cond = (items[start_col] <= d[date_col]) & (items[end_col].isNull() | (items[end_col] >= d[date_col]))
-    j = items.join(d, cond, "inner")
+    if grid is None:
+        cond = (items[start_col] <= d[date_col]) & (items[end_col].isNull() | (items[end_col] >= d[date_col]))
+        j = items.join(d, cond, "inner")
+    else:
+        horizon = F.broadcast(dates.agg(F.max(date_col).alias("__h")))
+        it = items.crossJoin(horizon)
+        step = F.expr(f"INTERVAL 1 {grid.upper()}")
+        first = F.date_trunc(grid, F.col(start_col))
+        first = F.when(first < F.col(start_col), first + step).otherwise(first).cast(d.schema[date_col].dataType)
+        upper = F.coalesce(F.least(F.col(end_col), F.col("__h")), F.col("__h")).cast(d.schema[date_col].dataType)
+        pts = F.when(first <= upper, F.sequence(first, upper, step))
+        j = it.withColumn(date_col, F.explode(pts)).drop("__h").join(d, date_col, "inner")
     return j.withColumn("days_to_close", F.datediff(F.col(end_col), F.col(date_col)))
 
 
@@ -307,7 +323,7 @@ def pair_entities(entities: DataFrame, lanes: DataFrame, on: str | Sequence[str]
 
 
 def before_after(
-    events: DataFrame,
+    events: DataFrame | None,
     series: DataFrame,
     key: str | Sequence[str],
     event_period: str,
@@ -316,9 +332,11 @@ def before_after(
     k: int,
 ) -> DataFrame:
     """Average of a per-period series in the ``k`` periods before an event vs the event period and
-    the ``k - 1`` after (C16). ``series`` must already be aggregated to (key, period)."""
+    the ``k - 1`` after (C16). ``series`` must already be aggregated to (key, period).
+
+    With ``events=None`` the series already carries ``event_period`` (no join needed)."""
     keys = _keys(key)
-    j = series.join(events.select(*keys, event_period), keys, "inner")
+    j = series if events is None else series.join(events.select(*keys, event_period), keys, "inner")
     off = F.col(period) - F.col(event_period)
     return j.groupBy(*keys, event_period).agg(
         F.avg(F.when((off >= -k) & (off < 0), F.col(value))).alias("avg_before"),

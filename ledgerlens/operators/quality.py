@@ -67,11 +67,16 @@ def sum_by_measure(df: DataFrame, group_cols: Sequence[str], value: str, measure
 
 
 def freshness(df: DataFrame, by: str, ts: str) -> DataFrame:
-    """Last timestamp per source and the size of its newest daily batch (K6)."""
+    """Last timestamp per source and the size of its newest daily batch (K6).
+
+    One pass: rows are counted per (source, day) by a partial aggregate; the newest day and its
+    count are then picked from that small table with ``max_by``.
+    """
     day = F.to_date(F.col(ts))
-    last = df.groupBy(by).agg(F.max(ts).alias("last_ts"), F.max(day).alias("newest_day"))
-    per_day = df.groupBy(by, day.alias("newest_day")).agg(F.count(F.lit(1)).alias("n_newest"))
-    return last.join(per_day, [by, "newest_day"], "left")
+    per_day = df.groupBy(by, day.alias("day")).agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_ts"))
+    return per_day.groupBy(by).agg(
+        F.max("last_ts").alias("last_ts"), F.max("day").alias("newest_day"), F.max_by("n", "day").alias("n_newest")
+    )
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -31,36 +31,50 @@ def json_tree(df: DataFrame, id_col: str, json_col: str, max_depth: int = 4, max
     ``text`` is 'Key: value' for a scalar under an object, 'Key' for a container, the value for
     an array element. With ``max_chars`` the walk stops once the running text length per
     document has reached the budget (running sum over the document's own nodes).
+
+    One chain of ``max_depth`` generators: at each level a pending container is replaced by
+    itself (finished) followed by its children; finished nodes pass through unchanged. Every
+    node is parsed once, and no level is recomputed for the next one.
     """
-    node = df.select(
-        F.col(id_col).alias("id"),
-        F.array().cast("array<int>").alias("pos_path"),
-        F.lit("$").alias("path"),
-        F.lit(0).alias("depth"),
-        F.lit(None).cast("string").alias("key"),
-        F.col(json_col).alias("raw"),
-    ).withColumn("kind", _kind(F.col("raw")))
-    levels = []
-    frontier = node
-    for depth in range(1, max_depth + 1):
-        objs = frontier.where(F.col("kind") == "object").select(
-            "id", "pos_path", "path", F.posexplode(F.from_json("raw", "map<string,string>")).alias("pos", "key", "raw")
+    node_t = "struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,done:boolean>"
+
+    def mk(pos_path, path, depth, key, raw, done):
+        return F.struct(
+            pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"),
+            done.alias("done"),
+        )
+
+    root = mk(
+        F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), F.col(json_col), F.lit(False)
+    )
+    cur = df.select(F.col(id_col).alias("id"), root.alias("n"))
+    for _ in range(max_depth):
+        n = F.col("n")
+        kind = _kind(n["raw"])
+        finished = F.array(mk(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], F.lit(True)))
+        obj_kids = F.transform(
+            F.map_entries(F.from_json(n["raw"], "map<string,string>")),
+            lambda e, i: mk(
+                F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("."), e["key"]), n["depth"] + 1, e["key"],
+                e["value"], F.lit(False),
+            ),
         )
-        objs = objs.withColumn("path", F.concat(F.col("path"), F.lit("."), F.col("key")))
-        arrs = frontier.where(F.col("kind") == "array").select(
-            "id", "pos_path", "path", F.posexplode(F.from_json("raw", "array<string>")).alias("pos", "raw")
+        arr_kids = F.transform(
+            F.from_json(n["raw"], "array<string>"),
+            lambda x, i: mk(
+                F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
+                n["depth"] + 1, F.lit(None).cast("string"), x, F.lit(False),
+            ),
         )
-        arrs = arrs.withColumn("key", F.lit(None).cast("string")).withColumn(
-            "path", F.concat(F.col("path"), F.lit("["), F.col("pos").cast("string"), F.lit("]"))
+        expanded = (
+            F.when(n["done"], F.array(n))
+            .when(kind == "object", F.concat(finished, F.coalesce(obj_kids, F.array().cast(f"array<{node_t}>"))))
+            .when(kind == "array", F.concat(finished, F.coalesce(arr_kids, F.array().cast(f"array<{node_t}>"))))
+            .otherwise(finished)
         )
-        kids = objs.unionByName(arrs).select(
-            "id", F.concat("pos_path", F.array(F.col("pos"))).alias("pos_path"), "path", F.lit(depth).alias("depth"), "key", "raw"
-        ).withColumn("kind", _kind(F.col("raw")))
-        levels.append(kids)
-        frontier = kids
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
+        cur = cur.select("id", F.explode(expanded).alias("n"))
+    out = cur.select("id", "n.pos_path", "n.path", "n.depth", "n.key", "n.raw").where(F.col("depth") > 0)
+    out = out.withColumn("kind", _kind(F.col("raw")))
     label = humanize(F.col("key"))
     text = (
         F.when(F.col("key").isNull(), F.col("raw"))

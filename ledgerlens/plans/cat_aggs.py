@@ -8,6 +8,7 @@ from ..functions.labels import canon_label
 from ..functions.scalars import pct, safe_ratio
 from ..operators import aggs, filters, windows
 from . import bind
+from ..session import materialize
 from .registry import Tables, register, sql_canon
 from .sqlbits import GEO, NY, ORD_GEO, SUPN, dec
 
@@ -113,14 +114,17 @@ SELECT 'O' AS slice, o_orderpriority, {dec('sum(o_totalprice)')} AS amount FROM
 )
 def q_slicer(spark, d):
     o = Tables(spark, d)("orders")
-    out = None
-    for v in ("all", "O"):
-        s = filters.slicer(o, "o_orderstatus", v).groupBy("o_orderpriority").agg(
-            F.sum("o_totalprice").cast("decimal(38,2)").alias("amount")
-        )
-        s = s.select(F.lit(v).alias("slice"), "o_orderpriority", "amount")
-        out = s if out is None else out.unionByName(s)
-    return out
+    # every slice is a conditional sum of one scan, then stacked to one row per (slice, priority)
+    slices = {"all": None, "O": "O"}
+    sums = [
+        F.sum(F.col("o_totalprice") if v is None else F.when(F.col("o_orderstatus") == v, F.col("o_totalprice"))).alias(f"s_{k}")
+        for k, v in slices.items()
+    ]
+    wide = o.groupBy("o_orderpriority").agg(*sums)
+    stacked = F.stack(F.lit(len(slices)), *[x for k in slices for x in (F.lit(k), F.col(f"s_{k}"))]).alias("slice", "amount")
+    out = wide.select("o_orderpriority", stacked).where(F.col("amount").isNotNull())
+    _ = filters.slicer  # the single-slice form for callers that want one slice
+    return out.select("slice", "o_orderpriority", F.col("amount").cast("decimal(38,2)").alias("amount"))
 
 
 @register(
@@ -155,7 +159,7 @@ SELECT n_name, {dec('v')} AS v, 'fallback' AS basis FROM fb WHERE n_name NOT IN
 def q_prefer_source(spark, d):
     t = Tables(spark, d)
     g = bind.geo(t)
-    prim = (
+    prim = materialize(
         t("supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_acctbal").join(g.where(F.col("r_name") != "ASIA"), "n_nationkey")
         .groupBy("n_name").agg(F.sum("s_acctbal").alias("v"))
     )
@@ -293,7 +297,7 @@ FROM frame GROUP BY 1""",
     ids=("D12",),
 )
 def q_series_profile(spark, d):
-    ny = bind.rev_by_nation_year(Tables(spark, d))
+    ny = materialize(bind.rev_by_nation_year(Tables(spark, d)))
     periods = ny.select("yr").distinct()
     out = aggs.series_profile(ny, "n_name", "yr", "revenue", periods, missing="zero")
     return out.select(
@@ -335,10 +339,12 @@ def q_positive_part_sum(spark, d):
         (F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice"))), F.lit(0.0))
          - F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), F.lit(0.0))).alias("backlog_v"),
     )
-    pn = aggs.sum_positive(b, "backlog_n")
-    pv = aggs.sum_positive(b, "backlog_v")
-    net = b.agg(F.sum("backlog_n").alias("backlog_n_net"), F.sum("backlog_v").alias("backlog_v_net"))
-    return pn.crossJoin(pv).crossJoin(net).select(
+    # positive parts and net totals in one aggregate over the place table
+    out = b.agg(
+        F.sum(F.greatest(F.col("backlog_n"), F.lit(0))).alias("backlog_n_positive"), F.sum("backlog_n").alias("backlog_n_net"),
+        F.sum(F.greatest(F.col("backlog_v"), F.lit(0.0))).alias("backlog_v_positive"), F.sum("backlog_v").alias("backlog_v_net"),
+    )
+    return out.select(
         F.col("backlog_n_positive").cast("long"), F.col("backlog_n_net").cast("long"),
         F.col("backlog_v_positive").cast("decimal(38,2)"), F.col("backlog_v_net").cast("decimal(38,2)"),
     )
@@ -455,7 +461,9 @@ SELECT {dec('(SELECT sum(v) FROM body)')} AS resummed, {dec('(SELECT v FROM prin
 )
 def q_grand_total_check(spark, d):
     og = bind.orders_geo(Tables(spark, d))
-    table = og.rollup("n_name").agg(F.sum("o_totalprice").alias("v")).withColumn("n_name", F.coalesce("n_name", F.lit("Grand Total")))
+    table = materialize(
+        og.rollup("n_name").agg(F.sum("o_totalprice").alias("v")).withColumn("n_name", F.coalesce("n_name", F.lit("Grand Total")))
+    )
     out = aggs.check_grand_total(table, "n_name", "v", "Grand Total")
     return out.select(F.col("resummed").cast("decimal(38,2)"), F.col("printed").cast("decimal(38,2)"), "passed")
 
@@ -657,7 +665,7 @@ SELECT r_name, n_name, {dec('v')} AS v, {dec('v / nullif(sum(v) OVER (PARTITION
 )
 def q_share_in_group(spark, d):
     t = Tables(spark, d)
-    nv = (
+    nv = materialize(
         t("supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_acctbal").join(bind.geo(t), "n_nationkey")
         .groupBy("r_name", "n_name").agg(F.sum("s_acctbal").alias("v"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import pct
 from ..operators import aggs, joins, sets
+from ..session import materialize
 from . import bind
 from .registry import Tables, register, sql_canon
 
@@ -29,15 +30,24 @@ SQL_BASE = f"WITH {SQL_GEO},\n{SQL_INFLOW},\n{SQL_ORD}"
 
 
 def comparison(t: Tables):
-    """The two-series comparison with provenance, shares, intensity and conversion (entry 1)."""
-    inflow = bind.inflow_by_place(t)
+    """The two-series comparison with provenance, shares, intensity and conversion (entry 1).
+
+    lineitem and orders are each scanned once: both series are reduced to places, fully joined
+    once (the filed measure rides along), and the place-level result (bounded by the place
+    dimension) is materialised, so the totals and the rows do not re-scan the fact tables.
+    """
+    inflow = bind.inflow_by_place(t).withColumn("__l", F.lit(True))
     orders = bind.order_sums_by_place(t)
-    impl = orders.where(F.col("impl_amt").isNotNull()).select("place", "impl_amt")
-    j = joins.full_join_provenance(inflow, impl, "place", "inflow", "impl")
-    tot = inflow.agg(F.sum("inflow_amt").alias("tot_inflow")).crossJoin(impl.agg(F.sum("impl_amt").alias("tot_impl")))
+    j = inflow.join(orders, "place", "full_outer").where(F.col("__l").isNotNull() | F.col("impl_amt").isNotNull())
+    present = (
+        F.when(F.col("__l").isNotNull() & F.col("impl_amt").isNotNull(), F.lit("both"))
+        .when(F.col("__l").isNotNull(), F.lit("inflow_only"))
+        .otherwise(F.lit("impl_only"))
+    )
+    j = materialize(j.withColumn("present_in", present).drop("__l"))
+    tot = j.agg(F.sum("inflow_amt").alias("tot_inflow"), F.sum("impl_amt").alias("tot_impl"))
     j = j.crossJoin(F.broadcast(tot))
     j = j.withColumn("inflow_share", pct("inflow_amt", "tot_inflow")).withColumn("impl_share", pct("impl_amt", "tot_impl"))
-    j = joins.left_lookup(j, orders.select("place", "filed_amt"), "place")
     return (
         j.withColumn("intensity_ratio", aggs.intensity("inflow_share", "impl_share"))
         .withColumn("conversion_pct", pct("impl_amt", "filed_amt"))
@@ -45,6 +55,13 @@ def comparison(t: Tables):
     )
 
 
+def series_pair(t: Tables):
+    """(inflow by place, implemented by place), each materialised once."""
+    inflow = materialize(bind.inflow_by_place(t))
+    impl = materialize(bind.order_sums_by_place(t).where(F.col("impl_amt").isNotNull()).select("place", "impl_amt"))
+    return inflow, impl
+
+
 @register(
     "full_join_provenance",
     SQL_BASE
@@ -90,7 +107,7 @@ FROM inflow""",
     ids=("D3",),
 )
 def share_pct(spark, d):
-    x = aggs.share_of_total(bind.inflow_by_place(Tables(spark, d)), "inflow_amt")
+    x = aggs.share_of_total(materialize(bind.inflow_by_place(Tables(spark, d))), "inflow_amt")
     return x.select(
         "place", F.col("inflow_amt").cast("decimal(38,2)").alias("inflow_amt"), F.col("share_pct").cast("decimal(38,4)").alias("share_pct")
     )
@@ -138,9 +155,8 @@ def coverage_counts(spark, d):
     ids=("G1", "F3"),
 )
 def key_union(spark, d):
-    t = Tables(spark, d)
-    impl = bind.order_sums_by_place(t).where(F.col("impl_amt").isNotNull())
-    return sets.key_union(bind.inflow_by_place(t), impl, ["place"]).orderBy("place")
+    inflow, impl = series_pair(Tables(spark, d))
+    return sets.key_union(inflow, impl, ["place"]).orderBy("place")
 
 
 @register(
@@ -149,9 +165,8 @@ def key_union(spark, d):
     ids=("G3", "C3"),
 )
 def key_intersect(spark, d):
-    t = Tables(spark, d)
-    impl = bind.order_sums_by_place(t).where(F.col("impl_amt").isNotNull())
-    return sets.key_intersect(bind.inflow_by_place(t), impl, ["place"])
+    inflow, impl = series_pair(Tables(spark, d))
+    return sets.key_intersect(inflow, impl, ["place"])
 
 
 @register(
@@ -164,9 +179,7 @@ SELECT 'impl_only' AS side, place FROM (SELECT place FROM impl EXCEPT SELECT pla
     ids=("G4",),
 )
 def key_except(spark, d):
-    t = Tables(spark, d)
-    inflow = bind.inflow_by_place(t)
-    impl = bind.order_sums_by_place(t).where(F.col("impl_amt").isNotNull())
+    inflow, impl = series_pair(Tables(spark, d))
     a = sets.key_except(inflow, impl, ["place"]).select(F.lit("inflow_only").alias("side"), "place")
     b = sets.key_except(impl, inflow, ["place"]).select(F.lit("impl_only").alias("side"), "place")
     return a.unionByName(b)
@@ -181,9 +194,8 @@ FROM inflow i JOIN impl m ON i.place = m.place""",
     ids=("C3",),
 )
 def ec_iem_common(spark, d):
-    t = Tables(spark, d)
-    impl = bind.order_sums_by_place(t).where(F.col("impl_amt").isNotNull()).select("place", "impl_amt")
-    j = joins.common_keys(bind.inflow_by_place(t), impl, "place")
+    inflow, impl = series_pair(Tables(spark, d))
+    j = joins.common_keys(inflow, impl, "place")
     return j.select(
         "place", F.col("inflow_amt").cast("decimal(38,2)").alias("inflow_amt"), F.col("impl_amt").cast("decimal(38,2)").alias("impl_amt")
     )

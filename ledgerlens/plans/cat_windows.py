@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sets, stats, windows
 from . import bind, cat_compare
+from ..session import materialize
 from .registry import Tables, register
 from .sqlbits import GEO, NY, ORD_GEO, SUPN, dec
 
@@ -90,7 +91,7 @@ FROM ny a LEFT JOIN ny b ON a.n_name = b.n_name AND a.yr = b.yr + {n}"""
 
 def _growth_q(n: int):
     def q(spark, d):
-        ny = bind.rev_by_nation_year(Tables(spark, d)).select("n_name", "yr", "revenue")
+        ny = materialize(bind.rev_by_nation_year(Tables(spark, d)).select("n_name", "yr", "revenue"))
         out = windows.growth(ny, "n_name", "yr", "revenue", n)
         return out.select(
             "n_name", "yr", F.col("revenue").cast("decimal(38,2)"), F.col(f"revenue_base_{n}").cast("decimal(38,2)"),
@@ -147,7 +148,7 @@ FROM nr""",
     ids=("E7",),
 )
 def q_cumulative_share(spark, d):
-    nr = bind.rev_by_nation_year(Tables(spark, d)).groupBy("n_name").agg(F.sum("revenue").alias("revenue"))
+    nr = materialize(bind.rev_by_nation_year(Tables(spark, d)).groupBy("n_name").agg(F.sum("revenue").alias("revenue")))
     out = windows.cum_share(nr, "revenue", tiebreak=["n_name"])
     return out.select("n_name", F.col("revenue").cast("decimal(38,2)"), "pos", F.col("cum_share_pct").cast("decimal(38,4)"))
 
@@ -174,7 +175,7 @@ FROM supn""",
     ids=("E9",),
 )
 def q_max_normalised(spark, d):
-    x = bind.out_rev_by_nation(Tables(spark, d)).select("n_name", "out_rev")
+    x = materialize(bind.out_rev_by_nation(Tables(spark, d)).select("n_name", "out_rev"))
     return windows.bar_pct(x, "out_rev", 2.0).select("n_name", F.col("bar_pct").cast("decimal(38,4)"))
 
 
@@ -351,7 +352,8 @@ p AS (SELECT s.n_name, s.out_rev AS y, i.in_rev AS x, CAST(nc.n_cust AS DOUBLE)
 def panel(t: Tables):
     c = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).cast("double").alias("z"))
     c = c.join(bind.geo(t), "n_nationkey").select("n_name", "z")
-    return (
+    # one row per nation, read by several branches (fit, residuals, both extremes): materialised
+    return materialize(
         bind.out_rev_by_nation(t).select("n_name", F.col("out_rev").alias("y"))
         .join(bind.in_rev_by_nation(t).select("n_name", F.col("in_rev").alias("x")), "n_name")
         .join(c, "n_name")

@@ -49,3 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             pass
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Compute a small intermediate once and cut its lineage (reliable checkpoint in the shared
+    checkpoint folder; never a local checkpoint).
+
+    Used for aggregates bounded by a dimension (places, sectors, periods) that several branches
+    of one query read: without it every branch would re-scan the fact tables under it, because
+    differently pruned branches do not share exchanges.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -34,7 +34,7 @@ def land_in_files(df: DataFrame, ts_col: str, path: str, days_per_file: int = 3,
     return path
 
 
-def _source(spark: SparkSession, landing: str, schema, max_files: int = 1) -> DataFrame:
+def _source(spark: SparkSession, landing: str, schema, max_files: int = 3) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
 
 
@@ -73,7 +73,11 @@ def stream_register(
 def dedup_stream(
     spark: SparkSession, landing: str, schema, key: Sequence[str], ts_col: str, delay: str = "4 days", work_dir: str | None = None
 ) -> DataFrame:
-    """Re-delivered rows dropped by key while the watermark still covers them."""
+    """Re-delivered rows dropped by key while the watermark still covers them.
+
+    State holds the keys seen within ``delay`` of the newest event time, so it is bounded by
+    the rows of that time span, not by the whole history; ``delay`` must exceed the lateness of
+    a re-delivery (here: files carry at most the previous file's days again)."""
     work = work_dir or scratch_path(spark, "dedup-stream")
     out = f"{work}/out"
     src = _source(spark, landing, schema).withColumn("__wm", F.col(ts_col).cast("timestamp"))
