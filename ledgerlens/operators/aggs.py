@@ -239,11 +239,19 @@ def check_grand_total(df: DataFrame, key: str, value: str, total_label: str, tol
     )
 
 
-def backlog(df: DataFrame, key, filed_flag: Column, impl_flag: Column, value: str) -> DataFrame:
-    """Filed, implemented and pending counts and values; conversion % by count."""
+def backlog(df: DataFrame, key, filed_flag: Column, impl_flag: Column, value: str, count_col: str | None = None) -> DataFrame:
+    """Filed, implemented and pending counts and values; conversion % by count.
+
+    ``count_col`` names a row-count column when ``df`` is already partially aggregated (then
+    counts are sums of it); otherwise each row counts once."""
+    if count_col is None:
+        filed_n, impl_n = F.count_if(filed_flag), F.count_if(impl_flag)
+    else:
+        filed_n = F.coalesce(F.sum(F.when(filed_flag, F.col(count_col))), F.lit(0)).cast("long")
+        impl_n = F.coalesce(F.sum(F.when(impl_flag, F.col(count_col))), F.lit(0)).cast("long")
     out = df.groupBy(*_keys(key)).agg(
-        F.count_if(filed_flag).alias("filed_n"),
-        F.count_if(impl_flag).alias("impl_n"),
+        filed_n.alias("filed_n"),
+        impl_n.alias("impl_n"),
         F.sum(F.when(filed_flag, F.col(value))).alias("filed_value"),
         F.sum(F.when(impl_flag, F.col(value))).alias("impl_value"),
     )

@@ -130,3 +130,15 @@ def after_status(status: str = "o_orderstatus", priority: str = "o_orderpriority
         .when((s == "O") & (p == "5-LOW"), F.lit("P"))
         .otherwise(s)
     )
+
+
+def order_partials(t: Tables, *extra) -> DataFrame:
+    """Orders reduced per (customer, *extra) to (n, v) = (count, sum of o_totalprice) before the
+    customer join, then tagged with nation and zone. Callers re-aggregate with sums of n and v.
+
+    With ``extra = (status,)`` a customer contributes at most three rows instead of one per
+    order, so the orders x customer join moves partial sums, not orders."""
+    o = t("orders")
+    per = o.groupBy("o_custkey", *extra).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("v"))
+    c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    return per.join(c, "o_custkey").join(geo(t), "n_nationkey")

@@ -333,11 +333,12 @@ SELECT CAST(sum(greatest(backlog_n, 0)) AS BIGINT) AS backlog_n_positive, CAST(s
     ids=("D18",),
 )
 def q_positive_part_sum(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
+    og = bind.order_partials(Tables(spark, d), "o_orderstatus")
+    st = F.col("o_orderstatus")
     b = og.groupBy("n_name").agg(
-        (F.count_if(F.col("o_orderstatus") == "O") - F.count_if(F.col("o_orderstatus") == "F")).alias("backlog_n"),
-        (F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice"))), F.lit(0.0))
-         - F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), F.lit(0.0))).alias("backlog_v"),
+        (F.coalesce(F.sum(F.when(st == "O", F.col("n"))), F.lit(0)) - F.coalesce(F.sum(F.when(st == "F", F.col("n"))), F.lit(0))).alias("backlog_n"),
+        (F.coalesce(F.sum(F.when(st == "O", F.col("v"))), F.lit(0.0))
+         - F.coalesce(F.sum(F.when(st == "F", F.col("v"))), F.lit(0.0))).alias("backlog_v"),
     )
     # positive parts and net totals in one aggregate over the place table
     out = b.agg(
@@ -460,9 +461,9 @@ SELECT {dec('(SELECT sum(v) FROM body)')} AS resummed, {dec('(SELECT v FROM prin
     ids=("D24",),
 )
 def q_grand_total_check(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
+    og = bind.order_partials(Tables(spark, d))
     table = materialize(
-        og.rollup("n_name").agg(F.sum("o_totalprice").alias("v")).withColumn("n_name", F.coalesce("n_name", F.lit("Grand Total")))
+        og.rollup("n_name").agg(F.sum("v").alias("v")).withColumn("n_name", F.coalesce("n_name", F.lit("Grand Total")))
     )
     out = aggs.check_grand_total(table, "n_name", "v", "Grand Total")
     return out.select(F.col("resummed").cast("decimal(38,2)"), F.col("printed").cast("decimal(38,2)"), "passed")
@@ -480,8 +481,8 @@ FROM og GROUP BY 1""",
     ids=("D25",),
 )
 def q_backlog_by_place(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
-    out = aggs.backlog(og, "n_name", F.lit(True), F.col("o_orderstatus") == "F", "o_totalprice")
+    og = bind.order_partials(Tables(spark, d), "o_orderstatus")
+    out = aggs.backlog(og, "n_name", F.lit(True), F.col("o_orderstatus") == "F", "v", count_col="n")
     return out.select(
         "n_name", "filed_n", "impl_n", F.col("filed_value").cast("decimal(38,2)"), F.col("impl_value").cast("decimal(38,2)"),
         "pending_n", F.col("pending_value").cast("decimal(38,2)"), F.col("conversion_pct").cast("decimal(38,4)"),
@@ -628,9 +629,9 @@ SELECT n_name, {dec('part / (share_pct / 100.0)')} AS whole, {dec('total')} AS t
     ids=("D34",),
 )
 def q_whole_from_share(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
+    og = bind.order_partials(Tables(spark, d), "o_orderstatus")
     s = og.groupBy("n_name").agg(
-        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("part"), F.sum("o_totalprice").alias("total")
+        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("v"))).alias("part"), F.sum("v").alias("total")
     ).withColumn("share_pct", pct("part", "total"))
     return s.select(
         "n_name", aggs.whole_from_share(F.col("part"), F.col("share_pct")).cast("decimal(38,2)").alias("whole"),

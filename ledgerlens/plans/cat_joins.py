@@ -22,10 +22,10 @@ def stock_by_nation(t: Tables):
 
 
 def pending_by_nation(t: Tables):
-    og = bind.orders_geo(t, cols=("o_custkey", "o_orderstatus", "o_totalprice"))
+    og = bind.order_partials(t, "o_orderstatus")
     return og.groupBy("n_name").agg(
-        (F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice"))), F.lit(0.0))
-         - F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), F.lit(0.0))).alias("demand")
+        (F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("v"))), F.lit(0.0))
+         - F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("v"))), F.lit(0.0))).alias("demand")
     )
 
 
@@ -137,7 +137,7 @@ SCENARIOS = [("low", 1.2), ("mid", 5.0), ("high", 16.0)]
     f"""WITH {ORD_GEO}, {SQL_PENDING},
 sc AS (SELECT * FROM (VALUES ('low', 1.2), ('mid', 5.0), ('high', 16.0)) AS v(scenario, intensity)),
 sup AS (SELECT sum(s_acctbal) AS supply FROM supplier)
-SELECT p.n_name, sc.scenario, {dec('greatest(p.demand, 0) / 1000.0 / sc.intensity', 4)} AS demand_units,
+SELECT p.n_name, sc.scenario, {dec('greatest(p.demand, 0) / 1000.0 / sc.intensity', 6)} AS demand_units,
        {dec('greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup)', 6)} AS multiple,
        CASE WHEN greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) > 1.0 THEN 'DEFICIT'
             WHEN greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) < 0.5 THEN 'SURPLUS' ELSE 'BALANCE' END AS verdict
@@ -154,7 +154,7 @@ def q_scenario_cross(spark, d):
     mult = units / F.col("supply")
     verdict = F.when(mult > 1.0, F.lit("DEFICIT")).when(mult < 0.5, F.lit("SURPLUS")).otherwise(F.lit("BALANCE"))
     return x.select(
-        "n_name", "scenario", units.cast("decimal(38,4)").alias("demand_units"), mult.cast("decimal(38,6)").alias("multiple"),
+        "n_name", "scenario", units.cast("decimal(38,6)").alias("demand_units"), mult.cast("decimal(38,6)").alias("multiple"),
         verdict.alias("verdict"),
     )
 

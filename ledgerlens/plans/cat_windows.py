@@ -188,10 +188,10 @@ SELECT n_name, min(CASE WHEN b > a THEN yr END) AS crossover_period FROM s GROUP
     ids=("E10",),
 )
 def q_crossover_year(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
-    s = og.groupBy("n_name", F.year("o_orderdate").alias("yr")).agg(
-        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("a"),
-        F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice"))).alias("b"),
+    og = bind.order_partials(Tables(spark, d), F.year("o_orderdate").alias("yr"), "o_orderstatus")
+    s = og.groupBy("n_name", "yr").agg(
+        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("v"))).alias("a"),
+        F.sum(F.when(F.col("o_orderstatus") == "O", F.col("v"))).alias("b"),
     )
     return windows.crossover(s, "n_name", "yr", "a", "b")
 
