@@ -345,3 +345,11 @@ def tier_funnel(df: DataFrame, tier: str, order: str, value: str, demand: float
     if demand is not None:
         t = t.withColumn("demand_multiple", safe_ratio(F.lit(demand), F.col("running_value")))
     return t
+
+
+def spread(df: DataFrame, key: str, value: str, base, out: str = "spread") -> DataFrame:
+    """Gap to a base row: value - value of the row whose ``key`` equals ``base``.
+
+    The base is a one-row aggregate (null when the base is absent) broadcast to every row."""
+    b = df.agg(F.max(F.when(F.col(key) == F.lit(base), F.col(value))).alias("__base"))
+    return df.crossJoin(F.broadcast(b)).withColumn(out, F.col(value) - F.col("__base")).drop("__base")

@@ -137,10 +137,10 @@ SCENARIOS = [("low", 1.2), ("mid", 5.0), ("high", 16.0)]
     f"""WITH {ORD_GEO}, {SQL_PENDING},
 sc AS (SELECT * FROM (VALUES ('low', 1.2), ('mid', 5.0), ('high', 16.0)) AS v(scenario, intensity)),
 sup AS (SELECT sum(s_acctbal) AS supply FROM supplier)
-SELECT p.n_name, sc.scenario, {dec('greatest(p.demand, 0) / 1000.0 / sc.intensity', 6)} AS demand_units,
-       {dec('greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup)', 6)} AS multiple,
-       CASE WHEN greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) > 1.0 THEN 'DEFICIT'
-            WHEN greatest(p.demand, 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) < 0.5 THEN 'SURPLUS' ELSE 'BALANCE' END AS verdict
+SELECT p.n_name, sc.scenario, {dec('greatest(CAST(CAST(p.demand AS DECIMAL(38,2)) AS DOUBLE), 0) / 1000.0 / sc.intensity', 10)} AS demand_units,
+       {dec('greatest(CAST(CAST(p.demand AS DECIMAL(38,2)) AS DOUBLE), 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup)', 6)} AS multiple,
+       CASE WHEN greatest(CAST(CAST(p.demand AS DECIMAL(38,2)) AS DOUBLE), 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) > 1.0 THEN 'DEFICIT'
+            WHEN greatest(CAST(CAST(p.demand AS DECIMAL(38,2)) AS DOUBLE), 0) / 1000.0 / sc.intensity / (SELECT supply FROM sup) < 0.5 THEN 'SURPLUS' ELSE 'BALANCE' END AS verdict
 FROM pend p CROSS JOIN sc""",
     ids=("C8", "H12"),
 )
@@ -150,11 +150,13 @@ def q_scenario_cross(spark, d):
     sc = spark.createDataFrame(SCENARIOS, "scenario string, intensity double")
     sup = t("supplier").agg(F.sum("s_acctbal").alias("supply"))
     x = joins.cross_scenarios(dem, sc).crossJoin(F.broadcast(sup))
-    units = F.greatest(F.col("demand"), F.lit(0.0)) / 1000.0 / F.col("intensity")
+    # demand in cents first: the sums of money are exact to 2 places, the rest is plain division
+    cents = F.col("demand").cast("decimal(38,2)").cast("double")
+    units = F.greatest(cents, F.lit(0.0)) / 1000.0 / F.col("intensity")
     mult = units / F.col("supply")
     verdict = F.when(mult > 1.0, F.lit("DEFICIT")).when(mult < 0.5, F.lit("SURPLUS")).otherwise(F.lit("BALANCE"))
     return x.select(
-        "n_name", "scenario", units.cast("decimal(38,6)").alias("demand_units"), mult.cast("decimal(38,6)").alias("multiple"),
+        "n_name", "scenario", units.cast("decimal(38,10)").alias("demand_units"), mult.cast("decimal(38,6)").alias("multiple"),
         verdict.alias("verdict"),
     )
 

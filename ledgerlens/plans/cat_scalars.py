@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels, scalars
+from ..operators import aggs
 from . import bind
 from ..session import materialize
 from .registry import Tables, register
@@ -262,8 +263,7 @@ def q_spread_to_base(spark, d):
     sup = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
     r = li.join(sup, "l_suppkey").groupBy("n_nationkey").agg((F.sum("s") / F.sum("c")).alias("rate"))
     r = materialize(r.join(bind.geo(t), "n_nationkey").select("n_name", "rate"))
-    base = r.where(F.col("n_name") == "NATION_1").select(F.col("rate").alias("base_rate"))
-    out = r.crossJoin(F.broadcast(base)).withColumn("spread", F.col("rate") - F.col("base_rate"))
+    out = aggs.spread(r, "n_name", "rate", "NATION_1")
     return out.select("n_name", F.col("rate").cast("decimal(38,6)"), F.col("spread").cast("decimal(38,6)"))
 
 
