@@ -17,16 +17,25 @@ def pearson(df: DataFrame, y: str, x: str) -> DataFrame:
 
 
 def mean_rank(c: str) -> Column:
-    """Ascending rank with ties sharing the mean of their positions."""
+    """Ascending rank with ties sharing the mean of their positions, as a window expression
+    (for small, already aggregated panels; ``spearman`` uses the distributed ``global_rank``)."""
     w = Window.orderBy(F.col(c))
     ties = Window.partitionBy(F.col(c))
     return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
 
 
 def spearman(df: DataFrame, y: str, x: str) -> DataFrame:
-    """Spearman rho = Pearson r of mean ranks."""
-    both = df.where(F.col(y).isNotNull() & F.col(x).isNotNull())
-    ranked = both.select(mean_rank(y).alias("__ry"), mean_rank(x).alias("__rx"))
+    """Spearman rho = Pearson r of mean ranks.
+
+    Ranks come from ``windows.global_rank`` (distributed, ties share the mean position), so a
+    row-level input of any size is ranked without a single-partition window."""
+    from .windows import value_ranks
+
+    both = df.where(F.col(y).isNotNull() & F.col(x).isNotNull()).select(F.col(y).alias("__y"), F.col(x).alias("__x"))
+    # rank each column on its own (value -> mean rank tables), then attach both in one pass
+    ry = value_ranks(both, "__y", "__ry", ties="mean")
+    rx = value_ranks(both, "__x", "__rx", ties="mean")
+    ranked = both.join(ry, "__y").join(rx, "__x")
     return ranked.agg(F.corr("__ry", "__rx").alias("spearman_rho"), F.count(F.lit(1)).alias("n"))
 
 

@@ -85,7 +85,16 @@ def revisions(df: DataFrame, key, version: str, value: str) -> DataFrame:
 
 # E5 / E6 / E7 / E9
 def rank_by(df: DataFrame, value: str, partition_by=None, tiebreak: Sequence[str] = (), method: str = "rank") -> DataFrame:
-    """rank / dense_rank / row_number by value, descending (E5). Use on entity-level aggregates."""
+    """rank / dense_rank / row_number by value, descending (E5).
+
+    Without ``partition_by``, rank and dense_rank of a numeric value use ``global_rank`` (no
+    single-partition window). row_number needs a total order and stays a window: use it after
+    aggregation to entities."""
+    if not _keys(partition_by) and method in ("rank", "dense_rank") and dict(df.dtypes)[value] in (
+        "int", "bigint", "double", "float", "smallint", "tinyint"
+    ) or (not _keys(partition_by) and method in ("rank", "dense_rank") and dict(df.dtypes)[value].startswith("decimal")):
+        out = global_rank(df, value, out=method, ties="min" if method == "rank" else "dense", descending=True)
+        return out.withColumn(method, F.col(method).cast("int"))
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
     w = Window.partitionBy(*_keys(partition_by)).orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak])
     return df.withColumn(method if method != "row_number" else "rn", fn().over(w))
@@ -198,3 +207,67 @@ def quadrant(share_a, share_b, cut_a: float, cut_b: float) -> Column:
     a = F.when(share_a >= cut_a, F.lit("high")).otherwise(F.lit("low"))
     b = F.when(share_b >= cut_b, F.lit("high")).otherwise(F.lit("low"))
     return F.concat(a, F.lit("_"), b)
+
+
+def global_rank(
+    df: DataFrame,
+    value: str,
+    out: str = "rank",
+    ties: str = "min",
+    descending: bool = False,
+    buckets: int = 256,
+    accuracy: int = 10_000,
+    weight: str | None = None,
+) -> DataFrame:
+    """Rank of ``value`` over the whole table without a single-partition window.
+
+    ``weight`` names a column holding how many rows each input row stands for (pre-aggregated
+    input); by default every row counts once.
+
+    ``ties``: 'min' (SQL rank), 'mean' (mean of tied positions, for Spearman) or 'dense'.
+    Rows with a null value get a null rank.
+
+    1. Per distinct value, count the rows: a partial aggregate, so a value held by a third of all
+       rows becomes one row.
+    2. Split the value range into ``buckets`` by approximate quantiles (a one-row sketch).
+    3. Bucket totals (at most ``buckets`` rows) give each bucket's offset.
+    4. A window per bucket over the distinct values gives the position inside it.
+    5. The ranked distinct values join back to the rows on the value.
+
+    The result is exact; the quantiles only balance the buckets.
+    """
+    v = F.col(value)
+    key = (-v) if descending else v
+    w = F.col(weight) if weight else F.lit(1)
+    keyed = df.where(v.isNotNull()).select(v.alias("__v"), key.alias("__k"), w.alias("__w"))
+    counts = keyed.groupBy("__v", "__k").agg(F.sum("__w").cast("long").alias("__n"))
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = keyed.agg(F.percentile_approx("__k", qs, accuracy).alias("__b"))
+    cb = counts.crossJoin(F.broadcast(bounds)).withColumn(
+        "__bk", F.size(F.filter(F.array_distinct(F.col("__b")), lambda b: b < F.col("__k")))
+    ).drop("__b")
+    per_bucket = cb.groupBy("__bk").agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__vals"))
+    wb = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
+    offsets = per_bucket.select(
+        "__bk",
+        F.coalesce(F.sum("__rows").over(wb), F.lit(0)).alias("__row_off"),
+        F.coalesce(F.sum("__vals").over(wb), F.lit(0)).alias("__val_off"),
+    )
+    wi = Window.partitionBy("__bk").orderBy("__k")
+    inner = cb.withColumn("__before", F.coalesce(F.sum("__n").over(wi.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inner = inner.withColumn("__dense", F.row_number().over(wi))
+    r = inner.join(F.broadcast(offsets), "__bk")
+    if ties == "mean":
+        rank = F.col("__row_off") + F.col("__before") + (F.col("__n") + 1) / 2.0
+    elif ties == "dense":
+        rank = F.col("__val_off") + F.col("__dense")
+    else:
+        rank = F.col("__row_off") + F.col("__before") + 1
+    ranked = r.select(F.col("__v"), rank.alias(out))
+    return df.join(ranked, df[value].eqNullSafe(ranked["__v"]), "left").drop("__v")
+
+
+def value_ranks(df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False, buckets: int = 256):
+    """The (value, rank) table of ``global_rank``: one row per distinct non-null value."""
+    d = df.select(value).where(F.col(value).isNotNull())
+    return global_rank(d.groupBy(value).agg(F.count(F.lit(1)).alias("__w")), value, out, ties, descending, buckets, weight="__w").drop("__w")

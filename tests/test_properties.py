@@ -149,3 +149,19 @@ def test_listing_header_carried(spark):
     assert [(r.header, r.target, r.text) for r in out.orderBy("section_no").collect()] == [
         ("Ministry A", "101", "One"), ("B & C", "102", "Two"),
     ]
+
+
+def test_global_rank_matches_window_rank(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    keyed = li.withColumn("rid", F.monotonically_increasing_id())
+    for ties, ref in [
+        ("min", F.rank().over(Window.orderBy("l_quantity"))),
+        ("dense", F.dense_rank().over(Window.orderBy("l_quantity"))),
+        ("mean", F.rank().over(Window.orderBy("l_quantity")) + (F.count(F.lit(1)).over(Window.partitionBy("l_quantity")) - 1) / 2.0),
+    ]:
+        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8).select("rid", "r")
+        want = keyed.withColumn("r", ref.cast("double")).select("rid", "r")
+        assert rows(got.withColumn("r", F.col("r").cast("double"))) == rows(want)
+    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8)
+    top = desc.where("r = 1").agg(F.min("l_quantity")).first()[0]
+    assert top == keyed.agg(F.max("l_quantity")).first()[0]
