@@ -165,3 +165,21 @@ def test_global_rank_matches_window_rank(spark):
     desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8)
     top = desc.where("r = 1").agg(F.min("l_quantity")).first()[0]
     assert top == keyed.agg(F.max("l_quantity")).first()[0]
+
+
+def test_register_partition_pruning(spark, tmp_path):
+    from ledgerlens.sources import register as reg
+
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    r = e.select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("ts").alias("date"),
+        F.col("user_id").cast("string").alias("entity"),
+    )
+    path = str(tmp_path / "register")
+    reg.write_register(r, path)
+    back = reg.read_register(spark, path).where((F.col("kind") == "click") & (F.col("year") == 2024))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "kind" in plan.split("PartitionFilters")[1][:200]
+    assert back.count() == e.where("event_type = 'click'").count()
+    last = {x.kind: x.last_indexed for x in reg.watermark(reg.read_register(spark, path), "kind", "date").collect()}
+    assert len(last) == 5
