@@ -3,7 +3,7 @@ Arrow-batched fallback for rare HTML entities."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,26 @@ def to_cell(c, max_len: int = 280, sep: str = "; ") -> Column:
     return _cut(F.coalesce(c.cast("string"), F.lit("")), max_len)
 
 
-def array_to_cell(c, max_len: int = 280, sep: str = "; ") -> Column:
+def array_to_cell(c, max_len: int = 280, sep: str = "; ", item_len: int = 80) -> Column:
+    """List value -> one cell: each element cut to ``item_len`` (80 for scalars, 100 for nested
+    values in the reference rule), joined with '; ', the whole cut to ``max_len``."""
     c = _col(c)
-    joined = F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit(""))), sep)
+    joined = F.array_join(F.transform(c, lambda x: _cut(F.coalesce(x.cast("string"), F.lit("")), item_len)), sep)
     return _cut(F.coalesce(joined, F.lit("")), max_len)
 
 
+def map_to_cell(c, max_len: int = 280, sep: str = "; ", item_len: int = 60) -> Column:
+    """Object value -> 'Key: value; ...' with humanized keys and values cut to ``item_len``."""
+    from .labels import humanize
+
+    c = _col(c)
+    parts = F.transform(
+        F.map_entries(c),
+        lambda e: F.concat(humanize(e["key"]), F.lit(": "), _cut(F.coalesce(e["value"].cast("string"), F.lit("")), item_len)),
+    )
+    return _cut(F.coalesce(F.array_join(parts, sep), F.lit("")), max_len)
+
+
 def _cut(s: Column, max_len: int) -> Column:
     return F.when(
         F.char_length(s) > max_len,
@@ -268,15 +282,28 @@ def explode_table(df: DataFrame, array_col: str) -> DataFrame:
 
 
 def json_shape(c) -> Column:
-    """'object_list' | 'scalar_list' | 'list' | 'object' | 'scalar' | 'null' of a JSON text."""
-    v = F.try_parse_json(_col(c))
-    sch = F.schema_of_variant(v)
+    """'object_list' | 'scalar_list' | 'list' | 'object' | 'scalar' | 'null' of a JSON text.
+
+    A list of objects or a list of scalars must be non-empty; a scalar list may mix types and
+    contain nulls; an empty list or a list mixing objects, lists and scalars is 'list'.
+    Invalid JSON counts as 'null'."""
+    c = _col(c)
+    v = F.try_parse_json(c)
+    top = F.schema_of_variant(v)
+    arr = F.from_json(c, "array<variant>")
+    types = F.transform(arr, lambda e: F.schema_of_variant(e))
+    all_obj = F.forall(types, lambda t: t.startswith("OBJECT"))
+    all_scalar = F.forall(types, lambda t: ~t.startswith("OBJECT") & ~t.startswith("ARRAY"))
+    as_list = (
+        F.when(F.size(arr) == 0, F.lit("list"))
+        .when(all_obj, F.lit("object_list"))
+        .when(all_scalar, F.lit("scalar_list"))
+        .otherwise(F.lit("list"))
+    )
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit("null"))
-        .when(sch.startswith("ARRAY<OBJECT"), F.lit("object_list"))
-        .when(sch.isin("ARRAY<VOID>", "ARRAY<VARIANT>"), F.lit("list"))
-        .when(sch.startswith("ARRAY<"), F.lit("scalar_list"))
-        .when(sch.startswith("OBJECT<"), F.lit("object"))
+        .when(top.startswith("ARRAY"), as_list)
+        .when(top.startswith("OBJECT"), F.lit("object"))
         .otherwise(F.lit("scalar"))
     )
 

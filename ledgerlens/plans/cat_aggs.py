@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.labels import canon_label
 from ..functions.scalars import pct, safe_ratio
 from ..operators import aggs, filters, windows
-from . import bind
 from ..session import materialize
+from . import bind
 from .registry import Tables, register, sql_canon
 from .sqlbits import GEO, NY, ORD_GEO, SUPN, dec
 
-D2 = "DECIMAL(38,2)"
-
 # ---------------------------------------------------------------------------
 # B1 / B2 / B3 / B4 / B5 / B6 / B7 / B9
 # ---------------------------------------------------------------------------

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import labels, scalars
 from ..operators import aggs
-from . import bind
 from ..session import materialize
+from . import bind
 from .registry import Tables, register
 from .sqlbits import GEO, dec
 
@@ -278,17 +278,39 @@ def q_slug(spark, d):
     return p.groupBy(labels.slug("p_name").alias("slug")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("json_shape", None, ids=("H19",))
+@register(
+    "json_shape",
+    """WITH t AS (
+  SELECT unnest([props, '[' || props || ']', '[' || CAST(value AS VARCHAR) || ', 1]', CAST(value AS VARCHAR), '[]',
+                 '[' || CAST(value AS VARCHAR) || ', "' || event_type || '", null]', '[1, ' || props || ']', 'null', '{' || event_type]) AS j
+  FROM events)
+SELECT CASE WHEN j IS NULL OR NOT json_valid(j) OR json_type(j) = 'NULL' THEN 'null'
+            WHEN json_type(j) = 'OBJECT' THEN 'object'
+            WHEN json_type(j) = 'ARRAY' THEN CASE
+                 WHEN json_array_length(j) = 0 THEN 'list'
+                 WHEN list_bool_and(list_transform(json_extract(j, '$[*]'), lambda x: json_type(x) = 'OBJECT')) THEN 'object_list'
+                 WHEN NOT list_bool_or(list_transform(json_extract(j, '$[*]'), lambda x: json_type(x) IN ('OBJECT', 'ARRAY'))) THEN 'scalar_list'
+                 ELSE 'list' END
+            ELSE 'scalar' END AS shape,
+       CAST(count(*) AS BIGINT) AS n
+FROM t GROUP BY 1""",
+    ids=("H19",),
+)
 def q_json_shape(spark, d):
     e = Tables(spark, d)("events")
+    v = F.col("value").cast("string")
     texts = e.select(
         F.explode(
             F.array(
                 F.col("props"),
                 F.concat(F.lit("["), F.col("props"), F.lit("]")),
-                F.concat(F.lit("["), F.col("value").cast("string"), F.lit(", 1]")),
-                F.col("value").cast("string"),
+                F.concat(F.lit("["), v, F.lit(", 1]")),
+                v,
                 F.lit("[]"),
+                F.concat(F.lit("["), v, F.lit(', "'), F.col("event_type"), F.lit('", null]')),
+                F.concat(F.lit("[1, "), F.col("props"), F.lit("]")),
+                F.lit("null"),
+                F.concat(F.lit("{"), F.col("event_type")),
             )
         ).alias("j")
     )

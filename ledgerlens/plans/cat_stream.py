@@ -74,6 +74,27 @@ def q_speed_batch_merge(spark, d):
     return m.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("layer") == "speed").alias("n_from_speed"))
 
 
+@register(
+    "late_revision",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'F'
+                           WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'P' END AS o_orderstatus,
+       o_orderstatus AS old_value, CAST(0 AS BIGINT) AS old_version
+FROM orders WHERE (o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH')) OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')""",
+    ids=("I5", "E8", "E1"),
+)
+def q_late_revision(spark, d):
+    from . import bind
+
+    o = Tables(spark, d)("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    landing = scratch_path(spark, "orders-landing")
+    # first delivery: all orders as published; second delivery: the corrected rows only
+    o.coalesce(1).write.mode("append").parquet(landing)
+    corrected = o.withColumn("new", bind.after_status()).where(F.col("new") != F.col("o_orderstatus"))
+    corrected.select("o_orderkey", F.col("new").alias("o_orderstatus"), "o_orderpriority").coalesce(1).write.mode("append").parquet(landing)
+    _, ledger = rs.revision_stream(spark, landing, o.schema, ["o_orderkey"], "o_orderstatus")
+    return ledger.select("o_orderkey", "o_orderstatus", "old_value", "old_version")
+
+
 @register("json_tree", None, ids=("J1", "H3", "B10"))
 def q_json_tree(spark, d):
     e = Tables(spark, d)("events")

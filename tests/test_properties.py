@@ -183,3 +183,28 @@ def test_register_partition_pruning(spark, tmp_path):
     assert back.count() == e.where("event_type = 'click'").count()
     last = {x.kind: x.last_indexed for x in reg.watermark(reg.read_register(spark, path), "kind", "date").collect()}
     assert len(last) == 5
+
+
+def test_crosstab_csv_sink(spark, tmp_path):
+    from ledgerlens.sources.sinks import write_crosstab
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    path = str(tmp_path / "xtab")
+    out = write_crosstab(o, ["o_orderpriority", "o_orderstatus"], path, value="o_totalprice")
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == out.count() == o.select("o_orderpriority", "o_orderstatus").distinct().count()
+    assert set(back.columns) == {"o_orderpriority", "o_orderstatus", "n", "sum_o_totalprice"}
+
+
+def test_cells(spark):
+    from ledgerlens.functions.scalars import array_to_cell, map_to_cell, to_cell
+
+    df = spark.createDataFrame(
+        [(["a" * 100, "b"], {"usd_mn": "x" * 70}, "word " * 80)], "l array<string>, m map<string,string>, t string"
+    )
+    r = df.select(
+        array_to_cell("l").alias("l"), map_to_cell("m").alias("m"), to_cell("t", 20).alias("t")
+    ).first()
+    assert r.l == "a" * 79 + "…; b"
+    assert r.m == "USD Mn: " + "x" * 59 + "…"
+    assert r.t == "word word word word…"
