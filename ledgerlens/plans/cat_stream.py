@@ -95,7 +95,22 @@ def q_late_revision(spark, d):
     return ledger.select("o_orderkey", "o_orderstatus", "old_value", "old_version")
 
 
-@register("json_tree", None, ids=("J1", "H3", "B10"))
+@register(
+    "json_tree",
+    """WITH n AS (
+  SELECT event_id AS id, unnest([
+    {'o': 1, 'pos_path': [0], 'path': '$.event_type', 'depth': 1, 'key': 'event_type', 'kind': 'scalar', 'text': 'Event Type: ' || event_type},
+    {'o': 2, 'pos_path': [1], 'path': '$.value_usd', 'depth': 1, 'key': 'value_usd', 'kind': 'scalar', 'text': 'Value USD: ' || CAST(value AS VARCHAR)},
+    {'o': 3, 'pos_path': [2], 'path': '$.props', 'depth': 1, 'key': 'props', 'kind': 'object', 'text': 'Props'},
+    {'o': 4, 'pos_path': [2, 0], 'path': '$.props.k', 'depth': 2, 'key': 'k', 'kind': 'scalar', 'text': 'K: ' || json_extract_string(props, '$.k')},
+    {'o': 5, 'pos_path': [3], 'path': '$.ids', 'depth': 1, 'key': 'ids', 'kind': 'array', 'text': 'Ids'},
+    {'o': 6, 'pos_path': [3, 0], 'path': '$.ids[0]', 'depth': 2, 'key': NULL, 'kind': 'scalar', 'text': CAST(user_id AS VARCHAR)},
+    {'o': 7, 'pos_path': [3, 1], 'path': '$.ids[1]', 'depth': 2, 'key': NULL, 'kind': 'scalar', 'text': CAST(event_id AS VARCHAR)}
+  ]) AS r FROM events),
+b AS (SELECT id, r.*, coalesce(sum(length(r.text)) OVER (PARTITION BY id ORDER BY r.o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
+SELECT id, CAST(pos_path AS INTEGER[]) AS pos_path, path, CAST(depth AS INTEGER) AS depth, key, kind, text FROM b WHERE before < 60""",
+    ids=("J1", "H3", "B10"),
+)
 def q_json_tree(spark, d):
     e = Tables(spark, d)("events")
     doc = F.to_json(

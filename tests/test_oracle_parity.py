@@ -18,8 +18,10 @@ def test_matches_oracle(spark, registry, duck_check, name):
     compare(e.build(spark, SF_CHECK), duck_check, e.sql)
 
 
-@pytest.mark.parametrize("name", _names(False))
-def test_rows_only(spark, registry, name):
+@pytest.mark.parametrize("name", _names(False) or ["<none>"])
+def test_rows_only(spark, registry, name):  # queries without an oracle (none at present)
+    if name == "<none>":
+        pytest.skip("every query has an oracle")
     df = registry[name].build(spark, SF_SMALL)
     assert df.count() > 0
     assert df.schema == registry[name].build(spark, SF_SMALL).schema
