@@ -228,9 +228,11 @@ def open_windows(
         horizon = F.broadcast(dates.agg(F.max(date_col).alias("__h")))
         it = items.crossJoin(horizon)
         step = F.expr(f"INTERVAL 1 {grid.upper()}")
-        first = F.date_trunc(grid, F.col(start_col))
-        first = F.when(first < F.col(start_col), first + step).otherwise(first).cast(d.schema[date_col].dataType)
-        upper = F.coalesce(F.least(F.col(end_col), F.col("__h")), F.col("__h")).cast(d.schema[date_col].dataType)
+        dtype = d.schema[date_col].dataType
+        # truncate in the calendar's own type (a wall-clock calendar stays wall-clock)
+        first = F.date_trunc(grid, F.col(start_col)).cast(dtype)
+        first = F.when(first < F.col(start_col), first + step).otherwise(first)
+        upper = F.coalesce(F.least(F.col(end_col), F.col("__h")), F.col("__h")).cast(dtype)
         pts = F.when(first <= upper, F.sequence(first, upper, step))
         j = it.withColumn(date_col, F.explode(pts)).drop("__h").join(d, date_col, "inner")
     return j.withColumn("days_to_close", F.datediff(F.col(end_col), F.col(date_col)))

@@ -56,7 +56,7 @@ def q_daily_counts(spark, d):
 )
 def q_daily_counts_batch(spark, d):
     e = Tables(spark, d)("events")
-    return e.groupBy(F.date_trunc("day", "ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(

@@ -99,11 +99,13 @@ def daily_counts_stream(
     the whole (small: days x kinds) result; the last epoch is the answer."""
     work = work_dir or scratch_path(spark, "daily-stream")
     out = f"{work}/out"
-    src = _source(spark, landing, schema).withColumn("__t", F.col(ts_col).cast("timestamp"))
-    agg = src.groupBy(F.window("__t", "1 day").alias("w"), kind_col).agg(F.count(F.lit(1)).alias("n"))
+    # windows over the wall-clock (timestamp_ntz) column align to local midnight whatever the
+    # session time zone is; a cast to timestamp would move day boundaries with the zone
+    src = _source(spark, landing, schema)
+    agg = src.groupBy(F.window(ts_col, "1 day").alias("w"), kind_col).agg(F.count(F.lit(1)).alias("n"))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.select(F.col("w.start").cast("timestamp_ntz").alias("day"), kind_col, "n").write.mode("overwrite").parquet(out)
+        batch.select(F.col("w.start").alias("day"), kind_col, "n").write.mode("overwrite").parquet(out)
 
     _run(agg.writeStream.outputMode("complete").foreachBatch(write), f"{work}/checkpoint")
     return spark.read.parquet(out)
