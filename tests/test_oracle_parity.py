@@ -25,3 +25,15 @@ def test_rows_only(spark, registry, name):  # queries without an oracle (none at
     df = registry[name].build(spark, SF_SMALL)
     assert df.count() > 0
     assert df.schema == registry[name].build(spark, SF_SMALL).schema
+
+
+@pytest.mark.parametrize("name", ["daily_counts_batch", "interval_open", "register_point_range", "asof_vintage", "fiscal_rollup", "stem_title"])
+def test_session_time_zone_does_not_matter(spark, registry, duck_check, name):
+    """Wall-clock (timestamp_ntz) inputs give the same answer in any session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        e = registry[name]
+        compare(e.build(spark, SF_CHECK), duck_check, e.sql)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
