@@ -17,6 +17,7 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
     "spark.sql.ansi.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
