@@ -93,11 +93,12 @@ def _html_unescape_udf():
 
     import pandas as pd
 
-    @F.pandas_udf("string")
-    def _unescape(s: pd.Series) -> pd.Series:
+    def _unescape(s):
         return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
 
-    return _unescape
+    # real type objects: this module's annotations are strings (postponed evaluation)
+    _unescape.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(_unescape, "string")
 
 
 # ---------------------------------------------------------------------------
@@ -237,7 +238,10 @@ def band(c, cuts: Sequence[tuple[float, str]], default: str, inclusive: bool = T
     for cut, label in cuts:
         cond = c >= cut if inclusive else c > cut
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return F.when(c.isNull(), F.lit(None).cast("string")) if out is None else out.otherwise(F.lit(default))
+    if out is None:
+        return F.when(c.isNotNull(), F.lit(default))
+    # a missing value (not published) gets no band, not the lowest one
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit(default)))
 
 
 def classify(rules: Sequence[tuple[str, str]], default: str | None = None, override=None) -> Column:
@@ -320,3 +324,28 @@ def safe_ratio(n, d) -> Column:
 
 def pct(n, d) -> Column:
     return safe_ratio(n, d) * 100.0
+
+
+# Demand-supply verdict cut points (pending value, stock in acres), inferred from
+# published rows; they are parameters of ``supply_verdict``.
+VERDICT_BACKLOG_HIGH = 50_000.0
+VERDICT_READY_STOCK = 10_000.0
+VERDICT_RICH_STOCK = 20_000.0
+
+
+def supply_verdict(
+    demand,
+    stock,
+    backlog_high: float = VERDICT_BACKLOG_HIGH,
+    ready_stock: float = VERDICT_READY_STOCK,
+    rich_stock: float = VERDICT_RICH_STOCK,
+) -> Column:
+    """Demand-supply verdict (H12): a large backlog is READY if the stock is enough, else
+    CONSTRAINED; a large stock is LAND-RICH, or UNDER-UTILISED when the backlog is negative;
+    everything else is 'balanced/low'."""
+    d, s = _col(demand), _col(stock)
+    return (
+        F.when(d > backlog_high, F.when(s >= ready_stock, F.lit("READY")).otherwise(F.lit("CONSTRAINED")))
+        .when(s > rich_stock, F.when(d < 0, F.lit("UNDER-UTILISED")).otherwise(F.lit("LAND-RICH")))
+        .otherwise(F.lit("balanced/low"))
+    )

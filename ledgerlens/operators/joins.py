@@ -81,12 +81,15 @@ def match_supply(
     on: str | Sequence[str],
     demand_col: str,
     supply_col: str,
-    ratio_col: str = "cover_ratio",
+    ratio_col: str = "demand_per_stock",
 ) -> DataFrame:
-    """Demand joined with stock; every demand key kept; ratio null when demand <= 0 or stock is 0/null (C4)."""
+    """Demand joined with stock; every demand key kept (C4).
+
+    The ratio is pending demand per unit of available stock; it is null when demand is zero or
+    negative (nothing pending) and when stock is zero or unknown."""
     j = demand.join(supply, _keys(on), "left")
     d, s = F.col(demand_col), F.col(supply_col)
-    return j.withColumn(ratio_col, F.when(d > 0, safe_ratio(s, d)))
+    return j.withColumn(ratio_col, F.when(d > 0, safe_ratio(d, s)))
 
 
 def apply_correction(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import supply_verdict
 from ..operators import joins
 from ..session import materialize
 from . import bind, cat_windows
@@ -39,7 +40,7 @@ SQL_PENDING = """pend AS (SELECT n_name, coalesce(sum(o_totalprice) FILTER (WHER
     "demand_supply_match",
     f"""WITH {ORD_GEO}, {SQL_STOCK}, {SQL_PENDING}
 SELECT p.n_name, {dec('p.demand')} AS demand, {dec('s.stock')} AS stock,
-       {dec('CASE WHEN p.demand > 0 THEN s.stock / nullif(p.demand, 0) END', 8)} AS cover_ratio,
+       {dec('CASE WHEN p.demand > 0 THEN p.demand / nullif(s.stock, 0) END', 6)} AS demand_per_stock,
        CASE WHEN p.demand > {VERDICT['backlog_hi']} THEN (CASE WHEN s.stock >= {VERDICT['ready_stock']} THEN 'READY' ELSE 'CONSTRAINED' END)
             WHEN s.stock > {VERDICT['rich_stock']} THEN (CASE WHEN p.demand < 0 THEN 'UNDER-UTILISED' ELSE 'LAND-RICH' END)
             ELSE 'balanced/low' END AS verdict
@@ -50,14 +51,10 @@ def q_demand_supply_match(spark, d):
     t = Tables(spark, d)
     m = joins.match_supply(pending_by_nation(t), stock_by_nation(t), "n_name", "demand", "stock")
     dem, st = F.col("demand"), F.col("stock")
-    verdict = (
-        F.when(dem > VERDICT["backlog_hi"], F.when(st >= VERDICT["ready_stock"], F.lit("READY")).otherwise(F.lit("CONSTRAINED")))
-        .when(st > VERDICT["rich_stock"], F.when(dem < 0, F.lit("UNDER-UTILISED")).otherwise(F.lit("LAND-RICH")))
-        .otherwise(F.lit("balanced/low"))
-    )
+    verdict = supply_verdict(dem, st, VERDICT["backlog_hi"], VERDICT["ready_stock"], VERDICT["rich_stock"])
     return m.select(
         "n_name", dem.cast("decimal(38,2)").alias("demand"), st.cast("decimal(38,2)").alias("stock"),
-        F.col("cover_ratio").cast("decimal(38,8)").alias("cover_ratio"), verdict.alias("verdict"),
+        F.col("demand_per_stock").cast("decimal(38,6)").alias("demand_per_stock"), verdict.alias("verdict"),
     )
 
 

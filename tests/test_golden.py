@@ -154,3 +154,33 @@ def test_exposure_sum(spark):
 @pytest.mark.parametrize("v,expected", [(0.125, 0.12), (0.135, 0.14)])
 def test_half_even_rounding(spark, v, expected):
     assert one(spark.range(1).select(rnd(F.lit(v), 2)))[0] == expected
+
+
+def test_demand_per_available_acre(spark):
+    demand = spark.createDataFrame(
+        [("Maharashtra", 454589.0), ("Karnataka", 312828.0), ("Puducherry", 2429.0), ("Andaman and Nicobar", 0.0), ("Gujarat", -277616.0)],
+        "state string, pending double",
+    )
+    stock = spark.createDataFrame(
+        [("Maharashtra", 48579.0), ("Karnataka", 13600.0), ("Puducherry", 0.0), ("Andaman and Nicobar", 21.0), ("Gujarat", 31148.0)],
+        "state string, acres double",
+    )
+    got = {r.state: (None if r.demand_per_stock is None else round(r.demand_per_stock, 1))
+           for r in joins.match_supply(demand, stock, "state", "pending", "acres").collect()}
+    assert got == {"Maharashtra": 9.4, "Karnataka": 23.0, "Puducherry": None, "Andaman and Nicobar": None, "Gujarat": None}
+
+
+def test_supply_verdicts(spark):
+    from ledgerlens.functions.scalars import supply_verdict
+
+    rows_ = [
+        ("Maharashtra", 454589.0, 48579.0, "READY"), ("Karnataka", 312828.0, 13600.0, "READY"),
+        ("Tamil Nadu", 51463.0, 40740.0, "READY"), ("Telangana", 65501.0, 2334.0, "CONSTRAINED"),
+        ("Madhya Pradesh", 57617.0, 4985.0, "CONSTRAINED"), ("Odisha (before correction)", 232433.0, 5162.0, "CONSTRAINED"),
+        ("Rajasthan", 40076.0, 28518.0, "LAND-RICH"), ("Haryana", 30823.0, 20491.0, "LAND-RICH"),
+        ("Andhra Pradesh", 23909.0, 32872.0, "LAND-RICH"), ("Gujarat", -277616.0, 31148.0, "UNDER-UTILISED"),
+        ("West Bengal", 46308.0, 149.0, "balanced/low"), ("Delhi", 31420.0, 2410.0, "balanced/low"),
+    ]
+    df = spark.createDataFrame(rows_, "s string, d double, st double, want string")
+    bad = df.where(supply_verdict(F.col("d"), F.col("st")) != F.col("want")).collect()
+    assert bad == []
