@@ -64,8 +64,13 @@ def prefer_table(primary: DataFrame, fallback: DataFrame, basis_primary: str, ba
 
 
 # D3 / D27 / D36
-def share_of_total(df: DataFrame, value: str, out: str = "share_pct") -> DataFrame:
-    """Share of the grand total in percent, from unrounded values (D3)."""
+def share_of_total(df: DataFrame, value: str, out: str = "share_pct", base_total: float | None = None) -> DataFrame:
+    """Share of the grand total in percent, from unrounded values (D3).
+
+    The base is the sum of the listed rows, or ``base_total`` (for example a published national
+    total when only some places are listed)."""
+    if base_total is not None:
+        return df.withColumn(out, safe_ratio(F.col(value), F.lit(float(base_total))) * 100)
     return with_total(df, value, "__tot").withColumn(out, safe_ratio(F.col(value), F.col("__tot")) * 100).drop("__tot")
 
 

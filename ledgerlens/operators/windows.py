@@ -107,10 +107,14 @@ def top_n(df: DataFrame, group, order: str, n: int, tiebreak: Sequence[str] = ()
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
-def cum_share(df: DataFrame, value: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Cumulative share of the total, largest first: top-k hold x % (E7). Entity-level input."""
+def cum_share(df: DataFrame, value: str, tiebreak: Sequence[str] = (), base_total: float | None = None) -> DataFrame:
+    """Cumulative share of the total, largest first: top-k hold x % (E7). Entity-level input.
+
+    The base is the sum of the listed rows, or ``base_total`` when the list is a subset."""
     w = Window.orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak]).rowsBetween(Window.unboundedPreceding, 0)
-    tot = df.agg(F.sum(value).alias("__tot"))
+    tot = df.agg(F.sum(value).alias("__tot")) if base_total is None else df.sparkSession.range(1).select(
+        F.lit(float(base_total)).alias("__tot")
+    )
     return (
         df.crossJoin(F.broadcast(tot))
         .withColumn("pos", F.row_number().over(Window.orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak])))

@@ -184,3 +184,26 @@ def test_supply_verdicts(spark):
     df = spark.createDataFrame(rows_, "s string, d double, st double, want string")
     bad = df.where(supply_verdict(F.col("d"), F.col("st")) != F.col("want")).collect()
     assert bad == []
+
+
+IMPL_TOP15 = [
+    ("Gujarat", 660254), ("Odisha", 336487), ("Maharashtra", 237988), ("Andhra Pradesh", 140445), ("Uttar Pradesh", 73954),
+    ("Rajasthan", 71373), ("Madhya Pradesh", 64828), ("Punjab", 57293), ("Tamil Nadu", 44627), ("Chhattisgarh", 43550),
+    ("Karnataka", 42463), ("Haryana", 25832), ("Telangana", 25134), ("Assam", 22620), ("West Bengal", 22485),
+]
+
+
+def test_shares_on_a_national_base(spark):
+    df = spark.createDataFrame(IMPL_TOP15, "state string, v long")
+    sh = {r.state: round(r.share_pct, 1) for r in aggs.share_of_total(df, "v", base_total=1951828).collect()}
+    assert sh["Gujarat"] == 33.8 and sh["Karnataka"] == 2.2 and sh["West Bengal"] == 1.2
+    cs = {r.pos: round(r.cum_share_pct, 1) for r in windows.cum_share(df, "v", ["state"], base_total=1951828).collect()}
+    assert cs[3] == 63.3
+
+
+def test_one_year_spikes(spark):
+    years = ["2021", "2022", "2023", "2024", "2025"]
+    data = {"Assam": [452, 633, 18778, 1528, 1229], "Punjab": [5627, 4466, 32182, 7144, 7874], "Gujarat": [104968, 39259, 61407, 208025, 246595]}
+    df = spark.createDataFrame([(s, y, float(v)) for s, vs in data.items() for y, v in zip(years, vs)], "s string, y string, v double")
+    got = {r.s: (round(r.max_share_pct), r.spike) for r in windows.flag_spikes(df, "s", "v", spike_share=50.0).collect()}
+    assert got == {"Assam": (83, True), "Punjab": (56, True), "Gujarat": (37, False)}
