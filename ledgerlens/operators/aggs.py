@@ -160,9 +160,12 @@ def series_profile(df: DataFrame, entity: str, period: str, value: str, periods:
     ``missing='zero'`` counts a missing period as 0 (entity x period frame from a cross join with
     the small period table); ``'skip'`` uses present periods only.
     """
+    from .joins import bounded
+
     v = df.groupBy(entity, period).agg(F.sum(value).alias("__v"))
     if missing == "zero":
-        frame = v.select(entity).distinct().crossJoin(F.broadcast(periods.select(period)))
+        # the period list is a calendar: broadcast only after its size is checked
+        frame = v.select(entity).distinct().crossJoin(bounded(periods.select(period), 100_000))
         v = frame.join(v, [entity, period], "left").withColumn("__v", F.coalesce("__v", F.lit(0.0)))
     return v.groupBy(entity).agg(
         F.sum("__v").alias("total"),
