@@ -10,12 +10,16 @@ from ..streaming import register_stream as rs
 from .registry import Tables, register
 
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+# Landing layout of the replay: days per arriving file. A re-delivered file is at most one file
+# late, so the dedup watermark delay is one file span plus a day.
+DAYS_PER_FILE = 5
+DEDUP_DELAY = f"{DAYS_PER_FILE + 1} days"
 
 
 def _landing(spark, d, redeliver: bool):
     ev = Tables(spark, d)("events").select(*EV_COLS)
     path = scratch_path(spark, "landing")
-    rs.land_in_files(ev, "ts", path, days_per_file=3, redeliver=redeliver)
+    rs.land_in_files(ev, "ts", path, days_per_file=DAYS_PER_FILE, redeliver=redeliver)
     return path, ev.schema
 
 
@@ -36,7 +40,7 @@ def q_stream_register_replay(spark, d):
 )
 def q_stream_dedup(spark, d):
     landing, schema = _landing(spark, d, redeliver=True)
-    return rs.dedup_stream(spark, landing, schema, ["event_id"], "ts", delay="4 days").select(*EV_COLS)
+    return rs.dedup_stream(spark, landing, schema, ["event_id"], "ts", delay=DEDUP_DELAY).select(*EV_COLS)
 
 
 @register(
