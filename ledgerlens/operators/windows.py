@@ -23,30 +23,64 @@ def _keys(on) -> list[str]:
 
 
 # E1 / E2
-def latest_per_key(df: DataFrame, key, order: Sequence[str], carry_max: Sequence[str] = ()) -> DataFrame:
+def latest_per_key(
+    df: DataFrame,
+    key,
+    order: Sequence[str],
+    carry_max: Sequence[str] = (),
+    keep_first: Sequence[str] = (),
+    latest_non_null: Sequence[str] = (),
+    first_order: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple, ties broken by all other columns.
 
     Expressed as ``max(struct(order..., rest...))``: a partial aggregate, so a key holding a large
-    share of the rows is reduced on each map task before the shuffle. ``carry_max`` columns take
-    their maximum over all versions of the key (a flag that, once set, survives).
+    share of the rows is reduced on each map task before the shuffle. Per-column rules:
+
+    * ``carry_max``: maximum over all versions (a flag that, once set, survives);
+    * ``keep_first``: the value of the oldest version (a column an update does not touch);
+    * ``latest_non_null``: the newest non-null value (a fill that never writes a null back).
+
+    All three are partial aggregates too (``max``, ``min_by``, ``max_by``). ``first_order`` is
+    the ordering that decides "oldest" for ``keep_first`` (default: ``order``).
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys and c not in order]
+    ordering = F.struct(*[F.col(c) for c in order])
+    first_ordering = F.struct(*[F.col(c) for c in (first_order or order)])
     packed = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("__best")
-    carries = [F.max(c).alias(f"__carry_{c}") for c in carry_max]
-    out = df.groupBy(*keys).agg(packed, *carries)
+    special = [F.max(c).alias(f"__x_{c}") for c in carry_max]
+    special += [F.min_by(c, first_ordering).alias(f"__x_{c}") for c in keep_first]
+    special += [F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"__x_{c}") for c in latest_non_null]
+    out = df.groupBy(*keys).agg(packed, *special)
+    rules = set(carry_max) | set(keep_first) | set(latest_non_null)
     cols = [F.col(k) for k in keys]
     for c in df.columns:
         if c in keys:
             continue
-        cols.append(F.col(f"__carry_{c}").alias(c) if c in carry_max else F.col(f"__best.{c}").alias(c))
+        cols.append(F.col(f"__x_{c}").alias(c) if c in rules else F.col(f"__best.{c}").alias(c))
     return out.select(*cols)
 
 
-def upsert(base: DataFrame, delta: DataFrame, key, order: Sequence[str], carry_max: Sequence[str] = ()) -> DataFrame:
-    """Upsert by key: newest version wins per key, ``carry_max`` flags survive."""
-    u = base.unionByName(delta, allowMissingColumns=True)
-    return latest_per_key(u, key, order, carry_max)
+def upsert(
+    base: DataFrame,
+    delta: DataFrame,
+    key,
+    order: Sequence[str],
+    carry_max: Sequence[str] = (),
+    keep_first: Sequence[str] = (),
+    latest_non_null: Sequence[str] = (),
+) -> DataFrame:
+    """Upsert by key (E1): the newest version wins per key, except that ``carry_max`` flags
+    survive, ``keep_first`` columns are never updated and ``latest_non_null`` columns are only
+    filled (see ``latest_per_key``)."""
+    # existing rows are source 0, incoming rows source 1: on an equal version the incoming row
+    # wins, and a never-updated column keeps the existing row's value even when re-applied
+    u = base.withColumn("__src", F.lit(0)).unionByName(delta.withColumn("__src", F.lit(1)), allowMissingColumns=True)
+    out = latest_per_key(
+        u, key, [*order, "__src"], carry_max, keep_first, latest_non_null, first_order=["__src", *order]
+    )
+    return out.drop("__src")
 
 
 def supersede(df: DataFrame, key, version: str) -> DataFrame:

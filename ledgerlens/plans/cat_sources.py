@@ -68,17 +68,25 @@ def q_manifest_status(spark, d):
 LINK_RE = r'<a href="([^"]*)">([^<]*)</a>'
 
 
-def sql_clean(x: str) -> str:
+def _sql_entities(x: str) -> str:
     chain = x
     for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
         chain = f"replace({chain}, '{ent}', '{ch}')"
-    return f"trim(regexp_replace({chain}, '\\s+', ' ', 'g'))"
+    return chain
+
+
+def sql_clean(x: str) -> str:
+    return f"trim(regexp_replace({_sql_entities(x)}, '\\s+', ' ', 'g'))"
+
+
+def sql_unescape(x: str) -> str:
+    return f"trim({_sql_entities(x)})"
 
 
 @register(
     "page_links",
     f"""WITH x AS (SELECT page_id, regexp_extract_all(html, '{LINK_RE}', 1) AS tg, regexp_extract_all(html, '{LINK_RE}', 2) AS tx FROM pages)
-SELECT page_id, CAST(unnest(generate_series(1, len(tg))) AS INTEGER) AS ordinal, unnest(tg) AS target, {sql_clean('unnest(tx)')} AS text FROM x""",
+SELECT page_id, CAST(unnest(generate_series(1, len(tg))) AS INTEGER) AS ordinal, unnest(tg) AS target, {sql_unescape('unnest(tx)')} AS text FROM x""",
     ids=("A5",),
 )
 def q_page_links(spark, d):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clean_html
+from ..functions.scalars import clean_html, unescape_common
 
 
 def extract_listing(
@@ -34,9 +34,10 @@ def extract_listing(
         F.regexp_extract_all("section", F.lit(link_re), 2).alias("text"),
     )
     rows = secs.select(*id_cols, "section_no", "header", F.posexplode(links).alias("pos", "link"))
+    # the header is unescaped and blank-collapsed; the link text is unescaped and trimmed only
     return rows.select(
         *id_cols, "section_no", "header", (F.col("pos") + 1).alias("ordinal"), F.col("link.target").alias("target"),
-        clean_html(F.col("link.text")).alias("text"),
+        F.trim(unescape_common(F.col("link.text"))).alias("text"),
     )
 
 

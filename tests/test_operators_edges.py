@@ -81,3 +81,23 @@ def test_tally_shows_zero_categories(spark):
     )
     t = aggs.tally(s.select("n_name"), "n_name", spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
     assert t.count() == 25 and t.where("n = 0").count() == 15  # suppliers cover 10 nations at sf0.001
+
+
+def test_register_upsert_column_rules(spark):
+    from ledgerlens.operators import windows
+
+    base = spark.createDataFrame(
+        [(1, "release", dt.date(2024, 1, 5), "Title A", "u1", False, 1), (2, "release", None, None, "u2", True, 1)],
+        "id int, kind string, date date, title string, url string, cited boolean, fetched int",
+    )
+    delta = spark.createDataFrame(
+        [(1, "release", dt.date(2024, 1, 6), "Title A2", "u1-new", False, 2), (2, "release", None, "Filled", "u2-new", False, 2)],
+        "id int, kind string, date date, title string, url string, cited boolean, fetched int",
+    )
+    out = windows.upsert(
+        base, delta, ["kind", "id"], ["fetched"], carry_max=["cited"], keep_first=["url"], latest_non_null=["date"]
+    )
+    got = {r.id: (r.date, r.title, r.url, r.cited) for r in out.collect()}
+    assert got == {1: (dt.date(2024, 1, 6), "Title A2", "u1", False), 2: (None, "Filled", "u2", True)}
+    again = windows.upsert(out, delta, ["kind", "id"], ["fetched"], carry_max=["cited"], keep_first=["url"], latest_non_null=["date"])
+    assert rows(again.select("id", "date", "title", "url", "cited")) == rows(out.select("id", "date", "title", "url", "cited"))
