@@ -13,8 +13,8 @@ def rows(df):
 
 def skewed_lineitem(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    # the first two lines of every order go to one hot key (over a third of all rows)
-    hot = F.when(F.col("l_linenumber") <= 2, F.lit(-1)).otherwise(F.col("l_suppkey"))
+    # the first three lines of every order go to one hot key (over a third of all rows)
+    hot = F.when(F.col("l_linenumber") <= 3, F.lit(-1)).otherwise(F.col("l_suppkey"))
     return li.withColumn("k", hot).withColumn("rid", F.monotonically_increasing_id()).cache()
 
 
