@@ -207,3 +207,39 @@ def test_one_year_spikes(spark):
     df = spark.createDataFrame([(s, y, float(v)) for s, vs in data.items() for y, v in zip(years, vs)], "s string, y string, v double")
     got = {r.s: (round(r.max_share_pct), r.spike) for r in windows.flag_spikes(df, "s", "v", spike_share=50.0).collect()}
     assert got == {"Assam": (83, True), "Punjab": (56, True), "Gujarat": (37, False)}
+
+
+DISBURSAL = [
+    ("Electronics", 11324, 15554.0), ("Pharmaceuticals", 15000, 5433.0), ("Bulk Drugs", 6940, 54.81), ("Medical Devices", 3420, 157.15),
+    ("Food Processing", 10900, 1084.0), ("Telecom", 12195, 1175.0), ("White Goods", 6238, 281.4), ("Solar PV", 24000, 0.0),
+    ("Drones", 120, 30.0), ("Automobile", 25938, 2377.56), ("Specialty Steel", 6322, 48.0), ("Textiles", 10683, 54.5),
+    ("ACC Battery", 18100, 0.0),
+]
+
+
+def test_delivery_pct_with_total_and_true_zeros(spark):
+    df = spark.createDataFrame(DISBURSAL, "scheme string, outlay long, disbursed double")
+    long_form = df.select("scheme", F.lit("outlay").alias("part"), F.col("outlay").cast("double").alias("v")).unionByName(
+        df.select("scheme", F.lit("disbursed").alias("part"), F.col("disbursed").alias("v"))
+    )
+    # delivered share of committed: delivered rows are 'disbursed', committed rows are 'outlay'
+    per = df.rollup("scheme").agg(
+        F.sum("disbursed").alias("d"), F.sum("outlay").alias("o"), F.grouping_id().alias("gid")
+    ).withColumn("pct", F.col("d") / F.col("o") * 100)
+    got = {(r.scheme or "TOTAL"): round(r.pct, 1) for r in per.collect()}
+    assert got["Electronics"] == 137.4 and got["Pharmaceuticals"] == 36.2 and got["Automobile"] == 9.2
+    assert got["Solar PV"] == 0.0 and got["ACC Battery"] == 0.0  # zero disbursed is zero, not missing
+    assert got["TOTAL"] == 17.4
+    out = aggs.delivery_pct(long_form.withColumn("committed", F.when(F.col("part") == "outlay", F.col("v"))), "scheme",
+                            F.lit(False), "committed")
+    assert out.where("gid = 1").first().committed == 151180.0
+
+
+def test_latest_cumulative_supersedes(spark):
+    vint = spark.createDataFrame(
+        [("all", "2024-11-30", 14020.0), ("all", "2025-06-30", None), ("all", "2025-12-31", 28748.0)], "k string, as_of string, disbursed double"
+    )
+    latest = windows.supersede(vint, "k", "as_of").first()
+    assert (latest.as_of, latest.disbursed) == ("2025-12-31", 28748.0)  # never 14020 + 28748
+    filled = windows.latest_per_key(vint, "k", ["as_of"], latest_non_null=["disbursed"]).first()
+    assert filled.disbursed == 28748.0
