@@ -24,13 +24,24 @@ def _kind(c: Column) -> Column:
     )
 
 
-def json_tree(df: DataFrame, id_col: str, json_col: str, max_depth: int = 4, max_chars: int | None = None) -> DataFrame:
+RESERVED_KEYS = ("purpose", "retrieved", "method")
+
+
+def json_tree(
+    df: DataFrame,
+    id_col: str,
+    json_col: str,
+    max_depth: int = 4,
+    max_chars: int | None = None,
+    reserved: tuple[str, ...] = RESERVED_KEYS,
+) -> DataFrame:
     """Nodes of each JSON document in walk order.
 
     Columns: id, pos_path (array<int>, sorts in pre-order), path, depth, key, kind, text.
     ``text`` is 'Key: value' for a scalar under an object, 'Key' for a container, the value for
     an array element. With ``max_chars`` the walk stops once the running text length per
-    document has reached the budget (running sum over the document's own nodes).
+    document has reached the budget (running sum over the document's own nodes). Top-level keys
+    in ``reserved`` (document metadata) are not walked at all (B10).
 
     One chain of ``max_depth`` generators: at each level a pending container is replaced by
     itself (finished) followed by its children; finished nodes pass through unchanged. Every
@@ -52,8 +63,12 @@ def json_tree(df: DataFrame, id_col: str, json_col: str, max_depth: int = 4, max
         n = F.col("n")
         kind = _kind(n["raw"])
         finished = F.array(mk(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], F.lit(True)))
+        entries = F.map_entries(F.from_json(n["raw"], "map<string,string>"))
+        if reserved:
+            top = n["depth"] == 0
+            entries = F.filter(entries, lambda e: ~(top & e["key"].isin(list(reserved))))
         obj_kids = F.transform(
-            F.map_entries(F.from_json(n["raw"], "map<string,string>")),
+            entries,
             lambda e, i: mk(
                 F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("."), e["key"]), n["depth"] + 1, e["key"],
                 e["value"], F.lit(False),

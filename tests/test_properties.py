@@ -208,3 +208,10 @@ def test_cells(spark):
     assert r.l == "a" * 79 + "…; b"
     assert r.m == "USD Mn: " + "x" * 59 + "…"
     assert r.t == "word word word word…"
+
+
+def test_json_tree_skips_reserved_metadata(spark):
+    doc = json.dumps({"purpose": "p", "rows": [{"method": "kept below top level"}], "method": {"x": 1}, "retrieved": "2026"})
+    df = spark.createDataFrame([(1, doc)], "id int, j string")
+    paths = {r.path for r in json_tree(df, "id", "j").collect()}
+    assert paths == {"$.rows", "$.rows[0]", "$.rows[0].method"}
