@@ -117,6 +117,30 @@ def q_page_links_dated(spark, d):
     )
 
 
+DATED_ITEM_RE = r"<a href='/item\?Id=(\d+)'[^>]*>([^<]*)</a><span class='posted'>Posted on:\s*([^<]+)</span>"
+
+
+@register(
+    "dated_listing",
+    """SELECT o_orderkey AS page_id, CAST(1 AS INTEGER) AS ordinal, o_orderkey AS item_id, o_orderpriority AS title,
+       CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date
+FROM orders""",
+    ids=("A6", "H9"),
+)
+def q_dated_listing(spark, d):
+    o = Tables(spark, d)("orders")
+    posted = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit("not yet")).otherwise(
+        F.upper(F.date_format("o_orderdate", "d MMM yyyy"))
+    )
+    # one listing snippet per order (a saved page row), in the second listing layout
+    html = F.concat(
+        F.lit("<li><a href='/item?Id="), F.col("o_orderkey").cast("string"), F.lit("' class='x'>"), F.col("o_orderpriority"),
+        F.lit("</a><span class='posted'>Posted on: "), posted, F.lit("</span></li>"),
+    )
+    snippets = o.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    return pages.extract_dated_listing(snippets, "html", DATED_ITEM_RE)
+
+
 TITLE_RES = [r"<title>([^<]{5,})</title>", r"<h1[^>]*>([^<]{5,})</h1>"]
 
 

@@ -48,3 +48,29 @@ def extract_fields(pages: DataFrame, html_col: str, fields: Mapping[str, Sequenc
         cands = [F.nullif(F.regexp_extract(F.col(html_col), p, 1), F.lit("")) for p in pats]
         out = out.withColumn(name, clean_html(F.coalesce(*cands)))
     return out
+
+
+def extract_dated_listing(
+    pages: DataFrame,
+    html_col: str,
+    item_re: str,
+    date_formats: Sequence[str] = ("d MMM yyyy",),
+    id_cols: Sequence[str] = ("page_id",),
+) -> DataFrame:
+    """Second listing layout (A6): one regex with three groups (id, title, date text) per item.
+    The date is parsed with the given formats; an unparsable date gives null and the row is kept."""
+    from ..functions.scalars import parse_date
+
+    items = F.arrays_zip(
+        F.regexp_extract_all(F.col(html_col), F.lit(item_re), 1).alias("item_id"),
+        F.regexp_extract_all(F.col(html_col), F.lit(item_re), 2).alias("title"),
+        F.regexp_extract_all(F.col(html_col), F.lit(item_re), 3).alias("date_text"),
+    )
+    rows = pages.select(*id_cols, F.posexplode(items).alias("pos", "it"))
+    return rows.select(
+        *id_cols,
+        (F.col("pos") + 1).alias("ordinal"),
+        F.col("it.item_id").try_cast("long").alias("item_id"),
+        F.trim(unescape_common(F.col("it.title"))).alias("title"),
+        parse_date(F.col("it.date_text"), date_formats).alias("date"),
+    )
