@@ -152,7 +152,7 @@ def cum_share(df: DataFrame, value: str, tiebreak: Sequence[str] = (), base_tota
     return (
         df.crossJoin(F.broadcast(tot))
         .withColumn("pos", F.row_number().over(Window.orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak])))
-        .withColumn("cum_share_pct", F.sum(value).over(w) / F.col("__tot") * 100)
+        .withColumn("cum_share_pct", safe_ratio(F.sum(value).over(w), F.col("__tot")) * 100)
         .drop("__tot")
     )
 

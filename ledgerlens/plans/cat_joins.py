@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import supply_verdict
+from ..functions.scalars import safe_ratio, supply_verdict
 from ..operators import joins
 from ..session import materialize
 from . import bind, cat_windows
@@ -149,8 +149,8 @@ def q_scenario_cross(spark, d):
     x = joins.cross_scenarios(dem, sc).crossJoin(F.broadcast(sup))
     # demand in cents first: the sums of money are exact to 2 places, the rest is plain division
     cents = F.col("demand").cast("decimal(38,2)").cast("double")
-    units = F.greatest(cents, F.lit(0.0)) / 1000.0 / F.col("intensity")
-    mult = units / F.col("supply")
+    units = safe_ratio(F.greatest(cents, F.lit(0.0)) / 1000.0, F.col("intensity"))
+    mult = safe_ratio(units, F.col("supply"))
     verdict = F.when(mult > 1.0, F.lit("DEFICIT")).when(mult < 0.5, F.lit("SURPLUS")).otherwise(F.lit("BALANCE"))
     return x.select(
         "n_name", "scenario", units.cast("decimal(38,10)").alias("demand_units"), mult.cast("decimal(38,6)").alias("multiple"),

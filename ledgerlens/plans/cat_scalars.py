@@ -261,7 +261,7 @@ def q_spread_to_base(spark, d):
     t = Tables(spark, d)
     li = t("lineitem").groupBy("l_suppkey").agg(F.sum("l_discount").alias("s"), F.count("l_discount").alias("c"))
     sup = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-    r = li.join(sup, "l_suppkey").groupBy("n_nationkey").agg((F.sum("s") / F.sum("c")).alias("rate"))
+    r = li.join(sup, "l_suppkey").groupBy("n_nationkey").agg(scalars.safe_ratio(F.sum("s"), F.sum("c")).alias("rate"))
     r = materialize(r.join(bind.geo(t), "n_nationkey").select("n_name", "rate"))
     out = aggs.spread(r, "n_name", "rate", "NATION_1")
     return out.select("n_name", F.col("rate").cast("decimal(38,6)"), F.col("spread").cast("decimal(38,6)"))
