@@ -33,16 +33,32 @@ def read_snapshots(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def write_snapshot(df: DataFrame, path: str, date: str, partition_cols: tuple[str, ...] = ()) -> str:
     """Append one dated snapshot; an existing snapshot of that date is never rewritten (A2).
 
-    The snapshot goes to ``path/snapshot_date=<date>``; if that folder exists the write fails.
-    """
+    The data is written to a hidden staging folder first and renamed to
+    ``path/snapshot_date=<date>`` only after the write job committed. A failed or retried job
+    therefore never leaves a partial snapshot for readers (hidden folders are not listed), and a
+    second snapshot of the same date is refused."""
+    spark = df.sparkSession
     target = f"{path.rstrip('/')}/snapshot_date={date}"
+    staging = f"{path.rstrip('/')}/.staging-{date}-{uuid.uuid4().hex[:12]}"
+    fs, jpath = _fs(spark, target)
+    if fs.exists(jpath):
+        raise FileExistsError(f"snapshot {target} exists; snapshots are immutable")
     w = df.write.mode("errorifexists")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.parquet(target)
+    w.parquet(staging)
+    _, jstaging = _fs(spark, staging)
+    if not fs.rename(jstaging, jpath):
+        raise RuntimeError(f"could not publish snapshot {target}")
     return target
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

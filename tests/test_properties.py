@@ -215,3 +215,18 @@ def test_json_tree_skips_reserved_metadata(spark):
     df = spark.createDataFrame([(1, doc)], "id int, j string")
     paths = {r.path for r in json_tree(df, "id", "j").collect()}
     assert paths == {"$.rows", "$.rows[0]", "$.rows[0].method"}
+
+
+def test_snapshots_are_immutable(spark, tmp_path):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    base = str(tmp_path / "snaps")
+    bulletins.write_snapshot(o, base, "2026-01-01")
+    bulletins.write_snapshot(o.limit(10), base, "2026-02-01")
+    try:
+        bulletins.write_snapshot(o, base, "2026-01-01")
+        raise AssertionError("rewrote a snapshot")
+    except FileExistsError:
+        pass
+    snaps = bulletins.read_snapshots(spark, base)
+    counts = {str(r[0]): r[1] for r in snaps.groupBy("snapshot_date").count().collect()}
+    assert counts == {"2026-01-01": o.count(), "2026-02-01": 10}
