@@ -290,24 +290,27 @@ def json_shape(c) -> Column:
 
     A list of objects or a list of scalars must be non-empty; a scalar list may mix types and
     contain nulls; an empty list or a list mixing objects, lists and scalars is 'list'.
-    Invalid JSON counts as 'null'."""
+    Invalid JSON counts as 'null'. The first non-blank character picks one parser, so each text
+    is parsed once."""
     c = _col(c)
-    v = F.try_parse_json(c)
-    top = F.schema_of_variant(v)
+    head = F.substring(F.ltrim(c), 1, 1)
     arr = F.from_json(c, "array<variant>")
     types = F.transform(arr, lambda e: F.schema_of_variant(e))
     all_obj = F.forall(types, lambda t: t.startswith("OBJECT"))
     all_scalar = F.forall(types, lambda t: ~t.startswith("OBJECT") & ~t.startswith("ARRAY"))
     as_list = (
-        F.when(F.size(arr) == 0, F.lit("list"))
+        F.when(arr.isNull(), F.lit("null"))
+        .when(F.size(arr) == 0, F.lit("list"))
         .when(all_obj, F.lit("object_list"))
         .when(all_scalar, F.lit("scalar_list"))
         .otherwise(F.lit("list"))
     )
+    v = F.try_parse_json(c)
     return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit("null"))
-        .when(top.startswith("ARRAY"), as_list)
-        .when(top.startswith("OBJECT"), F.lit("object"))
+        F.when(c.isNull(), F.lit("null"))
+        .when(head == "[", as_list)
+        .when(v.isNull() | F.is_variant_null(v), F.lit("null"))
+        .when(head == "{", F.lit("object"))
         .otherwise(F.lit("scalar"))
     )
 
