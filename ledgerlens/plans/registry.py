@@ -33,14 +33,20 @@ def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
 
 
 class Tables:
-    """Lazily reads the test tables of one scale-factor folder."""
+    """Lazily reads the test tables of one scale-factor folder.
+
+    One reader per table per query: the file listing (large on a cluster) happens once even when
+    a table is referenced by several branches."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
 
 def sql_canon(x: str, aliases: dict[str, str] | None = None) -> str:
