@@ -292,3 +292,44 @@ FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2
 )
 def q_dq_duplicates(spark, d):
     return quality.check_unique(Tables(spark, d)("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "status_crosstab",
+    """SELECT g.r_name, o.o_orderpriority, o.o_orderstatus, CAST(count(*) AS BIGINT) AS n
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN (SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) g ON c.c_nationkey = g.n_nationkey
+GROUP BY 1, 2, 3""",
+    ids=("A10", "D6"),
+)
+def q_status_crosstab(spark, d):
+    from ..sources.sinks import write_crosstab
+    from . import bind
+
+    # per (customer, priority, status) counts first, then the zone cross-tab, exported as CSV
+    og = bind.order_partials(Tables(spark, d), "o_orderpriority", "o_orderstatus")
+    xt = og.groupBy("r_name", "o_orderpriority", "o_orderstatus").agg(F.sum("n").alias("n_orders"))
+    path = bulletins.scratch_path(spark, "crosstab")
+    write_crosstab(xt.withColumnRenamed("n_orders", "w"), ["r_name", "o_orderpriority", "o_orderstatus"], path, value="w")
+    back = spark.read.schema("r_name string, o_orderpriority string, o_orderstatus string, n long, sum_w long").option(
+        "header", True
+    ).csv(path)
+    return back.select("r_name", "o_orderpriority", "o_orderstatus", F.col("sum_w").alias("n"))
+
+
+@register(
+    "dq_null_zero",
+    """WITH j AS (SELECT l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT 'quality' AS field, CAST(count(*) FILTER (WHERE quality IS NULL) AS BIGINT) AS n_null,
+       CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_zero, CAST(count(*) FILTER (WHERE quality <> 0) AS BIGINT) AS n_present FROM j
+UNION ALL
+SELECT 'toxic', CAST(count(*) FILTER (WHERE toxic IS NULL) AS BIGINT), CAST(count(*) FILTER (WHERE toxic = 0) AS BIGINT),
+       CAST(count(*) FILTER (WHERE toxic <> 0) AS BIGINT) FROM j""",
+    ids=("K8",),
+)
+def q_dq_null_zero(spark, d):
+    from ..operators import aggs
+
+    t = Tables(spark, d)
+    j = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
+    return aggs.completeness(j, None, ["quality", "toxic"])
