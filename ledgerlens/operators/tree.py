@@ -34,6 +34,7 @@ def json_tree(
     max_depth: int = 4,
     max_chars: int | None = None,
     reserved: tuple[str, ...] = RESERVED_KEYS,
+    strategy: str = "rows",
 ) -> DataFrame:
     """Nodes of each JSON document in walk order.
 
@@ -47,6 +48,8 @@ def json_tree(
     itself (finished) followed by its children; finished nodes pass through unchanged. Every
     node is parsed once, and no level is recomputed for the next one.
     """
+    if strategy == "in_row":
+        return _json_tree_in_row(df, id_col, json_col, max_depth, max_chars, reserved)
     node_t = "struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,done:boolean>"
 
     def mk(pos_path, path, depth, key, raw, done):
@@ -102,3 +105,73 @@ def json_tree(
         before = F.coalesce(F.sum(F.char_length("text")).over(w), F.lit(0))
         out = out.withColumn("__before", before).where(F.col("__before") < max_chars).drop("__before")
     return out
+
+
+_NODE_T = "struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,done:boolean>"
+
+
+def _mk(pos_path, path, depth, key, raw, done) -> Column:
+    return F.struct(
+        pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"),
+        done.alias("done"),
+    )
+
+
+def _expand(n, reserved) -> Column:
+    kind = _kind(n["raw"])
+    finished = F.array(_mk(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], F.lit(True)))
+    empty = F.array().cast(f"array<{_NODE_T}>")
+    entries = F.map_entries(F.from_json(n["raw"], "map<string,string>"))
+    if reserved:
+        top = n["depth"] == 0
+        entries = F.filter(entries, lambda e: ~(top & e["key"].isin(list(reserved))))
+    obj = F.transform(entries, lambda e, i: _mk(
+        F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("."), e["key"]), n["depth"] + 1, e["key"],
+        e["value"], F.lit(False)))
+    arr = F.transform(F.from_json(n["raw"], "array<string>"), lambda x, i: _mk(
+        F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
+        n["depth"] + 1, F.lit(None).cast("string"), x, F.lit(False)))
+    return (
+        F.when(n["done"], F.array(n))
+        .when(kind == "object", F.concat(finished, F.coalesce(obj, empty)))
+        .when(kind == "array", F.concat(finished, F.coalesce(arr, empty)))
+        .otherwise(finished)
+    )
+
+
+def _json_tree_in_row(df, id_col, json_col, max_depth, max_chars, reserved) -> DataFrame:
+    """Shuffle-free walk: each document's nodes stay in one array (pre-order is kept because a
+    container is replaced in place by itself and its children), the budget is one ``aggregate``
+    over that array, and a single explode emits the rows."""
+    root = _mk(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), F.col(json_col), F.lit(False))
+    cur = df.select(F.col(id_col).alias("id"), F.array(root).alias("nodes"))
+    for _ in range(max_depth):
+        cur = cur.select("id", F.flatten(F.transform("nodes", lambda n: _expand(n, reserved))).alias("nodes"))
+
+    def with_text(n):
+        kind = _kind(n["raw"])
+        label = humanize(n["key"])
+        text = (
+            F.when(n["key"].isNull(), n["raw"])
+            .when(kind.isin("object", "array"), label)
+            .otherwise(F.concat(label, F.lit(": "), F.coalesce(n["raw"], F.lit("null"))))
+        )
+        return F.struct(
+            n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"),
+            kind.alias("kind"), text.alias("text"),
+        )
+
+    nodes = F.transform(F.filter("nodes", lambda n: n["depth"] > 0), with_text)
+    cur = cur.select("id", nodes.alias("nodes"))
+    if max_chars is not None:
+        keep = F.aggregate(
+            "nodes",
+            F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).alias("k")),
+            lambda acc, n: F.struct(
+                (acc["s"] + F.char_length(n["text"])).alias("s"),
+                (acc["k"] + F.when(acc["s"] < max_chars, 1).otherwise(0)).alias("k"),
+            ),
+            lambda acc: acc["k"],
+        )
+        cur = cur.select("id", F.slice("nodes", 1, keep).alias("nodes"))
+    return cur.select("id", F.inline("nodes"))

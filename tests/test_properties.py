@@ -230,3 +230,14 @@ def test_snapshots_are_immutable(spark, tmp_path):
     snaps = bulletins.read_snapshots(spark, base)
     counts = {str(r[0]): r[1] for r in snaps.groupBy("snapshot_date").count().collect()}
     assert counts == {"2026-01-01": o.count(), "2026-02-01": 10}
+
+
+def test_json_tree_strategies_agree(spark):
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    doc = F.to_json(F.struct("event_type", "value", F.from_json("props", "map<string,int>").alias("props"),
+                             F.array("user_id", "event_id").alias("ids"), F.lit("meta").alias("purpose")))
+    src = e.select("event_id", doc.alias("j"))
+    a = json_tree(src, "event_id", "j", max_depth=3, max_chars=40).select("id", "path", "depth", "kind", "text")
+    b = json_tree(src, "event_id", "j", max_depth=3, max_chars=40, strategy="in_row").select("id", "path", "depth", "kind", "text")
+    assert rows(a) == rows(b)
+    assert a.where("path = '$.purpose'").count() == 0
