@@ -141,19 +141,43 @@ def top_n(df: DataFrame, group, order: str, n: int, tiebreak: Sequence[str] = ()
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
-def cum_share(df: DataFrame, value: str, tiebreak: Sequence[str] = (), base_total: float | None = None) -> DataFrame:
-    """Cumulative share of the total, largest first: top-k hold x % (E7). Entity-level input.
+def cum_share(
+    df: DataFrame, value: str, tiebreak: Sequence[str] = (), base_total: float | None = None, buckets: int = 256
+) -> DataFrame:
+    """Cumulative share of the total, largest first: top-k hold x %.
+
+    ``pos`` is the position in (value desc, tiebreak) order and ``cum_share_pct`` the running
+    total up to and including the row, over the sum of the rows (or ``base_total``).
 
-    The base is the sum of the listed rows, or ``base_total`` when the list is a subset."""
-    w = Window.orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak]).rowsBetween(Window.unboundedPreceding, 0)
-    tot = df.agg(F.sum(value).alias("__tot")) if base_total is None else df.sparkSession.range(1).select(
-        F.lit(float(base_total)).alias("__tot")
+    No keyless window: rows are split into value buckets by approximate quantiles; a running
+    sum inside each bucket plus the bucket offsets (a running sum over at most ``buckets`` rows)
+    give the exact running total and position. Null values come last.
+    """
+    v = F.col(value)
+    key = -v
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = df.where(v.isNotNull()).agg(F.percentile_approx(key, qs, 10_000).alias("__b"))
+    bk = F.when(v.isNull(), F.lit(buckets)).otherwise(F.size(F.filter(F.array_distinct("__b"), lambda b: b < key)))
+    b = df.crossJoin(F.broadcast(bounds)).withColumn("__bk", bk).drop("__b")
+    per = b.groupBy("__bk").agg(F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    wb = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets + 1 rows
+    offsets = per.select(
+        "__bk", F.coalesce(F.sum("__s").over(wb), F.lit(0)).alias("__s_off"), F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__n_off")
+    )
+    w = Window.partitionBy("__bk").orderBy(v.desc(), *[F.col(c) for c in tiebreak])
+    run = b.withColumn("__run", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "__rn", F.row_number().over(w)
     )
+    j = run.join(F.broadcast(offsets), "__bk")
+    if base_total is None:
+        tot = df.agg(F.sum(value).alias("__tot"))
+    else:
+        tot = df.sparkSession.range(1).select(F.lit(float(base_total)).alias("__tot"))
+    j = j.crossJoin(F.broadcast(tot))
     return (
-        df.crossJoin(F.broadcast(tot))
-        .withColumn("pos", F.row_number().over(Window.orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak])))
-        .withColumn("cum_share_pct", safe_ratio(F.sum(value).over(w), F.col("__tot")) * 100)
-        .drop("__tot")
+        j.withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("int"))
+        .withColumn("cum_share_pct", safe_ratio(F.col("__s_off") + F.coalesce(F.col("__run"), F.lit(0)), F.col("__tot")) * 100)
+        .drop("__bk", "__s_off", "__n_off", "__run", "__rn", "__tot")
     )
 
 

@@ -241,3 +241,16 @@ def test_json_tree_strategies_agree(spark):
     b = json_tree(src, "event_id", "j", max_depth=3, max_chars=40, strategy="in_row").select("id", "path", "depth", "kind", "text")
     assert rows(a) == rows(b)
     assert a.where("path = '$.purpose'").count() == 0
+
+
+def test_cum_share_matches_running_window(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    per = o.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), -4).alias("v"))  # many ties
+    got = windows.cum_share(per, "v", ["o_custkey"], buckets=8).select("o_custkey", "pos", F.round("cum_share_pct", 9))
+    w = Window.orderBy(F.col("v").desc(), "o_custkey")
+    tot = per.agg(F.sum("v")).first()[0]
+    ref = per.select(
+        "o_custkey", F.row_number().over(w).alias("pos"),
+        F.round(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)) / tot * 100, 9),
+    )
+    assert rows(got) == rows(ref)
