@@ -18,11 +18,42 @@ from ..functions.scalars import safe_ratio
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def _broadcast_bytes(df: DataFrame) -> int:
+    """The session's own broadcast bound (``spark.sql.autoBroadcastJoinThreshold``); -1 disables."""
+    try:
+        return int(str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower().rstrip("b"))
+    except ValueError:
+        return 10 * 1024 * 1024
+
+
+def _estimate(df: DataFrame) -> tuple[int | None, int | None]:
+    """(size in bytes, row count) from the optimizer's statistics, when it has them."""
+    try:
+        st = df._jdf.queryExecution().optimizedPlan().stats()
+
+        def as_int(x):
+            if x is None:
+                return None
+            if hasattr(x, "isDefined"):  # scala Option
+                return as_int(x.get()) if x.isDefined() else None
+            return int(str(x))
+
+        return as_int(st.sizeInBytes()), as_int(st.rowCount())
+    except Exception:
+        return None, None
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; otherwise leave the choice to AQE.
+    """Broadcast ``df`` only if it is proven small; otherwise leave the choice to AQE.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it stays cheap on large inputs.
+    Proof is either the optimizer's estimate (file or checkpoint sizes) within the session's
+    broadcast threshold, with no known row count above ``max_rows``, or a LIMIT probe that reads
+    at most ``max_rows + 1`` rows.
     """
+    size, rows = _estimate(df)
+    limit = _broadcast_bytes(df)
+    if size is not None and 0 <= size <= limit and (rows is None or rows <= max_rows):
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
