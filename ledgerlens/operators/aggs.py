@@ -361,3 +361,15 @@ def spread(df: DataFrame, key: str, value: str, base, out: str = "spread") -> Da
     The base is a one-row aggregate (null when the base is absent) broadcast to every row."""
     b = df.agg(F.max(F.when(F.col(key) == F.lit(base), F.col(value))).alias("__base"))
     return df.crossJoin(F.broadcast(b)).withColumn(out, F.col(value) - F.col("__base")).drop("__base")
+
+
+def balance(out_df: DataFrame, in_df: DataFrame, key: str, out_col: str, in_col: str) -> DataFrame:
+    """Bilateral balance = out - in per partner (a partner missing on one side counts 0 there),
+    ranked both ways (D30). Inputs are per-partner aggregates; the ranks use ``global_rank``."""
+    from .windows import global_rank
+
+    b = out_df.select(key, out_col).join(in_df.select(key, in_col), key, "full_outer").select(
+        key, (F.coalesce(F.col(out_col), F.lit(0.0)) - F.coalesce(F.col(in_col), F.lit(0.0))).alias("balance")
+    )
+    b = global_rank(b, "balance", "rank_surplus", descending=True)
+    return global_rank(b, "balance", "rank_deficit")

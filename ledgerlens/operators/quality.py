@@ -83,3 +83,10 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Duplicate keys (K7): number of keys seen more than once and rows under them."""
     c = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     return c.agg(F.count(F.lit(1)).alias("n_dup_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_dup_rows"))
+
+
+def check_zero_null(df: DataFrame, cols: Sequence[str], entity: str | None = None) -> DataFrame:
+    """No-data (null) and zero kept apart: null / zero / present counts per field (K8)."""
+    from .aggs import completeness
+
+    return completeness(df, entity, list(cols))

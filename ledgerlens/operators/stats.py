@@ -73,3 +73,18 @@ def extremes(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
     over = df.orderBy(F.col(value).desc(), F.col(key)).limit(k).withColumn("side", F.lit("over"))
     under = df.orderBy(F.col(value).asc(), F.col(key)).limit(k).withColumn("side", F.lit("under"))
     return over.unionByName(under)
+
+
+def corr_matrix(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
+    """Pearson r of ``y`` against each column in ``xs``, each over the rows where both are
+    present (D13). One aggregate pass; one output row per x."""
+    aggs = []
+    for x in xs:
+        both = F.col(y).isNotNull() & F.col(x).isNotNull()
+        aggs += [
+            F.corr(F.when(both, F.col(y)), F.when(both, F.col(x))).alias(f"r__{x}"),
+            F.count_if(both).alias(f"n__{x}"),
+        ]
+    wide = df.agg(*aggs)
+    stacked = F.stack(F.lit(len(xs)), *[v for x in xs for v in (F.lit(x), F.col(f"r__{x}"), F.col(f"n__{x}"))])
+    return wide.select(stacked.alias("x", "pearson_r", "n"))

@@ -271,6 +271,13 @@ def quadrant(share_a, share_b, cut_a: float, cut_b: float) -> Column:
     return F.concat(a, F.lit("_"), b)
 
 
+def _proven_small(df: DataFrame) -> bool:
+    from .joins import _broadcast_bytes, _estimate
+
+    size, _ = _estimate(df)
+    return size is not None and 0 <= size <= _broadcast_bytes(df)
+
+
 def global_rank(
     df: DataFrame,
     value: str,
@@ -280,6 +287,7 @@ def global_rank(
     buckets: int = 256,
     accuracy: int = 10_000,
     weight: str | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """Rank of ``value`` over the whole table without a single-partition window.
 
@@ -296,10 +304,22 @@ def global_rank(
     4. A window per bucket over the distinct values gives the position inside it.
     5. The ranked distinct values join back to the rows on the value.
 
-    The result is exact; the quantiles only balance the buckets.
+    The result is exact; the quantiles only balance the buckets. With ``method='auto'`` an
+    input whose size the optimizer proves to be within the broadcast threshold is ranked with
+    one plain window; ``'buckets'`` and ``'window'`` force a path.
     """
     v = F.col(value)
     key = (-v) if descending else v
+    if method == "window" or (method == "auto" and weight is None and _proven_small(df)):
+        # a table proven small by the optimizer's estimate: one sort is cheaper than the buckets
+        order = Window.orderBy(key.asc_nulls_last())
+        if ties == "dense":
+            r = F.dense_rank().over(order)
+        elif ties == "mean":
+            r = F.rank().over(order) + (F.count(F.lit(1)).over(Window.partitionBy(v)) - 1) / 2.0
+        else:
+            r = F.rank().over(order)
+        return df.withColumn(out, F.when(v.isNotNull(), r))
     w = F.col(weight) if weight else F.lit(1)
     keyed = df.where(v.isNotNull()).select(v.alias("__v"), key.alias("__k"), w.alias("__w"))
     counts = keyed.groupBy("__v", "__k").agg(F.sum("__w").cast("long").alias("__n"))
@@ -329,7 +349,28 @@ def global_rank(
     return df.join(ranked, df[value].eqNullSafe(ranked["__v"]), "left").drop("__v")
 
 
-def value_ranks(df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False, buckets: int = 256):
+def value_ranks(
+    df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False, buckets: int = 256,
+    method: str = "auto",
+):
     """The (value, rank) table of ``global_rank``: one row per distinct non-null value."""
     d = df.select(value).where(F.col(value).isNotNull())
-    return global_rank(d.groupBy(value).agg(F.count(F.lit(1)).alias("__w")), value, out, ties, descending, buckets, weight="__w").drop("__w")
+    counts = d.groupBy(value).agg(F.count(F.lit(1)).alias("__w"))
+    if method == "window" or (method == "auto" and _proven_small(df)):
+        order = Window.orderBy((-F.col(value)) if descending else F.col(value))
+        before = F.coalesce(F.sum("__w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        r = {"dense": F.row_number().over(order), "mean": before + (F.col("__w") + 1) / 2.0}.get(ties, before + 1)
+        return counts.select(value, r.alias(out))
+    return global_rank(counts, value, out, ties, descending, buckets, weight="__w", method="buckets").drop("__w")
+
+
+def order_by(df: DataFrame, value: str, key: str | None = None) -> DataFrame:
+    """Largest first, rows without a value last, ties by key (F1): a range-partitioned sort."""
+    return df.orderBy(F.col(value).desc_nulls_last(), *([F.col(key)] if key else []))
+
+
+def top_entities(df: DataFrame, entity: str, k: int) -> DataFrame:
+    """Entities with the most rows, top ``k`` (F2): a partial count per entity, then an ordered
+    limit (planned as a per-partition top-k before one small merge). Ties broken by entity."""
+    counts = df.where(F.col(entity).isNotNull()).groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.col("n").desc(), F.col(entity)).limit(k)

@@ -553,17 +553,14 @@ FROM b""",
 )
 def q_partner_balance(spark, d):
     t = Tables(spark, d)
-    from pyspark.sql import Window
-
     out = bind.out_rev_by_nation(t).select("n_name", "out_rev")
     inn = bind.in_rev_by_nation(t)
-    b = out.join(inn, "n_name", "full_outer").select(
-        "n_name", (F.coalesce("out_rev", F.lit(0.0)) - F.coalesce("in_rev", F.lit(0.0))).alias("balance")
+    # the per-nation table feeds the balance and both rankings: materialised once
+    j = materialize(out.join(inn, "n_name", "full_outer"))
+    b = aggs.balance(j.select("n_name", "out_rev"), j.select("n_name", "in_rev"), "n_name", "out_rev", "in_rev")
+    return b.select(
+        "n_name", F.col("balance").cast("decimal(38,2)"), F.col("rank_surplus").cast("int"), F.col("rank_deficit").cast("int")
     )
-    # ranks over nations (one row per nation after the aggregates)
-    b = b.withColumn("rank_surplus", F.row_number().over(Window.orderBy(F.col("balance").desc(), "n_name")))
-    b = b.withColumn("rank_deficit", F.row_number().over(Window.orderBy(F.col("balance").asc(), "n_name")))
-    return b.select("n_name", F.col("balance").cast("decimal(38,2)"), "rank_surplus", "rank_deficit")
 
 
 @register(

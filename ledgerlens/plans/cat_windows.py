@@ -301,8 +301,7 @@ def q_quadrant_class(spark, d):
     ids=("F2",),
 )
 def q_top_entities(spark, d):
-    e = Tables(spark, d)("events")
-    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "user_id").limit(12)
+    return windows.top_entities(Tables(spark, d)("events"), "user_id", 12)
 
 
 @register(

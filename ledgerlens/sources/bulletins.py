@@ -82,3 +82,8 @@ def manifest_status(manifest: DataFrame, entry_col: str, data_col: str, listing:
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """File listing (path, length, modificationTime) without reading contents."""
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+
+
+def missing(manifest: DataFrame, entry_col: str, data_col: str, listing: DataFrame, file_col: str) -> DataFrame:
+    """Manifest files that are not in the listing (C11): the ``missing`` rows of ``manifest_status``."""
+    return manifest_status(manifest, entry_col, data_col, listing, file_col).where(F.col("status") == "missing")

@@ -159,10 +159,10 @@ def test_global_rank_matches_window_rank(spark):
         ("dense", F.dense_rank().over(Window.orderBy("l_quantity"))),
         ("mean", F.rank().over(Window.orderBy("l_quantity")) + (F.count(F.lit(1)).over(Window.partitionBy("l_quantity")) - 1) / 2.0),
     ]:
-        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8).select("rid", "r")
+        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8, method="buckets").select("rid", "r")
         want = keyed.withColumn("r", ref.cast("double")).select("rid", "r")
         assert rows(got.withColumn("r", F.col("r").cast("double"))) == rows(want)
-    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8)
+    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8, method="buckets")
     top = desc.where("r = 1").agg(F.min("l_quantity")).first()[0]
     assert top == keyed.agg(F.max("l_quantity")).first()[0]
 
@@ -254,3 +254,15 @@ def test_cum_share_matches_running_window(spark):
         F.round(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)) / tot * 100, 9),
     )
     assert rows(got) == rows(ref)
+
+
+def test_rank_paths_agree(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_discount")
+    keyed = li.withColumn("rid", F.monotonically_increasing_id())
+    for ties in ("min", "dense", "mean"):
+        a = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, buckets=4, method="buckets").select("rid", F.col("r").cast("double"))
+        b = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, method="window").select("rid", F.col("r").cast("double"))
+        assert rows(a) == rows(b)
+        va = windows.value_ranks(keyed, "l_discount", "r", ties=ties, buckets=4, method="buckets").select("l_discount", F.col("r").cast("double"))
+        vb = windows.value_ranks(keyed, "l_discount", "r", ties=ties, method="window").select("l_discount", F.col("r").cast("double"))
+        assert rows(va) == rows(vb)
