@@ -142,7 +142,12 @@ def top_n(df: DataFrame, group, order: str, n: int, tiebreak: Sequence[str] = ()
 
 
 def cum_share(
-    df: DataFrame, value: str, tiebreak: Sequence[str] = (), base_total: float | None = None, buckets: int = 256
+    df: DataFrame,
+    value: str,
+    tiebreak: Sequence[str] = (),
+    base_total: float | None = None,
+    buckets: int = 256,
+    method: str = "auto",
 ) -> DataFrame:
     """Cumulative share of the total, largest first: top-k hold x %.
 
@@ -151,9 +156,22 @@ def cum_share(
 
     No keyless window: rows are split into value buckets by approximate quantiles; a running
     sum inside each bucket plus the bucket offsets (a running sum over at most ``buckets`` rows)
-    give the exact running total and position. Null values come last.
+    give the exact running total and position. Null values come last. With ``method='auto'``
+    a table proven small by the optimizer's estimate uses one plain window.
     """
     v = F.col(value)
+    if base_total is None:
+        tot = df.agg(F.sum(value).alias("__tot"))
+    else:
+        tot = df.sparkSession.range(1).select(F.lit(float(base_total)).alias("__tot"))
+    if method == "window" or (method == "auto" and _proven_small(df)):
+        order = Window.orderBy(v.desc_nulls_last(), *[F.col(c) for c in tiebreak])
+        return (
+            df.crossJoin(F.broadcast(tot))
+            .withColumn("pos", F.row_number().over(order))
+            .withColumn("cum_share_pct", safe_ratio(F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.col("__tot")) * 100)
+            .drop("__tot")
+        )
     key = -v
     qs = [i / buckets for i in range(1, buckets)]
     bounds = df.where(v.isNotNull()).agg(F.percentile_approx(key, qs, 10_000).alias("__b"))
@@ -168,12 +186,7 @@ def cum_share(
     run = b.withColumn("__run", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
         "__rn", F.row_number().over(w)
     )
-    j = run.join(F.broadcast(offsets), "__bk")
-    if base_total is None:
-        tot = df.agg(F.sum(value).alias("__tot"))
-    else:
-        tot = df.sparkSession.range(1).select(F.lit(float(base_total)).alias("__tot"))
-    j = j.crossJoin(F.broadcast(tot))
+    j = run.join(F.broadcast(offsets), "__bk").crossJoin(F.broadcast(tot))
     return (
         j.withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("int"))
         .withColumn("cum_share_pct", safe_ratio(F.col("__s_off") + F.coalesce(F.col("__run"), F.lit(0)), F.col("__tot")) * 100)
