@@ -284,11 +284,20 @@ def quadrant(share_a, share_b, cut_a: float, cut_b: float) -> Column:
     return F.concat(a, F.lit("_"), b)
 
 
-def _proven_small(df: DataFrame) -> bool:
+# Largest input ranked with one plain window (one task sorts at most this many rows).
+SMALL_ROWS = 100_000
+
+
+def _proven_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """True when the input is proven to be small: the optimizer's size estimate is within the
+    broadcast threshold, or a LIMIT probe (reading at most ``max_rows + 1`` rows) finds no more
+    than ``max_rows`` rows."""
     from .joins import _broadcast_bytes, _estimate
 
     size, _ = _estimate(df)
-    return size is not None and 0 <= size <= _broadcast_bytes(df)
+    if size is not None and 0 <= size <= _broadcast_bytes(df):
+        return True
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def global_rank(
