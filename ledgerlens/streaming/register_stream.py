@@ -20,17 +20,41 @@ from ..sources.bulletins import scratch_path
 def land_in_files(df: DataFrame, ts_col: str, path: str, days_per_file: int = 3, redeliver: bool = False) -> str:
     """Write a table as an ordered series of files, ``days_per_file`` days each (the arrival
     order of a landing folder). With ``redeliver`` every file also carries the rows of the
-    previous file again (at-least-once delivery). Returns ``path``."""
-    day0 = df.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1")).first()
-    if day0["d0"] is None:
+    previous file again (at-least-once delivery). Returns ``path``.
+
+    One distributed write produces all files (a row re-delivered later is duplicated with
+    ``explode`` into the next slot). Each slot's file is then moved into ``path`` with an
+    increasing modification time, which is the order a file stream source reads them in; only
+    file metadata passes through the driver."""
+    spark = df.sparkSession
+    day0 = df.agg(F.min(F.to_date(ts_col)).alias("d0")).first()["d0"]
+    if day0 is None:
         return path
-    n_days = (day0["d1"] - day0["d0"]).days + 1
-    n_files = (n_days + days_per_file - 1) // days_per_file
-    slot = F.floor(F.datediff(F.to_date(ts_col), F.lit(day0["d0"])) / days_per_file)
-    tagged = df.withColumn("__slot", slot)
-    for i in range(n_files):
-        rows = tagged.where((F.col("__slot") == i) | ((F.col("__slot") == i - 1) if redeliver else F.lit(False)))
-        rows.drop("__slot").coalesce(1).write.mode("append").parquet(path)
+    slot = F.floor(F.datediff(F.to_date(ts_col), F.lit(day0)) / days_per_file).cast("int")
+    slots = F.array(slot, slot + 1) if redeliver else F.array(slot)
+    staged = f"{path.rstrip('/')}.staging"
+    tagged = df.withColumn("__slot", F.explode(slots))
+    tagged.repartition("__slot").write.mode("overwrite").partitionBy("__slot").parquet(staged)
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = src_root.getFileSystem(conf)
+    dst_root = jvm.org.apache.hadoop.fs.Path(path)
+    fs.mkdirs(dst_root)
+    parts = sorted(
+        (int(st.getPath().getName().split("=", 1)[1]), st.getPath())
+        for st in fs.listStatus(src_root)
+        if st.isDirectory() and st.getPath().getName().startswith("__slot=")
+    )
+    t0 = int(__import__("time").time() * 1000) - 1000 * (len(parts) + 1)
+    for i, (k, part) in enumerate(parts):
+        for f in fs.listStatus(part):
+            name = f.getPath().getName()
+            if name.endswith(".parquet"):
+                dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"slot-{k:06d}-{name}")
+                fs.rename(f.getPath(), dst)
+                fs.setTimes(dst, t0 + 1000 * i, -1)
     return path
 
 
