@@ -101,3 +101,28 @@ def test_register_upsert_column_rules(spark):
     assert got == {1: (dt.date(2024, 1, 6), "Title A2", "u1", False), 2: (None, "Filled", "u2", True)}
     again = windows.upsert(out, delta, ["kind", "id"], ["fetched"], carry_max=["cited"], keep_first=["url"], latest_non_null=["date"])
     assert rows(again.select("id", "date", "title", "url", "cited")) == rows(out.select("id", "date", "title", "url", "cited"))
+
+
+def test_planned_helpers(spark):
+    from ledgerlens.operators import quality, stats, windows
+    from ledgerlens.sources import bulletins
+
+    panel = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.1, 3.0), (3.0, 6.2, None), (4.0, 7.9, 1.0)], "y double, a double, b double")
+    cm = {r.x: (round(r.pearson_r, 3), r.n) for r in stats.corr_matrix(panel, "y", ["a", "b"]).collect()}
+    assert cm["b"] == (-0.982, 3) and cm["a"][1] == 4 and cm["a"][0] > 0.99  # numpy: -0.9820, 0.9988
+
+    out = spark.createDataFrame([("x", 10.0), ("y", 1.0)], "k string, o double")
+    inn = spark.createDataFrame([("x", 4.0), ("z", 3.0)], "k string, i double")
+    bal = {r.k: (r.balance, int(r.rank_surplus), int(r.rank_deficit)) for r in aggs.balance(out, inn, "k", "o", "i").collect()}
+    assert bal == {"x": (6.0, 1, 3), "y": (1.0, 2, 2), "z": (-3.0, 3, 1)}
+
+    ordered = [r.k for r in windows.order_by(spark.createDataFrame([("a", 1.0), ("b", None), ("c", 5.0)], "k string, v double"), "v", "k").collect()]
+    assert ordered == ["c", "a", "b"]
+
+    man = spark.createDataFrame([("A", ["f1"]), ("B", ["f2", "f3"])], "t string, data array<string>")
+    listing = spark.createDataFrame([("f1",), ("f3",)], "file string")
+    assert {(r.t, r.file) for r in bulletins.missing(man, "t", "data", listing, "file").collect()} == {("B", "f2")}
+
+    zn = {r.field: (r.n_null, r.n_zero, r.n_present) for r in quality.check_zero_null(
+        spark.createDataFrame([(None,), (0.0,), (2.0,)], "v double"), ["v"]).collect()}
+    assert zn == {"v": (1, 1, 1)}
