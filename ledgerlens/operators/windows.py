@@ -236,26 +236,46 @@ def flag_spikes(df: DataFrame, key, value: str, repeated: Column | None = None,
     return out.withColumn("spike", F.col("max_share_pct") >= spike_share)
 
 
-def seq_number(df: DataFrame, key, order, bucket: Column, out: str = "step") -> DataFrame:
-    """1-based ordinal of each row inside its key by ``order`` (ties: later columns of the frame
-    are not used; equal ``order`` values get consecutive numbers in an arbitrary but fixed order).
+def seq_number(
+    df: DataFrame, key, order, bucket: Column, out: str = "step", hot_rows: int = 1_000_000, sub_buckets: int = 64
+) -> DataFrame:
+    """1-based ordinal of each row inside its key by ``order`` (equal ``order`` tuples get
+    consecutive numbers in an arbitrary but fixed order).
 
     A window over a whole key would put a hot key in one task. Here the key is split by
-    ``bucket`` (e.g. the month of ``order``): rows per (key, bucket) are counted by a partial
-    aggregate, offsets come from a running sum over the small bucket table, and the ordinal is
-    the row number inside (key, bucket) plus the offset.
+    ``bucket`` (e.g. the month of ``order``). A (key, bucket) group that still holds more than
+    ``hot_rows`` rows is split again into order-preserving sub-buckets at approximate quantiles
+    of the first ``order`` column. Those bounds come from a partial aggregate over the hot
+    groups only, and are broadcast back (their number is bounded by rows / ``hot_rows``). Rows
+    per (key, bucket, sub-bucket) are counted, offsets come from a running sum over that small
+    count table, and the ordinal is the row number inside the sub-bucket plus its offset.
     """
+    from .joins import bounded
+
     keys = _keys(key)
+    ords = _keys(order)
+    grp = [*keys, "__b"]
     b = df.withColumn("__b", bucket)
-    counts = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
-    wi = Window.partitionBy(*keys, "__b").orderBy(*_keys(order))
+    counts = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > hot_rows).select(*grp)
+    qs = [i / sub_buckets for i in range(1, sub_buckets)]
+    bounds = (
+        b.select(*grp, ords[0]).join(F.broadcast(hot), grp, "left_semi")
+        .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(ords[0], qs, 10_000)).alias("__q"))
+    )
+    b = b.join(bounded(bounds, 1_000_000), grp, "left")
+    sub = F.coalesce(F.size(F.filter(F.col("__q"), lambda x: x < F.col(ords[0]))), F.lit(0))
+    b = b.withColumn("__s", sub).drop("__q")
+    part = [*grp, "__s"]
+    sub_counts = b.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    wo = Window.partitionBy(*keys).orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sub_counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
+    wi = Window.partitionBy(*part).orderBy(*ords)
     return (
         b.withColumn("__rn", F.row_number().over(wi))
-        .join(offsets, [*keys, "__b"], "inner")
+        .join(offsets, part, "inner")
         .withColumn(out, F.col("__rn") + F.col("__off"))
-        .drop("__b", "__rn", "__off")
+        .drop("__b", "__s", "__rn", "__off")
     )
 
 

@@ -56,3 +56,11 @@ def test_asof_on_hot_key(spark):
     cand = facts.join(vint, "k").where("vt <= l_shipdate").groupBy("rid").agg(F.max_by("v", "vt").alias("v"))
     ref = facts.select("rid").join(cand, "rid", "left")
     assert rows(got) == rows(ref)
+
+
+def test_seq_number_splits_a_hot_group_inside_one_bucket(spark):
+    li = skewed_lineitem(spark)
+    # one bucket for everything and a low threshold: the hot key is split by quantiles
+    got = windows.seq_number(li, "k", ["l_shipdate", "rid"], F.lit(0), hot_rows=100, sub_buckets=8).select("rid", "step")
+    ref = li.select("rid", F.row_number().over(Window.partitionBy("k").orderBy("l_shipdate", "rid")).alias("step"))
+    assert rows(got) == rows(ref)
