@@ -249,25 +249,35 @@ def seq_number(
     groups only, and are broadcast back (their number is bounded by rows / ``hot_rows``). Rows
     per (key, bucket, sub-bucket) are counted, offsets come from a running sum over that small
     count table, and the ordinal is the row number inside the sub-bucket plus its offset.
+    The (key, bucket) counts are materialised once; without hot groups the input is read twice
+    (counts, ordinals), with hot groups twice more (bounds, sub-bucket counts), filtered.
     """
+    from ..session import materialize
     from .joins import bounded
 
     keys = _keys(key)
     ords = _keys(order)
     grp = [*keys, "__b"]
     b = df.withColumn("__b", bucket)
-    counts = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
+    # one pass over the input: rows per (key, bucket), kept for the hot check and the offsets
+    counts = materialize(b.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n")))
     hot = counts.where(F.col("__n") > hot_rows).select(*grp)
-    qs = [i / sub_buckets for i in range(1, sub_buckets)]
-    bounds = (
-        b.select(*grp, ords[0]).join(F.broadcast(hot), grp, "left_semi")
-        .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(ords[0], qs, 10_000)).alias("__q"))
-    )
-    b = b.join(bounded(bounds, 1_000_000), grp, "left")
-    sub = F.coalesce(F.size(F.filter(F.col("__q"), lambda x: x < F.col(ords[0]))), F.lit(0))
-    b = b.withColumn("__s", sub).drop("__q")
+    if hot.limit(1).count() == 0:  # reads the small materialised table only
+        b = b.withColumn("__s", F.lit(0))
+        sub_counts = counts.withColumn("__s", F.lit(0))
+    else:
+        qs = [i / sub_buckets for i in range(1, sub_buckets)]
+        hot = bounded(hot, 1_000_000)
+        bounds = materialize(
+            b.select(*grp, ords[0]).join(hot, grp, "left_semi")
+            .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(ords[0], qs, 10_000)).alias("__q"))
+        )
+        b = b.join(bounded(bounds, 1_000_000), grp, "left")
+        b = b.withColumn("__s", F.coalesce(F.size(F.filter(F.col("__q"), lambda x: x < F.col(ords[0]))), F.lit(0))).drop("__q")
+        hot_counts = b.join(hot, grp, "left_semi").groupBy(*grp, "__s").agg(F.count(F.lit(1)).alias("__n"))
+        cold_counts = counts.join(hot, grp, "left_anti").withColumn("__s", F.lit(0))
+        sub_counts = cold_counts.unionByName(hot_counts)
     part = [*grp, "__s"]
-    sub_counts = b.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
     wo = Window.partitionBy(*keys).orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sub_counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
     wi = Window.partitionBy(*part).orderBy(*ords)
