@@ -280,19 +280,28 @@ def asof_latest(
     vintage_time: str,
     value_cols: Sequence[str],
     bucket: str = "month",
+    hot_rows: int = 1_000_000,
+    sub_buckets: int = 64,
 ) -> DataFrame:
     """For each fact row, the latest vintage row of the same key at or before its time.
 
     No fact x vintage product is formed. Both sides are unioned, then a running
     ``last(ignorenulls)`` carries the newest vintage forward. The window is partitioned by key
-    and a time bucket, so one hot key is spread over its buckets; the value entering a bucket
-    comes from a small per-(key, bucket) table of bucket-final vintages.
+    and a time bucket, so one hot key is spread over its buckets; a (key, bucket) group with
+    more than ``hot_rows`` facts is split again at approximate quantiles of time (bounds from a
+    partial aggregate over the hot groups, broadcast back). The value entering a (sub-)bucket
+    comes from a small table of bucket-final vintages.
     """
+    from pyspark.sql import Window
+
+    from ..session import materialize
+
     keys = _keys(by)
     vals = list(value_cols)
     vt = "__t"
     tag = "__is_vintage"
     bkt = "__bucket"
+    grp = [*keys, bkt]
     vrow = vintages.select(
         *keys,
         F.col(vintage_time).cast("timestamp").alias(vt),
@@ -310,29 +319,46 @@ def asof_latest(
     vrow = vrow.withColumn("__f", F.lit(None).cast(frow.schema["__f"].dataType))
     u = vrow.unionByName(frow).withColumn(bkt, F.date_trunc(bucket, F.col(vt)))
 
-    # last vintage inside each (key, bucket): a partial aggregate, skew-safe
+    # facts per (key, bucket), computed once: the list of buckets that need a carry, and the hot check
+    fact_counts = materialize(u.where(F.col(tag) == 0).groupBy(*grp).agg(F.count(F.lit(1)).alias("__n")))
+    hot = fact_counts.where(F.col("__n") > hot_rows).select(*grp)
+    if hot.limit(1).count() == 0:
+        u = u.withColumn("__s", F.lit(0))
+        fact_buckets = fact_counts.select(*grp).withColumn("__s", F.lit(0))
+    else:
+        hot = bounded(hot)
+        qs = [i / sub_buckets for i in range(1, sub_buckets)]
+        bounds = materialize(
+            u.select(*grp, vt).join(hot, grp, "left_semi")
+            .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(vt, qs, 10_000)).alias("__q"))
+        )
+        u = u.join(bounded(bounds), grp, "left")
+        u = u.withColumn("__s", F.coalesce(F.size(F.filter(F.col("__q"), lambda x: x < F.col(vt))), F.lit(0))).drop("__q")
+        cold = fact_counts.join(hot, grp, "left_anti").select(*grp).withColumn("__s", F.lit(0))
+        hot_b = u.where(F.col(tag) == 0).join(hot, grp, "left_semi").select(*grp, "__s").distinct()
+        fact_buckets = cold.unionByName(hot_b)
+    fine = [*grp, "__s"]
+
+    # last vintage inside each (key, bucket, sub-bucket): a partial aggregate, skew-safe
     last_in_bucket = (
         u.where(F.col(tag) == 1)
-        .groupBy(*keys, bkt)
+        .groupBy(*fine)
         .agg(F.max_by("__v", F.struct(vt, "__v.__vtime")).alias("__bv"))
+        .select(*keys, F.struct(bkt, "__s").alias("__vb"), "__bv")
     )
-    # value entering each fact bucket = newest bucket-final vintage of an earlier bucket;
+    # value entering each fact (sub-)bucket = newest final vintage of an earlier one;
     # this product is over buckets (per key), not rows
-    from pyspark.sql import Window
-
-    fact_buckets = u.where(F.col(tag) == 0).select(*keys, bkt).distinct()
-    cand = fact_buckets.join(
-        last_in_bucket.select(*keys, F.col(bkt).alias("__vb"), "__bv"), keys, "inner"
-    ).where(F.col("__vb") < F.col(bkt))
-    carry_in = cand.groupBy(*keys, bkt).agg(F.max_by("__bv", "__vb").alias("__carry"))
+    fb = fact_buckets.withColumn("__fb", F.struct(bkt, "__s"))
+    cand = fb.join(last_in_bucket, keys, "inner").where(F.col("__vb") < F.col("__fb"))
+    carry_in = cand.groupBy(*fine).agg(F.max_by("__bv", "__vb").alias("__carry"))
 
     w = (
-        Window.partitionBy(*keys, bkt)
+        Window.partitionBy(*fine)
         .orderBy(F.col(vt), F.col(tag).desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     run = u.withColumn("__run", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 0)
-    run = run.join(carry_in, [*keys, bkt], "left")
+    run = run.join(carry_in, fine, "left")
     best = F.coalesce(F.col("__run"), F.col("__carry"))
     return run.select("__f.*", *[best[c].alias(c) for c in vals], best["__vtime"].alias(f"asof_{vintage_time}"))
 

@@ -64,3 +64,14 @@ def test_seq_number_splits_a_hot_group_inside_one_bucket(spark):
     got = windows.seq_number(li, "k", ["l_shipdate", "rid"], F.lit(0), hot_rows=100, sub_buckets=8).select("rid", "step")
     ref = li.select("rid", F.row_number().over(Window.partitionBy("k").orderBy("l_shipdate", "rid")).alias("step"))
     assert rows(got) == rows(ref)
+
+
+def test_asof_splits_a_hot_group_inside_one_bucket(spark):
+    li = skewed_lineitem(spark)
+    facts = li.select("rid", "k", "l_shipdate")
+    vint = li.where("l_linenumber = 1").select("k", F.col("l_shipdate").alias("vt"), F.col("l_quantity").alias("v"))
+    vint = vint.groupBy("k", "vt").agg(F.max("v").alias("v"))
+    got = joins.asof_latest(facts, vint, "k", "l_shipdate", "vt", ["v"], bucket="year", hot_rows=50, sub_buckets=8).select("rid", "v")
+    cand = facts.join(vint, "k").where("vt <= l_shipdate").groupBy("rid").agg(F.max_by("v", "vt").alias("v"))
+    ref = facts.select("rid").join(cand, "rid", "left")
+    assert rows(got) == rows(ref)
