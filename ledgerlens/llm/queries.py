@@ -50,3 +50,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op2_deleted_interpolation")
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .interpolation_lm import interpolated_scores
+
+    return interpolated_scores(table(spark, sf_dir, "documents"))
