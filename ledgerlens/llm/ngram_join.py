@@ -2,10 +2,12 @@
 
 The columns (shingles) are dealt by hash range into blocks, as many as the rows' sizes call for: two
 rows of sizes a <= b that reach the similarity differ in at most (1-t)/(1+t)*(a+b) columns, so with
-more blocks than that they agree on a whole non-empty block. Rows that agree on a block are joined
-into candidate components; the sparse product is then computed tile by tile over each component's
-rows, overlap counts are accumulated per pair, and pairs under the bound that their two sizes give
-are discarded. The result is exact: no pair at or above the threshold is missed.
+more blocks than that they agree on a whole non-empty block. Columns that many rows share (common lines and
+passages) are left out of the blocks, which takes nothing from that bound; a row with too few other
+columns uses its rarest columns as keys instead. Rows that agree on a key are joined into candidate
+components; the sparse product is then computed tile by tile over each component's rows, overlap
+counts are accumulated per pair, and pairs under the bound that their two sizes give are discarded.
+The result is exact: no pair at or above the threshold is missed, whichever columns count as common.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ _U = np.uint64
 _FLUSH = 1_000_000  # block keys a task holds before it sends them on
 _BUCKET = 1_500_000  # block keys one reducing group reads
 TILE = 400_000  # shingles of one side of a product's tile
+_COMMON_RUN, _COMMON_IN_RUN = 3_000_000, 8  # a shingle of 8 different sets among so many shingles is common
+_COMMON_MOST = 1 << 18  # common shingles that are broadcast at most, the most frequent ones
 
 
 def size_classes(largest: int, threshold: Fraction) -> list[tuple[int, int, int]]:
@@ -46,45 +50,59 @@ def size_classes(largest: int, threshold: Fraction) -> list[tuple[int, int, int]
     return out
 
 
-def block_keys(values, off, node, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """(block key, node) of each non-empty column block of each set."""
+class Common:
+    """Common shingles, sorted, with the number of sets they were seen in."""
+
+    def __init__(self, shingle, count):
+        order = np.argsort(shingle)
+        self.shingle, self.count = shingle[order], count[order]
+
+    def counts(self, values) -> np.ndarray:
+        if not len(self.shingle):
+            return np.zeros(len(values), np.int64)
+        at = np.minimum(np.searchsorted(self.shingle, values), len(self.shingle) - 1)
+        return np.where(self.shingle[at] == values, self.count[at], 0)
+
+
+def block_keys(values, off, node, threshold: Fraction, common: Common) -> tuple[np.ndarray, np.ndarray]:
+    """(key, node) of each set: one key for each of its non-empty column blocks."""
     n = np.diff(off)
     if not len(values):
         return np.zeros(0, _U), np.zeros(0, np.int64)
+    seen = common.counts(values)
+    owner = np.repeat(np.arange(len(n)), n)
+    all_values, all_seen = values, seen
+    values, owner = values[seen == 0], owner[seen == 0]
     classes = size_classes(int(n.max()), threshold)
     low = np.array([c[0] for c in classes])
     ks, ds = np.array([c[1] for c in classes]), np.array([c[2] for c in classes])
     own = np.searchsorted(low, n, side="right") - 1
-    owner = np.repeat(np.arange(len(n)), n)
-    mixed = T.mix(values)
-    total = np.concatenate((np.zeros(1, _U), np.cumsum(mixed)))
+    total = np.concatenate((np.zeros(1, _U), np.cumsum(T.mix(values))))
     keys, nodes = [], []
     weak = np.zeros(len(n), bool)
     for back in (0, 1):  # as the smaller partner, and as the larger partner of the class below
         c = own - back
         use = (c >= 0) & (n > 0)
-        if not use.any():
-            continue
         k = np.where(use, ks[np.maximum(c, 0)], 1)
         block = ((values >> _U(32)) * k[owner].astype(_U)) >> _U(32)
         new = np.ones(len(values), bool)
         new[1:] = (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(new)
-        ends = np.append(at[1:], len(values))
+        ends = np.append(at[1:], len(values)) if len(at) else at
         who = owner[at]
-        full = np.bincount(who, minlength=len(n))
-        weak |= use & (full <= ds[np.maximum(c, 0)])
+        weak |= use & (np.bincount(who, minlength=len(n)) <= ds[np.maximum(c, 0)])
         ok = use[who]
         with np.errstate(over="ignore"):
             salt = T.mix(block[at] + (c[who].astype(_U) << _U(40)))
             key = T.mix(total[ends] - total[at] + salt)
         keys.append(key[ok])
         nodes.append(node[who[ok]])
-    if weak.any():  # too many empty blocks to be sure: such a set's smallest shingles are keys too
-        for i in np.flatnonzero(weak):
-            p = int(n[i]) - -(-int(n[i]) * threshold.numerator // threshold.denominator) + 1
-            keys.append(T.mix(values[off[i]: off[i] + p] ^ _U(0xA5A5A5A5A5A5A5A5)))
-            nodes.append(np.full(p, node[i]))
+    for i in np.flatnonzero(weak):  # too few non-empty blocks to be sure: such a set's rarest shingles are keys too
+        own_values, own_seen = all_values[off[i]: off[i + 1]], all_seen[off[i]: off[i + 1]]
+        p = int(n[i]) - -(-int(n[i]) * threshold.numerator // threshold.denominator) + 1
+        first = np.lexsort((own_values, own_seen))[:p]
+        keys.append(T.mix(own_values[first] ^ _U(0xA5A5A5A5A5A5A5A5)))
+        nodes.append(np.full(p, node[i]))
     return np.concatenate(keys), np.concatenate(nodes)
 
 
@@ -98,10 +116,30 @@ def _sets_of(batch, size):
 
 
 def _sizes_fn(size):
+    """Size and hash of each text's set, and (with ``common``) the shingles that many sets of a run share."""
+
     def run(batches):
+        held, total, nodes, blank = [], 0, [], None
+
+        def shared():
+            _, first = np.unique(np.concatenate(nodes), return_index=True)
+            s, c = np.unique(np.concatenate([held[i] for i in first]), return_counts=True)
+            s, c = s[c >= _COMMON_IN_RUN], c[c >= _COMMON_IN_RUN]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(s), blank), pa.array(c), pa.array(s.view(np.int64)), pa.array(np.ones(len(s), bool))], ["id", "n", "node", "common"])
+
         for batch in batches:
-            for i, j, _, so, node in _sets_of(batch, size):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(so)), pa.array(node)], ["id", "n", "node"])
+            blank = batch.column(0).type
+            for i, j, values, so, node in _sets_of(batch, size):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(so)), pa.array(node), pa.array(np.zeros(j - i, bool))], ["id", "n", "node", "common"])
+                held += [values[x:y] for x, y in zip(so[:-1], so[1:])]
+                nodes.append(node)
+                total += len(values)
+                if total >= _COMMON_RUN:
+                    yield shared()
+                    held, total, nodes = [], 0, []
+        if held:
+            yield shared()
+
     return run
 
 
@@ -129,7 +167,7 @@ def _distinct_pairs(a, b):
 _PACKED = "p int, keys binary, nodes binary, a binary, b binary"
 
 
-def _keys_fn(size, threshold, buckets):
+def _keys_fn(size, threshold, buckets, common):
     """Keys of a task's documents, combined: of a key's nodes one goes on, the others are linked to it here."""
 
     def packed(keys, nodes):
@@ -151,7 +189,7 @@ def _keys_fn(size, threshold, buckets):
         keys, nodes, held = [], [], 0
         for batch in batches:
             for _, _, values, so, node in _sets_of(batch, size):
-                k, n = block_keys(values, so, node, threshold)
+                k, n = block_keys(values, so, node, threshold, common.value)
                 keys.append(k)
                 nodes.append(n)
                 held += len(k)
@@ -199,10 +237,10 @@ def _fetch_fn(size, bitmap, bits):
     return run
 
 
-def product_tile(node, side, sets, copies, threshold: Fraction):
+def product_tile(side, sets, across: bool, threshold: Fraction):
     """Linked pairs of a tile (positions), by accumulating overlap counts row by row.
 
-    ``side`` 0/1: with two sides only pairs across them count."""
+    ``across``: only pairs of the two sides (0 and 1) count."""
     size = np.array([len(s) for s in sets])
     items = np.concatenate(sets) if len(sets) else np.zeros(0, _U)
     row = np.repeat(np.arange(len(sets)), size)
@@ -211,7 +249,6 @@ def product_tile(node, side, sets, copies, threshold: Fraction):
     by_col, ptr = row[order], np.concatenate(([0], np.cumsum(np.bincount(col)))) if len(col) else np.zeros(1, int)
     start = np.concatenate(([0], np.cumsum(size)))
     num, den = threshold.numerator, threshold.denominator
-    across = len(np.unique(side)) > 1
     left, right = [], []
     for i in range(len(sets)):
         c = col[start[i]: start[i + 1]]
@@ -235,12 +272,21 @@ def product_tile(node, side, sets, copies, threshold: Fraction):
     return np.concatenate(left), np.concatenate(right)
 
 
+def _most_common(read: DataFrame) -> Common:
+    """The common shingles, at most _COMMON_MOST: those above a count that leaves no more."""
+    counted = read.groupBy("node").agg(F.sum("n").alias("n"))
+    steps = counted.groupBy("n").count().orderBy(F.desc("n")).limit(_COMMON_MOST).toPandas()
+    inside = steps["n"][steps["count"].cumsum() <= _COMMON_MOST]
+    got = counted.where(F.col("n") >= (int(inside.min()) if len(inside) else 1 << 62)).toPandas()
+    return Common(got["node"].to_numpy(np.int64).view(_U), got["n"].to_numpy(np.int64))
+
+
 def _tile_fn(threshold):
     def run(table: pa.Table) -> pa.Table:
         node, at = np.unique(table["node"].to_numpy(), return_index=True)  # a document that is there twice counts once
         side, copies = table["side"].to_numpy()[at], table["copies"].to_numpy()[at]
         sets = [np.frombuffer(table["items"][int(i)].as_py(), _U) for i in at]
-        x, y = product_tile(node, side, sets, copies, threshold)
+        x, y = product_tile(side, sets, table["i"][0] != table["j"][0], threshold)
         links = np.zeros(len(node), np.int64)
         np.add.at(links, x, copies[y])
         np.add.at(links, y, copies[x])
@@ -268,12 +314,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
-    rows = materialize(base.mapInArrow(_sizes_fn(size), f"id {id_type}, n long, node long"))
+    read = materialize(base.mapInArrow(_sizes_fn(size), f"id {id_type}, n long, node long, common boolean"))
+    rows = read.where("NOT common")
+    common = spark.sparkContext.broadcast(_most_common(read.where("common")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     sets = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("sid"), F.count("*").alias("copies"), F.first("n").alias("n"))
     buckets = max(1, -(-int(total * 0.55) // _BUCKET))
 
-    packed = base.select("text").mapInArrow(_keys_fn(size, threshold, buckets), _PACKED)
+    packed = base.select("text").mapInArrow(_keys_fn(size, threshold, buckets, common), _PACKED)
     pairs = packed.repartition(buckets, "p").groupBy("p").applyInArrow(_meet, "a long, b long")
     cand = connected_components(pairs)
     cand = materialize(cand.join(sets, "node"))
