@@ -57,3 +57,41 @@ def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .interpolation_lm import interpolated_scores
 
     return interpolated_scores(table(spark, sf_dir, "documents"))
+
+
+def _op4_sql() -> str:
+    from .quality_rules import ALPHA, CUTOFFS, DELTA, RULES
+
+    a = ALPHA / len(RULES)
+    share = lambda x, y: f"CASE WHEN {y} > 0 THEN {x}::DOUBLE / {y} ELSE 0.0 END"
+    values = {"symbols": share("n_symbols", "word_chars"), "dup_lines": share("n_dup_lines", "n_lines"), "repeats": share("n_repeat_words", "n_words"),
+              "upper": share("n_upper", "word_chars"), "same_words": "CASE WHEN n_words > 0 THEN 1 - n_distinct::DOUBLE / n_words ELSE 0.0 END"}
+    long = " UNION ALL ".join(f"SELECT doc_id, stratum, base_failed, '{r}' AS rule, {values[r]} AS x FROM m" for r in RULES)
+    return f"""
+WITH w AS (SELECT doc_id, coalesce('=' || lang, 'null') AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, unnest(list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4])) AS g FROM w WHERE len(ws) >= 5),
+d AS (SELECT doc_id, g FROM g GROUP BY ALL HAVING count(*) > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM g JOIN d USING (doc_id, g), range(5) AS o(k) GROUP BY 1),
+m0 AS (SELECT w.doc_id, stratum, len(ws) AS n_words, len(list_distinct(ws)) AS n_distinct, coalesce(length(array_to_string(ws, '')), 0) AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper, len(lines) AS n_lines,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN c USING (doc_id)),
+m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m0),
+v AS ({long}),
+good AS (SELECT v.* FROM v SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) l USING (doc_id) WHERE NOT base_failed),
+strata AS (SELECT count(DISTINCT stratum) AS s FROM good),
+grid AS (SELECT unnest({list(CUTOFFS)}) AS cutoff, unnest(range({len(CUTOFFS)})) AS j),
+k AS (SELECT stratum, rule, j, cutoff, count(*) AS n, count(*) FILTER (x > cutoff) AS k FROM good, grid GROUP BY ALL),
+p AS (SELECT k.*, CASE WHEN k >= n * {a} THEN 1.0 ELSE (SELECT sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({a}) + (n - i) * ln(1 - {a}))) FROM range(k + 1) AS o(i)) END AS p FROM k),
+ok AS (SELECT *, min(CASE WHEN p <= {DELTA} / ({len(RULES)} * s) THEN 1 ELSE 0 END) OVER (PARTITION BY stratum, rule ORDER BY j) AS so_far FROM p, strata),
+cut AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM ok WHERE so_far = 1 GROUP BY ALL),
+bad AS (SELECT DISTINCT doc_id FROM v JOIN cut USING (stratum, rule) WHERE x > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM m"""
+
+
+@query("op4_quality_rules", _op4_sql())
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_verdicts
+
+    verdicts, _ = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
