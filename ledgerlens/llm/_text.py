@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BLOCK = 1 << 20  # bytes hashed at a time
-SLICE = 4 << 20  # bytes of text handled at a time
+_BLOCK = 1 << 18  # bytes hashed at a time
+SLICE = 2 << 20  # bytes of text handled at a time
 
 
 def mix(x: np.ndarray) -> np.ndarray:

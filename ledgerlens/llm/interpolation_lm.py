@@ -28,8 +28,9 @@ from . import _text as T
 _U = np.uint64
 _TOP = _U(1 << 63)
 _END = int((T.mix(_U(0xE0D)) | _TOP).view(np.int64))  # the end mark's code
-_FLUSH = 2_000_000  # tokens a task holds before it sends them on
-_BUCKET = 2_000_000  # tokens one reducing task reads
+_FLUSH = 600_000  # tokens a task holds before it sends its pairs on
+_COUNT_FLUSH = 1_500_000  # and before it sends its words' counts on
+_BUCKET = 1_500_000  # tokens one reducing task reads
 _BUCKETS = 20  # of context counts: 0, 1, 2-3, 4-7, ...
 _STEP, _BINS = 4, 160  # held-out events are tallied by probability, in quarters of a power of two
 
@@ -55,8 +56,8 @@ def _tokens(raw, off):
     return code, who, ends
 
 
-def _flushes(batches):
-    """Runs of a task's documents of about _FLUSH tokens: (ids, rests, codes, text index, ends)."""
+def _flushes(batches, most):
+    """Runs of a task's documents of about ``most`` tokens: (ids, rests, codes, text index, ends)."""
     held, size = [], 0
 
     def joined():
@@ -73,7 +74,7 @@ def _flushes(batches):
             code, who, ends = _tokens(raw[o[0]: o[-1]], o - o[0])
             held.append((batch.column(0).slice(i, j - i), rest[i:j], code, who, ends))
             size += len(code)
-            if size >= _FLUSH:
+            if size >= most:
                 yield joined()
                 held, size = [], 0
     if held:
@@ -82,7 +83,7 @@ def _flushes(batches):
 
 def _count_fn(batches):
     """Occurrences of each word, summed over a flush: all, in training, in the deleted part."""
-    for _, rest, code, who, _ in _flushes(batches):
+    for _, rest, code, who, _ in _flushes(batches, _COUNT_FLUSH):
         w, at = np.unique(code, return_inverse=True)
         many = lambda on: np.bincount(at, weights=on[who].astype(float), minlength=len(w)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.bincount(at)), pa.array(many(rest != 0)), pa.array(many(rest == 1))], ["w", "t", "c", "f"])
@@ -115,7 +116,7 @@ def _deal_fn(shared, buckets, n, v_size):
     def run(batches):
         head = shared.value
         part = TaskContext.get().partitionId()
-        for seq, (ids, rest, code, who, ends) in enumerate(_flushes(batches)):
+        for seq, (ids, rest, code, who, ends) in enumerate(_flushes(batches, _FLUSH)):
             flush = (part << 20) + seq
             w = _short(head, code)
             v = np.empty_like(w)
@@ -255,24 +256,28 @@ def _score_fn(shared, weights, n, v_size):
         total = np.bincount(at, weights=log, minlength=len(u))
         cut = np.flatnonzero(np.diff(u >> 32, prepend=-1)) if len(u) else np.zeros(0, int)
         for lo, hi in zip(cut, np.append(cut[1:], len(u))):
-            yield int(u[lo] >> 32), 0, (u[lo:hi] & 0xFFFFFFFF).tobytes(), total[lo:hi].tobytes(), b"", []
+            yield int(u[lo] >> 32), 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi].astype(np.float32)), b"", []
         for r in rows:
             if r["facts"]:
                 yield int(r["flush"]), 1, b"", b"", bytes(r["facts"]), r["ids"]
         rest = ~known
         if rest.any():
             o = np.flatnonzero(rest)
-            yield -1, 2, w[o].tobytes(), np.stack((two[o], weights[b[o], 1], weights[b[o], 2])).tobytes(), uid[o].tobytes(), []
+            o = o[np.argsort(uid[o], kind="stable")]
+            yield -1, 2, T.planes(w[o]), T.planes(np.concatenate((cvw[o], cv[o])).astype(np.uint64)), T.planes(uid[o]), []
 
     return run
 
 
-def _expand_tail(batches):
-    for batch in batches:
-        for w, x, u in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("c").to_pylist()):
-            x = np.frombuffer(x, np.float64).reshape(3, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(w, np.int64)), pa.array(np.frombuffer(u, np.int64)), pa.array(x[0]), pa.array(x[1]), pa.array(x[2])],
-                                             ["w", "uid", "two", "l1", "l0"])
+def _tail_fn(weights):
+    def run(batches):
+        for batch in batches:
+            for w, x, u in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("c").to_pylist()):
+                cvw, cv = T.from_planes(x, np.uint64).reshape(2, -1).astype(float)
+                b = bucket_of(cv)
+                yield pa.RecordBatch.from_arrays([pa.array(T.from_planes(w, np.int64)), pa.array(T.from_planes(u, np.int64)), pa.array(weights[b, 0] * _ratio(cvw, cv)), pa.array(b.astype(np.int32))], ["w", "uid", "two", "b"])
+
+    return run
 
 
 def _sum_fn(key, table):
@@ -282,13 +287,13 @@ def _sum_fn(key, table):
     facts = np.frombuffer(table["c"][own].as_py(), np.float64).reshape(4, -1)
     score = np.zeros(facts.shape[1])
     for i in np.flatnonzero(kind == 0):
-        np.add.at(score, np.frombuffer(table["a"][int(i)].as_py(), np.int64), np.frombuffer(table["b"][int(i)].as_py(), np.float64))
+        score[T.from_planes(table["a"][int(i)].as_py(), np.uint32)] += T.from_planes(table["b"][int(i)].as_py(), np.float32)  # a document once in each
     ids = table["ids"].chunk(0) if table["ids"].num_chunks == 1 else pa.concat_arrays(table["ids"].chunks)
     return pa.table({"id": ids.slice(own, 1).flatten(), "uid": (key[0].as_py() << 32) | np.arange(len(score)), "held_out": facts[0] > 0,
                      "n_tokens": facts[1].astype(np.int64), "known": facts[2].astype(np.int64), "base": facts[3], "score": score})
 
 
-def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = 10, head_words: int = 1 << 20) -> DataFrame:
+def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = 10, head_words: int = 1 << 18) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
     Rows whose crc32(id as text) mod ``split`` is 0 are held out: they are scored but not counted;
@@ -328,10 +333,11 @@ def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scored = _stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"flush long, kind int, a binary, b binary, c binary, ids array<{id_type}>", verifySchema=False))
     known = scored.where("kind < 2").groupBy("flush").applyInArrow(_sum_fn, f"id {id_type}, uid long, held_out boolean, n_tokens long, known long, base double, score double")
     c = F.coalesce("c", F.lit(0))
+    weight = lambda k: F.get(F.array(*(F.lit(float(x)) for x in weights[:, k])), F.col("b"))
     rest = (
-        scored.where("kind = 2").select("a", "b", "c").mapInArrow(_expand_tail, "w long, uid long, two double, l1 double, l0 double").join(uni.select("w", "c"), "w", "left")
+        scored.where("kind = 2").select("a", "b", "c").mapInArrow(_tail_fn(weights), "w long, uid long, two double, b int").join(uni.select("w", "c"), "w", "left")
         .groupBy("uid").agg(
-            F.sum(F.log10(F.col("two") + F.col("l1") * c / F.lit(float(max(1, n))) + F.col("l0") / F.lit(v_size + 1.0))).alias("more_score"),
+            F.sum(F.log10(F.col("two") + weight(1) * c / F.lit(float(max(1, n))) + weight(2) / F.lit(v_size + 1.0))).alias("more_score"),
             F.sum(F.log10((c + 0.1) / F.lit(n + 0.1 * (v_size + 1)))).alias("more_base"), F.sum((c > 0).cast("long")).alias("more_known"))
     )
     none = lambda x: F.coalesce(x, F.lit(0))

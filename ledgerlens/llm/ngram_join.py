@@ -25,10 +25,10 @@ from . import _text as T
 from ._graph import components, connected_components
 
 _U = np.uint64
-_FLUSH = 1_000_000  # block keys a task holds before it sends them on
-_BUCKET = 1_500_000  # block keys one reducing group reads
-TILE = 400_000  # shingles of one side of a product's tile
-_COMMON_RUN, _COMMON_IN_RUN = 3_000_000, 8  # a shingle of 8 different sets among so many shingles is common
+_FLUSH = 500_000  # block keys a task holds before it sends them on
+_BUCKET = 800_000  # block keys one reducing group reads
+TILE = 200_000  # shingles of one side of a product's tile
+_COMMON_RUN, _COMMON_IN_RUN = 1_500_000, 8  # a shingle of 8 different sets among so many shingles is common
 _COMMON_MOST = 1 << 18  # common shingles that are broadcast at most, the most frequent ones
 
 

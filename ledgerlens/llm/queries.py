@@ -95,3 +95,20 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     verdicts, _ = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_rules import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secret_links")
+def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .secret_links import secret_spans
+
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")

@@ -56,10 +56,10 @@ def check(df, rows, **kw):
         best = min(got[doc_id], key=lambda g: abs(g[4] - w[4]) + abs(g[1] - w[1]))
         got[doc_id].remove(best)
         assert best[:4] == w[:4], (doc_id, best, w)
-        assert best[4:] == pytest.approx(w[4:], rel=1e-9, abs=1e-9), (doc_id, best, w)
+        assert best[4:] == pytest.approx(w[4:], rel=1e-6, abs=1e-6), (doc_id, best, w)
 
 
-@pytest.mark.parametrize("head", [1 << 20, 40, 0])
+@pytest.mark.parametrize("head", [1 << 18, 40, 0])
 def test_scores_match_plain_counts(spark, head):
     """Whether all, a few or no words count as frequent, the scores are the same."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
