@@ -112,3 +112,37 @@ def op10_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = secret_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+CONTAINED_SQL = f"""
+iw AS (SELECT item_id, ws, least(len(ws), 5) AS k FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS ws FROM benchmark) WHERE len(ws) > 0),
+its AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS s FROM iw),
+q AS (SELECT item_id, count(*) AS n_item FROM its GROUP BY 1),
+dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS ws FROM {{docs}}),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS s FROM dw, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k),
+hits AS (SELECT doc_id, item_id, n_item, n_found FROM (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN its USING (s) GROUP BY ALL) JOIN q USING (item_id) WHERE 5 * n_found >= 4 * n_item)"""
+
+
+@query("op3_benchmark_containment", f"WITH {CONTAINED_SQL.format(docs='documents')} SELECT * FROM hits")
+def op3_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .decontaminate import contained_items
+
+    found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_item", "n_found")
+
+
+LINES_SQL = """
+l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM {docs} WHERE text IS NOT NULL),
+f AS (SELECT line, min(doc_id) AS f FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY line HAVING count(DISTINCT source) >= 10),
+x AS (SELECT l.*, f IS NOT NULL AND f <> doc_id AS gone FROM l LEFT JOIN f USING (line)),
+cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
+    NOT bool_or(gone) OR coalesce(bool_or(regexp_matches(line, '[^\\x20\\x09-\\x0D]')) FILTER (NOT gone), false) AS kept FROM x GROUP BY doc_id)"""
+
+
+@query("op6_line_spread", f"WITH {LINES_SQL.format(docs='documents')} SELECT * FROM cleaned")
+def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_spread import deduplicated
+
+    return deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "kept", "text")
