@@ -146,3 +146,10 @@ def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_spread import deduplicated
 
     return deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "kept", "text")
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_codec import encoded
+
+    return encoded(table(spark, sf_dir, "documents"))
