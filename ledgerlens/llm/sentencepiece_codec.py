@@ -5,7 +5,8 @@ blanks and the dummy prefix), the metaspace marker, pieces with their scores (a
 the merges that a BPE model's scores order) and byte fallback. No piece of such a model joins a
 marker to what stands before it, so a text is cut before each run of markers and each different
 segment of a run of documents is encoded once, in multithreaded batches. Every encoded segment is
-compared with the sentencepiece library's own result and decoded back.
+compared with the sentencepiece library's own result and decoded back; a text with a difference is
+marked (a unigram model reads the name of a byte piece, such as <0x41>, standing in a text as that piece).
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ class Model:
         self.unigram = proto.trainer_spec.model_type == 1
         spec = proto.normalizer_spec
         self.prefix, self.squeeze, self.charsmap = spec.add_dummy_prefix, spec.remove_extra_whitespaces, bytes(spec.precompiled_charsmap)
-        self.normal = [k == 1 for k in kinds]
+        self.normal, self.control = [k == 1 for k in kinds], [k == 3 for k in kinds]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if k == 6 else b"" if k in (2, 3) else p.encode() for (p, _), k in zip(self.pieces, kinds)]
         # cutting at markers is exact if no piece has a marker after anything else
         self.cuttable = not any(re.search(f"[^{MARK}]{MARK}", p) for p, k in zip((p for p, _ in self.pieces), kinds) if k in (1, 4))
@@ -53,7 +54,8 @@ class Model:
 
         ids = {p: i for i, (p, _) in enumerate(self.pieces)}
         if self.unigram:
-            model = models.Unigram([(p, s) for p, s in self.pieces], self.unk, self.byte_fallback)
+            # control pieces are no text: they get names that no text is taken to hold
+            model = models.Unigram([(f"\U0010FFFE{p}" if k else p, s) for (p, s), k in zip(self.pieces, self.control)], self.unk, self.byte_fallback)
         else:
             merges = []
             for i, (piece, score) in enumerate(self.pieces):
