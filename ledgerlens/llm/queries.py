@@ -153,3 +153,13 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepiece_codec import encoded
 
     return encoded(table(spark, sf_dir, "documents"))
+
+
+@query("op5_personal_data")
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .pii_crf import personal_data
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
