@@ -49,15 +49,15 @@ def _forest(batches):
         yield flush()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, reduced: bool = False) -> DataFrame:
     """(node, comp) for each node of ``edges`` (a, b: long); comp is its component's smallest node.
 
-    Each task first reduces its own edges to a forest; rounds of large-star and small-star then run
+    Each task first reduces its own edges to a forest (unless they come ``reduced``); rounds of large-star and small-star then run
     over the distinct remaining edges, each round's result written to the checkpoint folder. Nulls
     and self-links are left out; repeated edges change nothing; no edges give an empty table.
     """
-    e = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").mapInArrow(_forest, "a long, b long")
-    e = materialize(e.distinct())
+    e = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = materialize((e if reduced else e.mapInArrow(_forest, "a long, b long")).distinct())
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

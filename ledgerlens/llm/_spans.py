@@ -41,3 +41,11 @@ def same_rows(keys: list[str], others: list[str]) -> Column:
     for a, b in zip(keys, others):
         cond = cond & F.col(a).eqNullSafe(F.col(b))
     return cond
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

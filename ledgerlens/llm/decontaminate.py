@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
 
-from ._spans import same_rows, text_hash
+from ._spans import fresh, same_rows, text_hash
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 500_000  # tables of so many short rows at most are broadcast, larger ones are shuffled
@@ -106,7 +106,6 @@ def _shingle(words: str, k: int):
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no item."""
-    hits = contained_items(docs, items, id_col, text_col, **kw).select(F.col("id").alias("hit_id"), F.col("h").alias("hit_h")).distinct()
-    hits = materialize(hits)
-    same = F.col(id_col).eqNullSafe(F.col("hit_id")) & text_hash(F.col(text_col)).eqNullSafe(F.col("hit_h"))
-    return docs.join(_small(hits), same, "left_anti")
+    of, hashed = fresh(docs, "hit_id"), fresh(docs, "hit_h")
+    hits = materialize(contained_items(docs, items, id_col, text_col, **kw).select(F.col("id").alias(of), F.col("h").alias(hashed)).distinct())
+    return docs.join(_small(hits), F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_anti")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
 
-from ._spans import same_rows, text_hash
+from ._spans import fresh, text_hash
 from .decontaminate import _small
 
 MIN_SITES = 10
@@ -58,16 +58,16 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = lines.select("id", "h", "line").join(_small(common), "line")
     first = hits.groupBy("line").agg(F.min(F.struct("id", "h")).alias("first"))
     drop = hits.join(_small(first.withColumnRenamed("line", "f_line")), F.col("line") == F.col("f_line")).where(~F.struct("id", "h").eqNullSafe(F.col("first")))
-    drop = materialize(drop.groupBy("id", "h").agg(F.collect_set("line").alias("drop_lines")).select(F.col("id").alias("drop_id"), F.col("h").alias("drop_h"), "drop_lines"))
+    mine = [c for c in docs.columns if c not in ("n_lines", "n_removed", "kept")]
+    d_id, d_h, key, gone, stay = (fresh(docs, x) for x in ("drop_id", "drop_h", "drop_key", "drop_lines", "stay"))
+    drop = materialize(drop.groupBy("id", "h").agg(F.collect_set("line").alias(gone)).select(F.col("id").alias(d_id), F.col("h").alias(d_h), gone))
     # a broadcast only if its lines were counted and are few
-    size = drop.agg(F.sum(F.size("drop_lines"))).first()[0] or 0
-    side = F.broadcast(drop) if size <= 1_000_000 else drop
-    joined = docs.select(*(F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed", "kept")), text_hash(text).alias("drop_key")).join(
-        side, F.col(id_col).eqNullSafe(F.col("drop_id")) & F.col("drop_key").eqNullSafe(F.col("drop_h")), "left")
+    size = drop.agg(F.sum(F.size(gone))).first()[0] or 0
+    joined = docs.select(*mine, text_hash(text).alias(key)).join(
+        F.broadcast(drop) if size <= 1_000_000 else drop, F.col(id_col).eqNullSafe(F.col(d_id)) & F.col(key).eqNullSafe(F.col(d_h)), "left")
     every = _lines(text)
-    stay = F.filter(every, lambda x: ~(x.rlike(NON_SPACE) & F.array_contains("drop_lines", F.xxhash64(x))))
-    out = joined.withColumn("stay", F.when(F.col("drop_lines").isNotNull(), stay)).withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(every)).cast("long"))
-    out = out.withColumn("n_removed", F.coalesce(F.col("n_lines") - F.size("stay"), F.lit(0)).cast("long"))
-    out = out.withColumn(text_col, F.when(F.col("stay").isNotNull(), F.array_join("stay", "\n")).otherwise(F.col(text_col)))
-    out = out.withColumn("kept", (F.col("n_removed") == 0) | F.col(text_col).rlike(NON_SPACE))
-    return out.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed", "kept")), "n_lines", "n_removed", "kept")
+    left = F.filter(every, lambda x: ~(x.rlike(NON_SPACE) & F.array_contains(gone, F.xxhash64(x))))
+    out = joined.withColumn(stay, F.when(F.col(gone).isNotNull(), left)).withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(every)).cast("long"))
+    out = out.withColumn("n_removed", F.coalesce(F.col("n_lines") - F.size(stay), F.lit(0)).cast("long"))
+    out = out.withColumn(text_col, F.when(F.col(stay).isNotNull(), F.array_join(stay, "\n")).otherwise(F.col(text_col)))
+    return out.withColumn("kept", (F.col("n_removed") == 0) | F.col(text_col).rlike(NON_SPACE)).select(*mine, "n_lines", "n_removed", "kept")

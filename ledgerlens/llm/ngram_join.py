@@ -203,10 +203,12 @@ def _keys_fn(size, threshold, buckets, common):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Links among the nodes that share a key of this bucket."""
+    """A spanning forest of the links among the nodes that share a key of this bucket."""
     col = lambda c, t: np.concatenate([T.from_planes(x.as_py(), t) for x in table[c]])
     a, b, _, _ = _star(col("keys", _U), col("nodes", np.int64))
     a, b = _distinct_pairs(np.concatenate((a, col("a", np.int64))), np.concatenate((b, col("b", np.int64))))
+    if len(a):
+        a, b = components(a, b)
     return pa.table({"a": a, "b": b})
 
 
@@ -323,7 +325,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     packed = base.select("text").mapInArrow(_keys_fn(size, threshold, buckets, common), _PACKED)
     pairs = packed.repartition(buckets, "p").groupBy("p").applyInArrow(_meet, "a long, b long")
-    cand = connected_components(pairs)
+    cand = connected_components(pairs, reduced=True)
     cand = materialize(cand.join(sets, "node"))
     n_cand, = cand.agg(F.count("*")).first()
     bitmap, bits = _bitmap(cand.select("node"), n_cand)
@@ -346,7 +348,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     linked = materialize(placed.groupBy("big", "grp", "i", "j").applyInArrow(_tile_fn(threshold), "a long, b long, links long"))
 
-    comps = connected_components(linked.where("a <> b"))
+    comps = connected_components(linked.where("a <> b"), reduced=True)
     links = linked.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("more"))
     named = sets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("sid").alias("component_id"))

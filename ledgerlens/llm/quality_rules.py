@@ -17,6 +17,8 @@ from pyspark.sql import Window
 
 from ledgerlens.session import materialize
 
+from ._spans import fresh, text_hash
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 NON_SPACE = "[^\\x20\\x09-\\x0D]"
 RULES = ("symbols", "dup_lines", "repeats", "upper", "same_words")
@@ -124,7 +126,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     are not read. No labels: only the base test rejects. No rows: no verdicts.
     """
     stratum = F.col(stratum_col).cast("string") if stratum_col else F.lit("all")
-    keep = {"id": F.col(id_col), "text_hash": F.when(F.col(text_col).isNotNull(), F.xxhash64(F.col(text_col).cast("string"))), "stratum": F.coalesce(F.concat(F.lit("="), stratum), F.lit("null"))}
+    keep = {"id": F.col(id_col), "text_hash": text_hash(F.col(text_col)), "stratum": F.coalesce(F.concat(F.lit("="), stratum), F.lit("null"))}
     rows = materialize(measures(docs, F.col(text_col), keep).withColumn("base_failed", base_failed()))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
     cutoffs = materialize(certified_cutoffs(rows.where("NOT base_failed").join(good, "id", "left_semi"), alpha, delta))
@@ -138,6 +140,6 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
     verdicts, _ = quality_verdicts(docs, labels, id_col, text_col, **kw)
-    keys = verdicts.where("kept").select(F.col(id_col).alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("kept_id")) & F.when(F.col(text_col).isNotNull(), F.xxhash64(F.col(text_col).cast("string"))).eqNullSafe(F.col("kept_hash"))
-    return docs.join(keys, same, "left_semi")
+    of, hashed = fresh(docs, "kept_id"), fresh(docs, "kept_hash")
+    keys = verdicts.where("kept").select(F.col(id_col).alias(of), F.col("text_hash").alias(hashed))
+    return docs.join(keys, F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_semi")

@@ -163,3 +163,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op7_knn_quality")
+def op7_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .knn_quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -60,7 +60,7 @@ def test_nulls_empty_long_repeats_and_other_columns(spark, monkeypatch, limit):
     docs = [(1, None), (2, ""), (3, item), (3, item), (3, "not the item"), (None, "x " * 4000 + item.upper() + " y" * 50), (4, "one two\nthree\tfour five six seven eight nine eleven"),
             (5, "É été " + item.replace(" ", "  ")), (6, "short one here")]
     items = [(1, item), (1, item), (2, None), (3, ""), (4, " \n"), (None, "short one"), (5, "été")]
-    check(spark.createDataFrame([(i, t, 1, "q", 2) for i, t in docs], "doc_id long, text string, item_id int, s string, x int"),
+    check(spark.createDataFrame([(i, t, 1, "q", 2) for i, t in docs], "doc_id long, text string, hit_id int, s string, hit_h int"),
           spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int"), docs, items)
 
 

@@ -31,11 +31,11 @@ def brute(rows, hashes, min_sites):
 
 
 def check(spark, rows, min_sites, extra=""):
-    df = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "doc_id long, source string, text string, line int, n_lines int, h string").repartition(3)
+    df = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "doc_id long, source string, text string, drop_id int, n_lines int, stay string").repartition(3)
     # the order of equal ids is by hash
     hashes = {r.text: r.h for r in df.select("text", L.text_hash(df.text).alias("h2")).withColumnRenamed("h2", "h").collect()}
     got = L.deduplicated(df, min_sites=min_sites)
-    assert got.columns == ["doc_id", "source", "text", "line", "h", "n_lines", "n_removed", "kept"]
+    assert got.columns == ["doc_id", "source", "text", "drop_id", "stay", "n_lines", "n_removed", "kept"]
     assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept, r.text) for r in got.collect()), key=str) == brute(rows, [hashes[t] for *_, t in rows], min_sites)
 
 

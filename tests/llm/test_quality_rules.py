@@ -47,7 +47,7 @@ def test_nulls_empty_long_texts_repeats_and_other_columns(spark):
     loop = "a b c d e f " * 4000
     rows = [(1, None), (2, ""), (3, " \t\n\x0b "), (4, "x y\n\nx y\n x y\nx y"), (5, loop), (5, loop), (None, "one two three four five six seven eight nine ten"),
             (6, "é b c d e f g h i j k #$%"), (7, "a b c d e a b c d e " + " ".join(map(str, range(60)))), (8, "l1 a\r\nl1 a\nl1 a\r")]
-    docs = spark.createDataFrame([(k, t, None, 1, 2) for k, t in rows], "doc_id long, text string, lang string, stratum int, n_words int")
+    docs = spark.createDataFrame([(k, t, None, 1, 2) for k, t in rows], "doc_id long, text string, lang string, kept_id int, n_words int")
     labels = spark.createDataFrame([(1, 1, 0), (5, None, 1), (5, 1, 0), (None, 1, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
     verdicts = check(docs, labels, rows)
     assert all(r.kept == (not r.base_failed) for r in verdicts.collect())
