@@ -26,10 +26,12 @@ def with_total(df: DataFrame, value: str, total_col: str = "total") -> DataFrame
 
 
 def with_group_total(df: DataFrame, by, value: str, total_col: str = "group_total") -> DataFrame:
-    """Attach per-group totals: aggregate then equi-join on the group key (skew-safe, unlike a window)."""
+    """Attach per-group totals: aggregate then equi-join on the group key (skew-safe, unlike a
+    window). Rows with a null group are a group of their own."""
+    from .joins import null_safe_join
+
     keys = _keys(by)
-    tot = df.groupBy(*keys).agg(F.sum(value).alias(total_col))
-    return df.join(tot, keys, "inner")
+    return null_safe_join(df, df.groupBy(*keys).agg(F.sum(value).alias(total_col)), keys)
 
 
 # D1
@@ -158,15 +160,16 @@ def series_profile(df: DataFrame, entity: str, period: str, value: str, periods:
     """Peak-period share and population CV per entity over a fixed period set.
 
     ``missing='zero'`` counts a missing period as 0 (entity x period frame from a cross join with
-    the small period table); ``'skip'`` uses present periods only.
+    the small period table); ``'skip'`` uses present periods only. Rows without an entity form an
+    entity of their own; a null period counts only if ``periods`` has it.
     """
-    from .joins import bounded
+    from .joins import bounded, null_safe_join
 
     v = df.groupBy(entity, period).agg(F.sum(value).alias("__v"))
     if missing == "zero":
         # the period list is a calendar: broadcast only after its size is checked
         frame = v.select(entity).distinct().crossJoin(bounded(periods.select(period), 100_000))
-        v = frame.join(v, [entity, period], "left").withColumn("__v", F.coalesce("__v", F.lit(0.0)))
+        v = null_safe_join(frame, v, [entity, period], "left").withColumn("__v", F.coalesce("__v", F.lit(0.0)))
     return v.groupBy(entity).agg(
         F.sum("__v").alias("total"),
         (safe_ratio(F.max("__v"), F.sum("__v")) * 100).alias("peak_share_pct"),

@@ -9,53 +9,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import safe_ratio
 
-# Largest side we hint for broadcast after a row-count check.
+# A side is hinted for broadcast only when its counted rows and bytes are within these bounds.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
-def _broadcast_bytes(df: DataFrame) -> int:
-    """The session's own broadcast bound (``spark.sql.autoBroadcastJoinThreshold``); -1 disables."""
-    try:
-        return int(str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower().rstrip("b"))
-    except ValueError:
-        return 10 * 1024 * 1024
-
-
-def _estimate(df: DataFrame) -> tuple[int | None, int | None]:
-    """(size in bytes, row count) from the optimizer's statistics, when it has them."""
-    try:
-        st = df._jdf.queryExecution().optimizedPlan().stats()
-
-        def as_int(x):
-            if x is None:
-                return None
-            if hasattr(x, "isDefined"):  # scala Option
-                return as_int(x.get()) if x.isDefined() else None
-            return int(str(x))
-
-        return as_int(st.sizeInBytes()), as_int(st.rowCount())
-    except Exception:
-        return None, None
+def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its real rows and bytes are few; otherwise leave the choice to AQE.
 
+    Rows are counted and their text widths summed by a probe that reads at most ``max_rows + 1``
+    rows. The optimizer's estimate is no proof (an exploded one-row frame is estimated at a few
+    bytes) and is not used. The hint changes the plan, never the result.
+    """
+    width = F.length(F.to_json(F.struct("*"))) if df.columns else F.lit(0)
+    n, size = df.limit(max_rows + 1).select(width.alias("w")).agg(F.count(F.lit(1)), F.sum("w")).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it is proven small; otherwise leave the choice to AQE.
 
-    Proof is either the optimizer's estimate (file or checkpoint sizes) within the session's
-    broadcast threshold, with no known row count above ``max_rows``, or a LIMIT probe that reads
-    at most ``max_rows + 1`` rows.
-    """
-    size, rows = _estimate(df)
-    limit = _broadcast_bytes(df)
-    if size is not None and 0 <= size <= limit and (rows is None or rows <= max_rows):
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def null_safe_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which a null key matches a null key; the keys come from the left side."""
+    keys = _keys(on)
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(r, cond, how).drop(*(f"__r_{k}" for k in keys))
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -166,27 +149,32 @@ def parse_ranges(taxonomy: DataFrame, text_col: str) -> DataFrame:
     return parts.withColumn("lo", lo).withColumn("hi", hi).drop("__part")
 
 
-def map_code_ranges(
-    df: DataFrame,
-    code_col: str,
-    taxonomy: DataFrame,
-    text_col: str,
-    max_codes: int = 100_000,
-) -> DataFrame:
-    """Code -> every taxonomy row whose range list contains it.
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges (lo, hi) of each row key (all other columns) with reversed ends swapped and
+    overlapping or touching-at-a-code ranges merged; rows without a readable range go."""
+    keys = [c for c in ranges.columns if c not in ("lo", "hi")]
+    r = ranges.where("lo IS NOT NULL AND hi IS NOT NULL").select(
+        *keys, F.least("lo", "hi").cast("long").alias("lo"), F.greatest("lo", "hi").cast("long").alias("hi"))
+    w = Window.partitionBy(*keys).orderBy("lo", "hi")
+    far = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    r = r.withColumn("__new", F.when(far >= F.col("lo"), 0).otherwise(1))
+    r = r.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return r.groupBy(*keys, "__island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("__island")
+
+
+def map_code_ranges(df: DataFrame, code_col: str, taxonomy: DataFrame, text_col: str, width: int = 1024) -> DataFrame:
+    """Code -> every taxonomy row whose range list contains it, once each.
 
-    The taxonomy is a parameter table. If its ranges span at most ``max_codes`` codes in total,
-    they are expanded to single codes and joined by equality (broadcast hash join, no per-row
-    range scan); otherwise a broadcast range join (nested loop on the small side) is used.
+    One plan at every size: the merged ranges are dealt to code buckets of ``width`` codes, rows
+    and ranges meet by equality on the bucket, and the range is checked exactly. Reversed ranges
+    count as swapped, overlapping ranges of one taxonomy row as one, fractional codes lie inside a
+    range like whole ones, null codes match nothing.
     """
-    ranges = parse_ranges(taxonomy, text_col).drop(text_col)
-    span = ranges.agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("n")).first()["n"] or 0
-    if span <= max_codes:
-        codes = ranges.withColumn("__code", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
-        codes = codes.dropDuplicates()
-        return df.join(F.broadcast(codes), df[code_col] == codes["__code"], "inner").drop("__code")
-    r = bounded(ranges)
-    return df.join(r, (df[code_col] >= r["lo"]) & (df[code_col] <= r["hi"]), "inner").drop("lo", "hi")
+    ranges = merged_ranges(parse_ranges(taxonomy, text_col).drop(text_col))
+    bucket = lambda c: F.floor(c / width)
+    r = ranges.withColumn("__bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))))
+    cond = (bucket(df[code_col]) == r["__bucket"]) & (df[code_col] >= r["lo"]) & (df[code_col] <= r["hi"])
+    return df.join(r, cond, "inner").drop("lo", "hi", "__bucket")
 
 
 def cross_scenarios(demand: DataFrame, scenarios: DataFrame, max_rows: int = 10_000) -> DataFrame:

@@ -127,8 +127,7 @@ def rank_by(df: DataFrame, value: str, partition_by=None, tiebreak: Sequence[str
     if not _keys(partition_by) and method in ("rank", "dense_rank") and dict(df.dtypes)[value] in (
         "int", "bigint", "double", "float", "smallint", "tinyint"
     ) or (not _keys(partition_by) and method in ("rank", "dense_rank") and dict(df.dtypes)[value].startswith("decimal")):
-        out = global_rank(df, value, out=method, ties="min" if method == "rank" else "dense", descending=True)
-        return out.withColumn(method, F.col(method).cast("int"))
+        return global_rank(df, value, out=method, ties="min" if method == "rank" else "dense", descending=True)
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
     w = Window.partitionBy(*_keys(partition_by)).orderBy(F.col(value).desc(), *[F.col(c) for c in tiebreak])
     return df.withColumn(method if method != "row_number" else "rn", fn().over(w))
@@ -147,7 +146,6 @@ def cum_share(
     tiebreak: Sequence[str] = (),
     base_total: float | None = None,
     buckets: int = 256,
-    method: str = "auto",
 ) -> DataFrame:
     """Cumulative share of the total, largest first: top-k hold x %.
 
@@ -156,22 +154,13 @@ def cum_share(
 
     No keyless window: rows are split into value buckets by approximate quantiles; a running
     sum inside each bucket plus the bucket offsets (a running sum over at most ``buckets`` rows)
-    give the exact running total and position. Null values come last. With ``method='auto'``
-    a table proven small by the optimizer's estimate uses one plain window.
+    give the exact running total and position. Null values come last.
     """
     v = F.col(value)
     if base_total is None:
         tot = df.agg(F.sum(value).alias("__tot"))
     else:
         tot = df.sparkSession.range(1).select(F.lit(float(base_total)).alias("__tot"))
-    if method == "window" or (method == "auto" and _proven_small(df)):
-        order = Window.orderBy(v.desc_nulls_last(), *[F.col(c) for c in tiebreak])
-        return (
-            df.crossJoin(F.broadcast(tot))
-            .withColumn("pos", F.row_number().over(order))
-            .withColumn("cum_share_pct", safe_ratio(F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.col("__tot")) * 100)
-            .drop("__tot")
-        )
     key = -v
     qs = [i / buckets for i in range(1, buckets)]
     bounds = df.where(v.isNotNull()).agg(F.percentile_approx(key, qs, 10_000).alias("__b"))
@@ -188,7 +177,7 @@ def cum_share(
     )
     j = run.join(F.broadcast(offsets), "__bk").crossJoin(F.broadcast(tot))
     return (
-        j.withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("int"))
+        j.withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("long"))
         .withColumn("cum_share_pct", safe_ratio(F.col("__s_off") + F.coalesce(F.col("__run"), F.lit(0)), F.col("__tot")) * 100)
         .drop("__bk", "__s_off", "__n_off", "__run", "__rn", "__tot")
     )
@@ -237,7 +226,7 @@ def flag_spikes(df: DataFrame, key, value: str, repeated: Column | None = None,
 
 
 def seq_number(
-    df: DataFrame, key, order, bucket: Column, out: str = "step", hot_rows: int = 1_000_000, sub_buckets: int = 64
+    df: DataFrame, key, order, bucket: Column, out: str = "step", hot_rows: int = 1_000_000, sub_buckets: int | None = None
 ) -> DataFrame:
     """1-based ordinal of each row inside its key by ``order`` (equal ``order`` tuples get
     consecutive numbers in an arbitrary but fixed order).
@@ -245,7 +234,8 @@ def seq_number(
     A window over a whole key would put a hot key in one task. Here the key is split by
     ``bucket`` (e.g. the month of ``order``). A (key, bucket) group that still holds more than
     ``hot_rows`` rows is split again into order-preserving sub-buckets at approximate quantiles
-    of the first ``order`` column. Those bounds come from a partial aggregate over the hot
+    of the first ``order`` column, as many as the largest group's counted rows call for. Null keys,
+    buckets and order values are values like others (nulls come first). Those bounds come from a partial aggregate over the hot
     groups only, and are broadcast back (their number is bounded by rows / ``hot_rows``). Rows
     per (key, bucket, sub-bucket) are counted, offsets come from a running sum over that small
     count table, and the ordinal is the row number inside the sub-bucket plus its offset.
@@ -253,7 +243,7 @@ def seq_number(
     (counts, ordinals), with hot groups twice more (bounds, sub-bucket counts), filtered.
     """
     from ..session import materialize
-    from .joins import bounded
+    from .joins import bounded, null_safe_join
 
     keys = _keys(key)
     ords = _keys(order)
@@ -266,24 +256,25 @@ def seq_number(
         b = b.withColumn("__s", F.lit(0))
         sub_counts = counts.withColumn("__s", F.lit(0))
     else:
-        qs = [i / sub_buckets for i in range(1, sub_buckets)]
+        most = counts.agg(F.max("__n")).first()[0]
+        parts = sub_buckets or min(10_000, max(2, -(-2 * most // hot_rows)))
+        qs = [i / parts for i in range(1, parts)]
         hot = bounded(hot, 1_000_000)
         bounds = materialize(
-            b.select(*grp, ords[0]).join(hot, grp, "left_semi")
+            null_safe_join(b.select(*grp, ords[0]), hot, grp, "left_semi")
             .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(ords[0], qs, 10_000)).alias("__q"))
         )
-        b = b.join(bounded(bounds, 1_000_000), grp, "left")
+        b = null_safe_join(b, bounded(bounds, 1_000_000), grp, "left")
         b = b.withColumn("__s", F.coalesce(F.size(F.filter(F.col("__q"), lambda x: x < F.col(ords[0]))), F.lit(0))).drop("__q")
-        hot_counts = b.join(hot, grp, "left_semi").groupBy(*grp, "__s").agg(F.count(F.lit(1)).alias("__n"))
-        cold_counts = counts.join(hot, grp, "left_anti").withColumn("__s", F.lit(0))
+        hot_counts = null_safe_join(b, hot, grp, "left_semi").groupBy(*grp, "__s").agg(F.count(F.lit(1)).alias("__n"))
+        cold_counts = null_safe_join(counts, hot, grp, "left_anti").withColumn("__s", F.lit(0))
         sub_counts = cold_counts.unionByName(hot_counts)
     part = [*grp, "__s"]
     wo = Window.partitionBy(*keys).orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sub_counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
     wi = Window.partitionBy(*part).orderBy(*ords)
     return (
-        b.withColumn("__rn", F.row_number().over(wi))
-        .join(offsets, part, "inner")
+        null_safe_join(b.withColumn("__rn", F.row_number().over(wi)), offsets, part)
         .withColumn(out, F.col("__rn") + F.col("__off"))
         .drop("__b", "__s", "__rn", "__off")
     )
@@ -314,22 +305,6 @@ def quadrant(share_a, share_b, cut_a: float, cut_b: float) -> Column:
     return F.concat(a, F.lit("_"), b)
 
 
-# Largest input ranked with one plain window (one task sorts at most this many rows).
-SMALL_ROWS = 100_000
-
-
-def _proven_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True when the input is proven to be small: the optimizer's size estimate is within the
-    broadcast threshold, or a LIMIT probe (reading at most ``max_rows + 1`` rows) finds no more
-    than ``max_rows`` rows."""
-    from .joins import _broadcast_bytes, _estimate
-
-    size, _ = _estimate(df)
-    if size is not None and 0 <= size <= _broadcast_bytes(df):
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def global_rank(
     df: DataFrame,
     value: str,
@@ -339,7 +314,6 @@ def global_rank(
     buckets: int = 256,
     accuracy: int = 10_000,
     weight: str | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """Rank of ``value`` over the whole table without a single-partition window.
 
@@ -356,22 +330,10 @@ def global_rank(
     4. A window per bucket over the distinct values gives the position inside it.
     5. The ranked distinct values join back to the rows on the value.
 
-    The result is exact; the quantiles only balance the buckets. With ``method='auto'`` an
-    input whose size the optimizer proves to be within the broadcast threshold is ranked with
-    one plain window; ``'buckets'`` and ``'window'`` force a path.
+    The result is exact; the quantiles only balance the buckets. Ranks are long (mean ranks double).
     """
     v = F.col(value)
     key = (-v) if descending else v
-    if method == "window" or (method == "auto" and weight is None and _proven_small(df)):
-        # a table proven small by the optimizer's estimate: one sort is cheaper than the buckets
-        order = Window.orderBy(key.asc_nulls_last())
-        if ties == "dense":
-            r = F.dense_rank().over(order)
-        elif ties == "mean":
-            r = F.rank().over(order) + (F.count(F.lit(1)).over(Window.partitionBy(v)) - 1) / 2.0
-        else:
-            r = F.rank().over(order)
-        return df.withColumn(out, F.when(v.isNotNull(), r))
     w = F.col(weight) if weight else F.lit(1)
     keyed = df.where(v.isNotNull()).select(v.alias("__v"), key.alias("__k"), w.alias("__w"))
     counts = keyed.groupBy("__v", "__k").agg(F.sum("__w").cast("long").alias("__n"))
@@ -398,22 +360,16 @@ def global_rank(
     else:
         rank = F.col("__row_off") + F.col("__before") + 1
     ranked = r.select(F.col("__v"), rank.alias(out))
-    return df.join(ranked, df[value].eqNullSafe(ranked["__v"]), "left").drop("__v")
+    return df.join(ranked, df[value] == ranked["__v"], "left").drop("__v")
 
 
 def value_ranks(
     df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False, buckets: int = 256,
-    method: str = "auto",
 ):
     """The (value, rank) table of ``global_rank``: one row per distinct non-null value."""
     d = df.select(value).where(F.col(value).isNotNull())
     counts = d.groupBy(value).agg(F.count(F.lit(1)).alias("__w"))
-    if method == "window" or (method == "auto" and _proven_small(df)):
-        order = Window.orderBy((-F.col(value)) if descending else F.col(value))
-        before = F.coalesce(F.sum("__w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        r = {"dense": F.row_number().over(order), "mean": before + (F.col("__w") + 1) / 2.0}.get(ties, before + 1)
-        return counts.select(value, r.alias(out))
-    return global_rank(counts, value, out, ties, descending, buckets, weight="__w", method="buckets").drop("__w")
+    return global_rank(counts, value, out, ties, descending, buckets, weight="__w").drop("__w")
 
 
 def order_by(df: DataFrame, value: str, key: str | None = None) -> DataFrame:

@@ -287,8 +287,8 @@ def q_years_used(spark, d):
 @register(
     "series_profile",
     f"""WITH {NY},
-yrs AS (SELECT DISTINCT yr FROM ny), ents AS (SELECT DISTINCT n_name FROM ny),
-frame AS (SELECT e.n_name, y.yr, coalesce(ny.revenue, 0) AS v FROM ents e CROSS JOIN yrs y LEFT JOIN ny ON ny.n_name = e.n_name AND ny.yr = y.yr)
+n2 AS (SELECT nullif(n_name, 'FRANCE') AS n_name, yr, revenue FROM ny), yrs AS (SELECT DISTINCT yr FROM ny), ents AS (SELECT DISTINCT n_name FROM n2),
+frame AS (SELECT e.n_name, y.yr, coalesce(n2.revenue, 0) AS v FROM ents e CROSS JOIN yrs y LEFT JOIN n2 ON n2.n_name IS NOT DISTINCT FROM e.n_name AND n2.yr = y.yr)
 SELECT n_name, {dec('sum(v)')} AS total, {dec('max(v) / nullif(sum(v), 0) * 100', 4)} AS peak_share_pct,
        {dec('CASE WHEN avg(v) <> 0 THEN stddev_pop(v) / avg(v) END', 4)} AS cv, CAST(count(v) AS BIGINT) AS n_periods
 FROM frame GROUP BY 1""",
@@ -297,6 +297,7 @@ FROM frame GROUP BY 1""",
 def q_series_profile(spark, d):
     ny = materialize(bind.rev_by_nation_year(Tables(spark, d)))
     periods = ny.select("yr").distinct()
+    ny = ny.withColumn("n_name", F.nullif("n_name", F.lit("FRANCE")))  # an entity without a name
     out = aggs.series_profile(ny, "n_name", "yr", "revenue", periods, missing="zero")
     return out.select(
         "n_name", F.col("total").cast("decimal(38,2)").alias("total"), F.col("peak_share_pct").cast("decimal(38,4)").alias("peak_share_pct"),
@@ -655,7 +656,7 @@ def q_cohort_two_dates(spark, d):
 @register(
     "share_in_group",
     f"""WITH {GEO},
-nv AS (SELECT g.r_name, g.n_name, sum(s.s_acctbal) AS v FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey GROUP BY 1, 2)
+nv AS (SELECT nullif(g.r_name, 'ASIA') AS r_name, g.n_name, sum(s.s_acctbal) AS v FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey GROUP BY 1, 2)
 SELECT r_name, n_name, {dec('v')} AS v, {dec('v / nullif(sum(v) OVER (PARTITION BY r_name), 0) * 100', 4)} AS share_in_group_pct FROM nv""",
     ids=("D36",),
 )
@@ -663,7 +664,7 @@ def q_share_in_group(spark, d):
     t = Tables(spark, d)
     nv = materialize(
         t("supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_acctbal").join(bind.geo(t), "n_nationkey")
-        .groupBy("r_name", "n_name").agg(F.sum("s_acctbal").alias("v"))
+        .groupBy(F.nullif("r_name", F.lit("ASIA")).alias("r_name"), "n_name").agg(F.sum("s_acctbal").alias("v"))  # a group without a name
     )
     out = aggs.share_in_group(nv, "r_name", "v")
     return out.select("r_name", "n_name", F.col("v").cast("decimal(38,2)"), F.col("share_in_group_pct").cast("decimal(38,4)"))

@@ -108,13 +108,14 @@ def q_nation_panel(spark, d):
     )
 
 
-# Fixed values of the test binding: size-code ranges per sector, written as text.
-CODE_TAXONOMY = [("S1", "1-10"), ("S2", "11, 13-20"), ("S3", "12"), ("S4", "21-50")]
+# Fixed values of the test binding: size-code ranges per sector, written as text; S5's overlap and
+# touch, S6's is reversed, S7's cannot be read.
+CODE_TAXONOMY = [("S1", "1-10"), ("S2", "11, 13-20"), ("S3", "12"), ("S4", "21-50"), ("S5", "1-10, 5-8, 8-14"), ("S6", "38-31"), ("S7", "n/a")]
 
 
 @register(
     "code_range_join",
-    """WITH r AS (SELECT * FROM (VALUES ('S1', 1, 10), ('S2', 11, 11), ('S2', 13, 20), ('S3', 12, 12), ('S4', 21, 50)) AS v(sector, lo, hi))
+    """WITH r AS (SELECT * FROM (VALUES ('S1', 1, 10), ('S2', 11, 11), ('S2', 13, 20), ('S3', 12, 12), ('S4', 21, 50), ('S5', 1, 14), ('S6', 31, 38)) AS v(sector, lo, hi))
 SELECT r.sector, CAST(count(*) AS BIGINT) AS n, CAST(sum(p.p_size) AS BIGINT) AS size_sum FROM part p JOIN r ON p.p_size BETWEEN r.lo AND r.hi GROUP BY 1""",
     ids=("C7",),
 )

@@ -78,13 +78,38 @@ def test_asof_matches_brute_force(spark):
         assert got[fid] == brute.get(fid), fid
 
 
-def test_code_ranges_equi_and_range_paths_agree(spark):
-    p = spark.read.parquet(f"{SF_SMALL}/part.parquet")
-    tax = spark.createDataFrame([("S1", "1-10"), ("S2", "11, 13-20"), ("S3", "12"), ("S4", "21-50")], "sector string, codes string")
-    a = joins.map_code_ranges(p, "p_size", tax, "codes", max_codes=10_000).select("p_partkey", "sector")
-    b = joins.map_code_ranges(p, "p_size", tax, "codes", max_codes=0).select("p_partkey", "sector")
-    assert rows(a) == rows(b)
-    assert a.count() == p.count()
+def test_code_ranges_any_bucket_width_and_awkward_ranges(spark):
+    """Overlapping, reversed, single, unreadable ranges; fractional, negative and null codes."""
+    tax = [("A", "1-10, 5-8"), ("B", "38-31"), ("C", "12"), ("D", "x, 7"), ("E", ""), ("F", "10-20, 20-30")]
+    spans = {"A": [(1, 10)], "B": [(31, 38)], "C": [(12, 12)], "D": [(7, 7)], "F": [(10, 30)]}
+    codes = [(i, c) for i, c in enumerate([6.0, 35.0, 1.0, 10.0, 10.5, 12.0, 12.5, 38.0, 38.1, 20.0, None, -3.0])]
+    df = spark.createDataFrame(codes, "id int, code double")
+    want = sorted((i, k) for i, c in codes for k, rs in spans.items() if c is not None and any(lo <= c <= hi for lo, hi in rs))
+    for width in (1, 7, 1024):
+        got = joins.map_code_ranges(df, "code", spark.createDataFrame(tax, "sector string, codes string"), "codes", width=width)
+        assert sorted((r.id, r.sector) for r in got.collect()) == want
+
+
+def test_bounded_counts_rows_not_estimates(spark):
+    """A frame that the optimizer takes for a few bytes is not broadcast if its rows are many."""
+    big = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(50_000))).alias("x"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert not hinted(joins.bounded(big, max_rows=10_000))
+    assert not hinted(joins.bounded(big.withColumn("s", F.lit("y" * 100)), max_bytes=1_000_000))
+    assert hinted(joins.bounded(big, max_rows=60_000))
+
+
+def test_null_keys_and_dates_stay(spark):
+    rows_in = [(1, None, "2024-01-01"), (2, None, None), (3, "a", None), (4, "a", "2023-05-05"), (5, "a", "2024-05-05"), (6, None, None)]
+    df = spark.createDataFrame(rows_in, "id int, k string, d string").withColumn("d", F.to_timestamp("d"))
+    for kw in ({}, {"hot_rows": 1, "sub_buckets": 4}):
+        got = windows.seq_number(df, "k", ["d", "id"], F.date_trunc("year", "d"), **kw)
+        assert {r.id: r.step for r in got.collect()} == {2: 1, 6: 2, 1: 3, 3: 1, 4: 2, 5: 3}
+    v = spark.createDataFrame([(None, 1.0), (None, 3.0), ("g", 4.0)], "g string, v double")
+    assert sorted((str(r.g), r.p) for r in aggs.share_in_group(v, "g", "v", "p").collect()) == [("None", 25.0), ("None", 75.0), ("g", 100.0)]
+    s = spark.createDataFrame([(None, 2024, 7.0), ("e", 2023, 1.0)], "e string, y int, v double")
+    prof = aggs.series_profile(s, "e", "y", "v", spark.createDataFrame([(2023,), (2024,)], "y int"))
+    assert {(r.e, r.total, r.n_periods) for r in prof.collect()} == {(None, 7.0, 2), ("e", 1.0, 2)}
 
 
 def test_seq_number_equals_row_number(spark):
@@ -159,10 +184,10 @@ def test_global_rank_matches_window_rank(spark):
         ("dense", F.dense_rank().over(Window.orderBy("l_quantity"))),
         ("mean", F.rank().over(Window.orderBy("l_quantity")) + (F.count(F.lit(1)).over(Window.partitionBy("l_quantity")) - 1) / 2.0),
     ]:
-        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8, method="buckets").select("rid", "r")
+        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8).select("rid", "r")
         want = keyed.withColumn("r", ref.cast("double")).select("rid", "r")
         assert rows(got.withColumn("r", F.col("r").cast("double"))) == rows(want)
-    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8, method="buckets")
+    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8)
     top = desc.where("r = 1").agg(F.min("l_quantity")).first()[0]
     assert top == keyed.agg(F.max("l_quantity")).first()[0]
 
@@ -246,9 +271,7 @@ def test_json_tree_strategies_agree(spark):
 def test_cum_share_matches_running_window(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     per = o.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), -4).alias("v"))  # many ties
-    got = windows.cum_share(per, "v", ["o_custkey"], buckets=8, method="buckets").select("o_custkey", "pos", F.round("cum_share_pct", 9))
-    small = windows.cum_share(per, "v", ["o_custkey"], method="window").select("o_custkey", "pos", F.round("cum_share_pct", 9))
-    assert rows(got) == rows(small)
+    got = windows.cum_share(per, "v", ["o_custkey"], buckets=8).select("o_custkey", "pos", F.round("cum_share_pct", 9))
     w = Window.orderBy(F.col("v").desc(), "o_custkey")
     tot = per.agg(F.sum("v")).first()[0]
     ref = per.select(
@@ -262,9 +285,10 @@ def test_rank_paths_agree(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_discount")
     keyed = li.withColumn("rid", F.monotonically_increasing_id())
     for ties in ("min", "dense", "mean"):
-        a = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, buckets=4, method="buckets").select("rid", F.col("r").cast("double"))
-        b = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, method="window").select("rid", F.col("r").cast("double"))
-        assert rows(a) == rows(b)
-        va = windows.value_ranks(keyed, "l_discount", "r", ties=ties, buckets=4, method="buckets").select("l_discount", F.col("r").cast("double"))
-        vb = windows.value_ranks(keyed, "l_discount", "r", ties=ties, method="window").select("l_discount", F.col("r").cast("double"))
-        assert rows(va) == rows(vb)
+        a = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, buckets=4).select("rid", F.col("r").cast("double"))
+        w = Window.orderBy(F.col("l_discount").desc())
+        r = {"min": F.rank().over(w), "dense": F.dense_rank().over(w), "mean": F.rank().over(w) + (F.count("*").over(Window.partitionBy("l_discount")) - 1) / 2}[ties]
+        assert rows(a) == rows(keyed.select("rid", r.cast("double").alias("r")))
+        va = windows.value_ranks(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double"))
+        up = windows.global_rank(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double")).distinct()
+        assert rows(va) == rows(up)
