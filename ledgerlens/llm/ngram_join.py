@@ -209,6 +209,7 @@ def _meet(table: pa.Table) -> pa.Table:
     a, b = _distinct_pairs(np.concatenate((a, col("a", np.int64))), np.concatenate((b, col("b", np.int64))))
     if len(a):
         a, b = components(a, b)
+        a, b = a[a != b], b[a != b]
     return pa.table({"a": a, "b": b})
 
 
