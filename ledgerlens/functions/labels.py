@@ -25,15 +25,24 @@ def literal_map(m: Mapping[str, object]) -> Column:
     return F.create_map(*items)
 
 
+# Unicode blanks too: a no-break space is a blank
+BLANKS = r"(?U)\s+"
+
+
 def collapse_blanks(c) -> Column:
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(_col(c), BLANKS, " "))
+
+
+def capital(w) -> Column:
+    """First letter upper case, all others lower case (a blank inside starts no new word)."""
+    return F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 2147483647)))
 
 
 def title_words(c) -> Column:
     """Title case per blank-separated word; the word 'and' stays lower case."""
     words = F.split(c, " ")
     return F.array_join(
-        F.transform(words, lambda w: F.when(F.lower(w) == "and", F.lit("and")).otherwise(F.initcap(w))),
+        F.transform(words, lambda w: F.when(F.lower(w) == "and", F.lit("and")).otherwise(capital(w))),
         " ",
     )
 
@@ -42,7 +51,7 @@ def canon_key(c) -> Column:
     """Trim, collapse blanks, strip dots at both ends, '&' -> 'and' (before alias lookup)."""
     k = collapse_blanks(c)
     k = F.regexp_replace(k, r"^\.+|\.+$", "")
-    k = F.regexp_replace(k, r"\s*&\s*", " and ")
+    k = F.regexp_replace(k, r"(?U)\s*&\s*", " and ")
     return collapse_blanks(k)
 
 
@@ -78,7 +87,7 @@ def humanize(c, acronyms: Mapping[str, str] | None = None) -> Column:
     amap = literal_map(DEFAULT_ACRONYMS if acronyms is None else {k.lower(): v for k, v in acronyms.items()})
     words = F.split(F.replace(_col(c).cast("string"), F.lit("-"), F.lit("_")), "_")
     return F.array_join(
-        F.transform(words, lambda w: F.coalesce(F.try_element_at(amap, F.lower(w)), F.initcap(w))), " "
+        F.transform(words, lambda w: F.coalesce(F.try_element_at(amap, F.lower(w)), capital(w))), " "
     )
 
 

@@ -1,14 +1,16 @@
-"""Scalar column expressions (H3-H20). Built-in functions only, except the optional
-Arrow-batched fallback for rare HTML entities."""
+"""Scalar column expressions (H3-H20), built-in functions only."""
 
 from __future__ import annotations
 
+import functools
+import html
+import html.entities
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labels import _col, literal_map
+from .labels import _col, collapse_blanks, literal_map
 
 # ---------------------------------------------------------------------------
 # H3 one-cell text
@@ -55,50 +57,44 @@ def _cut(s: Column, max_len: int) -> Column:
 # H4 HTML clean-up
 # ---------------------------------------------------------------------------
 
-# The named entities decoded on the JVM path, in replacement order ('&amp;' last).
-NAMED_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-]
+_ENTITY = "&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
-def unescape_common(c) -> Column:
-    out = _col(c)
-    for ent, ch in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+@functools.cache
+def _entity_names() -> dict[str, str]:
+    """Named entities of HTML 5 without their semicolon, from the standard library."""
+    return {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
 
 
-def clean_html(c, rare_entities: bool = False) -> Column:
-    """Decode entities and collapse blanks (H4).
+@functools.cache
+def _windows_codes() -> dict[int, str]:
+    """Numeric entities 128-159 stand for Windows-1252 characters."""
+    return {i: html.unescape(f"&#{i};") for i in range(128, 160)}
 
-    The common entities are decoded by nested ``replace`` on the JVM. With ``rare_entities`` the
-    full HTML5 table is applied by an Arrow-batched pandas UDF, for text that needs it.
-    """
-    c = _col(c)
-    if rare_entities:
-        decoded = F.when(c.rlike("&[#A-Za-z0-9]+;"), _html_unescape_udf()(c)).otherwise(c)
-    else:
-        decoded = unescape_common(c)
-    return F.trim(F.regexp_replace(decoded, r"\s+", " "))
 
+def _entity_text(e: Column) -> Column:
+    """The text of one entity's inside ('amp', '#8217', '#x2019'); an unknown name stays as written."""
+    digits = F.regexp_extract(e, "^#[xX]?([0-9A-Fa-f]+)$", 1)
+    code = F.when(e.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    numeric = F.when(bad, F.lit("\ufffd")).when(code.between(128, 159), F.try_element_at(literal_map(_windows_codes()), code)).otherwise(char)
+    named = F.coalesce(F.try_element_at(literal_map(_entity_names()), e), F.concat(F.lit("&"), e, F.lit(";")))
+    return F.when(e.startswith("#"), numeric).otherwise(named)
 
-def _html_unescape_udf():
-    import html
 
-    import pandas as pd
+def unescape(c) -> Column:
+    """Numeric and named HTML entities decoded in one pass (what an entity yields is not read again)."""
+    c = _col(c)
+    between = F.split(c, _ENTITY, -1)
+    texts = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), 1), _entity_text)
+    joined = F.array_join(F.zip_with(between, texts, lambda b, t: F.concat(b, F.coalesce(t, F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
 
-    def _unescape(s):
-        return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
 
-    # real type objects: this module's annotations are strings (postponed evaluation)
-    _unescape.__annotations__ = {"s": pd.Series, "return": pd.Series}
-    return F.pandas_udf(_unescape, "string")
+def clean_html(c) -> Column:
+    """Decode entities and collapse blanks, no-break spaces included (H4)."""
+    return collapse_blanks(unescape(c))
 
 
 # ---------------------------------------------------------------------------
@@ -116,45 +112,45 @@ def extract_ids(c, pattern: str = r"(\d{6,7})", group: int = 1) -> Column:
 # ---------------------------------------------------------------------------
 
 # Multipliers of amount suffixes into the canonical unit of their currency
-# (Rupee amounts in crore, dollar amounts in million).
-AMOUNT_SUFFIX = {
-    "cr": 1.0,
-    "crore": 1.0,
-    "lakh cr": 100000.0,
-    "lakh crore": 100000.0,
-    "mn": 1.0,
-    "million": 1.0,
-    "bn": 1000.0,
-    "billion": 1000.0,
-    "": 1.0,
+# (rupee amounts in crore, dollar amounts in million).
+INR_SUFFIX = {
+    "": 1.0, "lakh": 0.01, "cr": 1.0, "crore": 1.0, "lakh cr": 1e5, "lakh crore": 1e5, "mn": 0.1, "million": 0.1, "bn": 100.0,
+    "billion": 100.0, "tn": 1e5, "trillion": 1e5,
+}
+USD_SUFFIX = {
+    "": 1.0, "mn": 1.0, "million": 1.0, "bn": 1000.0, "billion": 1000.0, "tn": 1e6, "trillion": 1e6, "lakh": 0.1, "cr": 10.0,
+    "crore": 10.0, "lakh cr": 1e6, "lakh crore": 1e6,
 }
-_AMOUNT_RE = r"^\s*([+-]?)\s*(Rs\.?|₹|\$|USD|INR)?\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh crore|lakh cr|crore|cr|million|mn|billion|bn|%)?"
+_AMOUNT_RE = (
+    r"(?iU)^\s*([-+\u2212]?)\s*(Rs\.?|\u20b9|INR|\$|USD)?\s*([-+\u2212]?)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*([a-z]+(?:\s+[a-z]+)?|%)?\.?\s*$"
+)
 
 
 def parse_amount(c) -> Column:
     """Amount text -> struct(value double, unit string) (H6).
 
-    'Rs 1,45,980cr' -> (145980, 'INR_cr'); '₹1.97 lakh cr' -> (197000, 'INR_cr');
-    '$776.0bn' -> (776000, 'USD_mn'); '+21.2%' -> (21.2, 'pct'). Unparsable -> null value.
+    'Rs 1,45,980cr' -> (145980, 'INR_cr'); '₹1.97 Lakh Crore' -> (197000, 'INR_cr');
+    '$776.0bn' -> (776000, 'USD_mn'); '+21.2%' -> (21.2, 'pct'). Case does not matter, either minus
+    sign may stand before or after the currency, and the whole text must be an amount: an unknown
+    suffix or further words give nulls. Without a currency a rupee or dollar suffix tells it.
     """
     c = _col(c)
-    sign = F.regexp_extract(c, _AMOUNT_RE, 1)
-    cur = F.regexp_extract(c, _AMOUNT_RE, 2)
-    num = F.regexp_replace(F.regexp_extract(c, _AMOUNT_RE, 3), ",", "")
-    suf = F.lower(F.regexp_extract(c, _AMOUNT_RE, 4))
-    base = F.nullif(num, F.lit("")).try_cast("double")
-    mult = F.coalesce(F.try_element_at(literal_map(AMOUNT_SUFFIX), suf), F.lit(1.0))
-    value = F.when(suf == "%", base).otherwise(base * mult)
-    value = F.when(sign == "-", -value).otherwise(value)
-    unit = (
-        F.when(suf == "%", F.lit("pct"))
-        .when(cur.isin("$", "USD"), F.lit("USD_mn"))
-        .when(cur != "", F.lit("INR_cr"))
-        .when(suf.isin("cr", "crore", "lakh cr", "lakh crore"), F.lit("INR_cr"))
-        .when(suf.isin("mn", "million", "bn", "billion"), F.lit("USD_mn"))
-        .otherwise(F.lit(None).cast("string"))
+    part = lambda i: F.regexp_extract(c, _AMOUNT_RE, i)
+    cur, suf = F.lower(part(2)), collapse_blanks(F.lower(part(5)))
+    base = F.nullif(F.regexp_replace(part(4), ",", ""), F.lit("")).try_cast("double")
+    rupees = cur.isin("rs", "rs.", "\u20b9", "inr") | ((cur == "") & suf.isin("lakh", "cr", "crore", "lakh cr", "lakh crore"))
+    dollars = cur.isin("$", "usd") | ((cur == "") & suf.isin("mn", "million", "bn", "billion", "tn", "trillion"))
+    mult = (
+        F.when(suf == "%", F.lit(1.0))
+        .when(rupees, F.try_element_at(literal_map(INR_SUFFIX), suf))
+        .when(dollars, F.try_element_at(literal_map(USD_SUFFIX), suf))
+        .when(suf == "", F.lit(1.0))
     )
-    return F.struct(value.alias("value"), unit.alias("unit"))
+    minus = part(1).isin("-", "\u2212") != part(3).isin("-", "\u2212")
+    value = base * mult
+    value = F.when(minus, -value).otherwise(value)
+    unit = F.when(value.isNull(), F.lit(None)).when(suf == "%", F.lit("pct")).when(dollars, F.lit("USD_mn")).when(rupees, F.lit("INR_cr"))
+    return F.struct(value.alias("value"), unit.cast("string").alias("unit"))
 
 
 # Conversion factors into the base unit of each dimension

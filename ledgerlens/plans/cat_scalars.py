@@ -102,6 +102,22 @@ def q_parse_amount(spark, d):
     return o.select("o_orderkey", parsed["value"].cast("decimal(38,2)").alias("value"), parsed["unit"].alias("unit"))
 
 
+@register(
+    "parse_amount_spellings",
+    f"""WITH x AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) AS p, o_orderkey % 8 AS k FROM orders)
+SELECT o_orderkey, {dec("CASE k WHEN 0 THEN p * 100000 WHEN 1 THEN -p * 1000 WHEN 2 THEN -p * 1000000 WHEN 3 THEN p * 0.01 WHEN 4 THEN p WHEN 7 THEN p END", 4)} AS value,
+       CASE WHEN k IN (0, 3, 7) THEN 'INR_cr' WHEN k IN (1, 2, 4) THEN 'USD_mn' END AS unit FROM x""",
+    ids=("H6",),
+)
+def q_parse_amount_spellings(spark, d):
+    """Capitals, both minus signs before and after the currency, no currency, unknown suffixes, other words."""
+    o = Tables(spark, d)("orders")
+    forms = ["₹%s Lakh Crore", "−$%sbn", " $-%s Trillion ", "INR %s LAKH", "usd %s million", "%s zorkmid", "about Rs %s crore", "%s\u00a0Crore."]
+    form = F.element_at(F.array(*(F.lit(x) for x in forms)), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    parsed = scalars.parse_amount(F.replace(form, F.lit("%s"), F.format_string("%.2f", F.col("o_totalprice"))))
+    return o.select("o_orderkey", parsed["value"].cast("decimal(38,4)").alias("value"), parsed["unit"].alias("unit"))
+
+
 # Fixed values of the test binding: the unit each zone reports its land stock in.
 ZONE_UNITS = {"AFRICA": "ha", "AMERICA": "sq_km", "ASIA": "acre", "EUROPE": "sq_m", "MIDDLE EAST": "ha"}
 

@@ -117,28 +117,46 @@ def q_page_links_dated(spark, d):
     )
 
 
-DATED_ITEM_RE = r"<a href='/item\?Id=(\d+)'[^>]*>([^<]*)</a><span class='posted'>Posted on:\s*([^<]+)</span>"
+# the layout of the dated listing that the query below writes
+DATED_ITEM_RE = r'<article data-no="([0-9]+)">\s*<h4>([^<]*)</h4>\s*<time>([^<]*)</time>'
 
 
 @register(
     "dated_listing",
-    """SELECT o_orderkey AS page_id, CAST(1 AS INTEGER) AS ordinal, o_orderkey AS item_id, o_orderpriority AS title,
+    """SELECT o_orderkey AS page_id, CAST(1 AS INTEGER) AS ordinal, o_orderkey AS item_id, o_orderpriority || ' – ' || o_orderstatus || '’s' AS title,
        CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date
 FROM orders""",
     ids=("A6", "H9"),
 )
 def q_dated_listing(spark, d):
     o = Tables(spark, d)("orders")
-    posted = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit("not yet")).otherwise(
+    day = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit("not yet")).otherwise(
         F.upper(F.date_format("o_orderdate", "d MMM yyyy"))
     )
-    # one listing snippet per order (a saved page row), in the second listing layout
-    html = F.concat(
-        F.lit("<li><a href='/item?Id="), F.col("o_orderkey").cast("string"), F.lit("' class='x'>"), F.col("o_orderpriority"),
-        F.lit("</a><span class='posted'>Posted on: "), posted, F.lit("</span></li>"),
-    )
-    snippets = o.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
-    return pages.extract_dated_listing(snippets, "html", DATED_ITEM_RE)
+    # one saved snippet per order
+    html = F.format_string('<article data-no="%d"> <h4>%s &ndash; %s&#8217;s </h4><time>%s</time></article>', "o_orderkey", "o_orderpriority", "o_orderstatus", day)
+    return pages.extract_dated_listing(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")), "html", DATED_ITEM_RE)
+
+
+GROUP_LINK_RE = r"<a href='([^']*)'>([^<]*)</a>"
+
+
+@register(
+    "page_groups",
+    """SELECT o_custkey AS page_id, CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate)) AS INTEGER) AS section_no,
+       'Year ' || year(o_orderdate) || ' – customer’s' AS header, CAST(row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) AS INTEGER) AS ordinal,
+       '/o/' || o_orderkey AS target, o_orderpriority || ' é &amp; ' || o_orderstatus AS text FROM orders""",
+    ids=("A5", "H4"),
+)
+def q_page_groups(spark, d):
+    """A saved page per customer, a header per year, a link per order; headers and texts hold entities and no-break spaces."""
+    o = Tables(spark, d)("orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_orderkey", "o_orderpriority", "o_orderstatus")
+    link = F.format_string("<a href='/o/%d'>%s &eacute; &amp;amp; %s</a>", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    per_year = o.groupBy("o_custkey", "yr").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", link.alias("a")))).alias("links"))
+    section = F.concat(F.format_string("<h3> Year&nbsp; %d &ndash;\u00a0customer&#8217;s</h3><p>", "yr"), F.array_join(F.col("links.a"), "<br>"))
+    per_page = per_year.select("o_custkey", "yr", section.alias("s")).groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("yr", "s"))).alias("all"))
+    saved = per_page.select(F.col("o_custkey").alias("page_id"), F.concat(F.lit("<html><a href='/top'>top</a>"), F.array_join(F.col("all.s"), "</p>")).alias("html"))
+    return pages.extract_listing(saved, "html", GROUP_LINK_RE).select("page_id", "section_no", "header", "ordinal", "target", "text")
 
 
 TITLE_RES = [r"<title>([^<]{5,})</title>", r"<h1[^>]*>([^<]{5,})</h1>"]

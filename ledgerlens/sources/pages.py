@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clean_html, unescape_common
+from ..functions.scalars import clean_html, unescape
 
 
 def extract_listing(
@@ -37,7 +37,7 @@ def extract_listing(
     # the header is unescaped and blank-collapsed; the link text is unescaped and trimmed only
     return rows.select(
         *id_cols, "section_no", "header", (F.col("pos") + 1).alias("ordinal"), F.col("link.target").alias("target"),
-        F.trim(unescape_common(F.col("link.text"))).alias("text"),
+        F.trim(unescape(F.col("link.text"))).alias("text"),
     )
 
 
@@ -71,6 +71,6 @@ def extract_dated_listing(
         *id_cols,
         (F.col("pos") + 1).alias("ordinal"),
         F.col("it.item_id").try_cast("long").alias("item_id"),
-        F.trim(unescape_common(F.col("it.title"))).alias("title"),
+        F.trim(unescape(F.col("it.title"))).alias("title"),
         parse_date(F.col("it.date_text"), date_formats).alias("date"),
     )

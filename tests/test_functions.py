@@ -61,8 +61,29 @@ def test_band_classify_status(spark):
 def test_clean_html_paths(spark):
     got = col1(spark, ["  a &amp; b&nbsp;&lt;c&gt;  ", "&eacute;t&#233;"], scalars.clean_html)
     assert got[0] == "a & b <c>"
-    rare = col1(spark, ["&eacute;t&#233; &amp; x"], lambda c: scalars.clean_html(c, rare_entities=True))
-    assert rare == ["été & x"]
+    assert got[1] == "été"
+
+
+def test_unescape_agrees_with_the_standard_library(spark):
+    import html
+
+    texts = ["&amp;lt; &lt; &amp;amp;", "India&#8217;s &ndash; &#x1F600; &#128; &#0; &#xD800; &#1114112;", "no entity", "", "&unknown; & &;", "&hellip;&nbsp;x&euro;&Eacute;", "&#39;&apos;&quot;&gt;"]
+    got = col1(spark, texts, scalars.unescape)
+    assert got == [html.unescape(t) for t in texts]
+
+
+def test_labels_with_unicode_and_inner_blanks(spark):
+    assert col1(spark, ["jammu\u00a0&\u00a0KASHMIR", "\u00a0 andaman  and nicobar. "], labels.canon_label) == ["Jammu and Kashmir", "Andaman and Nicobar"]
+    assert col1(spark, ["foo bar_baz", "a__b"], labels.humanize) == ["Foo bar Baz", "A  B"]
+
+
+def test_parse_amount_spellings(spark):
+    cases = {"Rs. 5 Lakh Crore": (500000.0, "INR_cr"), "$4 trillion": (4e6, "USD_mn"), "₹500 lakh": (5.0, "INR_cr"), "−$333.2bn": (-333200.0, "USD_mn"), "$-5bn": (-5000.0, "USD_mn"),
+             "USD 2 MILLION": (2.0, "USD_mn"), "7 quintal": (None, None), "5 crore people": (None, None), "-3%": (-3.0, "pct"), "12": (12.0, None), "₹ 3 bn": (300.0, "INR_cr"), "": (None, None)}
+    got = col1(spark, list(cases), scalars.parse_amount)
+    for text, r in zip(cases, got):
+        want = cases[text]
+        assert r.unit == want[1] and (r.value is None) == (want[0] is None) and (want[0] is None or abs(r.value - want[0]) < 1e-9 * abs(want[0])), (text, r)
 
 
 def test_safe_ratio_keeps_tiny_shares(spark):
