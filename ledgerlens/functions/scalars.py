@@ -275,12 +275,6 @@ def melt_map(df: DataFrame, map_col: str, key_name: str = "key", value_name: str
     return df.select(*others, F.explode_outer(map_col).alias(key_name, value_name))
 
 
-def explode_table(df: DataFrame, array_col: str) -> DataFrame:
-    """Array of structs -> one row per element with the struct fields as columns."""
-    others = [c for c in df.columns if c != array_col]
-    return df.select(*others, F.inline_outer(array_col))
-
-
 def json_shape(c) -> Column:
     """'object_list' | 'scalar_list' | 'list' | 'object' | 'scalar' | 'null' of a JSON text.
 
@@ -290,25 +284,17 @@ def json_shape(c) -> Column:
     is parsed once."""
     c = _col(c)
     head = F.substring(F.ltrim(c), 1, 1)
-    arr = F.from_json(c, "array<variant>")
-    types = F.transform(arr, lambda e: F.schema_of_variant(e))
-    all_obj = F.forall(types, lambda t: t.startswith("OBJECT"))
-    all_scalar = F.forall(types, lambda t: ~t.startswith("OBJECT") & ~t.startswith("ARRAY"))
-    as_list = (
-        F.when(arr.isNull(), F.lit("null"))
-        .when(F.size(arr) == 0, F.lit("list"))
-        .when(all_obj, F.lit("object_list"))
-        .when(all_scalar, F.lit("scalar_list"))
-        .otherwise(F.lit("list"))
-    )
-    v = F.try_parse_json(c)
-    return (
-        F.when(c.isNull(), F.lit("null"))
-        .when(head == "[", as_list)
-        .when(v.isNull() | F.is_variant_null(v), F.lit("null"))
-        .when(head == "{", F.lit("object"))
-        .otherwise(F.lit("scalar"))
+    # the kinds that a list holds, as sorted letters: o(bject), l(ist), s(calar)
+    kinds = F.transform(
+        F.from_json(c, "array<variant>"),
+        lambda e: F.coalesce(F.try_element_at(literal_map({"OBJ": "o", "ARR": "l"}), F.substring(F.schema_of_variant(e), 1, 3)), F.lit("s")),
     )
+    code = F.array_join(F.array_sort(F.array_distinct(kinds)), "")
+    shapes = {"o": "object_list", "s": "scalar_list", "": "list", "l": "list", "lo": "list", "ls": "list", "los": "list", "os": "list"}
+    as_list = F.coalesce(F.try_element_at(literal_map(shapes), code), F.lit("null"))
+    as_other = F.coalesce(
+        F.when(F.schema_of_variant(F.try_parse_json(c)) != "VOID", F.when(head == "{", F.lit("object")).otherwise(F.lit("scalar"))), F.lit("null"))
+    return F.when(head == "[", as_list).otherwise(as_other)
 
 
 def coalesce_keys(json_col, paths: Sequence[str]) -> Column:

@@ -74,12 +74,9 @@ def domain_filter(df: DataFrame, col: str, keep: Sequence | None = None, drop: S
     return out
 
 
-RESERVED = ("purpose", "retrieved", "method")
-
-
-def drop_reserved(df: DataFrame, reserved: Sequence[str] = RESERVED) -> DataFrame:
-    """Metadata columns do not become sections."""
-    return df.drop(*[c for c in reserved if c in df.columns])
+def drop_reserved(entries: Column, reserved: Sequence[str]) -> Column:
+    """Metadata keys do not become sections (B10): an array of entries without those of ``reserved``."""
+    return F.filter(entries, lambda e: e["key"].isNull() | ~e["key"].isin(list(reserved)))
 
 
 def siteable(df: DataFrame, flag: str) -> DataFrame:

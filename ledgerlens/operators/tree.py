@@ -1,9 +1,10 @@
-"""Generic JSON walk (J1): any JSON text -> long table of nodes with a character budget.
+"""Generic JSON walk (J1, H16): any JSON text -> long table of nodes, or of table cells.
 
-The walk is level by level with built-in JSON functions: an object is read as
-``map<string,string>`` (nested values stay JSON text, keys keep their order), an array as
-``array<string>``. Each level is one projection + explode, so the whole walk is
-``max_depth`` narrow stages; nothing is collected and no Python runs per row.
+The walk is level by level with built-in JSON functions inside each row: an object is read as
+``map<string,string>`` (keys keep their order, nested values stay JSON text) beside
+``map<string,variant>`` (which tells the values' types), an array likewise. A document's nodes stay
+in one array, in which a container is replaced in place by itself and its children, so there is no
+shuffle and pre-order holds; one explode at the end gives the rows.
 """
 
 from __future__ import annotations
@@ -12,166 +13,125 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import humanize
+from ..functions.scalars import to_cell
+from .filters import drop_reserved
 
+RESERVED_KEYS = ("purpose", "retrieved", "method")
+MARKER = "… (truncated)"
+_NODE = "array<struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,kind:string,open:boolean>>"
 
-def _kind(c: Column) -> Column:
-    t = F.ltrim(c)
-    return (
-        F.when(c.isNull(), F.lit("null"))
-        .when(t.startswith("{"), F.lit("object"))
-        .when(t.startswith("["), F.lit("array"))
-        .otherwise(F.lit("scalar"))
-    )
 
+def _node(pos_path, path, depth, key, raw, kind, is_open) -> Column:
+    return F.struct(pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"), kind.alias("kind"), is_open.alias("open"))
 
-RESERVED_KEYS = ("purpose", "retrieved", "method")
+
+def _kind(v: Column) -> Column:
+    """Kind of a variant value; a missing one is null. A string is a scalar whatever it looks like."""
+    s = F.schema_of_variant(v)
+    return F.coalesce(F.when(s.startswith("OBJECT"), F.lit("object")).when(s.startswith("ARRAY"), F.lit("array")).when(s != "VOID", F.lit("scalar")), F.lit("null"))
+
+
+def entries(raw: Column) -> Column:
+    """array<struct<key, raw, kind>> of an object's members, or of an array's items (with a null key)."""
+    members = F.zip_with(F.map_entries(F.from_json(raw, "map<string,string>")), F.map_values(F.from_json(raw, "map<string,variant>")),
+                         lambda e, v: F.struct(e["key"].alias("key"), e["value"].alias("raw"), _kind(v).alias("kind")))
+    items = F.zip_with(F.from_json(raw, "array<string>"), F.from_json(raw, "array<variant>"),
+                       lambda x, v: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw"), _kind(v).alias("kind")))
+    return F.when(F.ltrim(raw).startswith("{"), members).otherwise(items)
+
+
+def json_depth(c: Column) -> Column:
+    """How deep a JSON text's containers are nested (strings do not count)."""
+    bare = F.regexp_replace(c, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    step = lambda a, x: F.struct(
+        (a["now"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("now"), F.greatest(a["most"], a["now"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("most"))
+    return F.coalesce(F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"]), F.lit(0))
+
+
+def _walked(df: DataFrame, id_col: str, json_col: str, max_depth: int | None, reserved: tuple[str, ...]) -> DataFrame:
+    """(id, nodes) with all nodes of each document in pre-order, the root first."""
+    levels = max_depth if max_depth is not None else (df.agg(F.max(json_depth(F.col(json_col)))).first()[0] or 0)
+    raw = F.col(json_col)
+    kind = F.when(F.ltrim(raw).startswith("{"), F.lit("object")).when(F.ltrim(raw).startswith("["), F.lit("array")).otherwise(F.lit("scalar"))
+    root = _node(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), raw, kind, kind != "scalar")
+    cur = df.select(F.col(id_col).alias("id"), F.array(root).cast(_NODE).alias("nodes"))
+
+    def expand(level):
+        def one(n):
+            kids = entries(n["raw"])
+            if reserved and level == 0:
+                kids = drop_reserved(kids, reserved)
+
+            def child(e, i):
+                path = F.concat(n["path"], F.coalesce(F.concat(F.lit("."), e["key"]), F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
+                return _node(F.concat(n["pos_path"], F.array(i)), path, n["depth"] + 1, e["key"], e["raw"], e["kind"], e["kind"].isin("object", "array"))
+
+            done = F.array(_node(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], n["kind"], F.lit(False)))
+            return F.when(n["open"], F.concat(done, F.coalesce(F.transform(kids, child), F.array().cast(_NODE)))).otherwise(F.array(n))
+
+        return one
+
+    for level in range(levels):
+        cur = cur.select("id", F.flatten(F.transform("nodes", expand(level))).alias("nodes"))
+    return cur
 
 
 def json_tree(
     df: DataFrame,
     id_col: str,
     json_col: str,
-    max_depth: int = 4,
+    max_depth: int | None = None,
     max_chars: int | None = None,
     reserved: tuple[str, ...] = RESERVED_KEYS,
-    strategy: str = "rows",
+    item_chars: int = 220,
 ) -> DataFrame:
-    """Nodes of each JSON document in walk order.
+    """Nodes of each JSON document in walk order.
 
     Columns: id, pos_path (array<int>, sorts in pre-order), path, depth, key, kind, text.
     ``text`` is 'Key: value' for a scalar under an object, 'Key' for a container, the value for
-    an array element. With ``max_chars`` the walk stops once the running text length per
-    document has reached the budget (running sum over the document's own nodes). Top-level keys
-    in ``reserved`` (document metadata) are not walked at all (B10).
-
-    One chain of ``max_depth`` generators: at each level a pending container is replaced by
-    itself (finished) followed by its children; finished nodes pass through unchanged. Every
-    node is parsed once, and no level is recomputed for the next one.
+    an array element, cut to ``item_chars``. The walk goes as deep as the deepest document (one
+    scan finds that out) or to ``max_depth``. With ``max_chars`` it stops once the running text
+    length of a document has reached the budget; a document cut that way ends with a node of kind
+    'marker'. Top-level keys in ``reserved`` (document metadata) are not walked at all (B10).
     """
-    if strategy == "in_row":
-        return _json_tree_in_row(df, id_col, json_col, max_depth, max_chars, reserved)
-    node_t = "struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,done:boolean>"
-
-    def mk(pos_path, path, depth, key, raw, done):
-        return F.struct(
-            pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"),
-            done.alias("done"),
-        )
-
-    root = mk(
-        F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), F.col(json_col), F.lit(False)
-    )
-    cur = df.select(F.col(id_col).alias("id"), root.alias("n"))
-    for _ in range(max_depth):
-        n = F.col("n")
-        kind = _kind(n["raw"])
-        finished = F.array(mk(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], F.lit(True)))
-        entries = F.map_entries(F.from_json(n["raw"], "map<string,string>"))
-        if reserved:
-            top = n["depth"] == 0
-            entries = F.filter(entries, lambda e: ~(top & e["key"].isin(list(reserved))))
-        obj_kids = F.transform(
-            entries,
-            lambda e, i: mk(
-                F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("."), e["key"]), n["depth"] + 1, e["key"],
-                e["value"], F.lit(False),
-            ),
-        )
-        arr_kids = F.transform(
-            F.from_json(n["raw"], "array<string>"),
-            lambda x, i: mk(
-                F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
-                n["depth"] + 1, F.lit(None).cast("string"), x, F.lit(False),
-            ),
-        )
-        expanded = (
-            F.when(n["done"], F.array(n))
-            .when(kind == "object", F.concat(finished, F.coalesce(obj_kids, F.array().cast(f"array<{node_t}>"))))
-            .when(kind == "array", F.concat(finished, F.coalesce(arr_kids, F.array().cast(f"array<{node_t}>"))))
-            .otherwise(finished)
-        )
-        cur = cur.select("id", F.explode(expanded).alias("n"))
-    out = cur.select("id", "n.pos_path", "n.path", "n.depth", "n.key", "n.raw").where(F.col("depth") > 0)
-    out = out.withColumn("kind", _kind(F.col("raw")))
-    label = humanize(F.col("key"))
-    text = (
-        F.when(F.col("key").isNull(), F.col("raw"))
-        .when(F.col("kind").isin("object", "array"), label)
-        .otherwise(F.concat(label, F.lit(": "), F.coalesce(F.col("raw"), F.lit("null"))))
-    )
-    out = out.withColumn("text", text).drop("raw")
-    if max_chars is not None:
-        w = Window.partitionBy("id").orderBy("pos_path").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum(F.char_length("text")).over(w), F.lit(0))
-        out = out.withColumn("__before", before).where(F.col("__before") < max_chars).drop("__before")
-    return out
-
-
-_NODE_T = "struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,done:boolean>"
-
-
-def _mk(pos_path, path, depth, key, raw, done) -> Column:
-    return F.struct(
-        pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"),
-        done.alias("done"),
-    )
-
-
-def _expand(n, reserved) -> Column:
-    kind = _kind(n["raw"])
-    finished = F.array(_mk(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], F.lit(True)))
-    empty = F.array().cast(f"array<{_NODE_T}>")
-    entries = F.map_entries(F.from_json(n["raw"], "map<string,string>"))
-    if reserved:
-        top = n["depth"] == 0
-        entries = F.filter(entries, lambda e: ~(top & e["key"].isin(list(reserved))))
-    obj = F.transform(entries, lambda e, i: _mk(
-        F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("."), e["key"]), n["depth"] + 1, e["key"],
-        e["value"], F.lit(False)))
-    arr = F.transform(F.from_json(n["raw"], "array<string>"), lambda x, i: _mk(
-        F.concat(n["pos_path"], F.array(i)), F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
-        n["depth"] + 1, F.lit(None).cast("string"), x, F.lit(False)))
-    return (
-        F.when(n["done"], F.array(n))
-        .when(kind == "object", F.concat(finished, F.coalesce(obj, empty)))
-        .when(kind == "array", F.concat(finished, F.coalesce(arr, empty)))
-        .otherwise(finished)
-    )
-
-
-def _json_tree_in_row(df, id_col, json_col, max_depth, max_chars, reserved) -> DataFrame:
-    """Shuffle-free walk: each document's nodes stay in one array (pre-order is kept because a
-    container is replaced in place by itself and its children), the budget is one ``aggregate``
-    over that array, and a single explode emits the rows."""
-    root = _mk(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), F.col(json_col), F.lit(False))
-    cur = df.select(F.col(id_col).alias("id"), F.array(root).alias("nodes"))
-    for _ in range(max_depth):
-        cur = cur.select("id", F.flatten(F.transform("nodes", lambda n: _expand(n, reserved))).alias("nodes"))
 
     def with_text(n):
-        kind = _kind(n["raw"])
         label = humanize(n["key"])
         text = (
-            F.when(n["key"].isNull(), n["raw"])
-            .when(kind.isin("object", "array"), label)
+            F.when(n["key"].isNull(), F.coalesce(n["raw"], F.lit("null")))
+            .when(n["kind"].isin("object", "array"), label)
             .otherwise(F.concat(label, F.lit(": "), F.coalesce(n["raw"], F.lit("null"))))
         )
-        return F.struct(
-            n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"),
-            kind.alias("kind"), text.alias("text"),
-        )
+        return F.struct(n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"), n["kind"].alias("kind"), to_cell(text, item_chars).alias("text"))
 
-    nodes = F.transform(F.filter("nodes", lambda n: n["depth"] > 0), with_text)
-    cur = cur.select("id", nodes.alias("nodes"))
+    cur = _walked(df, id_col, json_col, max_depth, reserved)
+    cur = cur.select("id", F.transform(F.filter("nodes", lambda n: n["depth"] > 0), with_text).alias("nodes"))
     if max_chars is not None:
-        keep = F.aggregate(
+        count = F.aggregate(
             "nodes",
             F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).alias("k")),
-            lambda acc, n: F.struct(
-                (acc["s"] + F.char_length(n["text"])).alias("s"),
-                (acc["k"] + F.when(acc["s"] < max_chars, 1).otherwise(0)).alias("k"),
-            ),
-            lambda acc: acc["k"],
+            lambda acc, n: F.struct((acc["s"] + F.char_length(n["text"])).alias("s"), (acc["k"] + F.when(acc["s"] < max_chars, 1).otherwise(0)).alias("k")),
         )
-        cur = cur.select("id", F.slice("nodes", 1, keep).alias("nodes"))
+        cur = cur.select("id", "nodes", count.alias("c"))
+        marker = F.array(F.struct(F.array(F.lit(2147483647)).alias("pos_path"), F.lit("$").alias("path"), F.lit(1).alias("depth"), F.lit(None).cast("string").alias("key"), F.lit("marker").alias("kind"), F.lit(MARKER).alias("text")))
+        kept = F.slice("nodes", F.lit(1), F.col("c.k"))
+        cur = cur.select("id", F.when(F.col("c.s") >= max_chars, F.concat(kept, marker)).otherwise(F.col("nodes")).alias("nodes"))
     return cur.select("id", F.inline("nodes"))
+
+
+def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280, reserved: tuple[str, ...] = RESERVED_KEYS) -> DataFrame:
+    """Every list of objects as a table (H16): id, path, row_no, col_no, column, cell.
+
+    The columns are the union of the objects' keys in first-seen order, with humanized names; a key
+    that an object lacks gives an empty cell; a nested value gives its JSON text, cut."""
+    nodes = _walked(df, id_col, json_col, None, reserved).select("id", F.inline("nodes")).where("kind = 'array'").select("id", "path", entries(F.col("raw")).alias("items"))
+    lists = nodes.where((F.size("items") > 0) & F.forall("items", lambda e: e["kind"] == "object"))
+    rows = lists.select("id", "path", F.posexplode("items").alias("row_no", "item"))
+    cells = rows.select("id", "path", "row_no", F.posexplode(entries(F.col("item.raw"))).alias("pos", "e")).select("id", "path", "row_no", "pos", "e.key", "e.raw")
+    first = cells.groupBy("id", "path", "key").agg(F.min(F.struct("row_no", "pos")).alias("first"))
+    order = Window.partitionBy("id", "path").orderBy("first")  # over one table's columns
+    cols = first.select("id", "path", "key", (F.row_number().over(order) - 1).alias("col_no"))
+    frame = rows.select("id", "path", "row_no").join(cols, ["id", "path"])
+    full = frame.join(cells.drop("pos"), ["id", "path", "row_no", "key"], "left")
+    return full.select("id", "path", "row_no", "col_no", humanize(F.col("key")).alias("column"), to_cell("raw", cell_chars).alias("cell"))

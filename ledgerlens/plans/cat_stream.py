@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.tree import json_tree
+from ..operators.tree import json_tables, json_tree
 from ..sources.bulletins import scratch_path
 from ..streaming import register_stream as rs
 from .registry import Tables, register
@@ -99,30 +99,57 @@ def q_late_revision(spark, d):
     return ledger.select("o_orderkey", "o_orderstatus", "old_value", "old_version")
 
 
-@register(
-    "json_tree",
-    """WITH n AS (
-  SELECT event_id AS id, unnest([
-    {'o': 1, 'pos_path': [0], 'path': '$.event_type', 'depth': 1, 'key': 'event_type', 'kind': 'scalar', 'text': 'Event Type: ' || event_type},
-    {'o': 2, 'pos_path': [1], 'path': '$.value_usd', 'depth': 1, 'key': 'value_usd', 'kind': 'scalar', 'text': 'Value USD: ' || CAST(value AS VARCHAR)},
-    {'o': 3, 'pos_path': [2], 'path': '$.props', 'depth': 1, 'key': 'props', 'kind': 'object', 'text': 'Props'},
-    {'o': 4, 'pos_path': [2, 0], 'path': '$.props.k', 'depth': 2, 'key': 'k', 'kind': 'scalar', 'text': 'K: ' || json_extract_string(props, '$.k')},
-    {'o': 5, 'pos_path': [3], 'path': '$.ids', 'depth': 1, 'key': 'ids', 'kind': 'array', 'text': 'Ids'},
-    {'o': 6, 'pos_path': [3, 0], 'path': '$.ids[0]', 'depth': 2, 'key': NULL, 'kind': 'scalar', 'text': CAST(user_id AS VARCHAR)},
-    {'o': 7, 'pos_path': [3, 1], 'path': '$.ids[1]', 'depth': 2, 'key': NULL, 'kind': 'scalar', 'text': CAST(event_id AS VARCHAR)}
-  ]) AS r FROM events),
-b AS (SELECT id, r.*, coalesce(sum(length(r.text)) OVER (PARTITION BY id ORDER BY r.o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
-SELECT id, CAST(pos_path AS INTEGER[]) AS pos_path, path, CAST(depth AS INTEGER) AS depth, key, kind, text FROM b WHERE before < 60""",
-    ids=("J1", "H3", "B10"),
-)
-def q_json_tree(spark, d):
+# a document per event: text that looks like JSON, nested values, a list, metadata, a list of objects
+_NODES = [  # (pos_path, path, depth, key, kind, text) of the document, as DuckDB expressions
+    ("[0]", "$.event_type", 1, "event_type", "scalar", "'Event Type: [' || event_type || '] {x'"),
+    ("[1]", "$.value_usd", 1, "value_usd", "scalar", "'Value USD: ' || CAST(value AS VARCHAR)"),
+    ("[2]", "$.props", 1, "props", "object", "'Props'"),
+    ("[2, 0]", "$.props.k", 2, "k", "scalar", "'K: ' || json_extract_string(props, '$.k')"),
+    ("[3]", "$.ids", 1, "ids", "array", "'Ids'"),
+    ("[3, 0]", "$.ids[0]", 2, None, "scalar", "CAST(user_id AS VARCHAR)"),
+    ("[3, 1]", "$.ids[1]", 2, None, "scalar", "CAST(event_id AS VARCHAR)"),
+    ("[4]", "$.rows", 1, "rows", "array", "'Rows'"),
+    ("[4, 0]", "$.rows[0]", 2, None, "object", "'{\"user\":' || user_id || ',\"type\":\"' || event_type || '\"}'"),
+    ("[4, 0, 0]", "$.rows[0].user", 3, "user", "scalar", "'User: ' || user_id"),
+    ("[4, 0, 1]", "$.rows[0].type", 3, "type", "scalar", "'Type: ' || event_type"),
+    ("[4, 1]", "$.rows[1]", 2, None, "object", "'{\"note\":[[' || event_id || ']]}'"),
+    ("[4, 1, 0]", "$.rows[1].note", 3, "note", "array", "'Note'"),
+    ("[4, 1, 0, 0]", "$.rows[1].note[0]", 4, None, "array", "'[' || event_id || ']'"),
+    ("[4, 1, 0, 0, 0]", "$.rows[1].note[0][0]", 5, None, "scalar", "CAST(event_id AS VARCHAR)"),
+]
+_BUDGET = 150
+
+
+def _nodes_sql() -> str:
+    q = lambda x: "NULL" if x is None else f"'{x}'"
+    rows = ",\n".join(f"{{'o': {i}, 'pos_path': {p}, 'path': '{path}', 'depth': {d}, 'key': {q(k)}, 'kind': '{kind}', 'text': {t}}}" for i, (p, path, d, k, kind, t) in enumerate(_NODES))
+    return f"""WITH n AS (SELECT event_id AS id, unnest([{rows}]) AS r FROM events),
+b AS (SELECT id, r.*, coalesce(sum(length(r.text)) OVER (PARTITION BY id ORDER BY r.o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(length(r.text)) OVER (PARTITION BY id) AS whole FROM n)
+SELECT id, CAST(pos_path AS INTEGER[]) AS pos_path, path, CAST(depth AS INTEGER) AS depth, key, kind, text FROM b WHERE before < {_BUDGET}
+UNION ALL SELECT DISTINCT id, [2147483647], '$', 1, NULL, 'marker', '… (truncated)' FROM b WHERE whole >= {_BUDGET}"""
+
+
+def _event_docs(spark, d):
     e = Tables(spark, d)("events")
-    doc = F.to_json(
-        F.struct(
-            F.col("event_type").alias("event_type"),
-            F.col("value").alias("value_usd"),
-            F.from_json("props", "map<string,int>").alias("props"),
-            F.array(F.col("user_id"), F.col("event_id")).alias("ids"),
-        )
+    rows = F.concat(F.lit('[{"user":'), F.col("user_id"), F.lit(',"type":"'), F.col("event_type"), F.lit('"},{"note":[['), F.col("event_id"), F.lit("]]}]"))
+    doc = F.concat(
+        F.lit('{"event_type":"['), F.col("event_type"), F.lit('] {x","value_usd":'), F.col("value").cast("string"), F.lit(',"purpose":{"x":[1]},"props":'), F.col("props"), F.lit(',"ids":['),
+        F.col("user_id"), F.lit(","), F.col("event_id"), F.lit('],"rows":'), rows, F.lit("}"),
     )
-    return json_tree(e.select("event_id", doc.alias("doc")), "event_id", "doc", max_depth=3, max_chars=60)
+    return e.select("event_id", doc.alias("doc"))
+
+
+@register("json_tree", _nodes_sql(), ids=("J1", "H3", "B10"))
+def q_json_tree(spark, d):
+    return json_tree(_event_docs(spark, d), "event_id", "doc", max_chars=_BUDGET)
+
+
+@register(
+    "json_tables",
+    """WITH f AS (SELECT event_id AS id, r AS row_no, c.col_no, c.column FROM events, range(2) AS r(r), (VALUES (0, 'User'), (1, 'Type'), (2, 'Note')) AS c(col_no, "column"))
+SELECT f.id, '$.rows' AS path, CAST(row_no AS INTEGER) AS row_no, col_no, f.column, CASE WHEN row_no = 0 AND col_no = 0 THEN CAST(e.user_id AS VARCHAR) WHEN row_no = 0 AND col_no = 1 THEN e.event_type
+       WHEN row_no = 1 AND col_no = 2 THEN '[[' || e.event_id || ']]' ELSE '' END AS cell FROM f JOIN events e ON e.event_id = f.id""",
+    ids=("H16", "J1"),
+)
+def q_json_tables(spark, d):
+    return json_tables(_event_docs(spark, d), "event_id", "doc")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerlens.operators import aggs, filters, joins, quality, windows
-from ledgerlens.operators.tree import json_tree
+from ledgerlens.operators.tree import json_tables, json_tree
 from ledgerlens.sources import bulletins, pages
 
 
@@ -132,7 +132,7 @@ def test_json_tree_budget(spark):
     assert {r.path for r in full.collect()} == {"$.a", "$.b", "$.b.c", "$.b.d", "$.b.d[0]", "$.b.d[1]", "$.e"}
     cut = json_tree(df, "id", "j", max_depth=4, max_chars=12).orderBy("pos_path").collect()
     # a node is emitted while the text before it is under budget: 0, 4, 5, 9, 10, 11 < 12
-    assert [r.text for r in cut] == ["A: 1", "B", "C: x", "D", "1", "2"]
+    assert [r.text for r in cut] == ["A: 1", "B", "C: x", "D", "1", "2", "… (truncated)"]
 
 
 def test_gates(spark):
@@ -257,15 +257,26 @@ def test_snapshots_are_immutable(spark, tmp_path):
     assert counts == {"2026-01-01": o.count(), "2026-02-01": 10}
 
 
-def test_json_tree_strategies_agree(spark):
-    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    doc = F.to_json(F.struct("event_type", "value", F.from_json("props", "map<string,int>").alias("props"),
-                             F.array("user_id", "event_id").alias("ids"), F.lit("meta").alias("purpose")))
-    src = e.select("event_id", doc.alias("j"))
-    a = json_tree(src, "event_id", "j", max_depth=3, max_chars=40).select("id", "path", "depth", "kind", "text")
-    b = json_tree(src, "event_id", "j", max_depth=3, max_chars=40, strategy="in_row").select("id", "path", "depth", "kind", "text")
-    assert rows(a) == rows(b)
-    assert a.where("path = '$.purpose'").count() == 0
+def test_json_tree_keeps_strings_depth_and_order(spark):
+    doc = {"z": "[Draft] steel note", "a": "{x} y", "n": None, "s": "null", "deep": {"a": {"b": {"c": {"d": [[1, '"[{']]}}}}, "e": [], "o": {}, "f": 1.5, "t": True, "long": "w " * 200}
+    df = spark.createDataFrame([(1, json.dumps(doc)), (2, "[]"), (3, "not json"), (4, None), (5, '"{"')], "id int, j string")
+    got = {(r.id, r.path): (r.kind, r.text) for r in json_tree(df, "id", "j").collect()}
+    assert {i for i, _ in got} == {1}
+    assert got[1, "$.z"] == ("scalar", "Z: [Draft] steel note") and got[1, "$.a"] == ("scalar", "A: {x} y")
+    assert got[1, "$.n"] == ("null", "N: null") and got[1, "$.s"] == ("scalar", "S: null")
+    assert got[1, "$.deep.a.b.c.d[0][0]"] == ("scalar", "1") and got[1, "$.deep.a.b.c.d[0][1]"] == ("scalar", '"[{')
+    assert got[1, "$.e"] == ("array", "E") and got[1, "$.o"] == ("object", "O")
+    assert len(got[1, "$.long"][1]) <= 220 and got[1, "$.long"][1].endswith("…")
+    order = [r.path for r in json_tree(df, "id", "j").where("depth = 1").orderBy("pos_path").collect()]
+    assert order == ["$." + k for k in doc]
+
+
+def test_json_tables_have_the_union_of_keys(spark):
+    doc = {"rows": [{"b": 1, "a_x": "[q]"}, {"c": None, "b": {"k": 1}}], "scalars": [1, 2], "mixed": [{"a": 1}, 2], "in": {"t": [{"z": 1}]}, "none": []}
+    df = spark.createDataFrame([(7, json.dumps(doc))], "id int, j string")
+    got = sorted((r.path, r.row_no, r.col_no, r.column, r.cell) for r in json_tables(df, "id", "j").collect())
+    assert got == [("$.in.t", 0, 0, "Z", "1"), ("$.rows", 0, 0, "B", "1"), ("$.rows", 0, 1, "A X", "[q]"), ("$.rows", 0, 2, "C", ""),
+                   ("$.rows", 1, 0, "B", '{"k":1}'), ("$.rows", 1, 1, "A X", ""), ("$.rows", 1, 2, "C", "")]
 
 
 def test_cum_share_matches_running_window(spark):
