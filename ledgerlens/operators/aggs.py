@@ -35,9 +35,10 @@ def with_group_total(df: DataFrame, by, value: str, total_col: str = "group_tota
 
 
 # D1
-def sum_by(df: DataFrame, key, value: str, out: str | None = None) -> DataFrame:
-    """Sum by canonical key; null amounts count as 0 once a row exists."""
-    return df.groupBy(*_keys(key)).agg(F.sum(F.coalesce(F.col(value), F.lit(0.0))).alias(out or value))
+def sum_by(df: DataFrame, key, value: str, out: str | None = None, count: str | None = None) -> DataFrame:
+    """Sum by canonical key, and the number of rows as ``count``; null amounts count as 0."""
+    sums = [F.sum(F.coalesce(F.col(value), F.lit(0.0))).alias(out or value)]
+    return df.groupBy(*_keys(key)).agg(*sums, *([F.count(F.lit(1)).alias(count)] if count else []))
 
 
 # D2
@@ -139,14 +140,11 @@ def transition_matrix(df: DataFrame, old: str, new: str) -> DataFrame:
 
 
 def scoreboard(df: DataFrame, cls: str, member: str, sep: str = ", ") -> DataFrame:
-    """Count and sorted member list per class.
+    """Number and sorted list of the distinct members per class.
 
-    Note: the member list of one class is materialised in one row; use it for report-sized classes.
-    """
-    return df.groupBy(cls).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_join(F.array_sort(F.collect_list(F.col(member).cast("string"))), sep).alias("members"),
-    )
+    Members are made distinct before they are listed, so a list is as long as the member domain."""
+    d = df.select(cls, F.col(member).cast("string").alias("__m")).where(F.col("__m").isNotNull()).distinct()
+    return d.groupBy(cls).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("__m")), sep).alias("members"))
 
 
 def used_values(df: DataFrame, c: str, sep: str = ",") -> DataFrame:
@@ -181,13 +179,21 @@ def series_profile(df: DataFrame, entity: str, period: str, value: str, periods:
 # D17 / D18 / D19
 def ledger_total(df: DataFrame, value: str, flag: str) -> DataFrame:
     """Total of all layers and of the flagged ('ready') layers."""
-    return df.agg(F.sum(value).alias("total"), F.sum(F.when(F.col(flag), F.col(value))).alias("ready_total"))
+    from .filters import siteable
 
+    ready = siteable(df, flag).agg(F.sum(value).alias("ready_total"))
+    return df.agg(F.sum(value).alias("total")).crossJoin(F.broadcast(ready))  # one row each
 
-def sum_positive(df: DataFrame, value: str, by=None) -> DataFrame:
-    """Sum of positive parts; negatives clipped to 0 first."""
-    agg = F.sum(F.greatest(F.col(value), F.lit(0))).alias(f"{value}_positive")
-    return df.groupBy(*_keys(by)).agg(agg) if by else df.agg(agg)
+
+def sum_positive(df: DataFrame, value, by=None, net: bool = False) -> DataFrame:
+    """Sum of positive parts of one or more columns; negatives clipped to 0 first (D18). ``net``
+    adds the plain sums."""
+    sums = []
+    for v in _keys(value):
+        sums.append(F.sum(F.greatest(F.col(v), F.lit(0))).alias(f"{v}_positive"))
+        if net:
+            sums.append(F.sum(v).alias(f"{v}_net"))
+    return df.groupBy(*_keys(by)).agg(*sums) if by else df.agg(*sums)
 
 
 def bucket_mean_ratio(df: DataFrame, bucket: str, num: str, den: str) -> DataFrame:
@@ -232,12 +238,17 @@ def launch_mix(df: DataFrame, year: str, instrument: str, amount: str, flag: str
     )
 
 
-def quarter_digest(df: DataFrame, by, text: str, order: str, sep: str = "; ") -> DataFrame:
-    """Ordered text list per period (D23). Ordering inside the group is explicit."""
-    return df.groupBy(*_keys(by)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.listagg(F.col(text), F.lit(sep)).withinGroup(F.col(order), F.col(text)).alias("digest"),
-    )
+def quarter_digest(df: DataFrame, by, text: str, order, bucket: Column, sep: str = "; ", per_line: int = 100) -> DataFrame:
+    """Ordered text list per period, whole, in numbered lines of ``per_line`` entries.
+
+    Ordinals come from ``seq_number`` (hot periods are split by ``bucket``), so no task and no row
+    holds a whole period."""
+    from .windows import seq_number
+
+    keys = _keys(by)
+    rows = seq_number(df, keys, order, bucket, "__i").withColumn("line", F.floor((F.col("__i") - 1) / per_line) + 1)
+    lines = rows.groupBy(*keys, "line").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("__i", F.col(text).cast("string").alias("t")))).alias("__l"))
+    return lines.select(*keys, "line", "n", F.array_join(F.col("__l.t"), sep).alias("digest"))
 
 
 def check_grand_total(df: DataFrame, key: str, value: str, total_label: str, tol: float = 0.005) -> DataFrame:
@@ -336,11 +347,16 @@ def whole_from_share(part, share_pct) -> Column:
     return safe_ratio(part, F.col(share_pct) / 100.0 if isinstance(share_pct, str) else share_pct / 100.0)
 
 
-def cohort_counts(df: DataFrame, date_a: str, date_b: str) -> DataFrame:
-    """Counts per year on two time bases, full-joined on the year."""
-    a = df.groupBy(F.year(date_a).alias("year")).agg(F.count(F.lit(1)).alias(f"n_by_{date_a}"))
-    b = df.groupBy(F.year(date_b).alias("year")).agg(F.count(F.lit(1)).alias(f"n_by_{date_b}"))
-    return a.join(b, "year", "full_outer")
+def cohort_counts(a: DataFrame, date_a: str, b: DataFrame, date_b: str, names: tuple[str, str], weight_a: str | None = None, weight_b: str | None = None) -> DataFrame:
+    """Counts per year on two time bases, full-joined on the year (D35). A weight column says how
+    many rows a pre-aggregated row stands for; rows without a date form a year of their own."""
+
+    def per_year(df, date, weight, name):
+        n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+        return df.groupBy(F.year(date).alias("yr")).agg(n.alias(name))
+
+    x, y = per_year(a, date_a, weight_a, names[0]), per_year(b, date_b, weight_b, names[1]).withColumnRenamed("yr", "__yr")
+    return x.join(y, F.col("yr").eqNullSafe(F.col("__yr")), "full_outer").select(F.coalesce("yr", "__yr").alias("yr"), *names)
 
 
 def tier_funnel(df: DataFrame, tier: str, order: str, value: str, demand: float | None = None) -> DataFrame:

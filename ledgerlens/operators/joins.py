@@ -392,7 +392,3 @@ def before_after(
         F.avg(F.when((off >= -k) & (off < 0), F.col(value))).alias("avg_before"),
         F.avg(F.when((off >= 0) & (off < k), F.col(value))).alias("avg_after"),
     )
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -16,14 +16,6 @@ def pearson(df: DataFrame, y: str, x: str) -> DataFrame:
     return both.agg(F.corr(y, x).alias("pearson_r"), F.count(F.lit(1)).alias("n"))
 
 
-def mean_rank(c: str) -> Column:
-    """Ascending rank with ties sharing the mean of their positions, as a window expression
-    (for small, already aggregated panels; ``spearman`` uses the distributed ``global_rank``)."""
-    w = Window.orderBy(F.col(c))
-    ties = Window.partitionBy(F.col(c))
-    return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
-
-
 def spearman(df: DataFrame, y: str, x: str) -> DataFrame:
     """Spearman rho = Pearson r of mean ranks.
 

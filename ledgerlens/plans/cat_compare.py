@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pct
-from ..operators import aggs, joins, sets
+from ..operators import aggs, joins, sets, windows
 from ..session import materialize
 from . import bind
 from .registry import Tables, register, sql_canon
@@ -32,19 +32,14 @@ SQL_BASE = f"WITH {SQL_GEO},\n{SQL_INFLOW},\n{SQL_ORD}"
 def comparison(t: Tables):
     """The two-series comparison with provenance, shares, intensity and conversion (entry 1).
 
-    lineitem and orders are each scanned once: both series are reduced to places, fully joined
-    once (the filed measure rides along), and the place-level result (bounded by the place
-    dimension) is materialised, so the totals and the rows do not re-scan the fact tables.
+    lineitem and orders are each scanned once: both series are reduced to places, fully joined,
+    the filed measure is looked up, and the place-level results (bounded by the place dimension)
+    are materialised, so the totals and the rows do not re-scan the fact tables.
     """
-    inflow = bind.inflow_by_place(t).withColumn("__l", F.lit(True))
-    orders = bind.order_sums_by_place(t)
-    j = inflow.join(orders, "place", "full_outer").where(F.col("__l").isNotNull() | F.col("impl_amt").isNotNull())
-    present = (
-        F.when(F.col("__l").isNotNull() & F.col("impl_amt").isNotNull(), F.lit("both"))
-        .when(F.col("__l").isNotNull(), F.lit("inflow_only"))
-        .otherwise(F.lit("impl_only"))
-    )
-    j = materialize(j.withColumn("present_in", present).drop("__l"))
+    orders = materialize(bind.order_sums_by_place(t))  # a row per place
+    impl = orders.where(F.col("impl_amt").isNotNull()).select("place", "impl_amt")
+    j = joins.full_join_provenance(bind.inflow_by_place(t), impl, "place", "inflow", "impl")
+    j = materialize(joins.left_lookup(j, orders.select("place", "filed_amt"), "place"))
     tot = j.agg(F.sum("inflow_amt").alias("tot_inflow"), F.sum("impl_amt").alias("tot_impl"))
     j = j.crossJoin(F.broadcast(tot))
     j = j.withColumn("inflow_share", pct("inflow_amt", "tot_inflow")).withColumn("impl_share", pct("impl_amt", "tot_impl"))
@@ -84,7 +79,7 @@ FROM s LEFT JOIN ord o ON s.place = o.place""",
 )
 def full_join_provenance(spark, d):
     c = comparison(Tables(spark, d))
-    return c.select(
+    out = c.select(
         "place",
         "present_in",
         F.col("inflow_amt").cast("decimal(38,2)").alias("inflow_amt"),
@@ -94,7 +89,8 @@ def full_join_provenance(spark, d):
         F.col("intensity_ratio").cast("decimal(38,4)").alias("intensity_ratio"),
         F.col("filed_amt").cast("decimal(38,2)").alias("filed_amt"),
         F.col("conversion_pct").cast("decimal(38,4)").alias("conversion_pct"),
-    ).orderBy(F.col("intensity_ratio").desc_nulls_last(), "place")
+    )
+    return windows.order_by(out, "intensity_ratio", "place")
 
 
 @register(
@@ -127,9 +123,8 @@ def sum_by_label(spark, d):
 
     s = t("supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_acctbal")
     x = s.join(bind.geo(t), "n_nationkey").withColumn("place", canon_label(F.col("n_name"), A))
-    return x.groupBy("place").agg(
-        F.sum(F.coalesce("s_acctbal", F.lit(0.0))).cast("decimal(38,2)").alias("stock"), F.count(F.lit(1)).alias("n_rows")
-    )
+    out = aggs.sum_by(x, "place", "s_acctbal", "stock", count="n_rows")
+    return out.select("place", F.col("stock").cast("decimal(38,2)").alias("stock"), "n_rows")
 
 
 @register(

@@ -25,6 +25,64 @@ def q_scan_json_props(spark, d):
     return parsed.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "bulletin_files",
+    f"""SELECT event_type AS kind, CAST(count(*) AS BIGINT) AS n, {dec('sum(value)')} AS total, CAST('2026-12-01' AS DATE) AS snapshot_date FROM events GROUP BY 1""",
+    ids=("A1",),
+)
+def q_bulletin_files(spark, d):
+    """A multi-line JSON file per kind is written and read back with an explicit schema."""
+    e = Tables(spark, d)("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(38,2)").alias("total"))
+    text = F.concat(F.lit('{\n  "purpose": "totals",\n  "rows": '), F.to_json(F.struct(F.col("event_type").alias("kind"), "n", "total")), F.lit("\n}"))
+    path = bulletins.scratch_path(spark, "bulletins") + "_2026-12-01"
+    e.select(F.concat(F.lit("k_2026-12-01_"), F.col("event_type")).alias("bulletin"), text.alias("value")).write.partitionBy("bulletin").text(path)
+    back = bulletins.read_bulletins(spark, path, "purpose string, rows struct<kind:string,n:long,total:decimal(38,2)>")
+    stamp = F.try_to_date(F.regexp_extract("bulletin", bulletins.DATE_IN_NAME, 1), "yyyy-MM-dd")
+    return back.select("rows.kind", "rows.n", "rows.total", F.coalesce("snapshot_date", stamp).alias("snapshot_date"))
+
+
+@register(
+    "listed_files",
+    """WITH m AS (SELECT DISTINCT o_orderstatus AS s FROM orders)
+SELECT s AS entry, s AS file, 'ok' AS status FROM m UNION ALL SELECT s, s || '-old', 'missing' FROM m UNION ALL SELECT 'none', NULL, 'no_data'""",
+    ids=("A3", "C11"),
+)
+def q_listed_files(spark, d):
+    """A manifest against the real listing of a written folder (file contents are not read)."""
+    path = bulletins.scratch_path(spark, "listed")
+    o = Tables(spark, d)("orders").select("o_orderstatus", "o_orderkey")
+    o.write.partitionBy("o_orderstatus").parquet(path)
+    listing = bulletins.list_files(spark, f"{path}/*/*.parquet").select(F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("file"))
+    s = o.select("o_orderstatus").distinct()
+    manifest = s.select(F.col("o_orderstatus").alias("entry"), F.array("o_orderstatus", F.concat("o_orderstatus", F.lit("-old"))).alias("data"))
+    manifest = manifest.unionByName(s.limit(1).select(F.lit("none").alias("entry"), F.array().cast("array<string>").alias("data")))
+    return bulletins.manifest_status(manifest, "entry", "data", listing, "file").select("entry", "file", "status")
+
+
+@register(
+    "gated_publish",
+    """SELECT 'documents' AS step, true AS published, CAST(count(*) AS BIGINT) AS n FROM documents
+UNION ALL SELECT 'events', false, CAST(0 AS BIGINT)""",
+    ids=("K4",),
+)
+def q_gated_publish(spark, d):
+    """A publish step runs only if its checks pass: complete documents are written, events whose user
+    should be unique are blocked."""
+    t = Tables(spark, d)
+    checks = {"documents": quality.check_required(t("documents"), ["doc_id", "text"]), "events": quality.check_unique(t("events"), ["user_id"]).select((F.col("n_dup_keys") == 0).alias("passed"))}
+    steps = None
+    for name, check in checks.items():
+        path = bulletins.scratch_path(spark, f"publish-{name}")
+        try:
+            quality.gate(check)
+            t(name).write.parquet(path)
+            done = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("step"), F.lit(True).alias("published"), "n")
+        except quality.GateFailed:
+            done = t(name).limit(1).groupBy().agg(F.lit(0).cast("long").alias("n")).select(F.lit(name).alias("step"), F.lit(False).alias("published"), "n")
+        steps = done if steps is None else steps.unionByName(done)
+    return steps
+
+
 @register(
     "snapshot_year_partitions",
     f"""SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, {dec('sum(o_totalprice)')} AS amount
@@ -191,9 +249,12 @@ def q_page_title_fallback(spark, d):
 def q_register_point_range(spark, d):
     from ..operators.filters import register_query
 
-    e = Tables(spark, d)("events").where(F.col("event_type") == "click")
+    path = bulletins.scratch_path(spark, "register")
+    e = Tables(spark, d)("events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("ts").alias("date"), "user_id")
+    reg.write_register(e, path)
+    stored = reg.read_register(spark, path).where((F.col("kind") == "click") & (F.col("year") == 2024))  # partition columns: other folders are not read
     lo, hi = F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz")
-    return register_query(e, date_col="ts", date_from=lo, date_to=hi).select("event_id", "ts", "user_id")
+    return register_query(stored, date_col="date", date_from=lo, date_to=hi).select(F.col("id").alias("event_id"), F.col("date").alias("ts"), "user_id")
 
 
 @register(
@@ -250,18 +311,15 @@ def q_dq_required(spark, d):
 @register(
     "dq_monotone",
     """WITH c AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
-s AS (SELECT day, sum(n) OVER (ORDER BY day) AS cum FROM c)
+s AS (SELECT day, n AS cum FROM c)
 SELECT 'monotone' AS "check", CAST(day AS VARCHAR) AS key, CAST(lag(cum) OVER (ORDER BY day) AS BIGINT) AS expected, CAST(cum AS BIGINT) AS found,
        coalesce(cum >= lag(cum) OVER (ORDER BY day), true) AS passed FROM s""",
     ids=("K2",),
 )
 def q_dq_monotone(spark, d):
-    from pyspark.sql import Window
-
     e = Tables(spark, d)("events")
-    per_day = e.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    # snapshot sizes: the register as of each day (one row per day)
-    snaps = per_day.withColumn("cum", F.sum("n").over(Window.orderBy("day")))
+    # a snapshot per day that holds that day's events only: some shrink and must fail
+    snaps = e.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("cum"))
     return quality.check_monotone(snaps, "day", "cum")
 
 

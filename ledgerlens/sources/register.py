@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import extract_ids
 from ..operators.windows import latest_per_key
 
 REGISTER_SCHEMA = (
@@ -17,7 +18,7 @@ REGISTER_SCHEMA = (
 def harvest_citations(docs: DataFrame, text_col: str, pattern: str, id_col: str = "id", doc_col: str | None = None) -> DataFrame:
     """Every id matching ``pattern`` (group 1) in whole texts, one row per (document, id) (A4, H5)."""
     keep = [doc_col] if doc_col else []
-    return docs.select(*keep, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), 1)).alias(id_col)).distinct()
+    return docs.select(*keep, F.explode(extract_ids(text_col, pattern)).alias(id_col)).distinct()
 
 
 def read_register(spark: SparkSession, path: str) -> DataFrame:
@@ -25,9 +26,11 @@ def read_register(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_register(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the register partitioned by (kind, year), rows clustered by date inside files."""
-    out = df.withColumn("year", F.year("date")).repartition("kind", "year").sortWithinPartitions("date")
+def write_register(df: DataFrame, path: str, mode: str = "overwrite", files: int = 8) -> None:
+    """Write the register partitioned by (kind, year), rows clustered by date inside files. A
+    (kind, year) is dealt to ``files`` tasks by id, so a hot one is not one task."""
+    out = df.withColumn("year", F.year("date")).withColumn("__f", F.pmod(F.xxhash64("id"), F.lit(files)))
+    out = out.repartition("kind", "year", "__f").drop("__f").sortWithinPartitions("kind", "year", "date")
     out.write.mode(mode).partitionBy("kind", "year").parquet(path)
 
 
