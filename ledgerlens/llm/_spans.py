@@ -27,10 +27,12 @@ def located(found: DataFrame, keys: list[str], column: str, measure: Callable[[C
     sums over the pieces give it in one pass."""
     order = Window.partitionBy(*keys, "kind").orderBy("i")
     return (
-        found.where(F.size(f"{column}.matches") > 0)
+        found
         .select(*keys, F.col(f"{column}.kind").alias("kind"),
-                F.posexplode(F.arrays_zip(F.slice(f"{column}.between", F.lit(1), F.size(f"{column}.matches")).alias("b"), F.col(f"{column}.matches").alias("m"),
+                # outer: a plain explode would push a filter on the arrays' size, computing them again
+                F.posexplode_outer(F.arrays_zip(F.slice(f"{column}.between", F.lit(1), F.size(f"{column}.matches")).alias("b"), F.col(f"{column}.matches").alias("m"),
                                           F.col(f"{column}.values").alias("v"))).alias("i", "x"))
+        .where("x IS NOT NULL")
         .select(*keys, "kind", "i", measure(F.col("x.b")).alias("b"), measure(F.col("x.m")).alias("m"), F.col("x.v").alias("value"))
         .withColumn("end", (F.sum("b").over(order) + F.sum("m").over(order)).cast("long"))
         .select(*keys, "kind", (F.col("end") - F.col("m")).cast("long").alias("start"), "end", "value"))

@@ -49,7 +49,7 @@ def item_shingles(items: DataFrame, item_col: str, text_col: str, size: int) ->
     w = w.withColumn("k", F.least(F.size("w"), F.lit(size))).withColumn("item", F.xxhash64(F.col("item_id"), F.array_join("w", " ")))
     strings = F.coalesce(*(F.when(F.col("k") == k, F.array_distinct(_strings("w", k))) for k in range(1, size + 1)))
     s = w.select("item", "item_id", "k", strings.alias("all")).dropDuplicates(["item"])
-    s = s.select("item", "item_id", "k", F.size("all").alias("q"), F.explode("all").alias("s"))
+    s = s.select("item", "item_id", "k", F.size("all").alias("q"), F.explode_outer("all").alias("s"))
     return s.withColumn("x", F.xxhash64(F.transform(F.split("s", " "), lambda v: F.xxhash64(v)))).withColumn("part", F.ceil(F.log2("q")).cast("int"))
 
 
@@ -78,7 +78,8 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
         lengths, ceilings = [size], {0: -(1 << 63)}
     hashed = rows.select("id", "h", F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
     kept = hashed.select("id", "h", _sketchable("w", lengths, max(ceilings.values())).alias("xs"))
-    met = kept.select("id", "h", F.explode("xs").alias("x")).join(_small(sketch), "x").select("id", "h", "item").distinct()
+    # outer: a plain explode would push a filter on the arrays' size below, computing them again for each element
+    met = kept.select("id", "h", F.explode_outer("xs").alias("x")).join(_small(sketch), "x").select("id", "h", "item").distinct()
     met = materialize(met)
     # verification reads only texts with a candidate
     n_met = met.count()
@@ -86,7 +87,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     texts = rows.join(_small(wanted, n_met), same_rows(["id", "h"], ["c_id", "c_h"]), "left_semi").dropDuplicates(["id", "h"])
     texts = texts.select("id", "h", _words(F.col("t")).alias("w"))
     strings = F.array_distinct(F.concat(*(F.coalesce(_strings("w", k), F.array().cast("array<string>")) for k in lengths)))
-    found = texts.select("id", "h", F.explode(strings).alias("s")).join(_small(listed.select("item", "item_id", "q", "s"), shape[1]), "s")
+    found = texts.select("id", "h", F.explode_outer(strings).alias("s")).join(_small(listed.select("item", "item_id", "q", "s"), shape[1]), "s")
     hits = found.groupBy("id", "h", "item", "item_id", "q").agg(F.count("*").alias("n_found")).where(F.col("n_found") * den >= F.col("q") * num)
     sure = hits.join(met.select(F.col("id").alias("m_id"), F.col("h").alias("m_h"), F.col("item").alias("m_item")), same_rows(["id", "h", "item"], ["m_id", "m_h", "m_item"]), "left_semi")
     return sure.select("id", "h", "item_id", F.col("q").cast("long").alias("n_item"), "n_found")

@@ -144,7 +144,8 @@ def license_detections(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.select("id", "h", F.array_join(F.regexp_extract_all(_lower(F.col("t")), F.lit(WORD), F.lit(0)), " ").alias("t"))
     listed = rules()
     words = sorted({r[3] for r in listed})
-    held = rows.select("id", "h", "t", F.explode(F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(F.col("t"), w))).alias("keyword"))
+    # outer: a plain explode would push a filter on the array's size below, computing the words again
+    held = rows.select("id", "h", "t", F.explode_outer(F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(F.col("t"), w))).alias("keyword"))
     table = spark.createDataFrame(listed, "rule int, label string, priority int, keyword string, pattern string")  # fixed, a few hundred rows
     tried = held.join(F.broadcast(table.select("rule", "keyword", "pattern")), "keyword").where(F.expr("t rlike pattern"))
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))

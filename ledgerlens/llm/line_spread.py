@@ -53,7 +53,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text).alias("h"), F.col(site_col).alias("site"), text.alias("t")).where(F.col("t").isNotNull())
-    lines = rows.select("id", "h", "site", F.explode(_keys(F.col("t"))).alias("line"))
+    # outer: a plain explode would compute the keys twice, for a filter on their number
+    lines = rows.select("id", "h", "site", F.explode_outer(_keys(F.col("t"))).alias("line")).where("line IS NOT NULL")
     common = materialize(boilerplate_lines(lines.select("line", F.col("site").cast("string").alias("site")), min_sites))
     hits = lines.select("id", "h", "line").join(_small(common), "line")
     first = hits.groupBy("line").agg(F.min(F.struct("id", "h")).alias("first"))

@@ -11,9 +11,11 @@ the join stays proportional to the parts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.session import materialize
+
 from ._spans import finding, located, same_rows, text_hash
 
 SCOPE = 240  # characters between parts of one credential at most
@@ -21,8 +23,10 @@ SCOPE = 240  # characters between parts of one credential at most
 # kind: (pattern, role, strong, least length, group whose length counts)
 KINDS = {
     "assign": ("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "secret", True, 8, 2),
-    "access": ("AKIA[A-Z0-9]+", "id", True, 16, 0),
-    "hex": ("[0-9a-f]+", "secret", True, 32, 0),
+    # matches shorter than the least length are dropped; where all starts inside a run of the same
+    # characters fail with it, the pattern says the length itself: same matches, fewer of them to drop
+    "access": ("AKIA[A-Z0-9]{12,}", "id", True, 16, 0),
+    "hex": ("[0-9a-f]{32,}", "secret", True, 32, 0),
     "weak_secret": ("(?i)(?<![a-z0-9])(?:pwd|pass|passphrase|password|passwd|auth|bearer|signature|private_?key|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}"
                     "|(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])", "secret", False, 1, 0),
     "weak_id": ("(?i)(?<![a-z0-9])(?:user|username|login|account|client_?id|access_?key_?id|tenant)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9@._-]{3,}"
@@ -30,20 +34,28 @@ KINDS = {
     "endpoint": ("(?i)(?<![a-z0-9])(?:https?|s3|ftp|jdbc:[a-z]{2,20}|mongodb|redis|amqp|postgres|mysql)://[^\\s\"'<>]{3,}"
                  "|(?<![0-9.])[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?::[0-9]{2,5})?(?![0-9.])", "endpoint", False, 1, 0),
 }
-# a text without any of these holds neither a strong part nor a weak identifier or secret
-GATE = ("(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{12}|ASIA[A-Z0-9]{12}|[0-9a-f]{32}|[A-Za-z0-9+/]{40}"
-        "|(?i:pwd|pass|passphrase|auth|bearer|signature|private_?key|user|username|login|account|client_?id|access_?key_?id|tenant)[\"']?\\x20*[:=]")
+_NAMED = ("(?i)(?:password|passwd|secret|token|api_?key|pwd|pass|passphrase|auth|bearer|signature|private_?key|user|username|login|account|client_?id|access_?key_?id|tenant)"
+          "[\"']?\\x20*[:=]")
+_RUN = "(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32}"
+
+
+def _gate(text: Column) -> Column:
+    """Whether a text can hold a strong part, or a weak identifier or secret (an endpoint alone is never reported).
+
+    The cheap tests come first: a regex with many alternatives only sees texts with a colon or an equals sign."""
+    has = lambda x: F.contains(text, F.lit(x))
+    return has("AKIA") | has("ASIA") | ((has(":") | has("=")) & text.rlike(_NAMED)) | text.rlike(_RUN)
 
 
 def secret_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """(id, text_hash, kind, start, end) of each reported part, once for equal rows."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), text_hash(text).alias("h"), text.alias("t")).where(F.col("t").rlike(GATE)).dropDuplicates(["id", "h"])
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(text).alias("h"), text.alias("t")).where(_gate(F.col("t"))).dropDuplicates(["id", "h"])
     keys = ["id", "h"]
     found = rows.select(*keys, F.explode(F.array(*(finding(F.lit(k), F.col("t"), F.lit(p), g) for k, (p, _, _, _, g) in KINDS.items()))).alias("f"))
     spans = located(found, keys, "f")
     fact = lambda i: F.coalesce(*(F.when(F.col("kind") == k, F.lit(v[i])) for k, v in KINDS.items()))
-    parts = spans.withColumn("role", fact(1)).withColumn("strong", fact(2)).where(F.length("value") >= fact(3)).drop("value")
+    parts = materialize(spans.withColumn("role", fact(1)).withColumn("strong", fact(2)).where(F.length("value") >= fact(3)).drop("value"))
     bins = parts.withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor(F.col("end") / scope))))
     strong, weak = bins.where("strong"), bins.where("NOT strong")
     # a weak part that a strong one covers is that strong part
