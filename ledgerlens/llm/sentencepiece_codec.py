@@ -25,6 +25,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _MEMO = 400_000  # different segments a task remembers
 _LONG = 64  # longer ones are not remembered
+_RUN = 20  # new segments encoded as one text
 
 
 class Model:
@@ -45,8 +46,11 @@ class Model:
         self.prefix, self.squeeze, self.charsmap = spec.add_dummy_prefix, spec.remove_extra_whitespaces, bytes(spec.precompiled_charsmap)
         self.normal, self.control = [k == 1 for k in kinds], [k == 3 for k in kinds]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if k == 6 else b"" if k in (2, 3) else p.encode() for (p, _), k in zip(self.pieces, kinds)]
+        # a text without double blanks is then its words with a marker before each
+        self.plain = self.prefix and not self.squeeze and not self.charsmap
         # cutting at markers is exact if no piece has a marker after anything else
         self.cuttable = not any(re.search(f"[^{MARK}]{MARK}", p) for p, k in zip((p for p, _ in self.pieces), kinds) if k in (1, 4))
+        self.plain = self.plain and self.cuttable
 
     def tokenizer(self):
         """The model as a tokenizers.Tokenizer of normalised text."""
@@ -130,29 +134,64 @@ class Codec:
             out[i] = self.sp.encode("a" + segments[i].replace(MARK, " "))[len(lead):] if lead else out[i]
         return out
 
-    def learn(self, segments: list[str]) -> None:
-        """Encode new segments as one multithreaded batch, check each against sentencepiece and decode it back."""
+    def _alone(self, segments: list[str]):
+        """Ids of each segment and whether the library's are the same."""
         lists = [e.ids for e in self.tok.encode_batch_fast(segments, add_special_tokens=False)]
-        good = np.fromiter((a == b for a, b in zip(lists, self._own(segments))), bool, len(lists))
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for x in lists for i in x), np.int32, size.sum())
-        back = _gather(self.piece_bytes, self.piece_begin[ids], self.piece_size[ids]).tobytes()
-        if back != "".join(segments).encode():
-            ends = np.cumsum(np.add.reduceat(np.append(self.piece_size[ids], 0), np.minimum(np.cumsum(size) - size, len(ids))) * (size > 0))
-            good &= np.fromiter((back[e - n: e] == s.encode() for e, n, s in zip(ends, np.diff(ends, prepend=0), segments)), bool, len(segments))
-        self.known.update(zip(segments, range(len(self.size), len(self.size) + len(segments))))
-        self.pool, self.size, self.good = np.concatenate((self.pool, ids)), np.concatenate((self.size, size)), np.concatenate((self.good, good))
+        return lists, [a == b for a, b in zip(lists, self._own(segments))]
+
+    def learn(self, keys: list[str], segments: list[str]) -> None:
+        """Encode new segments in multithreaded batches, check each against sentencepiece and decode it back.
+
+        Segments are encoded some at a time as one text, whose ids are cut where their pieces' bytes
+        reach the segments' ends; where they do not, or the library differs, each is encoded alone.
+        """
+        lone = [i for i, s in enumerate(segments) if not s.strip(MARK) or not s.startswith(MARK) or not self.model.cuttable]
+        rest = sorted(set(range(len(segments))) - set(lone)) if lone else range(len(segments))
+        runs = [rest[i: i + _RUN] for i in range(0, len(rest), _RUN)]
+        texts = ["".join([segments[i] for i in r]) for r in runs]
+        encoded = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        own = self.sp.encode([(t[1:] if self.model.prefix else t).replace(MARK, " ") for t in texts], num_threads=self.threads)
+        ids = np.fromiter((i for x in encoded for i in x), np.int32)
+        reach = np.cumsum(self.piece_size[ids])
+        length = np.fromiter((len(segments[i].encode()) for i in rest), np.int64, len(rest))
+        ends = np.cumsum(length)
+        cut = np.searchsorted(reach, ends, side="left") + 1
+        whole = _gather(self.piece_bytes, self.piece_begin[ids], self.piece_size[ids]).tobytes() == "".join(texts).encode()
+        fits = whole and len(ids) and np.array_equal(reach[np.minimum(cut, len(reach)) - 1], ends)
+        if fits and encoded == own:
+            order, sizes, pool, good = list(rest), np.diff(cut, prepend=0), ids, np.ones(len(rest), bool)
+        else:
+            lone, order, sizes, pool, good = list(range(len(segments))), [], np.zeros(0, np.int64), ids[:0], np.zeros(0, bool)
+        if lone:
+            lists, same = self._alone([segments[i] for i in lone])
+            for i, x, ok in zip(lone, lists, same):
+                text = b"".join(self.model.bytes_of[p] for p in x)
+                good = np.append(good, ok and text == segments[i].encode())
+                sizes, pool = np.append(sizes, len(x)), np.append(pool, np.array(x, np.int32))
+            order += lone
+        first = len(self.size)
+        self.known.update((keys[i], first + n) for n, i in enumerate(order))
+        self.pool, self.size, self.good = np.concatenate((self.pool, pool)), np.concatenate((self.size, sizes)), np.concatenate((self.good, good))
+
+    def _cut(self, text: str) -> list[str]:
+        """A text's segments; one marker before a word is left out of its key."""
+        if self.model.plain and MARK not in text:
+            words = text.split(" ")
+            if "" not in words:
+                return words
+        normal = self.model.normal_form(text)
+        return (_SEGMENT.findall(normal) if self.model.cuttable else [normal]) if normal else []
 
     def encode(self, texts: list[str]):
         """Ids of all texts one after the other, how many each has, and whether all of its segments agreed."""
         if len(self.known) > _MEMO:
             self.clear()
-        cut = [_SEGMENT.findall(n) if self.model.cuttable else [n] if n else [] for n in map(self.model.normal_form, texts)]
+        cut = [self._cut(t) for t in texts]
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
         flat = [s for c in cut for s in c]
-        new = set(flat) - self.known.keys()
+        new = list(set(flat) - self.known.keys())
         if new:
-            self.learn(sorted(new))
+            self.learn(new, [s if s.startswith(MARK) or not self.model.plain else MARK + s for s in new])
         at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         m = self.size[at]
         ids = _gather(self.pool, (np.cumsum(self.size) - self.size)[at], m) if len(at) else self.pool[:0]
