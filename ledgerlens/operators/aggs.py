@@ -110,10 +110,13 @@ def entity_activity(df: DataFrame, entity: str, date: str, catalog: DataFrame |
 
 
 # D6 / D7 / D8 / D9 / D10 / D11
-def status_cube(df: DataFrame, dims: Sequence[str], value: str | None = None, kind: str = "rollup") -> DataFrame:
-    """Cross-tab with totals: rollup or cube over ``dims``; ``gid`` marks total rows."""
+def status_cube(df: DataFrame, dims: Sequence[str], value: str | None = None, kind: str = "rollup", weight: str | None = None) -> DataFrame:
+    """Cross-tab with totals: rollup or cube over ``dims``; ``gid`` marks total rows.
+
+    ``weight`` says how many rows a pre-aggregated row stands for, so that the expansion to all
+    grouping sets runs over partial sums."""
     g = df.rollup(*dims) if kind == "rollup" else df.cube(*dims)
-    aggs = [F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")]
+    aggs = [(F.sum(weight).cast("long") if weight else F.count(F.lit(1))).alias("n"), F.grouping_id().alias("gid")]
     if value:
         aggs.append(F.sum(value).alias(f"sum_{value}"))
     return g.agg(*aggs)

@@ -260,6 +260,35 @@ def open_windows(
     return j.withColumn("days_to_close", F.datediff(F.col(end_col), F.col(date_col)))
 
 
+def open_counts(items: DataFrame, dates: DataFrame, start_col: str, end_col: str, date_col: str, grid: str) -> DataFrame:
+    """Per calendar date: open items, open-ended ones among them, and the sum of days to close.
+
+    A sweep: each item adds to the first grid point not before its start and takes away at the
+    first one after its end; running sums over the grid points give the counts. The work is one
+    partial aggregate over the items, whatever the length of their intervals. Items without a start
+    are never open; an item that ends before it starts is not either."""
+    dtype = dates.schema[date_col].dataType
+    step = F.expr(f"INTERVAL 1 {grid.upper()}")
+
+    def floor(c):
+        return F.date_trunc(grid, F.col(c)).cast(dtype)
+
+    begin = F.when(floor(start_col) < F.col(start_col), floor(start_col) + step).otherwise(floor(start_col))
+    stop = floor(end_col) + step
+    day = F.datediff(F.col(end_col), F.lit("1970-01-01").cast("date")).cast("long")
+    live = items.where(F.col(start_col).isNotNull() & (F.col(end_col).isNull() | (F.col(end_col) >= F.col(start_col))))
+    one = lambda at, sign: F.struct(
+        at.cast(dtype).alias("at"), F.lit(sign).alias("n"), F.when(F.col(end_col).isNull(), sign).otherwise(0).alias("ended"), (F.coalesce(day, F.lit(0)) * sign).alias("d"))
+    marks = live.select(F.explode(F.array(one(begin, 1), F.when(F.col(end_col).isNotNull(), one(stop, -1)))).alias("m")).where("m IS NOT NULL").select("m.*")
+    sums = marks.groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", "ended", "d")), F.lit(False).alias("asked"))
+    asked = dates.select(F.col(date_col).alias("at")).distinct().select("at", *(F.lit(0).cast("long").alias(c) for c in ("n", "ended", "d")), F.lit(True).alias("asked"))
+    points = sums.unionByName(asked).groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", "ended", "d")), F.bool_or("asked").alias("asked"))
+    run = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)  # over the grid points, a row each
+    total = points.select("at", "asked", *(F.sum(c).over(run).alias(c) for c in ("n", "ended", "d"))).where("asked")
+    at_day = F.datediff(F.col("at"), F.lit("1970-01-01").cast("date"))
+    return total.select(F.col("at").alias(date_col), F.col("n").alias("n_open"), F.col("ended").alias("n_open_ended"), (F.col("d") - (F.col("n") - F.col("ended")) * at_day).alias("days_to_close_sum"))
+
+
 def asof_latest(
     facts: DataFrame,
     vintages: DataFrame,

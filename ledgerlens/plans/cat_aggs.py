@@ -201,8 +201,10 @@ FROM og GROUP BY ROLLUP (r_name, o_orderpriority, o_orderstatus)""",
     ids=("D6", "A10"),
 )
 def q_status_cube(spark, d):
-    og = bind.orders_geo(Tables(spark, d))
-    out = aggs.status_cube(og, ["r_name", "o_orderpriority", "o_orderstatus"], "o_totalprice")
+    dims = ["r_name", "o_orderpriority", "o_orderstatus"]
+    og = bind.order_partials(Tables(spark, d), "o_orderpriority", "o_orderstatus").withColumnRenamed("n", "w")
+    per = og.groupBy(*dims).agg(F.sum("w").alias("w"), F.sum("v").alias("o_totalprice"))
+    out = aggs.status_cube(per, dims, "o_totalprice", weight="w")
     return out.select(
         "r_name", "o_orderpriority", "o_orderstatus", "n", F.col("gid").cast("long").alias("gid"),
         F.col("sum_o_totalprice").cast("decimal(38,2)").alias("amount"),

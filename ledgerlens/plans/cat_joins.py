@@ -222,11 +222,8 @@ def q_interval_open(spark, d):
     ends = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("end_t"))
     items = t("orders").select("o_orderkey", F.col("o_orderdate").alias("start_t")).join(ends, "o_orderkey", "left")
     months = materialize(t("orders").select(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month")).distinct())
-    x = joins.open_windows(items, months, "start_t", "end_t", "month", grid="month")
-    return x.groupBy("month").agg(
-        F.count(F.lit(1)).alias("n_open"), F.sum("days_to_close").cast("long").alias("days_to_close_sum"),
-        F.count_if(F.col("end_t").isNull()).alias("n_open_ended"),
-    )
+    x = joins.open_counts(items, months, "start_t", "end_t", "month", grid="month").where("n_open > 0")
+    return x.select("month", "n_open", F.when(F.col("n_open") > F.col("n_open_ended"), F.col("days_to_close_sum")).alias("days_to_close_sum"), "n_open_ended")
 
 
 @register(

@@ -91,11 +91,13 @@ def q_late_revision(spark, d):
 
     o = Tables(spark, d)("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     landing = scratch_path(spark, "orders-landing")
-    # first delivery: all orders as published; second delivery: the corrected rows only
-    o.coalesce(1).write.mode("append").parquet(landing)
+    # first delivery: all orders as published; second delivery: the corrected rows only, which lands first
+    first = o.withColumn("version", F.lit(0).cast("long"))
     corrected = o.withColumn("new", bind.after_status()).where(F.col("new") != F.col("o_orderstatus"))
-    corrected.select("o_orderkey", F.col("new").alias("o_orderstatus"), "o_orderpriority").coalesce(1).write.mode("append").parquet(landing)
-    _, ledger = rs.revision_stream(spark, landing, o.schema, ["o_orderkey"], "o_orderstatus")
+    second = corrected.select("o_orderkey", F.col("new").alias("o_orderstatus"), "o_orderpriority", F.lit(1).cast("long").alias("version"))
+    second.write.mode("append").parquet(landing)
+    first.write.mode("append").parquet(landing)
+    _, ledger = rs.revision_stream(spark, landing, first.schema, ["o_orderkey"], "o_orderstatus")
     return ledger.select("o_orderkey", "o_orderstatus", "old_value", "old_version")
 
 

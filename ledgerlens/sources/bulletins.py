@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def purge_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete the library's scratch folders under the shared checkpoint folder that were last
+    changed before that; returns how many. Results that still read a younger one keep it."""
+    fs, root = _fs(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens")
+    if not fs.exists(root):
+        return 0
+    limit = (time.time() - 3600 * older_than_hours) * 1000
+    old = [st.getPath() for st in fs.listStatus(root) if st.getModificationTime() < limit]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 def manifest_status(manifest: DataFrame, entry_col: str, data_col: str, listing: DataFrame, file_col: str) -> DataFrame:
     """Per manifest entry and data file: ``ok`` (file listed), ``missing`` (not listed) or
     ``no_data`` (entry names no file) (A3, C11). The listing is joined, not looped over."""

@@ -59,6 +59,10 @@ def land_in_files(df: DataFrame, ts_col: str, path: str, days_per_file: int = 3,
 
 
 def _source(spark: SparkSession, landing: str, schema, max_files: int = 3) -> DataFrame:
+    """The landing folder as a stream; a folder that is not there yet is an empty one."""
+    fs, p = _fs(spark, landing)
+    if not fs.exists(p):
+        fs.mkdirs(p)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
 
 
@@ -69,6 +73,57 @@ def _run(writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+class BucketStore:
+    """A keyed table in a folder, upserted bucket by bucket.
+
+    Keys are dealt to ``buckets`` folders by hash. A batch rewrites only the buckets it touches,
+    into a folder of its version; the version counts once its job has committed (``_SUCCESS``), so
+    readers see either the old or the new files of a bucket. A version that is there already is
+    not written again (a retried epoch), and replaced bucket folders are deleted afterwards, so the
+    store stays as large as the table."""
+
+    def __init__(self, spark: SparkSession, root: str, schema, key: Sequence[str], order: Sequence[str], carry_max: Sequence[str] = (),
+                 keep_first: Sequence[str] = (), buckets: int = 32):
+        self.spark, self.root, self.schema = spark, root, schema
+        self.key, self.order, self.carry_max, self.keep_first, self.buckets = list(key), list(order), carry_max, keep_first, buckets
+
+    def _current(self) -> dict[int, str]:
+        """Newest committed folder of each bucket (names only; at most buckets x live versions of them)."""
+        fs, root = _fs(self.spark, self.root)
+        newest: dict[int, str] = {}
+        if not fs.exists(root):
+            return newest
+        for v in sorted(st.getPath().toString() for st in fs.listStatus(root) if st.getPath().getName().startswith("v=")):
+            if _exists(self.spark, f"{v}/_SUCCESS"):
+                for st in fs.listStatus(_fs(self.spark, v)[1]):
+                    name = st.getPath().getName()
+                    if name.startswith("__bucket="):
+                        newest[int(name.split("=")[1])] = st.getPath().toString()
+        return newest
+
+    def read(self) -> DataFrame:
+        paths = list(self._current().values())
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def upsert(self, batch: DataFrame, version: int) -> None:
+        target = f"{self.root}/v={version:010d}"
+        if _exists(self.spark, f"{target}/_SUCCESS"):
+            return
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # at most ``buckets`` numbers
+        if not touched:
+            return
+        old = {k: p for k, p in self._current().items() if k in touched}
+        rows = batch.select(*self.schema.fieldNames())
+        if old:
+            rows = self.spark.read.schema(self.schema).parquet(*old.values()).unionByName(rows)
+        merged = latest_per_key(rows, self.key, self.order, self.carry_max, self.keep_first)
+        merged.withColumn("__bucket", bucket).write.mode("overwrite").partitionBy("__bucket").parquet(target)
+        for p in old.values():
+            fs, path = _fs(self.spark, p)
+            fs.delete(path, True)
+
+
 def stream_register(
     spark: SparkSession,
     landing: str,
@@ -77,21 +132,15 @@ def stream_register(
     order: Sequence[str],
     work_dir: str | None = None,
     carry_max: Sequence[str] = (),
+    keep_first: Sequence[str] = (),
 ) -> DataFrame:
-    """Incremental register (I1, I2 by key): each micro-batch is appended to a log under
-    ``epoch=<id>`` (idempotent on retry); the register is the newest row per key over the log
-    (merge on read, a partial aggregate). Returns the register after the stream has caught up."""
+    """Incremental register (I1, I2 by key): each micro-batch is upserted into a stored register,
+    newest row per key by ``order`` whatever the order of arrival; ``keep_first`` columns keep
+    their oldest value. Returns the register after the stream has caught up."""
     work = work_dir or scratch_path(spark, "register-stream")
-    log = f"{work}/log"
-
-    def merge_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/epoch={epoch}")
-
-    _run(_source(spark, landing, schema).writeStream.foreachBatch(merge_batch), f"{work}/checkpoint")
-    if not _exists(spark, log):
-        return spark.createDataFrame([], schema)
-    entries = spark.read.parquet(log).select(*schema.fieldNames())
-    return latest_per_key(entries, list(key), list(order), carry_max)
+    store = BucketStore(spark, f"{work}/register", schema, key, order, carry_max, keep_first)
+    _run(_source(spark, landing, schema).writeStream.foreachBatch(lambda batch, epoch: store.upsert(batch, epoch)), f"{work}/checkpoint")
+    return store.read()
 
 
 def dedup_stream(
@@ -116,23 +165,32 @@ def dedup_stream(
     return spark.read.parquet(out).select(*schema.fieldNames())
 
 
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
 def daily_counts_stream(
-    spark: SparkSession, landing: str, schema, ts_col: str, kind_col: str, work_dir: str | None = None
+    spark: SparkSession, landing: str, schema, ts_col: str, kind_col: str, work_dir: str | None = None, delay: str = "7 days"
 ) -> DataFrame:
-    """Count per day and kind (tumbling one-day windows) (I3). Complete mode: each epoch writes
-    the whole (small: days x kinds) result; the last epoch is the answer."""
+    """Count per day and kind (tumbling one-day windows) with a watermark.
+
+    State holds the windows that ``delay`` still covers; rows later than that are not counted.
+    Update mode: a batch's changed counts are upserted into a stored table, nothing else is
+    rewritten. Windows are over the wall-clock value read as UTC, so day boundaries do not move
+    with the session time zone."""
+    from pyspark.sql.types import StructType
+
     work = work_dir or scratch_path(spark, "daily-stream")
-    out = f"{work}/out"
-    # windows over the wall-clock (timestamp_ntz) column align to local midnight whatever the
-    # session time zone is; a cast to timestamp would move day boundaries with the zone
-    src = _source(spark, landing, schema)
-    agg = src.groupBy(F.window(ts_col, "1 day").alias("w"), kind_col).agg(F.count(F.lit(1)).alias("n"))
+    src = _source(spark, landing, schema).withColumn("__wm", F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, `{ts_col}`))"))
+    agg = src.withWatermark("__wm", delay).groupBy(F.window("__wm", "1 day").alias("w"), kind_col).agg(F.count(F.lit(1)).alias("n"))
+    kind = schema[kind_col].dataType.simpleString()
+    store = BucketStore(spark, f"{work}/daily", StructType.fromDDL(f"day timestamp_ntz, `{kind_col}` {kind}, n long, version long"), ["day", kind_col], ["version"])
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.select(F.col("w.start").alias("day"), kind_col, "n").write.mode("overwrite").parquet(out)
+        day = F.expr(f"timestampadd(MICROSECOND, unix_micros(w.start), {_EPOCH})")
+        store.upsert(batch.select(day.alias("day"), kind_col, "n", F.lit(epoch).cast("long").alias("version")), epoch)
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(write), f"{work}/checkpoint")
-    return spark.read.parquet(out)
+    _run(agg.writeStream.outputMode("update").foreachBatch(write), f"{work}/checkpoint")
+    return store.read().select("day", kind_col, "n")
 
 
 def speed_merge(batch: DataFrame, speed: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -160,10 +218,13 @@ def speed_layer_stream(spark: SparkSession, landing: str, schema, where=None, wo
     return spark.read.parquet(out).select(*schema.fieldNames())
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
@@ -173,22 +234,24 @@ def revision_stream(
     schema,
     key: Sequence[str],
     value: str,
+    version: str = "version",
     work_dir: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Late corrections (I5): each micro-batch is appended to a log with its epoch; the current
-    table is the newest version per key (E1) and the ledger lists every change of ``value``
-    between consecutive versions of a key (E8). Returns (current, ledger)."""
+    """Late corrections (I5): rows carry the number of their delivery in ``version``, so files may
+    arrive in any order and number. Each micro-batch is appended to a log; the current table is the
+    newest version per key (E1) and the ledger lists every change of ``value`` between consecutive
+    versions of a key (E8). Returns (current, ledger); both are empty for an empty landing folder."""
     from ..operators.windows import revisions
 
     work = work_dir or scratch_path(spark, "revision-stream")
     log = f"{work}/log"
 
     def write(b: DataFrame, epoch: int) -> None:
-        b.withColumn("version", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{log}/epoch={epoch}")
+        b.write.mode("overwrite").parquet(f"{log}/epoch={epoch}")
 
-    _run(_source(spark, landing, schema, max_files=1).writeStream.foreachBatch(write), f"{work}/checkpoint")
-    entries = spark.read.parquet(log).select(*schema.fieldNames(), "version")
-    current = latest_per_key(entries, list(key), ["version"])
+    _run(_source(spark, landing, schema).writeStream.foreachBatch(write), f"{work}/checkpoint")
+    entries = spark.read.parquet(log).select(*schema.fieldNames()) if _exists(spark, log) else spark.createDataFrame([], schema)
+    current = latest_per_key(entries, list(key), [version])
     # versions of one key are few (one per delivery), so the per-key window is small
-    ledger = revisions(entries.select(*key, "version", value), list(key), "version", value)
+    ledger = revisions(entries.select(*key, version, value), list(key), version, value)
     return current, ledger

@@ -303,3 +303,55 @@ def test_rank_paths_agree(spark):
         va = windows.value_ranks(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double"))
         up = windows.global_rank(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double")).distinct()
         assert rows(va) == rows(up)
+
+
+def test_revision_stream_empty_and_out_of_order(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from ledgerlens.streaming import register_stream as rs
+
+    schema = StructType.fromDDL("k long, v string, version long")
+    current, ledger = rs.revision_stream(spark, str(tmp_path / "nothing"), schema, ["k"], "v")
+    assert current.count() == 0 and ledger.count() == 0
+    landing = str(tmp_path / "landing")
+    for batch in ([(1, "b", 1)], [(1, "a", 0), (2, "x", 0)], [(1, "c", 2), (2, "x", 1)]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(landing)
+    current, ledger = rs.revision_stream(spark, landing, schema, ["k"], "v")
+    assert sorted((r.k, r.v) for r in current.collect()) == [(1, "c"), (2, "x")]
+    assert sorted((r.k, r.old_value, r.v) for r in ledger.collect()) == [(1, "a", "b"), (1, "b", "c")]
+
+
+def test_bucket_store_upserts_and_survives_a_repeated_version(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from ledgerlens.streaming import register_stream as rs
+
+    schema = StructType.fromDDL("k long, v string, t long, url string")
+    store = rs.BucketStore(spark, str(tmp_path / "s"), schema, ["k"], ["t"], keep_first=["url"], buckets=4)
+    assert store.read().count() == 0
+    df = lambda rows_in: spark.createDataFrame(rows_in, schema)
+    store.upsert(df([(k, "a", 1, f"u{k}") for k in range(20)]), 0)
+    store.upsert(df([(3, "b", 2, "new"), (4, "old", 0, "older"), (50, "c", 1, "u50")]), 1)
+    store.upsert(df([(3, "again", 9, "x")]), 1)  # the same epoch again: already there
+    got = {r.k: (r.v, r.url) for r in store.read().collect()}
+    assert len(got) == 21 and got[3] == ("b", "u3") and got[4] == ("a", "older") and got[50] == ("c", "u50")
+    assert len(store._current()) <= 4
+
+
+def test_open_counts_equal_open_windows(spark):
+    items = spark.createDataFrame(
+        [(1, "2024-01-15", "2024-03-01"), (2, "2024-02-01", None), (3, "2024-01-01", "2024-01-31"), (4, None, "2024-05-01"), (5, "2024-04-01", "2024-02-01"), (6, "2023-01-01", "2030-01-01")],
+        "i int, s string, e string").select("i", F.to_timestamp("s").cast("timestamp_ntz").alias("s"), F.to_timestamp("e").cast("timestamp_ntz").alias("e"))
+    months = spark.createDataFrame([("2024-01-01",), ("2024-02-01",), ("2024-03-01",), ("2024-06-01",)], "m string").select(F.to_timestamp("m").cast("timestamp_ntz").alias("m"))
+    rows_of = joins.open_windows(items, months, "s", "e", "m", grid="month")
+    want = rows_of.groupBy("m").agg(F.count("*").alias("n"), F.count_if(F.col("e").isNull()).alias("z"), F.sum(F.coalesce("days_to_close", F.lit(0))).alias("d"))
+    got = joins.open_counts(items, months, "s", "e", "m", grid="month").select("m", F.col("n_open").alias("n"), F.col("n_open_ended").alias("z"), F.col("days_to_close_sum").alias("d"))
+    assert rows(got) == rows(want)
+
+
+def test_purge_scratch(spark):
+    path = bulletins.scratch_path(spark, "purge-me")
+    spark.range(3).write.parquet(path)
+    bulletins.purge_scratch(spark, 1.0)
+    assert spark.read.parquet(path).count() == 3
+    assert bulletins.purge_scratch(spark, -1.0) >= 1
