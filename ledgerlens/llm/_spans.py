@@ -1,4 +1,4 @@
-"""Positions of regular-expression matches with DataFrame functions."""
+"""Positions of regular-expression matches, and other helpers, with DataFrame functions."""
 
 from __future__ import annotations
 
@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 500_000  # tables of so many short rows at most are broadcast, larger ones are shuffled
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows are few."""
+    rows = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def text_hash(text: Column) -> Column:
     """Tells rows of one id apart; null for a null text."""
     return F.when(text.isNotNull(), F.xxhash64(text.cast("string")))

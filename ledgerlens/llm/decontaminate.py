@@ -16,16 +16,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
 
-from ._spans import fresh, same_rows, text_hash
+from ._spans import fresh, same_rows, small, text_hash
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-BROADCAST_ROWS = 500_000  # tables of so many short rows at most are broadcast, larger ones are shuffled
-
-
-def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are few."""
-    rows = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _words(text: Column) -> Column:
@@ -79,15 +72,15 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     hashed = rows.select("id", "h", F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
     kept = hashed.select("id", "h", _sketchable("w", lengths, max(ceilings.values())).alias("xs"))
     # outer: a plain explode would push a filter on the arrays' size below, computing them again for each element
-    met = kept.select("id", "h", F.explode_outer("xs").alias("x")).join(_small(sketch), "x").select("id", "h", "item").distinct()
+    met = kept.select("id", "h", F.explode_outer("xs").alias("x")).join(small(sketch), "x").select("id", "h", "item").distinct()
     met = materialize(met)
     # verification reads only texts with a candidate
     n_met = met.count()
     wanted = met.select(F.col("id").alias("c_id"), F.col("h").alias("c_h")).distinct()
-    texts = rows.join(_small(wanted, n_met), same_rows(["id", "h"], ["c_id", "c_h"]), "left_semi").dropDuplicates(["id", "h"])
+    texts = rows.join(small(wanted, n_met), same_rows(["id", "h"], ["c_id", "c_h"]), "left_semi").dropDuplicates(["id", "h"])
     texts = texts.select("id", "h", _words(F.col("t")).alias("w"))
     strings = F.array_distinct(F.concat(*(F.coalesce(_strings("w", k), F.array().cast("array<string>")) for k in lengths)))
-    found = texts.select("id", "h", F.explode_outer(strings).alias("s")).join(_small(listed.select("item", "item_id", "q", "s"), shape[1]), "s")
+    found = texts.select("id", "h", F.explode_outer(strings).alias("s")).join(small(listed.select("item", "item_id", "q", "s"), shape[1]), "s")
     hits = found.groupBy("id", "h", "item", "item_id", "q").agg(F.count("*").alias("n_found")).where(F.col("n_found") * den >= F.col("q") * num)
     sure = hits.join(met.select(F.col("id").alias("m_id"), F.col("h").alias("m_h"), F.col("item").alias("m_item")), same_rows(["id", "h", "item"], ["m_id", "m_h", "m_item"]), "left_semi")
     return sure.select("id", "h", "item_id", F.col("q").cast("long").alias("n_item"), "n_found")
@@ -109,4 +102,4 @@ def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs``, with their columns, that hold no item."""
     of, hashed = fresh(docs, "hit_id"), fresh(docs, "hit_h")
     hits = materialize(contained_items(docs, items, id_col, text_col, **kw).select(F.col("id").alias(of), F.col("h").alias(hashed)).distinct())
-    return docs.join(_small(hits), F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_anti")
+    return docs.join(small(hits), F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_anti")

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialize
 
-from ._spans import fresh, text_hash
-from .decontaminate import _small
+from ._spans import fresh, small, text_hash
 
 MIN_SITES = 10
 LOG_SIZE = 10  # 2^10 registers: a standard error of 3.3 %
@@ -38,7 +37,7 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, margin: floa
     spread = materialize(spread.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - margin) - 1))
     clear = spread.where(F.col("sites") > min_sites * (1 + margin) + 1).select("line")
     near = spread.where(F.col("sites") <= min_sites * (1 + margin) + 1).select("line")
-    exact = lines.join(_small(near), "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites).select("line")
+    exact = lines.join(small(near), "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites).select("line")
     return clear.unionByName(exact)
 
 
@@ -56,9 +55,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # outer: a plain explode would compute the keys twice, for a filter on their number
     lines = rows.select("id", "h", "site", F.explode_outer(_keys(F.col("t"))).alias("line")).where("line IS NOT NULL")
     common = materialize(boilerplate_lines(lines.select("line", F.col("site").cast("string").alias("site")), min_sites))
-    hits = lines.select("id", "h", "line").join(_small(common), "line")
+    hits = lines.select("id", "h", "line").join(small(common), "line")
     first = hits.groupBy("line").agg(F.min(F.struct("id", "h")).alias("first"))
-    drop = hits.join(_small(first.withColumnRenamed("line", "f_line")), F.col("line") == F.col("f_line")).where(~F.struct("id", "h").eqNullSafe(F.col("first")))
+    drop = hits.join(small(first.withColumnRenamed("line", "f_line")), F.col("line") == F.col("f_line")).where(~F.struct("id", "h").eqNullSafe(F.col("first")))
     mine = [c for c in docs.columns if c not in ("n_lines", "n_removed", "kept")]
     d_id, d_h, key, gone, stay = (fresh(docs, x) for x in ("drop_id", "drop_h", "drop_key", "drop_lines", "stay"))
     drop = materialize(drop.groupBy("id", "h").agg(F.collect_set("line").alias(gone)).select(F.col("id").alias(d_id), F.col("h").alias(d_h), gone))

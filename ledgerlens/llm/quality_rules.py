@@ -17,7 +17,7 @@ from pyspark.sql import Window
 
 from ledgerlens.session import materialize
 
-from ._spans import fresh, text_hash
+from ._spans import fresh, small, text_hash
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 NON_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -141,5 +141,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that are kept, with their columns."""
     verdicts, _ = quality_verdicts(docs, labels, id_col, text_col, **kw)
     of, hashed = fresh(docs, "kept_id"), fresh(docs, "kept_hash")
-    keys = verdicts.where("kept").select(F.col(id_col).alias(of), F.col("text_hash").alias(hashed))
-    return docs.join(keys, F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_semi")
+    keys = materialize(verdicts.where("kept").select(F.col(id_col).alias(of), F.col("text_hash").alias(hashed)).distinct())
+    return docs.join(small(keys), F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_semi")

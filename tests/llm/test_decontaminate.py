@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from ledgerlens.llm import _spans
 from ledgerlens.llm import decontaminate as D
 
 
@@ -55,7 +56,7 @@ def test_planted_passages_near_the_threshold(spark):
 @pytest.mark.parametrize("limit", [500_000, 0])
 def test_nulls_empty_long_repeats_and_other_columns(spark, monkeypatch, limit):
     """The same with every join broadcast and with every join shuffled."""
-    monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(_spans, "BROADCAST_ROWS", limit)
     item = "One two THREE four five six seven eight nine ten"
     docs = [(1, None), (2, ""), (3, item), (3, item), (3, "not the item"), (None, "x " * 4000 + item.upper() + " y" * 50), (4, "one two\nthree\tfour five six seven eight nine eleven"),
             (5, "É été " + item.replace(" ", "  ")), (6, "short one here")]

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from ledgerlens.llm import decontaminate as D
+from ledgerlens.llm import _spans
 from ledgerlens.llm import line_spread as L
 
 BLANK = re.compile("[\\x20\\x09-\\x0D]*")
@@ -41,7 +41,7 @@ def check(spark, rows, min_sites, extra=""):
 
 @pytest.mark.parametrize("min_sites,limit", [(3, 500_000), (10, 500_000), (25, 0)])
 def test_spread_near_the_threshold(spark, monkeypatch, min_sites, limit):
-    monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(_spans, "BROADCAST_ROWS", limit)
     rnd = random.Random(min_sites)
     shared = ["shared line %d" % i for i in range(40)]
     rows = []
