@@ -8,8 +8,21 @@ a pair's overlap by one where the pair holds both; no other effect.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+
+def send(spark, value):
+    """Broadcast a value of this package's classes; unlike a plain broadcast it needs no installed copy of them."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared):
+    """The value that ``send`` broadcast, in a task."""
+    return pickle.loads(shared.value)
+
 
 _U = np.uint64
 _BLOCK = 1 << 18  # bytes hashed at a time

@@ -114,7 +114,7 @@ def _deal_fn(shared, buckets, n, v_size):
     """A flush's pairs by bucket, and its documents' own facts with one of the buckets."""
 
     def run(batches):
-        head = shared.value
+        head = T.received(shared)
         part = TaskContext.get().partitionId()
         for seq, (ids, rest, code, who, ends) in enumerate(_flushes(batches, _FLUSH)):
             flush = (part << 20) + seq
@@ -195,7 +195,7 @@ def _tally_fn(shared, n, n_fold):
     Where the word's count is not known here, its code stands in for the unigram bin."""
 
     def run(rows):
-        head = shared.value
+        head = T.received(shared)
         _, w, _, fold, cvw, fvw, cv, fv = _meet(list(rows), head)
         on = fold > 0
         w, b = w[on], bucket_of(cv[on] - fv[on])
@@ -242,7 +242,7 @@ def _score_fn(shared, weights, n, v_size):
     """Sums of log probabilities by document, and the occurrences whose word's count is elsewhere."""
 
     def run(rows):
-        head = shared.value
+        head = T.received(shared)
         rows = list(rows)
         flush = np.concatenate([np.full(len(r["d"]) // 4, r["flush"]) for r in rows]) if rows else np.zeros(0, np.int64)
         _, w, d, _, cvw, _, cv, _ = _meet(rows, head)
@@ -315,7 +315,7 @@ def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     inside = steps["t"][steps["count"].cumsum() <= head_words]
     top = uni.where(F.col("t") >= (int(inside.min()) if len(inside) else 1 << 62)).select("w", "c", "f").toPandas()
     head = _Head(top["w"].to_numpy(np.int64).view(_U), top["c"].to_numpy(), top["f"].to_numpy(), ends[0], ends[1])
-    shared = spark.sparkContext.broadcast(head)
+    shared = T.send(spark, head)
 
     buckets = max(1, -(-int(tokens) // _BUCKET))
     dealt = base.mapInArrow(_deal_fn(shared, buckets, n, v_size), _FAT.format(id=id_type)).repartitionById(buckets, "p").rdd

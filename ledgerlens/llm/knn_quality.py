@@ -149,7 +149,7 @@ def fitted_space(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def _score_fn(shared):
     def run(batches):
-        space = shared.value
+        space = T.received(shared)
         for batch in batches:
             raw, off = T.text_buffers(batch.column(1))
             for i, j in T.slices(off):
@@ -172,6 +172,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     space = fitted_space(docs, labels, id_col, text_col, label_col, fold, **kw)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     kind = base.schema["id"].dataType.simpleString()
-    out = base.mapInArrow(_score_fn(docs.sparkSession.sparkContext.broadcast(space)), f"id {kind}, score double")
+    out = base.mapInArrow(_score_fn(T.send(docs.sparkSession, space)), f"id {kind}, score double")
     held = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % fold[0] == fold[1]
     return out.select(F.col("id").alias(id_col), held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

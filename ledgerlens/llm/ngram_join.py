@@ -186,10 +186,10 @@ def _keys_fn(size, threshold, buckets, common):
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]], ["p", "keys", "nodes", "a", "b"])
 
     def run(batches):
-        keys, nodes, held = [], [], 0
+        keys, nodes, held, often = [], [], 0, T.received(common)
         for batch in batches:
             for _, _, values, so, node in _sets_of(batch, size):
-                k, n = block_keys(values, so, node, threshold, common.value)
+                k, n = block_keys(values, so, node, threshold, often)
                 keys.append(k)
                 nodes.append(n)
                 held += len(k)
@@ -319,7 +319,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = base.schema["id"].dataType.simpleString()
     read = materialize(base.mapInArrow(_sizes_fn(size), f"id {id_type}, n long, node long, common boolean"))
     rows = read.where("NOT common")
-    common = spark.sparkContext.broadcast(_most_common(read.where("common")))
+    common = T.send(spark, _most_common(read.where("common")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     sets = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("sid"), F.count("*").alias("copies"), F.first("n").alias("n"))
     buckets = max(1, -(-int(total * 0.55) // _BUCKET))

@@ -324,11 +324,12 @@ def trained_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _scan_fn(shared):
     def run(batches):
+        w = T.received(shared)
         for batch in batches:
             _, off = T.text_buffers(batch.column(1))
             for i, j in T.slices(off):
                 texts = [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
-                found = find_spans(texts, shared.value)
+                found = find_spans(texts, w)
                 write = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
                 count = [pa.array([sum(s[1] == k for s in base) for base, _ in found], pa.int64()) for k in range(len(KINDS))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *count, pa.array([write(b) for b, _ in found]), pa.array([write(s) for _, s in found])],
@@ -347,4 +348,4 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     w = weights or trained_weights(docs, id_col, text_col)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     schema = f"id {base.schema['id'].dataType.simpleString()}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_spans string, spans string"
-    return base.mapInArrow(_scan_fn(docs.sparkSession.sparkContext.broadcast(w)), schema).withColumnRenamed("id", id_col)
+    return base.mapInArrow(_scan_fn(T.send(docs.sparkSession, w)), schema).withColumnRenamed("id", id_col)

@@ -220,7 +220,7 @@ def _encode_fn(shared, threads):
     def run(batches):
         codec = None
         for batch in batches:
-            codec = codec or Codec(shared.value, threads)
+            codec = codec or Codec(T.received(shared), threads)
             column = batch.column(batch.num_columns - 1)
             _, off = T.text_buffers(column)
             for i, j in T.slices(off, 1 << 20):
@@ -237,7 +237,7 @@ def _encode_fn(shared, threads):
 
 def _model(spark, model_path: str):
     with open(model_path, "rb") as f:  # on the driver; a model is a few MB at most and goes by broadcast
-        return spark.sparkContext.broadcast(Model(f.read()))
+        return T.send(spark, Model(f.read()))
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, threads: int = 2) -> DataFrame:
@@ -254,13 +254,14 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
 
 def _decode_fn(shared):
     def run(batches):
+        model = T.received(shared)
         for batch in batches:
             column = batch.column(1)
             if isinstance(column, pa.ChunkedArray):
                 column = column.combine_chunks()
             lists = column.fill_null([]) if column.null_count else column
             counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-            texts = decode(shared.value, lists.flatten().to_numpy(zero_copy_only=False), counts)
+            texts = decode(model, lists.flatten().to_numpy(zero_copy_only=False), counts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())], pa.string())], batch.schema.names)
     return run
 
