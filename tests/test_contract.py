@@ -42,3 +42,15 @@ def test_planned_query_names_registered(registry):
         if len(cols) >= 8 and re.match(r"^[A-K]\d+$", cols[0]):
             planned |= set(re.findall(r"`([a-z0-9_]+)`", cols[6]))
     assert planned - not_queries - set(registry) == set()
+
+
+def test_optional_parts_may_be_missing(monkeypatch):
+    """Without the text-preparation subpackage and the pipeline the other queries are there."""
+    import importlib.util
+
+    whole = importlib.util.find_spec
+    gone = lambda name, *a: None if name.startswith(("ledgerlens.llm", "corpus_pipeline")) else whole(name, *a)
+    monkeypatch.setattr(importlib.util, "find_spec", gone)
+    q, o = entry_mod.queries(), entry_mod.oracle_sql()
+    assert len(q) >= 130 and set(o) <= set(q)
+    assert not any(n.startswith("op1_") or n == "pipeline" for n in q)
