@@ -298,7 +298,7 @@ def asof_latest(
     value_cols: Sequence[str],
     bucket: str = "month",
     hot_rows: int = 1_000_000,
-    sub_buckets: int = 64,
+    sub_buckets: int | None = None,
 ) -> DataFrame:
     """For each fact row, the latest vintage row of the same key at or before its time.
 
@@ -309,8 +309,6 @@ def asof_latest(
     partial aggregate over the hot groups, broadcast back). The value entering a (sub-)bucket
     comes from a small table of bucket-final vintages.
     """
-    from pyspark.sql import Window
-
     from ..session import materialize
 
     keys = _keys(by)
@@ -344,7 +342,9 @@ def asof_latest(
         fact_buckets = fact_counts.select(*grp).withColumn("__s", F.lit(0))
     else:
         hot = bounded(hot)
-        qs = [i / sub_buckets for i in range(1, sub_buckets)]
+        most = fact_counts.agg(F.max("__n")).first()[0]
+        parts = sub_buckets or min(10_000, max(2, -(-2 * most // hot_rows)))
+        qs = [i / parts for i in range(1, parts)]
         bounds = materialize(
             u.select(*grp, vt).join(hot, grp, "left_semi")
             .groupBy(*grp).agg(F.array_distinct(F.percentile_approx(vt, qs, 10_000)).alias("__q"))
@@ -361,13 +361,14 @@ def asof_latest(
         u.where(F.col(tag) == 1)
         .groupBy(*fine)
         .agg(F.max_by("__v", F.struct(vt, "__v.__vtime")).alias("__bv"))
-        .select(*keys, F.struct(bkt, "__s").alias("__vb"), "__bv")
+        .select(*fine, "__bv")
     )
-    # value entering each fact (sub-)bucket = newest final vintage of an earlier one;
-    # this product is over buckets (per key), not rows
-    fb = fact_buckets.withColumn("__fb", F.struct(bkt, "__s"))
-    cand = fb.join(last_in_bucket, keys, "inner").where(F.col("__vb") < F.col("__fb"))
-    carry_in = cand.groupBy(*fine).agg(F.max_by("__bv", "__vb").alias("__carry"))
+    # value entering each fact (sub-)bucket = newest final vintage of an earlier one: a running
+    # last value over the key's bucket rows
+    marks = last_in_bucket.unionByName(fact_buckets.withColumn("__bv", F.lit(None).cast(last_in_bucket.schema["__bv"].dataType)))
+    marks = marks.groupBy(*fine).agg(F.first("__bv", ignorenulls=True).alias("__bv"))
+    earlier = Window.partitionBy(*keys).orderBy(bkt, "__s").rowsBetween(Window.unboundedPreceding, -1)
+    carry_in = marks.withColumn("__carry", F.last("__bv", ignorenulls=True).over(earlier)).drop("__bv")
 
     w = (
         Window.partitionBy(*fine)
