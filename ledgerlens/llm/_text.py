@@ -8,12 +8,37 @@ a pair's overlap by one where the pair holds both; no other effect.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+def frugal() -> None:
+    """Let this Python worker hand large freed blocks back to the system at once (glibc; elsewhere nothing).
+
+    A worker lives on between tasks beside its executor's JVM; without this it keeps its peak."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-8, 1)  # M_ARENA_MAX: threads share one heap
+        libc.mallopt(-3, 1 << 19)  # M_MMAP_THRESHOLD: blocks of 512 kB and more are mapped on their own
+
+
+@contextmanager
+def lean_batches(spark, size: int = 8 << 20):
+    """Jobs started inside hand Arrow batches of at most so many bytes to Python; the setting is put back after."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def send(spark, value):
     """Broadcast a value of this package's classes; unlike a plain broadcast it needs no installed copy of them."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

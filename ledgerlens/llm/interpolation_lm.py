@@ -58,6 +58,7 @@ def _tokens(raw, off):
 
 def _flushes(batches, most):
     """Runs of a task's documents of about ``most`` tokens: (ids, rests, codes, text index, ends)."""
+    T.frugal()
     held, size = [], 0
 
     def joined():
@@ -163,6 +164,7 @@ def probability_bin(p):
 
 def _meet(rows, head):
     """All pairs of a bucket with the counts that are known there."""
+    T.frugal()
     col = lambda name, t: np.concatenate([T.from_planes(r[name], t) for r in rows]) if rows else np.zeros(0, t)
     v, w, d = col("v", _U), col("w", _U), col("d", np.uint32)
     train, fold = (d & 1).astype(float), ((d >> 1) & 1).astype(float)
@@ -302,6 +304,11 @@ def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows are counted and scored each. Without training rows only the uniform part is left. Other
     columns are not read. No rows give an empty table.
     """
+    with T.lean_batches(docs.sparkSession):  # all that reads texts runs in here
+        return _scores(docs, id_col, text_col, split, head_words)
+
+
+def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words: int) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(split)).alias("r"),
                        F.col(text_col).cast("string").alias("text"))

@@ -119,6 +119,7 @@ def _sizes_fn(size):
     """Size and hash of each text's set, and (with ``common``) the shingles that many sets of a run share."""
 
     def run(batches):
+        T.frugal()
         held, total, nodes, blank = [], 0, [], None
 
         def shared():
@@ -186,6 +187,7 @@ def _keys_fn(size, threshold, buckets, common):
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]], ["p", "keys", "nodes", "a", "b"])
 
     def run(batches):
+        T.frugal()
         keys, nodes, held, often = [], [], 0, T.received(common)
         for batch in batches:
             for _, _, values, so, node in _sets_of(batch, size):
@@ -204,6 +206,7 @@ def _keys_fn(size, threshold, buckets, common):
 
 def _meet(table: pa.Table) -> pa.Table:
     """A spanning forest of the links among the nodes that share a key of this bucket."""
+    T.frugal()
     col = lambda c, t: np.concatenate([T.from_planes(x.as_py(), t) for x in table[c]])
     a, b, _, _ = _star(col("keys", _U), col("nodes", np.int64))
     a, b = _distinct_pairs(np.concatenate((a, col("a", np.int64))), np.concatenate((b, col("b", np.int64))))
@@ -228,6 +231,7 @@ def _fetch_fn(size, bitmap, bits):
     """Sets of the documents whose node may be wanted (the join that follows is exact)."""
 
     def run(batches):
+        T.frugal()
         want = bitmap.value
         for batch in batches:
             for i, j, values, so, node in _sets_of(batch, size):
@@ -286,6 +290,7 @@ def _most_common(read: DataFrame) -> Common:
 
 def _tile_fn(threshold):
     def run(table: pa.Table) -> pa.Table:
+        T.frugal()
         node, at = np.unique(table["node"].to_numpy(), return_index=True)  # a document that is there twice counts once
         side, copies = table["side"].to_numpy()[at], table["copies"].to_numpy()[at]
         sets = [np.frombuffer(table["items"][int(i)].as_py(), _U) for i in at]
@@ -314,6 +319,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row gets the smallest non-null id of its component (null if there is none). Other columns of
     ``docs`` are not read. No rows give an empty table.
     """
+    with T.lean_batches(docs.sparkSession):  # all that Python does runs in here
+        return _components(docs, id_col, text_col, threshold, size)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, threshold: Fraction, size: int) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()

@@ -23,7 +23,7 @@ from . import _text as T
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-_MEMO = 400_000  # different segments a task remembers
+_MEMO = 150_000  # different segments a task remembers
 _LONG = 64  # longer ones are not remembered
 _RUN = 20  # new segments encoded as one text
 
@@ -109,6 +109,7 @@ class Codec:
 
         import sentencepiece
 
+        T.frugal()
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model, self.tok = model, model.tokenizer()
@@ -129,7 +130,7 @@ class Codec:
         lead = self.sp.encode("a") if self.model.prefix else []
         plain = [(s[1:] if self.model.prefix else s).replace(MARK, " ") for s in segments]
         blank = [i for i, p in enumerate(plain) if not p.strip(" ")]
-        out = self.sp.encode(plain, num_threads=self.threads)
+        out = self.sp.encode(plain, num_threads=1)
         for i in blank:  # a run of markers at a text's end: alone it would not get a prefix
             out[i] = self.sp.encode("a" + segments[i].replace(MARK, " "))[len(lead):] if lead else out[i]
         return out
@@ -150,7 +151,7 @@ class Codec:
         runs = [rest[i: i + _RUN] for i in range(0, len(rest), _RUN)]
         texts = ["".join([segments[i] for i in r]) for r in runs]
         encoded = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        own = self.sp.encode([(t[1:] if self.model.prefix else t).replace(MARK, " ") for t in texts], num_threads=self.threads)
+        own = self.sp.encode([(t[1:] if self.model.prefix else t).replace(MARK, " ") for t in texts], num_threads=1)
         ids = np.fromiter((i for x in encoded for i in x), np.int32)
         reach = np.cumsum(self.piece_size[ids])
         length = np.fromiter((len(segments[i].encode()) for i in rest), np.int64, len(rest))
@@ -223,7 +224,7 @@ def _encode_fn(shared, threads):
             codec = codec or Codec(T.received(shared), threads)
             column = batch.column(batch.num_columns - 1)
             _, off = T.text_buffers(column)
-            for i, j in T.slices(off, 1 << 20):
+            for i, j in T.slices(off, 1 << 18):
                 texts = column.slice(i, j - i).to_pylist()
                 ids, counts, agreed = codec.encode([t or "" for t in texts])
                 back = decode(codec.model, ids, counts)
