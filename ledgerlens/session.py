@@ -55,6 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# called with each materialised frame once it has run; set by the plan audit only
+recorder = None
+
+
 def materialize(df):
     """Compute a small intermediate once and cut its lineage (reliable checkpoint in the shared
     checkpoint folder; never a local checkpoint).
@@ -64,4 +68,7 @@ def materialize(df):
     differently pruned branches do not share exchanges.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if recorder is not None:
+        recorder(df)
+    return out
