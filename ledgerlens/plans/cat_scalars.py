@@ -341,3 +341,14 @@ def q_json_shape(spark, d):
 def q_coalesce_keys(spark, d):
     e = Tables(spark, d)("events")
     return e.select("event_id", scalars.coalesce_keys("props", ["$.loop", "$.k"]).alias("v"))
+
+
+@register(
+    "rounded_halves",
+    "SELECT o_orderkey, round_even(o_orderkey / 8.0::DOUBLE, 2) AS r2, round_even(o_orderkey / 8.0::DOUBLE, 0) AS r0, round_even(-o_orderkey / 8.0::DOUBLE, 1) AS neg FROM orders",
+    ids=("H10",),
+)
+def q_rounded_halves(spark, d):
+    """Half-even rounding; eighths are exact binary fractions, so their halves are real ties."""
+    x = F.col("o_orderkey") / F.lit(8.0)
+    return Tables(spark, d)("orders").select("o_orderkey", scalars.rnd(x, 2).alias("r2"), scalars.rnd(x, 0).alias("r0"), scalars.rnd(-x, 1).alias("neg"))
