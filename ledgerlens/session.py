@@ -32,26 +32,26 @@ def local_session(cores: int | str = "*", app: str = "ledgerlens") -> SparkSessi
     return spark
 
 
+_scratch: dict[str, str] = {}  # application id -> the folder taken for it
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset and the master is local (tests) a fresh scratch folder is taken; a
-    cluster without the setting is an error, since a machine-local folder would not survive.
+    Only when it is unset and the master is local (tests) a fresh scratch folder is taken, once per
+    application; a cluster without the setting is an error, since a machine-local folder would not
+    survive. A folder that the application has set itself is kept.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+    sc = spark.sparkContext
+    now = sc._jsc.sc().getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(sc.applicationId) or (now.get() if now.isDefined() else None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints and stream state live there)")
-        d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # static in some builds; setCheckpointDir below is enough
-            pass
-    spark.sparkContext.setCheckpointDir(d)
+        d = _scratch[sc.applicationId] = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not now.isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -355,3 +355,13 @@ def test_purge_scratch(spark):
     bulletins.purge_scratch(spark, 1.0)
     assert spark.read.parquet(path).count() == 3
     assert bulletins.purge_scratch(spark, -1.0) >= 1
+
+
+def test_checkpoint_folder_is_stable(spark):
+    from ledgerlens.session import ensure_checkpoint_dir, materialize
+
+    first = ensure_checkpoint_dir(spark)
+    materialize(spark.range(3))
+    assert ensure_checkpoint_dir(spark) == first
+    inner = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    assert inner.count("ledgerlens-ckpt-") <= 1
