@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     now = sc._jsc.sc().getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(sc.applicationId) or (now.get() if now.isDefined() else None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints and stream state live there)")
         d = _scratch[sc.applicationId] = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not now.isDefined():
