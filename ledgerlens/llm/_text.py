@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import ctypes
 import pickle
+import uuid
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+from ledgerlens.session import ensure_checkpoint_dir
+
 def frugal() -> None:
     """Let this Python worker hand large freed blocks back to the system at once (glibc; elsewhere nothing).
 
@@ -39,6 +42,14 @@ def lean_batches(spark, size: int = 8 << 20):
         spark.conf.set(key, before)
 
 
+def stored(df):
+    """``df`` written once to a table in the shared checkpoint folder."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def send(spark, value):
     """Broadcast a value of this package's classes; unlike a plain broadcast it needs no installed copy of them."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -13,16 +13,12 @@ the pair, pairs of a rare context by the context.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import ensure_checkpoint_dir
-
 from . import _text as T
 
 _U = np.uint64
@@ -35,14 +31,6 @@ _BUCKETS = 20  # of context counts: 0, 1, 2-3, 4-7, ...
 _STEP, _BINS = 4, 160  # held-out events are tallied by probability, in quarters of a power of two
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to a table in the shared checkpoint folder."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _tokens(raw, off):
     """Codes of all tokens (each text's words, then the end mark) and their text's index."""
     n = len(off) - 1
@@ -313,7 +301,7 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words:
     base = docs.select(F.col(id_col).alias("id"), F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(split)).alias("r"),
                        F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
-    uni = _stored(base.mapInArrow(_count_fn, "w long, t long, c long, f long").groupBy("w").agg(*(F.sum(x).alias(x) for x in "tcf")))
+    uni = T.stored(base.mapInArrow(_count_fn, "w long, t long, c long, f long").groupBy("w").agg(*(F.sum(x).alias(x) for x in "tcf")))
     tokens, n, n_fold, v_size = (x or 0 for x in uni.agg(F.sum("t"), F.sum("c"), F.sum("f"), F.count_if(F.col("c") > 0)).first())
     ends = uni.where(F.col("w") == _END).select("c", "f").first() or (0, 0)
 
@@ -337,7 +325,7 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words:
     tally.unpersist()
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["many"].to_numpy(float), v_size)
 
-    scored = _stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"flush long, kind int, a binary, b binary, c binary, ids array<{id_type}>", verifySchema=False))
+    scored = T.stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"flush long, kind int, a binary, b binary, c binary, ids array<{id_type}>", verifySchema=False))
     known = scored.where("kind < 2").groupBy("flush").applyInArrow(_sum_fn, f"id {id_type}, uid long, held_out boolean, n_tokens long, known long, base double, score double")
     c = F.coalesce("c", F.lit(0))
     weight = lambda k: F.get(F.array(*(F.lit(float(x)) for x in weights[:, k])), F.col("b"))

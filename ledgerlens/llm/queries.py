@@ -150,9 +150,9 @@ def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_sentencepiece")
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .sentencepiece_codec import encoded
+    from .sentencepiece_codec import encoded_table
 
-    return encoded(table(spark, sf_dir, "documents"))
+    return encoded_table(table(spark, sf_dir, "documents"))
 
 
 @query("op5_personal_data")

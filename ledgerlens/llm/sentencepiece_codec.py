@@ -11,7 +11,6 @@ marked (a unigram model reads the name of a byte piece, such as <0x41>, standing
 
 from __future__ import annotations
 
-import json
 import re
 
 import numpy as np
@@ -23,7 +22,7 @@ from . import _text as T
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-_MEMO = 150_000  # different segments a task remembers
+_MEMO = 200_000  # different segments a task remembers
 _LONG = 64  # longer ones are not remembered
 _RUN = 20  # new segments encoded as one text
 
@@ -66,12 +65,8 @@ class Model:
                 if self.normal[i] and len(piece) > 1:
                     merges += [(-score, i, ids[piece[:k]], piece[:k], piece[k:]) for k in range(1, len(piece)) if piece[:k] in ids and piece[k:] in ids]
             merges.sort()
-            spec = {"type": "BPE", "unk_token": self.pieces[self.unk][0], "fuse_unk": True, "byte_fallback": self.byte_fallback, "ignore_merges": False,
-                    "vocab": ids, "merges": [[a, b] for *_, a, b in merges]}
-            whole = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": None, "post_processor": None, "decoder": None, "model": spec}
-            out = Tokenizer.from_str(json.dumps(whole))
-            out.decoder = self._decoder(decoders)
-            return out
+            # a task remembers what it encoded itself; the model's own cache would only hold long runs of segments
+            model = models.BPE(ids, [(a, b) for *_, a, b in merges], cache_capacity=0, unk_token=self.pieces[self.unk][0], fuse_unk=True, byte_fallback=self.byte_fallback)
         out = Tokenizer(model)
         if self.charsmap:
             out.normalizer = normalizers.Precompiled(self.charsmap)
@@ -224,7 +219,7 @@ def _encode_fn(shared, threads):
             codec = codec or Codec(T.received(shared), threads)
             column = batch.column(batch.num_columns - 1)
             _, off = T.text_buffers(column)
-            for i, j in T.slices(off, 1 << 18):
+            for i, j in T.slices(off, 1 << 19):
                 texts = column.slice(i, j - i).to_pylist()
                 ids, counts, agreed = codec.encode([t or "" for t in texts])
                 back = decode(codec.model, ids, counts)
@@ -253,6 +248,12 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
     return base.mapInArrow(_encode_fn(_model(docs.sparkSession, model_path), threads), f"`{id_col}` {kind}, token_ids array<int>, n_tokens long, round_trip boolean, parity boolean")
 
 
+def encoded_table(docs: DataFrame, **kw) -> DataFrame:
+    """``encoded``, run now with small Arrow batches and written to a table in the shared folder."""
+    with T.lean_batches(docs.sparkSession, 4 << 20):
+        return T.stored(encoded(docs, **kw))
+
+
 def _decode_fn(shared):
     def run(batches):
         model = T.received(shared)
