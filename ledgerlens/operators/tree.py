@@ -117,7 +117,8 @@ def json_tree(
         marker = F.array(F.struct(F.array(F.lit(2147483647)).alias("pos_path"), F.lit("$").alias("path"), F.lit(1).alias("depth"), F.lit(None).cast("string").alias("key"), F.lit("marker").alias("kind"), F.lit(MARKER).alias("text")))
         kept = F.slice("nodes", F.lit(1), F.col("c.k"))
         cur = cur.select("id", F.when(F.col("c.s") >= max_chars, F.concat(kept, marker)).otherwise(F.col("nodes")).alias("nodes"))
-    return cur.select("id", F.inline("nodes"))
+    # outer: a plain inline would push a filter on the array's size below, walking every document twice
+    return cur.select("id", F.inline_outer("nodes")).where("path IS NOT NULL")
 
 
 def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280, reserved: tuple[str, ...] = RESERVED_KEYS) -> DataFrame:
@@ -125,10 +126,10 @@ def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280
 
     The columns are the union of the objects' keys in first-seen order, with humanized names; a key
     that an object lacks gives an empty cell; a nested value gives its JSON text, cut."""
-    nodes = _walked(df, id_col, json_col, None, reserved).select("id", F.inline("nodes")).where("kind = 'array'").select("id", "path", entries(F.col("raw")).alias("items"))
+    nodes = _walked(df, id_col, json_col, None, reserved).select("id", F.inline_outer("nodes")).where("kind = 'array'").select("id", "path", entries(F.col("raw")).alias("items"))
     lists = nodes.where((F.size("items") > 0) & F.forall("items", lambda e: e["kind"] == "object"))
-    rows = lists.select("id", "path", F.posexplode("items").alias("row_no", "item"))
-    cells = rows.select("id", "path", "row_no", F.posexplode(entries(F.col("item.raw"))).alias("pos", "e")).select("id", "path", "row_no", "pos", "e.key", "e.raw")
+    rows = lists.select("id", "path", F.posexplode_outer("items").alias("row_no", "item"))
+    cells = rows.select("id", "path", "row_no", F.posexplode_outer(entries(F.col("item.raw"))).alias("pos", "e")).where("e IS NOT NULL").select("id", "path", "row_no", "pos", "e.key", "e.raw")
     first = cells.groupBy("id", "path", "key").agg(F.min(F.struct("row_no", "pos")).alias("first"))
     order = Window.partitionBy("id", "path").orderBy("first")  # over one table's columns
     cols = first.select("id", "path", "key", (F.row_number().over(order) - 1).alias("col_no"))
