@@ -96,17 +96,19 @@ def _short(head, code):
     return np.where(head.words[at] == code, (at + 1).astype(_U), code)
 
 
-_FAT = "p int, flush long, v binary, w binary, d binary, ids array<{id}>, facts binary"
+_FAT = "p int, part int, seq long, v binary, w binary, d binary, ids array<{id}>, facts binary"
 
 
 def _deal_fn(shared, buckets, n, v_size):
-    """A flush's pairs by bucket, and its documents' own facts with one of the buckets."""
+    """A flush's pairs by bucket, and its documents' own facts with one of the buckets.
+
+    A flush is named by the scan partition and its number there, a document by its index in the flush."""
+    bits = max(20, int(buckets).bit_length())
 
     def run(batches):
         head = T.received(shared)
         part = TaskContext.get().partitionId()
         for seq, (ids, rest, code, who, ends) in enumerate(_flushes(batches, _FLUSH)):
-            flush = (part << 20) + seq
             w = _short(head, code)
             v = np.empty_like(w)
             v[1:] = w[:-1]
@@ -116,7 +118,7 @@ def _deal_fn(shared, buckets, n, v_size):
             with np.errstate(over="ignore"):
                 spread = T.mix(np.where(rare, v, v * _U(0x9E3779B1) + T.mix(w)))
             p = ((spread >> _U(32)) * _U(buckets)) >> _U(32)
-            order = np.argsort((p << _U(44)) | np.where(rare, v >> _U(20), (v << _U(22)) | (w & _U((1 << 22) - 1))))
+            order = np.argsort((p << _U(64 - bits)) | (np.where(rare, v >> _U(20), (v << _U(22)) | (w & _U((1 << 22) - 1))) >> _U(bits - 20)))
             d = (who.astype(np.uint32) << np.uint32(2)) | ((rest[who] == 1).astype(np.uint32) << np.uint32(1)) | (rest[who] != 0)
             known = w < _TOP
             c = np.zeros(len(w))
@@ -126,15 +128,15 @@ def _deal_fn(shared, buckets, n, v_size):
             facts = np.stack((rest == 0, np.bincount(who, minlength=docs), np.bincount(who, weights=known & (c > 0), minlength=docs),
                               np.bincount(who, weights=base, minlength=docs))).astype(np.float64)
             at = np.concatenate(([0], np.cumsum(np.bincount(p.astype(np.int64), minlength=buckets))))
-            home = flush % buckets
+            home = (part * 1_000_003 + seq) % buckets
             for q in range(buckets):
                 o = order[at[q]: at[q + 1]]
                 if len(o) or q == home:
                     mine = pa.concat_arrays(ids) if q == home else ids[0].slice(0, 0)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([q], pa.int32()), pa.array([flush]), pa.array([T.planes(v[o])], pa.binary()), pa.array([T.planes(w[o])], pa.binary()),
+                        pa.array([q], pa.int32()), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([T.planes(v[o])], pa.binary()), pa.array([T.planes(w[o])], pa.binary()),
                         pa.array([T.planes(d[o])], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(mine)], pa.int32()), mine),
-                        pa.array([facts.tobytes() if q == home else b""], pa.binary())], ["p", "flush", "v", "w", "d", "ids", "facts"])
+                        pa.array([facts.tobytes() if q == home else b""], pa.binary())], ["p", "part", "seq", "v", "w", "d", "ids", "facts"])
 
     return run
 
@@ -234,7 +236,9 @@ def _score_fn(shared, weights, n, v_size):
     def run(rows):
         head = T.received(shared)
         rows = list(rows)
-        flush = np.concatenate([np.full(len(r["d"]) // 4, r["flush"]) for r in rows]) if rows else np.zeros(0, np.int64)
+        flushes = sorted({(r["part"], r["seq"]) for r in rows})
+        number = {x: i for i, x in enumerate(flushes)}  # in this task only
+        flush = np.concatenate([np.full(len(r["d"]) // 4, number[r["part"], r["seq"]], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
         _, w, d, _, cvw, _, cv, _ = _meet(rows, head)
         doc = (d >> 2).astype(np.int64)
         b = bucket_of(cv)
@@ -246,15 +250,15 @@ def _score_fn(shared, weights, n, v_size):
         total = np.bincount(at, weights=log, minlength=len(u))
         cut = np.flatnonzero(np.diff(u >> 32, prepend=-1)) if len(u) else np.zeros(0, int)
         for lo, hi in zip(cut, np.append(cut[1:], len(u))):
-            yield int(u[lo] >> 32), 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi].astype(np.float32)), b"", []
+            yield *flushes[int(u[lo] >> 32)], 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi].astype(np.float32)), b"", b"", []
         for r in rows:
             if r["facts"]:
-                yield int(r["flush"]), 1, b"", b"", bytes(r["facts"]), r["ids"]
+                yield r["part"], r["seq"], 1, b"", b"", bytes(r["facts"]), b"", r["ids"]
         rest = ~known
         if rest.any():
             o = np.flatnonzero(rest)
             o = o[np.argsort(uid[o], kind="stable")]
-            yield -1, 2, T.planes(w[o]), T.planes(np.concatenate((cvw[o], cv[o])).astype(np.uint64)), T.planes(uid[o]), []
+            yield -1, -1, 2, T.planes(w[o]), T.planes(np.concatenate((cvw[o], cv[o])).astype(np.uint64)), T.planes(uid[o]), np.array(flushes, np.int64).tobytes(), []
 
     return run
 
@@ -262,10 +266,13 @@ def _score_fn(shared, weights, n, v_size):
 def _tail_fn(weights):
     def run(batches):
         for batch in batches:
-            for w, x, u in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("c").to_pylist()):
+            for w, x, u, of in zip(*(batch.column(k).to_pylist() for k in ("a", "b", "c", "flushes"))):
                 cvw, cv = T.from_planes(x, np.uint64).reshape(2, -1).astype(float)
                 b = bucket_of(cv)
-                yield pa.RecordBatch.from_arrays([pa.array(T.from_planes(w, np.int64)), pa.array(T.from_planes(u, np.int64)), pa.array(weights[b, 0] * _ratio(cvw, cv)), pa.array(b.astype(np.int32))], ["w", "uid", "two", "b"])
+                uid = T.from_planes(u, np.int64)
+                part, seq = np.frombuffer(of, np.int64).reshape(-1, 2)[uid >> 32].T
+                yield pa.RecordBatch.from_arrays([pa.array(T.from_planes(w, np.int64)), pa.array(part.astype(np.int32)), pa.array(seq), pa.array((uid & 0xFFFFFFFF).astype(np.int32)),
+                                                  pa.array(weights[b, 0] * _ratio(cvw, cv)), pa.array(b.astype(np.int32))], ["w", "part", "seq", "doc", "two", "b"])
 
     return run
 
@@ -279,7 +286,8 @@ def _sum_fn(key, table):
     for i in np.flatnonzero(kind == 0):
         score[T.from_planes(table["a"][int(i)].as_py(), np.uint32)] += T.from_planes(table["b"][int(i)].as_py(), np.float32)  # a document once in each
     ids = table["ids"].chunk(0) if table["ids"].num_chunks == 1 else pa.concat_arrays(table["ids"].chunks)
-    return pa.table({"id": ids.slice(own, 1).flatten(), "uid": (key[0].as_py() << 32) | np.arange(len(score)), "held_out": facts[0] > 0,
+    return pa.table({"id": ids.slice(own, 1).flatten(), "part": pa.array(np.full(len(score), key[0].as_py(), np.int32)), "seq": np.full(len(score), key[1].as_py(), np.int64),
+                     "doc": np.arange(len(score), dtype=np.int32), "held_out": facts[0] > 0,
                      "n_tokens": facts[1].astype(np.int64), "known": facts[2].astype(np.int64), "base": facts[3], "score": score})
 
 
@@ -325,17 +333,17 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words:
     tally.unpersist()
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["many"].to_numpy(float), v_size)
 
-    scored = T.stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"flush long, kind int, a binary, b binary, c binary, ids array<{id_type}>", verifySchema=False))
-    known = scored.where("kind < 2").groupBy("flush").applyInArrow(_sum_fn, f"id {id_type}, uid long, held_out boolean, n_tokens long, known long, base double, score double")
+    scored = T.stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"part int, seq long, kind int, a binary, b binary, c binary, flushes binary, ids array<{id_type}>", verifySchema=False))
+    known = scored.where("kind < 2").groupBy("part", "seq").applyInArrow(_sum_fn, f"id {id_type}, part int, seq long, doc int, held_out boolean, n_tokens long, known long, base double, score double")
     c = F.coalesce("c", F.lit(0))
     weight = lambda k: F.get(F.array(*(F.lit(float(x)) for x in weights[:, k])), F.col("b"))
     rest = (
-        scored.where("kind = 2").select("a", "b", "c").mapInArrow(_tail_fn(weights), "w long, uid long, two double, b int").join(uni.select("w", "c"), "w", "left")
-        .groupBy("uid").agg(
+        scored.where("kind = 2").select("a", "b", "c", "flushes").mapInArrow(_tail_fn(weights), "w long, part int, seq long, doc int, two double, b int").join(uni.select("w", "c"), "w", "left")
+        .groupBy("part", "seq", "doc").agg(
             F.sum(F.log10(F.col("two") + weight(1) * c / F.lit(float(max(1, n))) + weight(2) / F.lit(v_size + 1.0))).alias("more_score"),
             F.sum(F.log10((c + 0.1) / F.lit(n + 0.1 * (v_size + 1)))).alias("more_base"), F.sum((c > 0).cast("long")).alias("more_known"))
     )
     none = lambda x: F.coalesce(x, F.lit(0))
-    return known.join(rest, "uid", "left").select(
+    return known.join(rest, ["part", "seq", "doc"], "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + none("more_known")).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + none("more_base")).alias("base_score"), (F.col("score") + none("more_score")).alias("score"))

@@ -81,3 +81,43 @@ def test_learned_probabilities_sum_to_one():
     weights = L.learn_weights(cells, np.ones(len(cells)), 100)
     assert weights.sum(axis=1) == pytest.approx(1)
     assert weights[0, 0] == 0
+
+
+def dealt_scores(monkeypatch, texts, partition, head, buckets=3):
+    """(part, seq, doc) -> (id, score without the rare words' parts, rare occurrences) of one scan partition."""
+    context = type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: partition})())})
+    monkeypatch.setattr(L, "TaskContext", context)
+    monkeypatch.setattr(L, "_FLUSH", 8)  # several flushes
+    monkeypatch.setattr(L.T, "received", lambda shared: shared)
+    batches = [L.pa.RecordBatch.from_arrays([L.pa.array([i]), L.pa.array([2]), L.pa.array([t], L.pa.string())], ["id", "r", "text"]) for i, t in enumerate(texts)]
+    weights = np.full((L._BUCKETS, 3), 1 / 3)
+    rows = [r for b in L._deal_fn(head, buckets, 50, 9)(batches) for r in b.to_pylist()]
+    out, rare = [], []
+    for q in range(buckets):
+        out += list(L._score_fn(head, weights, 50, 9)([r for r in rows if r["p"] == q]))
+    names = ["part", "seq", "kind", "a", "b", "c", "flushes", "ids"]
+    known = {}
+    for part, seq in sorted({r[:2] for r in out if r[2] < 2}):
+        mine = [dict(zip(names, r)) for r in out if r[:2] == (part, seq)]
+        t = L._sum_fn((L.pa.scalar(part, L.pa.int32()), L.pa.scalar(seq)), L.pa.Table.from_pylist(mine, L.pa.schema(
+            [("part", L.pa.int32()), ("seq", L.pa.int64()), ("kind", L.pa.int32()), *((n, L.pa.binary()) for n in "abc"), ("flushes", L.pa.binary()), ("ids", L.pa.list_(L.pa.int64()))])))
+        known |= {(r["part"], r["seq"], r["doc"]): (r["id"], r["n_tokens"], r["score"]) for r in t.to_pylist()}
+    tail = [dict(zip(names, r)) for r in out if r[2] == 2]
+    if tail:
+        for b in L._tail_fn(weights)([L.pa.RecordBatch.from_pylist(tail)]):
+            rare += [(r["part"], r["seq"], r["doc"], r["w"], round(r["two"], 9)) for r in b.to_pylist()]
+    return known, sorted(rare)
+
+
+@pytest.mark.parametrize("partition", [4097, 1 << 20, (1 << 31) - 1])
+@pytest.mark.parametrize("frequent", [0, 2])
+def test_any_partition_number_gives_the_same_scores(monkeypatch, partition, frequent):
+    texts = ["a b a b c", "d e", None, "", "a b f g h i j", "b a b a", "k " * 20, "c a"]
+    words = np.unique(L._tokens(*L.T.text_buffers(L.pa.array(texts)))[0])[:frequent]
+    head = L._Head(words, np.full(frequent, 5), np.zeros(frequent), 8, 0)
+    first, first_rare = dealt_scores(monkeypatch, texts, 0, head)
+    known, rare = dealt_scores(monkeypatch, texts, partition, head)
+    assert sorted(v[0] for v in known.values()) == list(range(len(texts))) and len({k[1] for k in known}) > 2
+    assert known.keys() == {(partition, *k[1:]) for k in first} and rare == [(partition, *r[1:]) for r in first_rare] and rare
+    for k, v in first.items():
+        assert known[(partition, *k[1:])] == pytest.approx(v, rel=1e-5)
