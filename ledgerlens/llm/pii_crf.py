@@ -5,8 +5,8 @@ are fixed, and candidate mentions outside them: digit groups, spelled-out addres
 address in the text has before its "@". Neighbouring nodes are linked in a chain; distant nodes with
 the same or similar content (equal digits, equal ending digits, equal names) are linked by skip
 edges, each occurrence to the one before it. Sum-product messages pass over the loopy graph, so that
-mentions of one entity get one label. Weights are fitted by pseudo-likelihood on a bounded sample of
-documents whose base spans are repeated in other spellings.
+mentions of one entity get one label. Weights are fitted by pseudo-likelihood on a bounded number of
+the documents with base spans, for each kind, whose spans are repeated in other spellings.
 """
 
 from __future__ import annotations
@@ -290,6 +290,13 @@ def find_spans(texts: list[str], w: Weights) -> list[tuple[list, list]]:
     return out
 
 
+def _kinds_fn(batches):
+    """(kind, hash) of the base patterns that each text holds."""
+    for batch in batches:
+        held = [(k, h) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for k in {k for _, k, _ in base_spans(text)}]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int32()), pa.array([h for _, h in held], pa.int64())], ["kind", "h"])
+
+
 def _sample_fn(seed):
     """The training graph of each run of sampled documents, pickled."""
 
@@ -305,14 +312,34 @@ def _sample_fn(seed):
     return run
 
 
+def training_texts(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS, seed: int = 1) -> DataFrame:
+    """(h, t): for each kind, of the different texts that hold its base pattern those of the smallest hashes.
+
+    A kind has at most a quarter of ``train_docs`` texts, all if it has no more, and at least one if
+    any text holds it, however rare it is."""
+    h = F.xxhash64("t", F.lit(seed)).bitwiseAND(F.lit((1 << 62) - 1))
+    rows = docs.select(F.col(text_col).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]")).select(h.alias("h"), "t")
+    seen = T.stored(rows.mapInArrow(_kinds_fn, "kind int, h long").distinct())
+    # hashes are counted by the logarithm's sixteenths, a bounded table; a kind's last step is the one that still fits
+    step = F.floor(F.log2(F.col("h") + 1.0) * 16).cast("int")
+    last = {}
+    total = dict.fromkeys(range(len(KINDS)), 0)
+    for r in seen.groupBy("kind", step.alias("step")).count().orderBy("kind", "step").collect():
+        total[r.kind] += r["count"]
+        if total[r.kind] <= train_docs // len(KINDS) or r.kind not in last:
+            last[r.kind] = r.step
+    if not last:
+        return rows.limit(0)
+    fits = F.lit(False)
+    for k, most in last.items():
+        fits = fits | ((F.col("kind") == k) & (step <= most))
+    return rows.join(F.broadcast(seen.where(fits).select("h").distinct()), "h", "left_semi").dropDuplicates(["h"])  # about train_docs hashes
+
+
 def trained_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, seed: int = 1) -> Weights:
-    """Weights fitted on the documents of a sample by id hash, ``train_docs`` of them at most."""
-    n = docs.count()
-    share = min(1.0, train_docs / max(1, n))
-    hashed = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30))
-    picked = docs.where(hashed < int(share * (1 << 30))).where(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).cast("string").alias("t"))
+    """Weights fitted on texts that hold base spans, ``train_docs`` of them at most, each kind's share by hash."""
     whole = Graph()
-    for row in picked.limit(2 * train_docs).mapInArrow(_sample_fn(seed), "graph binary").collect():
+    for row in training_texts(docs, text_col, train_docs, seed).select("t").mapInArrow(_sample_fn(seed), "graph binary").collect():
         f, y, chain, skip = pickle.loads(row.graph)
         at = len(whole.labels)
         whole.features += f
@@ -343,7 +370,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The counts are of base spans; spans has those and the mentions that the field labels, each as
     ``kind:start:end`` in code points, by start and then kind, comma-joined. A null text is an empty
     one and has none. Repeated rows get the same result each; ids may repeat or be null. Other
-    columns are not read. Without base spans in the training sample nothing is added to them.
+    columns are not read. Only where no document has base spans are there no weights, and nothing is added.
     """
     w = weights or trained_weights(docs, id_col, text_col)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))

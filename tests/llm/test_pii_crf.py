@@ -146,3 +146,16 @@ def test_nulls_empty_long_repeats_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert P.personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rare_personal_data_is_trained_on(spark):
+    """One card, one address and many phones among documents without any: each kind's texts are chosen."""
+    rare = ["pay 4111 1111 1111 1111 now", "from 10.0.0.1 on"]
+    phones = [f"call +1 (736) 555-{i:04d}" for i in range(300)]
+    texts = [f"page {i} of 9" for i in range(3000)] + rare * 3 + phones + [None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = [r.t for r in P.training_texts(df, train_docs=40).collect()]
+    assert len(got) == len(set(got)) and set(rare) <= set(got) and 1 <= len(set(got) & set(phones)) <= 10 and set(got) <= set(rare + phones)
+    assert P.trained_weights(df, train_docs=40).trained
+    assert P.trained_weights(df.where("text LIKE 'pay%' OR text LIKE 'page%'"), train_docs=4).trained
+    assert not P.trained_weights(df.where("text LIKE 'page%'")).trained
