@@ -4,8 +4,9 @@ A text's nodes are the spans of four base patterns (e-mail, IP address, card, ph
 are fixed, and candidate mentions outside them: digit groups, spelled-out addresses, names that an
 address in the text has before its "@". Neighbouring nodes are linked in a chain; distant nodes with
 the same or similar content (equal digits, equal ending digits, equal names) are linked by skip
-edges, each occurrence to the one before it. Sum-product messages pass over the loopy graph, so that
-mentions of one entity get one label. Weights are fitted by pseudo-likelihood on a bounded number of
+edges, each occurrence to the one before it and to the content's first known node of each label.
+Sum-product messages pass over the loopy graph until they settle, so that mentions of one entity get
+one label. Weights are fitted by pseudo-likelihood on a bounded number of
 the documents with base spans, for each kind, whose spans are repeated in other spellings.
 """
 
@@ -25,7 +26,8 @@ from . import _text as T
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 TRAIN_DOCS = 20_000  # documents that the weights are fitted on at most
-ROUNDS = 12  # of message passing
+SETTLED = 1e-5  # a text whose messages change by no more is done
+PATIENCE = 1000  # rounds after which messages that still swing are damped more and more, so that they settle
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -86,10 +88,55 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+_SEPARATORS = [re.compile(x) for x in (r"[^0-9]*/[^0-9]*", r"[^0-9]{3,}", r"[^0-9]{2,}", r"\x20", r"\.", r"[^0-9]")]  # the strongest first
+
+
+def _numbers(text: str, a: int, b: int, level: int = 0) -> list[tuple[int, int]]:
+    """The numbers of 7 to 19 digits in a digit group; one with more digits is parted at its strongest separators.
+
+    Parts that are too short for a number are joined again: by the period of their lengths, else up to 19 digits.
+    A run of more than 19 digits is no number of a known kind."""
+    n = len(_digits(text[a:b]))
+    if n <= 19:
+        return [(a, b)] if n >= 7 else []
+    while level < len(_SEPARATORS) and not (cuts := [m.span() for m in _SEPARATORS[level].finditer(text, a + (text[a] == "("), b)]):
+        level += 1
+    if level == len(_SEPARATORS):
+        return []
+    # an opening bracket belongs to the number that it begins
+    parts = list(zip([a] + [y - (text[y - 1] == "(") for _, y in cuts], [x for x, _ in cuts] + [b]))
+    out, short = [], []
+    for x, y in [*parts, (b, b)]:
+        size = len(_digits(text[x:y]))
+        if 0 < size < 7:
+            short.append((x, y, size))
+            continue
+        out += _joined(short)
+        short = []
+        out += _numbers(text, x, y, level + 1)
+    return out
+
+
+def _joined(parts: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Neighbouring short parts (start, end, digits) as numbers."""
+    sizes = [n for _, _, n in parts]
+    for p in range(1, min(19, len(sizes)) + 1):
+        if 7 <= sum(sizes[:p]) <= 19 and len(sizes) % p == 0 and sizes[p:] == sizes[:-p]:
+            return [(parts[i][0], parts[i + p - 1][1]) for i in range(0, len(parts), p)]
+    out, held = [], 0
+    for x, y, n in parts:
+        if out and held + n <= 19:
+            out[-1], held = (out[-1][0], y, held + n), held + n
+        else:
+            out.append((x, y, n))
+            held = n
+    return [(x, y) for x, y, n in out if n >= 7]
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Mentions outside base spans that may be personal data, in order, not overlapping."""
     taken = sorted((a, b) for a, _, b in base)
-    found = [m.span() for m in _GROUP.finditer(text) if 7 <= len(_digits(m[0])) <= 19] if _DIGIT.search(text) else []
+    found = [x for m in _GROUP.finditer(text) for x in _numbers(text, *m.span())] if _DIGIT.search(text) else []
     low = text.lower() if "at" in text or "AT" in text else ""
     if "(at)" in low or "[at]" in low:
         found += [m.span() for m in _SPELLED.finditer(text)]
@@ -142,23 +189,38 @@ class Graph:
         self.labels: list[int] = []  # -1: not known
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        self.first: list[int] = []  # first node of each text
 
     def add(self, text: str, nodes: list[tuple[int, int, int]]) -> int:
         """Add a text's nodes (start, end, label or -1) in order; returns the first one's number."""
         first = len(self.labels)
+        self.first.append(first)
+        own = [keys(text[a:b]) for a, b, _ in nodes]
+        known: dict[str, dict[int, int]] = {}
+        for i, (_, _, label) in enumerate(nodes, first):
+            if label > 0:
+                for k in own[i - first]:
+                    known.setdefault(k, {}).setdefault(label, i)
         last: dict[str, int] = {}
         linked = set()
+
+        def link(i, j):
+            edge = (min(i, j), max(i, j))
+            if i != j and edge not in linked:
+                linked.add(edge)
+                self.skip.append(edge)
+
         for i, (a, b, label) in enumerate(nodes, first):
             self.features.append(features(text, a, b))
             self.labels.append(label)
             if i > first and a - nodes[i - first - 1][1] <= 40:
                 self.chain.append((i - 1, i))
-            for k in keys(text[a:b]):
-                j = last.get(k)
-                if j is not None and (j, i) not in linked:
-                    linked.add((j, i))
-                    self.skip.append((j, i))
+            for k in own[i - first]:
+                if k in last:
+                    link(last[k], i)
                 last[k] = i
+                for j in known.get(k, {}).values():
+                    link(j, i)
         return first
 
 
@@ -237,8 +299,10 @@ def fit(graph: Graph, steps: int = 300, rate: float = 0.1, penalty: float = 1e-3
     return w
 
 
-def marginals(graph: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of all nodes by damped sum-product messages; known labels are fixed."""
+def marginals(graph: Graph, w: Weights, rounds: int | None = None) -> np.ndarray:
+    """Label probabilities of all nodes by damped sum-product messages; known labels are fixed.
+
+    Messages are sent until they settle, each text's for themselves, or ``rounds`` times."""
     n, k = len(graph.labels), len(LABELS)
     unary = np.array(graph.features, dtype=float).reshape(n, -1) @ w.unary.T
     known = np.array(graph.labels)
@@ -254,13 +318,22 @@ def marginals(graph: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
     kind = np.repeat([0, 1, 2, 3], [len(chain), len(chain), len(skip), len(skip)])
     back = np.concatenate((np.arange(len(chain)) + len(chain), np.arange(len(chain)), 2 * len(chain) + len(skip) + np.arange(len(skip)), 2 * len(chain) + np.arange(len(skip))))
     message = np.zeros((len(src), k))
-    for _ in range(rounds if len(src) else 0):
+    text = np.searchsorted(np.array(graph.first, dtype=np.int64), src, side="right")
+    live, done, rate = np.arange(len(src)), 0, 0.7
+    while len(live) and (rounds is None or done < rounds):
         belief = unary.copy()
-        np.add.at(belief, dst, message)
-        out = belief[src] - message[back]
-        out = np.log(np.exp((out - out.max(axis=1, keepdims=True))[:, :, None] + tables[kind]).sum(axis=1))
+        np.add.at(belief, dst[live], message[live])
+        out = belief[src[live]] - message[back[live]]
+        out = np.log(np.exp((out - out.max(axis=1, keepdims=True))[:, :, None] + tables[kind[live]]).sum(axis=1))
         out -= out.max(axis=1, keepdims=True)
-        message = 0.3 * message + 0.7 * out
+        step = rate * (out - message[live])
+        message[live] += step
+        done += 1
+        rate *= 1 if done < PATIENCE else 0.9
+        if rounds is None:
+            moved = np.zeros(len(graph.first) + 1)
+            np.maximum.at(moved, text[live], np.abs(step).max(axis=1))
+            live = live[moved[text[live]] > SETTLED]
     belief = unary.copy()
     np.add.at(belief, dst, message)
     p = np.exp(belief - belief.max(axis=1, keepdims=True))

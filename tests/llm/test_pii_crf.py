@@ -159,3 +159,37 @@ def test_rare_personal_data_is_trained_on(spark):
     assert P.trained_weights(df, train_docs=40).trained
     assert P.trained_weights(df.where("text LIKE 'pay%' OR text LIKE 'page%'"), train_docs=4).trained
     assert not P.trained_weights(df.where("text LIKE 'page%'")).trained
+
+
+@pytest.mark.parametrize("phone_at", [0, 25, 50])
+def test_all_repeats_of_a_number_get_its_label(phone_at):
+    """Fifty plain repeats, far apart, before and after the one place with the base form."""
+    w = P.fit(graph_of(people(1, 600), 10))
+    mentions = ["17365552678"] * 50
+    mentions.insert(phone_at, "+1 (736) 555-2678")
+    text = "".join("word " * 20 + m + " " for m in mentions)
+    _, spans = P.find_spans([text], w)[0]
+    assert [k for _, k, _ in spans] == [3] * 51
+    alone = [P.find_spans([t], w)[0] for t in (text, "word 17365552678 again")]
+    assert P.find_spans([text, "word 17365552678 again"], w) == alone
+
+
+def test_messages_run_until_they_settle():
+    """A chain of 60 nodes whose first label is known: the messages reach the last one exactly."""
+    g, w = P.Graph(), P.Weights()
+    n = 60
+    g.features, g.labels, g.chain = [[0] * P.N_FEATURES] * n, [3] + [-1] * (n - 1), [(i, i + 1) for i in range(n - 1)]
+    w.chain, w.trained = 6 * np.eye(len(P.LABELS)), True
+    step = np.exp(w.chain)
+    step /= step.sum(axis=1, keepdims=True)
+    assert np.abs(P.marginals(g, w)[-1] - np.linalg.matrix_power(step, n - 1)[3]).max() < 1e-2
+    assert np.abs(P.marginals(g, w, 12)[-1] - np.linalg.matrix_power(step, n - 1)[3]).max() > 0.1
+
+
+@pytest.mark.parametrize("text,want", [
+    ("020 7946 0958 / 020 7946 0959", ["020 7946 0958", "020 7946 0959"]), ("020 7946 0958/020 7946 0959", ["020 7946 0958", "020 7946 0959"]),
+    ("(020) 7946 0958 / (020) 7946 0959", ["(020) 7946 0958", "(020) 7946 0959"]), ("020 7946 0958 020 7946 0959", ["020 7946 0958", "020 7946 0959"]),
+    ("17365552678 " * 50, ["17365552678"] * 50), ("020-7946-0958   020-7946-0959", ["020-7946-0958", "020-7946-0959"]), ("020 7946 0958", ["020 7946 0958"]),
+    ("555-2678 / 555-2679 / 12 / 555-2680 / 17365552678", ["555-2678", "555-2679", "555-2680", "17365552678"]), ("1" * 22, []), ("12 / 34", [])])
+def test_long_digit_groups_are_split(text, want):
+    assert [text[a:b] for a, b in P.candidates(text, [])] == want
