@@ -100,7 +100,7 @@ def rules() -> list[tuple[int, str, int, str, str]]:
 
 
 # one of these begins a word of each text that a rule or a base phrase matches; those of up to four letters are whole words
-STEMS = ("licen", "unlicen", "copyright", "reserved", "spdx", "creative", "gnu", "gpl", "lgpl", "agpl", "gplv", "lgplv", "agplv", "mpl", "asl", "apache", "cc", "cc0", "wtfpl", "hereby", "redistribution",
+STEMS = ("licen", "unlicen", "copyright", "reserved", "spdx", "creative", "gnu", "gpl", "lgpl", "agpl", "gplv", "lgplv", "agplv", "mpl", "mplv", "asl", "apache", "cc", "cc0", "wtfpl", "hereby", "redistribution",
          "reproduced", "proprietary", "unauthorized", "domain", "bsd", "ofl", "epl", "use copy")
 GATE = "(?i)(?<![a-z0-9])(?:" + "|".join(f"{x}(?![a-z])" if len(x) < 5 and x != "licen" else x.replace(" ", "[^a-z0-9]+") for x in STEMS) + ")"
 

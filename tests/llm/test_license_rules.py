@@ -78,3 +78,54 @@ def test_rules_are_many_ordered_and_reachable():
         assert any(s.split(" ")[0] in x.pattern for s in R.STEMS), (label, x.pattern)
     for s in SAMPLES:
         assert gate.search(s), s
+
+
+def texts_of(parsed):
+    """Texts that a parsed regex matches: optional parts absent and present, all branches and set members."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = []
+            for kind, x in arg:
+                if str(kind) == "LITERAL":
+                    more.append(chr(x))
+                elif str(kind) == "RANGE":
+                    more.append(chr(x[0]))
+                elif str(kind) == "CATEGORY":
+                    more.append("w")
+        elif name == "SUBPATTERN":
+            more = texts_of(arg[3])
+        elif name == "BRANCH":
+            more = [t for branch in arg[1] for t in texts_of(branch)]
+        elif name == "MAX_REPEAT":
+            lo, hi, inner = arg
+            more = [t * n for n in {lo, max(lo, 1), min(int(hi), 2)} for t in texts_of(inner)]
+        elif name in ("ASSERT", "ASSERT_NOT"):
+            continue
+        else:
+            raise AssertionError(name)
+        out = [a + b for a in out for b in dict.fromkeys(more)]
+    return out
+
+
+def test_every_text_of_a_rule_passes_the_gate_and_the_keyword():
+    gate, many = re.compile(R.GATE), 0
+    for _, label, _, k, x in RULES:
+        texts = texts_of(re._parser.parse(x.pattern))
+        assert texts
+        for t in texts:
+            assert x.search(t), (label, t)
+            assert k in t, (label, k, t)
+            for raw in (t, t.upper(), t.replace(" ", "."), f"(see {t.replace(' ', '-')})"):
+                assert gate.search(raw), (label, raw)
+            many += 1
+    assert many > len(RULES)
+
+
+def test_mplv2_alone_is_found(spark):
+    rows = [(1, "released under MPLv2.0"), (2, "MPLv2.0"), (3, "nothing here")]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert [r.labels for r in R.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == ["mpl-2.0", "mpl-2.0", ""]
