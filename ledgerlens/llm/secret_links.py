@@ -58,10 +58,10 @@ def secret_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = materialize(spans.withColumn("role", fact(1)).withColumn("strong", fact(2)).where(F.length("value") >= fact(3)).drop("value"))
     bins = parts.withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor(F.col("end") / scope))))
     strong, weak = bins.where("strong"), bins.where("NOT strong")
-    # a weak part that a strong one covers is that strong part
-    inner = strong.select(*(F.col(k).alias(f"s_{k}") for k in keys), F.col("bin").alias("s_bin"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
+    # a weak part inside a strong one of its role is that strong part; of another role it stands beside it
+    inner = strong.select(*(F.col(k).alias(f"s_{k}") for k in keys), F.col("bin").alias("s_bin"), F.col("role").alias("s_role"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
     on = same_rows(keys + ["bin"], ["s_id", "s_h", "s_bin"])
-    weak = weak.join(inner, on & (F.col("start") < F.col("s_end")) & (F.col("s_start") < F.col("end")), "left_anti")
+    weak = weak.join(inner, on & (F.col("role") == F.col("s_role")) & (F.col("s_start") <= F.col("start")) & (F.col("end") <= F.col("s_end")), "left_anti")
     others = bins.select(*(F.col(k).alias(f"o_{k}") for k in keys), F.col("bin").alias("o_bin"), F.col("role").alias("o_role"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
     near = (F.col("role") != F.col("o_role")) & (F.col("o_start") - F.col("end") <= scope) & (F.col("start") - F.col("o_end") <= scope)
     met = weak.join(others, same_rows(keys + ["bin"], ["o_id", "o_h", "o_bin"]) & near).groupBy(*keys, "kind", "start", "end", "role").agg(

@@ -77,3 +77,11 @@ def test_nulls_empty_long_repeats_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert S.secret_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_an_endpoint_around_a_secret_is_reported(spark):
+    """The address overlaps the assignment, but its role is another."""
+    text = "user=bob https://api.example.com/v1?token=abcdefgh1234"
+    r = S.secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.n_assign == 1 and r.base_spans == "assign:36:54"
+    assert {"assign:36:54", "endpoint:9:54"} <= set(r.spans.split(",")) and any(s.startswith("weak_id:0:") for s in r.spans.split(","))
