@@ -170,3 +170,31 @@ def op7_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .knn_quality import quality_scores
 
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)))"""
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE l AS (SELECT doc_id, lang, {_LEAF.format(n='n_chars')} AS leaf, CASE WHEN {_CRC32} % 7 = 0 THEN {_LEAF.format(n='(n_chars + 1)')} END AS changed FROM documents),
+o AS (SELECT *, row_number() OVER () AS row, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM l),
+t(lang, lv, pos, h, n) AS (SELECT lang, 0, pos, leaf, n FROM o
+    UNION ALL SELECT lang, lv + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, lv, pos // 2, n),
+g AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lv, pos, h, n) AS (SELECT 0, pos, subroot, n FROM g
+    UNION ALL SELECT lv + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lv, pos // 2, n),
+f(row, lang, lv, pos, n, sibs, h) AS (SELECT row, lang, 0, pos, n, '', coalesce(changed, leaf) FROM o
+    UNION ALL SELECT row, f.lang, f.lv + 1, f.pos // 2, (f.n + 1) // 2, sibs || coalesce(t.h, ''), sha256(CASE WHEN f.pos % 2 = 1 THEN t.h || f.h ELSE f.h || coalesce(t.h, '') END)
+    FROM f LEFT JOIN t ON t.lang IS NOT DISTINCT FROM f.lang AND t.lv = f.lv AND t.pos = xor(f.pos, 1) WHERE f.n > 1),
+e(row, lv, pos, n, sibs, h) AS (SELECT row, 0, g.pos, g.n, sibs, h FROM f JOIN g ON f.lang IS NOT DISTINCT FROM g.lang WHERE f.n = 1
+    UNION ALL SELECT row, e.lv + 1, e.pos // 2, (e.n + 1) // 2, sibs || coalesce(u.h, ''), sha256(CASE WHEN e.pos % 2 = 1 THEN u.h || e.h ELSE e.h || coalesce(u.h, '') END)
+    FROM e LEFT JOIN u ON u.lv = e.lv AND u.pos = xor(e.pos, 1) WHERE e.n > 1)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(sibs) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM o JOIN e USING (row) JOIN g ON o.lang IS NOT DISTINCT FROM g.lang, (SELECT h FROM u WHERE n = 1) r WHERE e.n = 1""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle_manifest import document_manifest
+
+    return document_manifest(table(spark, sf_dir, "documents"))

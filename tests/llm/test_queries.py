@@ -17,6 +17,7 @@ COLUMNS = {
     "op7_knn_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op8_license_scan": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double",
     "op9_sentencepiece": "doc_id bigint, token_ids array<int>, n_tokens bigint, round_trip boolean, parity boolean",
+    "op12_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
     "op10_secret_links": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
 }
 
