@@ -198,3 +198,36 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle_manifest import document_manifest
 
     return document_manifest(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS MATERIALIZED (SELECT id, part, any_value(x) AS x, arg_min(e, d * {ENTRIES} + e) AS e, min(d) AS d
+    FROM (SELECT id, part, x, b{k}.e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p JOIN b{k} USING (part)) GROUP BY id, part)"""
+
+    def refined(k: int) -> str:
+        return f""",
+m{k} AS (SELECT part, e, i, sum(y) AS s, count(*) AS n FROM (SELECT part, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a{k}) GROUP BY part, e, i),
+b{k + 1} AS MATERIALIZED (SELECT b.part, b.e, coalesce(u.c, b.c) AS c FROM b{k} b LEFT JOIN (
+    SELECT part, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM m{k} GROUP BY part, e) u USING (part, e)),"""
+
+    rounds = "".join(assigned(k) + refined(k) for k in range(ROUNDS)) + assigned(ROUNDS)
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor({SCALE}.0 * x::DOUBLE)::BIGINT) AS q,
+    row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT id, e, part, q[part * (len(q) // {PARTS}) + 1:(part + 1) * (len(q) // {PARTS})] AS x FROM v, range({PARTS}) r(part)),
+b0 AS MATERIALIZED (SELECT part, e, x AS c FROM p WHERE e < {ENTRIES}),{rounds},
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b{ROUNDS}),
+o AS (SELECT id, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{ROUNDS} GROUP BY id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN o USING (id), h"""
+
+
+@query("op13_vector_codes", _op13_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_license_scan": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double",
     "op9_sentencepiece": "doc_id bigint, token_ids array<int>, n_tokens bigint, round_trip boolean, parity boolean",
     "op12_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
     "op10_secret_links": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
 }
 
@@ -32,8 +33,8 @@ def test_all_are_registered():
 def test_columns(spark, name):
     df = QUERIES[name](spark, SMALL)
     assert [f"{c} {t}" for c, t in df.dtypes][: COLUMNS[name].count(",") + 1] == COLUMNS[name].split(", ")
-    documents = spark.read.parquet(f"{SMALL}/documents.parquet").count()
-    assert df.count() == documents or name == "op3_benchmark_containment"
+    read = "embeddings" if name in ("op11_near_vectors", "op13_vector_codes") else "documents"
+    assert df.count() == spark.read.parquet(f"{SMALL}/{read}.parquet").count() or name == "op3_benchmark_containment"
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
