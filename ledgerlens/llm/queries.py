@@ -231,3 +231,17 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vector_codes import vector_codes
 
     return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query("op11_near_vectors", """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS x,
+    coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS ok FROM embeddings),
+e AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM v a JOIN v b ON a.row <> b.row AND len(a.x) = len(b.x) WHERE a.ok AND b.ok AND CASE WHEN a.ok AND b.ok THEN list_cosine_similarity(a.x, b.x) >= 0.95 END),
+r(a, b) AS (SELECT row, row FROM v UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT r.a AS row, min(v.vec_id) AS component_id FROM r JOIN v ON v.row = r.b GROUP BY 1),
+d AS (SELECT a AS row, count(*) AS n FROM e GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN c USING (row) LEFT JOIN d USING (row)""")
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -19,6 +19,7 @@ COLUMNS = {
     "op9_sentencepiece": "doc_id bigint, token_ids array<int>, n_tokens bigint, round_trip boolean, parity boolean",
     "op12_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
     "op13_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op11_near_vectors": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op10_secret_links": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
 }
 
