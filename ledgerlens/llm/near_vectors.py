@@ -62,30 +62,36 @@ class Hashes:
     def _rotated(self, u: np.ndarray, signs: np.ndarray) -> np.ndarray:
         x = np.zeros((len(u), self.width))
         x[:, :self.d] = u
+        y = np.empty_like(x)
         for s in signs:
-            x = x * s
+            x *= s / np.sqrt(self.width)
             h = 1
             while h < self.width:
-                x = x.reshape(len(u), -1, 2, h)
-                x = np.stack((x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]), 2).reshape(len(u), self.width)
+                a, b = x.reshape(len(u), -1, 2, h), y.reshape(len(u), -1, 2, h)
+                np.add(a[:, :, 0], a[:, :, 1], out=b[:, :, 0])
+                np.subtract(a[:, :, 0], a[:, :, 1], out=b[:, :, 1])
+                x, y = y, x
                 h *= 2
-            x /= np.sqrt(self.width)
         return x
 
     def table(self, u: np.ndarray, t: int) -> np.ndarray:
-        """Codes of the buckets of table ``t``: each vector's own, then those that it probes, nearest first."""
+        """Codes of the buckets of table ``t``: each vector's own, then those that it probes."""
         loss = np.zeros((len(u), len(self.alts)))
         code = np.zeros((len(u), len(self.alts)), np.int64)
         for f in range(self.functions):
             x = self._rotated(u, self.signs[t, f])
             size = np.abs(x)
-            top = np.argsort(-size, axis=1, kind="stable")[:, :4]
+            top = np.argpartition(size, self.width - 4, axis=1)[:, -4:]
             value = np.take_along_axis(size, top, 1)
+            order = np.argsort(-value, axis=1, kind="stable")
+            top, value = np.take_along_axis(top, order, 1), np.take_along_axis(value, order, 1)
             corner = 2 * top + (np.take_along_axis(x, top, 1) < 0)
             loss += ((value[:, :1] - value) ** 2)[:, self.alts[:, f]]
             code += corner[:, self.alts[:, f]] * self.corners ** f
-        loss[:, 0] = -1
-        return np.take_along_axis(code, np.argsort(loss, axis=1, kind="stable")[:, :PROBES + 1], 1)
+        loss[:, 0] = np.inf
+        most = min(PROBES, loss.shape[1] - 1)
+        probes = np.argpartition(loss, most - 1, axis=1)[:, :most]
+        return np.concatenate((code[:, :1], np.take_along_axis(code, probes, 1)), 1)
 
     def codes(self, u: np.ndarray) -> np.ndarray:
         return np.stack([self.table(u, t) for t in range(self.tables)], 1)
@@ -134,7 +140,7 @@ def _buckets_fn(shared, first_only: bool):
                     at = rows[i:i + TILE]
                     u = _vectors(batch.column("v").take(pa.array(at)), d)
                     for t in range(1 if first_only else h.tables):
-                        code = h.table(u, t)[:, :1 if first_only else PROBES + 1] * h.tables + t
+                        code = (h.table(u, t)[:, :1] if first_only else h.table(u, t)) * h.tables + t
                         own = np.zeros(code.shape, bool)
                         own[:, 0] = True
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(code.size, d, np.int32)), pa.array(code.ravel()), pa.array(np.repeat(node[at], code.shape[1])), pa.array(own.ravel())],
@@ -236,13 +242,21 @@ def _product_fn(shared, threshold: float):
         u = _vectors(table["v"].combine_chunks().take(pa.array(first)), d)
         ball = table["ball"].to_numpy()[first]
         linked = _Linked(len(node), table["copies"].to_numpy()[first])
-        codes = np.concatenate([h.codes(u[i:i + TILE]) for i in range(0, len(u), TILE)])
+        codes, known = np.zeros((len(u), h.tables, 0), np.int64), np.zeros(len(u), bool)
         for x, y, cos in _candidates(u, key, side, at, threshold - _SLACK):
             i, j = at[x], at[y]
             hit = (own[x] | own[y]) & ((ball[i] < 0) | (ball[i] != ball[j]))
             close = np.flatnonzero(hit & (np.abs(cos - threshold) <= _SLACK))
             hit[close] = (u[i[close]] * u[j[close]]).sum(1) >= threshold
             x, i, j = x[hit], i[hit], j[hit]
+            new = np.unique(np.concatenate((i, j)))
+            new = new[~known[new]]  # only vectors with links need their codes
+            for k in range(0, len(new), TILE):
+                got = h.codes(u[new[k:k + TILE]])
+                if not codes.shape[2]:
+                    codes = np.zeros((len(u), *got.shape[1:]), np.int64)
+                codes[new[k:k + TILE]] = got
+            known[new] = True
             table_no, code = key[x] % h.tables, key[x] // h.tables
             count = np.ones(len(i), bool)  # only in the first bucket where the two meet
             for t in range(h.tables):
