@@ -1,28 +1,28 @@
 """Generic JSON walk (J1, H16): any JSON text -> long table of nodes, or of table cells.
 
 The walk is level by level with built-in JSON functions inside each row: an object is read as
-``map<string,string>`` (keys keep their order, nested values stay JSON text) beside
-``map<string,variant>`` (which tells the values' types), an array likewise. A document's nodes stay
-in one array, in which a container is replaced in place by itself and its children, so there is no
-shuffle and pre-order holds; one explode at the end gives the rows.
+``map<string,string>`` (keys keep their order, which a variant does not, and nested values stay JSON
+text), an array likewise. Only the open containers of the last level are read again; the nodes done
+stay as they are and are sorted by their positions at the end. There is no shuffle and one scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import humanize
 from ..functions.scalars import to_cell
+from ..session import spread
 from .filters import drop_reserved
 
 RESERVED_KEYS = ("purpose", "retrieved", "method")
 MARKER = "… (truncated)"
-_NODE = "array<struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,kind:string,open:boolean>>"
+_NODE = "array<struct<pos_path:array<int>,path:string,depth:int,key:string,raw:string,kind:string>>"
 
 
-def _node(pos_path, path, depth, key, raw, kind, is_open) -> Column:
-    return F.struct(pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"), kind.alias("kind"), is_open.alias("open"))
+def _node(pos_path, path, depth, key, raw, kind) -> Column:
+    return F.struct(pos_path.alias("pos_path"), path.alias("path"), depth.alias("depth"), key.alias("key"), raw.alias("raw"), kind.alias("kind"))
 
 
 def _kind(v: Column) -> Column:
@@ -31,13 +31,26 @@ def _kind(v: Column) -> Column:
     return F.coalesce(F.when(s.startswith("OBJECT"), F.lit("object")).when(s.startswith("ARRAY"), F.lit("array")).when(s != "VOID", F.lit("scalar")), F.lit("null"))
 
 
+def _bound(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` computed once, however often it is used."""
+    return F.transform(F.array(c), use)[0]
+
+
 def entries(raw: Column) -> Column:
-    """array<struct<key, raw, kind>> of an object's members, or of an array's items (with a null key)."""
-    members = F.zip_with(F.map_entries(F.from_json(raw, "map<string,string>")), F.map_values(F.from_json(raw, "map<string,variant>")),
-                         lambda e, v: F.struct(e["key"].alias("key"), e["value"].alias("raw"), _kind(v).alias("kind")))
-    items = F.zip_with(F.from_json(raw, "array<string>"), F.from_json(raw, "array<variant>"),
-                       lambda x, v: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw"), _kind(v).alias("kind")))
-    return F.when(F.ltrim(raw).startswith("{"), members).otherwise(items)
+    """array<struct<key, raw, kind>> of an object's members, or of an array's items (with a null key).
+
+    A value's text tells a scalar or null from a container; only if some text looks like a container
+    (it may be a string that does) are the values parsed as variants too, which tell."""
+    nested = lambda x: x["raw"].startswith("{") | x["raw"].startswith("[")
+    plain = lambda x: F.when(x["raw"].isNull(), F.lit("null")).otherwise(F.lit("scalar"))
+    entry = lambda x, kind: F.struct(x["key"].alias("key"), x["raw"].alias("raw"), kind.alias("kind"))
+
+    def typed(found, variants):
+        return _bound(found, lambda xs: F.when(F.exists(xs, nested), F.zip_with(xs, variants, lambda x, v: entry(x, _kind(v)))).otherwise(F.transform(xs, lambda x: entry(x, plain(x)))))
+
+    members = F.transform(F.map_entries(F.from_json(raw, "map<string,string>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw")))
+    items = F.transform(F.from_json(raw, "array<string>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw")))
+    return F.when(F.ltrim(raw).startswith("{"), typed(members, F.map_values(F.from_json(raw, "map<string,variant>")))).otherwise(typed(items, F.from_json(raw, "array<variant>")))
 
 
 def json_depth(c: Column) -> Column:
@@ -50,31 +63,36 @@ def json_depth(c: Column) -> Column:
 
 
 def _walked(df: DataFrame, id_col: str, json_col: str, max_depth: int | None, reserved: tuple[str, ...]) -> DataFrame:
-    """(id, nodes) with all nodes of each document in pre-order, the root first."""
-    levels = max_depth if max_depth is not None else (df.agg(F.max(json_depth(F.col(json_col)))).first()[0] or 0)
+    """(id, nodes) with all nodes of each document in pre-order, the root first.
+
+    Each row carries the nodes done and the frontier of open containers; a level reads the frontier
+    only, and its children are the next one. A row takes as many levels as its own depth."""
     raw = F.col(json_col)
     kind = F.when(F.ltrim(raw).startswith("{"), F.lit("object")).when(F.ltrim(raw).startswith("["), F.lit("array")).otherwise(F.lit("scalar"))
-    root = _node(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), raw, kind, kind != "scalar")
-    cur = df.select(F.col(id_col).alias("id"), F.array(root).cast(_NODE).alias("nodes"))
+    root = F.array(_node(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), raw, kind)).cast(_NODE)
+    is_open = lambda n: n["kind"].isin("object", "array")
 
-    def expand(level):
-        def one(n):
-            kids = entries(n["raw"])
-            if reserved and level == 0:
-                kids = drop_reserved(kids, reserved)
+    def children(n, level):
+        kids = entries(n["raw"])
+        if reserved:
+            kids = _bound(kids, lambda k: F.when(level == 0, drop_reserved(k, reserved)).otherwise(k))
 
-            def child(e, i):
-                path = F.concat(n["path"], F.coalesce(F.concat(F.lit("."), e["key"]), F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
-                return _node(F.concat(n["pos_path"], F.array(i)), path, n["depth"] + 1, e["key"], e["raw"], e["kind"], e["kind"].isin("object", "array"))
+        def child(e, i):
+            path = F.concat(n["path"], F.coalesce(F.concat(F.lit("."), e["key"]), F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
+            return _node(F.concat(n["pos_path"], F.array(i)), path, level + 1, e["key"], e["raw"], e["kind"])
 
-            done = F.array(_node(n["pos_path"], n["path"], n["depth"], n["key"], n["raw"], n["kind"], F.lit(False)))
-            return F.when(n["open"], F.concat(done, F.coalesce(F.transform(kids, child), F.array().cast(_NODE)))).otherwise(F.array(n))
+        return F.transform(kids, child)
 
-        return one
+    def step(at, level):
+        # text that is no JSON has no children
+        kids = F.flatten(F.filter(F.transform(at["open"], lambda n: children(n, level)), lambda k: k.isNotNull()))
+        return _bound(kids, lambda k: F.struct(F.concat(at["done"], k).alias("done"), F.filter(k, is_open).alias("open")))
 
-    for level in range(levels):
-        cur = cur.select("id", F.flatten(F.transform("nodes", expand(level))).alias("nodes"))
-    return cur
+    df = spread(df.select(id_col, json_col))
+    depth = json_depth(raw) if max_depth is None else F.least(json_depth(raw), F.lit(max_depth))
+    levels = F.filter(F.sequence(F.lit(0), depth), lambda x: x < depth)
+    start = F.struct(root.alias("done"), F.filter(root, is_open).alias("open"))
+    return df.select(F.col(id_col).alias("id"), F.sort_array(F.aggregate(levels, start, step, lambda at: at["done"])).alias("nodes"))
 
 
 def json_tree(
@@ -90,20 +108,15 @@ def json_tree(
 
     Columns: id, pos_path (array<int>, sorts in pre-order), path, depth, key, kind, text.
     ``text`` is 'Key: value' for a scalar under an object, 'Key' for a container, the value for
-    an array element, cut to ``item_chars``. The walk goes as deep as the deepest document (one
-    scan finds that out) or to ``max_depth``. With ``max_chars`` it stops once the running text
+    an array element, cut to ``item_chars``. The walk goes as deep as each document or to ``max_depth``. With ``max_chars`` it stops once the running text
     length of a document has reached the budget; a document cut that way ends with a node of kind
     'marker'. Top-level keys in ``reserved`` (document metadata) are not walked at all (B10).
     """
 
     def with_text(n):
-        label = humanize(n["key"])
-        text = (
-            F.when(n["key"].isNull(), F.coalesce(n["raw"], F.lit("null")))
-            .when(n["kind"].isin("object", "array"), label)
-            .otherwise(F.concat(label, F.lit(": "), F.coalesce(n["raw"], F.lit("null"))))
-        )
-        return F.struct(n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"), n["kind"].alias("kind"), to_cell(text, item_chars).alias("text"))
+        value = F.when(~n["kind"].isin("object", "array") | n["key"].isNull(), F.coalesce(n["raw"], F.lit("null")))
+        text = F.concat_ws(": ", F.when(n["key"].isNotNull(), humanize(n["key"])), value)
+        return F.struct(n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"), n["kind"].alias("kind"), _bound(text, lambda t: to_cell(t, item_chars)).alias("text"))
 
     cur = _walked(df, id_col, json_col, max_depth, reserved)
     cur = cur.select("id", F.transform(F.filter("nodes", lambda n: n["depth"] > 0), with_text).alias("nodes"))
@@ -126,13 +139,14 @@ def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280
 
     The columns are the union of the objects' keys in first-seen order, with humanized names; a key
     that an object lacks gives an empty cell; a nested value gives its JSON text, cut."""
-    nodes = _walked(df, id_col, json_col, None, reserved).select("id", F.inline_outer("nodes")).where("kind = 'array'").select("id", "path", entries(F.col("raw")).alias("items"))
-    lists = nodes.where((F.size("items") > 0) & F.forall("items", lambda e: e["kind"] == "object"))
-    rows = lists.select("id", "path", F.posexplode_outer("items").alias("row_no", "item"))
-    cells = rows.select("id", "path", "row_no", F.posexplode_outer(entries(F.col("item.raw"))).alias("pos", "e")).where("e IS NOT NULL").select("id", "path", "row_no", "pos", "e.key", "e.raw")
-    first = cells.groupBy("id", "path", "key").agg(F.min(F.struct("row_no", "pos")).alias("first"))
-    order = Window.partitionBy("id", "path").orderBy("first")  # over one table's columns
-    cols = first.select("id", "path", "key", (F.row_number().over(order) - 1).alias("col_no"))
-    frame = rows.select("id", "path", "row_no").join(cols, ["id", "path"])
-    full = frame.join(cells.drop("pos"), ["id", "path", "row_no", "key"], "left")
-    return full.select("id", "path", "row_no", "col_no", humanize(F.col("key")).alias("column"), to_cell("raw", cell_chars).alias("cell"))
+    arrays = F.filter("nodes", lambda n: n["kind"] == "array")
+    found = F.transform(arrays, lambda n: F.struct(n["path"].alias("path"), entries(n["raw"]).alias("items")))
+    lists = F.filter(found, lambda t: (F.size(t["items"]) > 0) & F.forall(t["items"], lambda e: e["kind"] == "object"))
+    # a table in its row: the objects' members and the columns in first-seen order
+    members = lambda e: F.transform(F.map_entries(F.from_json(e["raw"], "map<string,string>")), lambda m: F.struct(m["key"].alias("key"), m["value"].alias("raw")))
+    tables = _walked(df, id_col, json_col, None, reserved).select("id", F.explode_outer(F.transform(lists, lambda t: F.struct(t["path"].alias("path"), F.transform(t["items"], members).alias("objects")))).alias("t")).where("t IS NOT NULL")
+    tables = tables.select("id", "t.path", "t.objects", F.array_distinct(F.flatten(F.transform("t.objects", lambda o: F.transform(o, lambda m: m["key"])))).alias("columns"))
+    rows = tables.select("id", "path", "columns", F.posexplode_outer("objects").alias("row_no", "object"))
+    cells = rows.select("id", "path", "row_no", "object", F.posexplode_outer("columns").alias("col_no", "key")).where("col_no IS NOT NULL")
+    value = F.try_element_at(F.filter("object", lambda m: m["key"] == F.col("key")), F.lit(-1))["raw"]  # of a repeated key the last value
+    return cells.select("id", "path", "row_no", "col_no", humanize(F.col("key")).alias("column"), to_cell(value, cell_chars).alias("cell"))

@@ -55,6 +55,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def spread(df):
+    """``df`` dealt round-robin over the cores if its scan has fewer splits than there are cores.
+
+    For work that is heavy for each row: a small file is one split and would keep one core busy.
+    A scan with enough splits is left as it is, so large inputs are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # called with each materialised frame once it has run; set by the plan audit only
 recorder = None
 
