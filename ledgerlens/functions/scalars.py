@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import html
 import html.entities
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,25 +62,34 @@ _ENTITY = "&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 @functools.cache
-def _entity_names() -> dict[str, str]:
-    """Named entities of HTML 5 without their semicolon, from the standard library."""
-    return {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+def _entity_table() -> str:
+    """Named entities of HTML 5 by their first letter, as JSON text, from the standard library."""
+    table: dict[str, dict[str, str]] = {}
+    for name, text in html.entities.html5.items():
+        if name.endswith(";"):
+            table.setdefault(name[0], {})[name[:-1]] = text
+    return json.dumps(table)
 
 
 @functools.cache
-def _windows_codes() -> dict[int, str]:
-    """Numeric entities 128-159 stand for Windows-1252 characters."""
-    return {i: html.unescape(f"&#{i};") for i in range(128, 160)}
+def _windows_codes() -> str:
+    """Numeric entities 128-159 stand for Windows-1252 characters; as JSON text."""
+    return json.dumps({str(i): html.unescape(f"&#{i};") for i in range(128, 160)})
 
 
 def _entity_text(e: Column) -> Column:
-    """The text of one entity's inside ('amp', '#8217', '#x2019'); an unknown name stays as written."""
+    """The text of one entity's inside ('amp', '#8217', '#x2019'); an unknown name stays as written.
+
+    The tables are one string literal each, which the optimizer folds into a constant map: no entry is
+    an expression of the plan, and a look-up reads the names of one first letter."""
     digits = F.regexp_extract(e, "^#[xX]?([0-9A-Fa-f]+)$", 1)
     code = F.when(e.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-    numeric = F.when(bad, F.lit("\ufffd")).when(code.between(128, 159), F.try_element_at(literal_map(_windows_codes()), code)).otherwise(char)
-    named = F.coalesce(F.try_element_at(literal_map(_entity_names()), e), F.concat(F.lit("&"), e, F.lit(";")))
+    windows = F.try_element_at(F.from_json(F.lit(_windows_codes()), "map<string,string>"), code.cast("string"))
+    numeric = F.when(bad, F.lit("\ufffd")).when(code.between(128, 159), windows).otherwise(char)
+    names = F.try_element_at(F.from_json(F.lit(_entity_table()), "map<string,map<string,string>>"), F.substring(e, 1, 1))
+    named = F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";")))
     return F.when(e.startswith("#"), numeric).otherwise(named)
 
 
