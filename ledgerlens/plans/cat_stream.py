@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.tree import json_tables, json_tree
@@ -16,10 +19,51 @@ DAYS_PER_FILE = 5
 DEDUP_DELAY = f"{DAYS_PER_FILE + 1} days"
 
 
+def _land_in_files(df: DataFrame, ts_col: str, path: str, days_per_file: int = 3, redeliver: bool = False) -> str:
+    """Write a table as an ordered series of files, ``days_per_file`` days each (the arrival
+    order of a landing folder). With ``redeliver`` every file also carries the rows of the
+    previous file again (at-least-once delivery). Returns ``path``.
+
+    One distributed write produces all files (a row re-delivered later is duplicated with
+    ``explode`` into the next slot). Each slot's file is then moved into ``path`` with an
+    increasing modification time, which is the order a file stream source reads them in; only
+    file metadata passes through the driver."""
+    spark = df.sparkSession
+    day0 = df.agg(F.min(F.to_date(ts_col)).alias("d0")).first()["d0"]
+    if day0 is None:
+        return path
+    slot = F.floor(F.datediff(F.to_date(ts_col), F.lit(day0)) / days_per_file).cast("int")
+    slots = F.array(slot, slot + 1) if redeliver else F.array(slot)
+    staged = f"{path.rstrip('/')}.staging"
+    tagged = df.withColumn("__slot", F.explode(slots))
+    tagged.repartition("__slot").write.mode("overwrite").partitionBy("__slot").parquet(staged)
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = src_root.getFileSystem(conf)
+    dst_root = jvm.org.apache.hadoop.fs.Path(path)
+    fs.mkdirs(dst_root)
+    parts = sorted(
+        (int(st.getPath().getName().split("=", 1)[1]), st.getPath())
+        for st in fs.listStatus(src_root)
+        if st.isDirectory() and st.getPath().getName().startswith("__slot=")
+    )
+    t0 = int(time.time() * 1000) - 1000 * (len(parts) + 1)
+    for i, (k, part) in enumerate(parts):
+        for f in fs.listStatus(part):
+            name = f.getPath().getName()
+            if name.endswith(".parquet"):
+                dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"slot-{k:06d}-{name}")
+                fs.rename(f.getPath(), dst)
+                fs.setTimes(dst, t0 + 1000 * i, -1)
+    return path
+
+
 def _landing(spark, d, redeliver: bool):
     ev = Tables(spark, d)("events").select(*EV_COLS)
     path = scratch_path(spark, "landing")
-    rs.land_in_files(ev, "ts", path, days_per_file=DAYS_PER_FILE, redeliver=redeliver)
+    _land_in_files(ev, "ts", path, days_per_file=DAYS_PER_FILE, redeliver=redeliver)
     return path, ev.schema
 
 
@@ -78,6 +122,25 @@ def q_speed_batch_merge(spark, d):
     return m.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("layer") == "speed").alias("n_from_speed"))
 
 
+_AFTER = """CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'F' WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'P' ELSE o_orderstatus END"""
+
+
+@register(
+    "patch_verification",
+    f"""SELECT o_orderkey, {_AFTER} AS status, b.o_orderstatus AS batch_status,
+       CASE WHEN b.o_orderkey IS NULL THEN 'missing' WHEN {_AFTER} IS NOT DISTINCT FROM b.o_orderstatus THEN 'confirmed' ELSE 'corrected' END AS verdict
+FROM orders LEFT JOIN (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority <> '3-MEDIUM') b USING (o_orderkey)""".replace("o_orderstatus = 'P'", "orders.o_orderstatus = 'P'").replace("o_orderstatus = 'O'", "orders.o_orderstatus = 'O'").replace("ELSE o_orderstatus", "ELSE orders.o_orderstatus"),
+    ids=("I4",),
+)
+def q_patch_verification(spark, d):
+    from . import bind
+
+    o = Tables(spark, d)("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    patches = o.select("o_orderkey", bind.after_status().alias("status"))
+    batch = o.where(F.col("o_orderpriority") != "3-MEDIUM").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    return rs.verify_patches(patches, batch, ["o_orderkey"], ["status"])
+
+
 @register(
     "late_revision",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'F'

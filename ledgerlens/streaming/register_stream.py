@@ -1,68 +1,32 @@
-"""Structured Streaming versions of the register logic.
+"""Structured Streaming versions of the register logic.
 
 Every stream reads a folder of Parquet files (the landing folder), runs with
 ``trigger(availableNow=True)`` and keeps its checkpoint and outputs under the session's shared
 checkpoint folder, so a restarted driver or a lost executor resumes from the last committed epoch.
-Micro-batch writes are idempotent per epoch (an epoch rewrites only its own folder).
+An epoch writes the ``epoch=`` partition of its number and overwrites it if it runs again; tables
+are read as the newest rows over the epochs. All of it is plain Spark reads and writes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from ..operators.windows import latest_per_key
+from ..operators.joins import bounded
+from ..operators.windows import latest_per_key, revisions
 from ..sources.bulletins import scratch_path
 
 
-def land_in_files(df: DataFrame, ts_col: str, path: str, days_per_file: int = 3, redeliver: bool = False) -> str:
-    """Write a table as an ordered series of files, ``days_per_file`` days each (the arrival
-    order of a landing folder). With ``redeliver`` every file also carries the rows of the
-    previous file again (at-least-once delivery). Returns ``path``.
-
-    One distributed write produces all files (a row re-delivered later is duplicated with
-    ``explode`` into the next slot). Each slot's file is then moved into ``path`` with an
-    increasing modification time, which is the order a file stream source reads them in; only
-    file metadata passes through the driver."""
-    spark = df.sparkSession
-    day0 = df.agg(F.min(F.to_date(ts_col)).alias("d0")).first()["d0"]
-    if day0 is None:
-        return path
-    slot = F.floor(F.datediff(F.to_date(ts_col), F.lit(day0)) / days_per_file).cast("int")
-    slots = F.array(slot, slot + 1) if redeliver else F.array(slot)
-    staged = f"{path.rstrip('/')}.staging"
-    tagged = df.withColumn("__slot", F.explode(slots))
-    tagged.repartition("__slot").write.mode("overwrite").partitionBy("__slot").parquet(staged)
-
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_root = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = src_root.getFileSystem(conf)
-    dst_root = jvm.org.apache.hadoop.fs.Path(path)
-    fs.mkdirs(dst_root)
-    parts = sorted(
-        (int(st.getPath().getName().split("=", 1)[1]), st.getPath())
-        for st in fs.listStatus(src_root)
-        if st.isDirectory() and st.getPath().getName().startswith("__slot=")
-    )
-    t0 = int(__import__("time").time() * 1000) - 1000 * (len(parts) + 1)
-    for i, (k, part) in enumerate(parts):
-        for f in fs.listStatus(part):
-            name = f.getPath().getName()
-            if name.endswith(".parquet"):
-                dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"slot-{k:06d}-{name}")
-                fs.rename(f.getPath(), dst)
-                fs.setTimes(dst, t0 + 1000 * i, -1)
-    return path
-
-
 def _source(spark: SparkSession, landing: str, schema, max_files: int = 3) -> DataFrame:
-    """The landing folder as a stream; a folder that is not there yet is an empty one."""
-    fs, p = _fs(spark, landing)
-    if not fs.exists(p):
-        fs.mkdirs(p)
+    """The landing folder as a stream; a folder that is not there yet becomes an empty one."""
+    try:
+        spark.read.schema(schema).parquet(landing)
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("append").parquet(landing)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
 
 
@@ -73,55 +37,18 @@ def _run(writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-class BucketStore:
-    """A keyed table in a folder, upserted bucket by bucket.
-
-    Keys are dealt to ``buckets`` folders by hash. A batch rewrites only the buckets it touches,
-    into a folder of its version; the version counts once its job has committed (``_SUCCESS``), so
-    readers see either the old or the new files of a bucket. A version that is there already is
-    not written again (a retried epoch), and replaced bucket folders are deleted afterwards, so the
-    store stays as large as the table."""
-
-    def __init__(self, spark: SparkSession, root: str, schema, key: Sequence[str], order: Sequence[str], carry_max: Sequence[str] = (),
-                 keep_first: Sequence[str] = (), buckets: int = 32):
-        self.spark, self.root, self.schema = spark, root, schema
-        self.key, self.order, self.carry_max, self.keep_first, self.buckets = list(key), list(order), carry_max, keep_first, buckets
-
-    def _current(self) -> dict[int, str]:
-        """Newest committed folder of each bucket (names only; at most buckets x live versions of them)."""
-        fs, root = _fs(self.spark, self.root)
-        newest: dict[int, str] = {}
-        if not fs.exists(root):
-            return newest
-        for v in sorted(st.getPath().toString() for st in fs.listStatus(root) if st.getPath().getName().startswith("v=")):
-            if _exists(self.spark, f"{v}/_SUCCESS"):
-                for st in fs.listStatus(_fs(self.spark, v)[1]):
-                    name = st.getPath().getName()
-                    if name.startswith("__bucket="):
-                        newest[int(name.split("=")[1])] = st.getPath().toString()
-        return newest
-
-    def read(self) -> DataFrame:
-        paths = list(self._current().values())
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
-
-    def upsert(self, batch: DataFrame, version: int) -> None:
-        target = f"{self.root}/v={version:010d}"
-        if _exists(self.spark, f"{target}/_SUCCESS"):
-            return
-        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
-        touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # at most ``buckets`` numbers
-        if not touched:
-            return
-        old = {k: p for k, p in self._current().items() if k in touched}
-        rows = batch.select(*self.schema.fieldNames())
-        if old:
-            rows = self.spark.read.schema(self.schema).parquet(*old.values()).unionByName(rows)
-        merged = latest_per_key(rows, self.key, self.order, self.carry_max, self.keep_first)
-        merged.withColumn("__bucket", bucket).write.mode("overwrite").partitionBy("__bucket").parquet(target)
-        for p in old.values():
-            fs, path = _fs(self.spark, p)
-            fs.delete(path, True)
+def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
+    """An epoch's rows as its partition; the same epoch again replaces them."""
+    df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def read_epochs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All epochs' rows with their ``epoch`` number; a table without epochs is empty."""
+    with_epoch = StructType([*schema.fields]).add("epoch", LongType())
+    try:
+        return spark.read.schema(with_epoch).option("basePath", path).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], with_epoch)
 
 
 def stream_register(
@@ -134,13 +61,35 @@ def stream_register(
     carry_max: Sequence[str] = (),
     keep_first: Sequence[str] = (),
 ) -> DataFrame:
-    """Incremental register (I1, I2 by key): each micro-batch is upserted into a stored register,
-    newest row per key by ``order`` whatever the order of arrival; ``keep_first`` columns keep
-    their oldest value. Returns the register after the stream has caught up."""
+    """Incremental register (I1, I2 by key): each micro-batch's newest row per key is an epoch of
+    the register, which is read as the newest row per key over the epochs, whatever the order of
+    arrival. ``keep_first`` columns keep their oldest value; an epoch then keeps all its rows.
+    Returns the register after the stream has caught up. ``compact_register`` bounds the epochs."""
     work = work_dir or scratch_path(spark, "register-stream")
-    store = BucketStore(spark, f"{work}/register", schema, key, order, carry_max, keep_first)
-    _run(_source(spark, landing, schema).writeStream.foreachBatch(lambda batch, epoch: store.upsert(batch, epoch)), f"{work}/checkpoint")
-    return store.read()
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_epoch(batch if keep_first else latest_per_key(batch, key, order, carry_max), f"{work}/register", epoch)
+
+    _run(_source(spark, landing, schema).writeStream.foreachBatch(write), f"{work}/checkpoint")
+    return current_register(spark, f"{work}/register", schema, key, order, carry_max, keep_first)
+
+
+def current_register(
+    spark: SparkSession, path: str, schema: StructType, key: Sequence[str], order: Sequence[str], carry_max: Sequence[str] = (), keep_first: Sequence[str] = ()
+) -> DataFrame:
+    """The register that the epochs under ``path`` add up to: one row per key."""
+    return latest_per_key(read_epochs(spark, path, schema).drop("epoch"), key, order, carry_max, keep_first)
+
+
+def compact_register(
+    spark: SparkSession, path: str, target: str, schema: StructType, key: Sequence[str], order: Sequence[str], carry_max: Sequence[str] = (), keep_first: Sequence[str] = ()
+) -> DataFrame:
+    """The register as one epoch of a new folder, in which later epochs go on; an ordinary write.
+
+    It becomes the lowest epoch (-1). ``keep_first`` values are the oldest ones of all epochs so far,
+    on the row of the newest version; a later epoch with a still older version needs the old folder."""
+    write_epoch(current_register(spark, path, schema, key, order, carry_max, keep_first), target, -1)
+    return current_register(spark, target, schema, key, order, carry_max, keep_first)
 
 
 def dedup_stream(
@@ -152,17 +101,10 @@ def dedup_stream(
     the rows of that time span, not by the whole history; ``delay`` must exceed the lateness of
     a re-delivery (here: files carry at most the previous file's days again)."""
     work = work_dir or scratch_path(spark, "dedup-stream")
-    out = f"{work}/out"
     src = _source(spark, landing, schema).withColumn("__wm", F.col(ts_col).cast("timestamp"))
     dedup = src.withWatermark("__wm", delay).dropDuplicatesWithinWatermark(list(key)).drop("__wm")
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    _run(dedup.writeStream.foreachBatch(write), f"{work}/checkpoint")
-    if not _exists(spark, out):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(out).select(*schema.fieldNames())
+    _run(dedup.writeStream.foreachBatch(lambda batch, epoch: write_epoch(batch, f"{work}/out", epoch)), f"{work}/checkpoint")
+    return read_epochs(spark, f"{work}/out", schema).drop("epoch")
 
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -174,23 +116,21 @@ def daily_counts_stream(
     """Count per day and kind (tumbling one-day windows) with a watermark.
 
     State holds the windows that ``delay`` still covers; rows later than that are not counted.
-    Update mode: a batch's changed counts are upserted into a stored table, nothing else is
-    rewritten. Windows are over the wall-clock value read as UTC, so day boundaries do not move
+    Update mode: an epoch holds the counts that its batch changed, and the newest epoch of a day and
+    kind counts. Windows are over the wall-clock value read as UTC, so day boundaries do not move
     with the session time zone."""
-    from pyspark.sql.types import StructType
-
     work = work_dir or scratch_path(spark, "daily-stream")
     src = _source(spark, landing, schema).withColumn("__wm", F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, `{ts_col}`))"))
     agg = src.withWatermark("__wm", delay).groupBy(F.window("__wm", "1 day").alias("w"), kind_col).agg(F.count(F.lit(1)).alias("n"))
     kind = schema[kind_col].dataType.simpleString()
-    store = BucketStore(spark, f"{work}/daily", StructType.fromDDL(f"day timestamp_ntz, `{kind_col}` {kind}, n long, version long"), ["day", kind_col], ["version"])
+    counts = StructType.fromDDL(f"day timestamp_ntz, `{kind_col}` {kind}, n long")
 
     def write(batch: DataFrame, epoch: int) -> None:
         day = F.expr(f"timestampadd(MICROSECOND, unix_micros(w.start), {_EPOCH})")
-        store.upsert(batch.select(day.alias("day"), kind_col, "n", F.lit(epoch).cast("long").alias("version")), epoch)
+        write_epoch(batch.select(day.alias("day"), kind_col, "n"), f"{work}/daily", epoch)
 
     _run(agg.writeStream.outputMode("update").foreachBatch(write), f"{work}/checkpoint")
-    return store.read().select("day", kind_col, "n")
+    return read_epochs(spark, f"{work}/daily", counts).groupBy("day", kind_col).agg(F.max_by("n", "epoch").alias("n"))
 
 
 def speed_merge(batch: DataFrame, speed: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -201,31 +141,26 @@ def speed_merge(batch: DataFrame, speed: DataFrame, key: Sequence[str]) -> DataF
     return b.unionByName(s)
 
 
+def verify_patches(patches: DataFrame, batch: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The next batch re-verifies pending patches (I4): per patch its values, the batch's as
+    ``batch_<value>`` and ``verdict``: ``confirmed`` (all equal, nulls too), ``corrected`` (the batch
+    says otherwise) or ``missing`` (the batch has no such key). ``key`` is unique in the batch."""
+    seen = batch.select(*key, *(F.col(v).alias(f"batch_{v}") for v in values), F.lit(True).alias("__seen"))
+    same = F.lit(True)
+    for v in values:
+        same = same & F.col(v).eqNullSafe(F.col(f"batch_{v}"))
+    verdict = F.when(F.col("__seen").isNull(), "missing").when(same, "confirmed").otherwise("corrected")
+    return patches.join(seen, list(key), "left").withColumn("verdict", verdict).drop("__seen")
+
+
 def speed_layer_stream(spark: SparkSession, landing: str, schema, where=None, work_dir: str | None = None) -> DataFrame:
     """Collect the speed layer from the stream (append log, one folder per epoch)."""
     work = work_dir or scratch_path(spark, "speed-stream")
-    out = f"{work}/out"
     src = _source(spark, landing, schema)
     if where is not None:
         src = src.where(where)
-
-    def write(b: DataFrame, epoch: int) -> None:
-        b.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    _run(src.writeStream.foreachBatch(write), f"{work}/checkpoint")
-    if not _exists(spark, out):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(out).select(*schema.fieldNames())
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    _run(src.writeStream.foreachBatch(lambda batch, epoch: write_epoch(batch, f"{work}/out", epoch)), f"{work}/checkpoint")
+    return read_epochs(spark, f"{work}/out", schema).drop("epoch")
 
 
 def revision_stream(
@@ -238,20 +173,28 @@ def revision_stream(
     work_dir: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Late corrections (I5): rows carry the number of their delivery in ``version``, so files may
-    arrive in any order and number. Each micro-batch is appended to a log; the current table is the
-    newest version per key (E1) and the ledger lists every change of ``value`` between consecutive
-    versions of a key (E8). Returns (current, ledger); both are empty for an empty landing folder."""
-    from ..operators.windows import revisions
-
+    arrive in any order and number.
+
+    A micro-batch is appended to the log as its epoch. The ledger (every change of ``value`` between
+    consecutive versions of a key, E8) is kept up by a stream-static join: only the keys of the batch
+    are looked up in the log and their entries written again, as this epoch's; a key's newest epoch
+    counts. A run therefore reads the new files and those keys' history, and a late older version
+    goes between the entries that it splits. Returns (current, ledger): the newest version per key,
+    and the ledger; both are empty for an empty landing folder."""
     work = work_dir or scratch_path(spark, "revision-stream")
-    log = f"{work}/log"
+    log, ledger = f"{work}/log", f"{work}/ledger"
+    keys = list(key)
+    entry = StructType([schema[k] for k in (*keys, version, value)]).add("old_value", schema[value].dataType).add("old_version", schema[version].dataType)
 
-    def write(b: DataFrame, epoch: int) -> None:
-        b.write.mode("overwrite").parquet(f"{log}/epoch={epoch}")
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_epoch(batch, log, epoch)
+        touched = bounded(batch.select(*keys).distinct())
+        history = read_epochs(spark, log, schema).join(touched, keys, "left_semi").select(*keys, version, value).distinct()
+        # versions of one key are few (one per delivery), so the per-key window is small
+        write_epoch(revisions(history, keys, version, value).select(*entry.fieldNames()), ledger, epoch)
 
     _run(_source(spark, landing, schema).writeStream.foreachBatch(write), f"{work}/checkpoint")
-    entries = spark.read.parquet(log).select(*schema.fieldNames()) if _exists(spark, log) else spark.createDataFrame([], schema)
-    current = latest_per_key(entries, list(key), [version])
-    # versions of one key are few (one per delivery), so the per-key window is small
-    ledger = revisions(entries.select(*key, version, value), list(key), version, value)
-    return current, ledger
+    current = latest_per_key(read_epochs(spark, log, schema).drop("epoch"), keys, [version])
+    newest = F.max("epoch").over(Window.partitionBy(*keys))
+    entries = read_epochs(spark, ledger, entry).withColumn("__newest", newest).where(F.col("epoch") == F.col("__newest"))
+    return current, entries.select(*entry.fieldNames())

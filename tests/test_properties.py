@@ -321,21 +321,68 @@ def test_revision_stream_empty_and_out_of_order(spark, tmp_path):
     assert sorted((r.k, r.old_value, r.v) for r in ledger.collect()) == [(1, "a", "b"), (1, "b", "c")]
 
 
-def test_bucket_store_upserts_and_survives_a_repeated_version(spark, tmp_path):
+def test_register_epochs_replay_retry_and_compaction(spark, tmp_path):
     from pyspark.sql.types import StructType
 
     from ledgerlens.streaming import register_stream as rs
 
     schema = StructType.fromDDL("k long, v string, t long, url string")
-    store = rs.BucketStore(spark, str(tmp_path / "s"), schema, ["k"], ["t"], keep_first=["url"], buckets=4)
-    assert store.read().count() == 0
     df = lambda rows_in: spark.createDataFrame(rows_in, schema)
-    store.upsert(df([(k, "a", 1, f"u{k}") for k in range(20)]), 0)
-    store.upsert(df([(3, "b", 2, "new"), (4, "old", 0, "older"), (50, "c", 1, "u50")]), 1)
-    store.upsert(df([(3, "again", 9, "x")]), 1)  # the same epoch again: already there
-    got = {r.k: (r.v, r.url) for r in store.read().collect()}
-    assert len(got) == 21 and got[3] == ("b", "u3") and got[4] == ("a", "older") and got[50] == ("c", "u50")
-    assert len(store._current()) <= 4
+    path, rule = str(tmp_path / "register"), dict(key=["k"], order=["t"], keep_first=["url"])
+    assert rs.current_register(spark, path, schema, **rule).count() == 0
+    rs.write_epoch(df([(k, "a", 1, f"u{k}") for k in range(20)]), path, 0)
+    rs.write_epoch(df([(3, "lost", 9, "x")]), path, 1)
+    rs.write_epoch(df([(3, "b", 2, "new"), (4, "old", 0, "older"), (50, "c", 1, "u50")]), path, 1)  # the epoch is tried again
+
+    def check(got, n=21):
+        got = {r.k: (r.v, r.url) for r in got.collect()}
+        assert len(got) == n and got[3] == ("b", "u3") and got[4] == ("a", "older") and got[50] == ("c", "u50")
+
+    check(rs.current_register(spark, path, schema, **rule))
+    check(rs.compact_register(spark, path, str(tmp_path / "compact"), schema, **rule))
+    rs.write_epoch(df([(60, "d", 1, "u60")]), str(tmp_path / "compact"), 2)
+    check(rs.current_register(spark, str(tmp_path / "compact"), schema, **rule), 22)
+
+
+def test_register_stream_over_several_runs(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from ledgerlens.streaming import register_stream as rs
+
+    schema = StructType.fromDDL("k long, v string, t long")
+    landing, work = str(tmp_path / "landing"), str(tmp_path / "work")
+    run = lambda: sorted(tuple(r) for r in rs.stream_register(spark, landing, schema, ["k"], ["t"], work_dir=work).collect())
+    assert run() == []
+    for batch, want in ([(1, "new", 5), (2, "x", 1)], [(1, "new", 5), (2, "x", 1)]), ([(1, "old", 2), (2, "y", 2), (1, "new", 5)], [(1, "new", 5), (2, "y", 2)]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(landing)
+        assert run() == want
+
+
+def test_revision_ledger_is_kept_up_by_touched_keys(spark, tmp_path):
+    """Late, repeated and out-of-order versions over several runs give what a replay of the whole log gives."""
+    from pyspark.sql.types import StructType
+
+    from ledgerlens.streaming import register_stream as rs
+
+    schema = StructType.fromDDL("k long, v string, version long")
+    landing, work = str(tmp_path / "landing"), str(tmp_path / "work")
+    log = []
+    for batch in ([(1, "a", 0), (2, "x", 0), (3, None, 0)], [(1, "c", 4), (3, "z", 2)], [(1, "b", 2), (1, "c", 4), (2, "x", 1)], [(3, None, 1), (1, "a", 3)]):
+        log += batch
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(landing)
+        current, ledger = rs.revision_stream(spark, landing, schema, ["k"], "v", work_dir=work)
+        whole = windows.revisions(spark.createDataFrame(log, schema).distinct(), ["k"], "version", "v").select(*ledger.columns)
+        assert rows(ledger) == rows(whole)
+        assert {r.k: r.v for r in current.collect()} == {k: v for k, v, _ in sorted(log, key=lambda r: r[2])}
+
+
+def test_patches_are_confirmed_corrected_or_missing(spark):
+    from ledgerlens.streaming import register_stream as rs
+
+    patches = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d"), (5, None)], "k int, v string")
+    batch = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (5, "e")], "k int, v string")
+    got = {r.k: r.verdict for r in rs.verify_patches(patches, batch, ["k"], ["v"]).collect()}
+    assert got == {1: "confirmed", 2: "corrected", 3: "confirmed", 4: "missing", 5: "corrected"}
 
 
 def test_open_counts_equal_open_windows(spark):
