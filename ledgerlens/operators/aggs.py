@@ -393,5 +393,4 @@ def balance(out_df: DataFrame, in_df: DataFrame, key: str, out_col: str, in_col:
     b = out_df.select(key, out_col).join(in_df.select(key, in_col), key, "full_outer").select(
         key, (F.coalesce(F.col(out_col), F.lit(0.0)) - F.coalesce(F.col(in_col), F.lit(0.0))).alias("balance")
     )
-    b = global_rank(b, "balance", "rank_surplus", descending=True)
-    return global_rank(b, "balance", "rank_deficit")
+    return global_rank(b, "balance", "rank_surplus", descending=True, back="rank_deficit")  # one pass for both ends

@@ -234,18 +234,28 @@ def open_windows(
 ) -> DataFrame:
     """Items open at each date: start <= d and (end is null or end >= d); days left to close.
 
-    The date list is a calendar (small side, broadcast after a size check).
+    Dates may repeat. Items without a start are never open.
 
-    * ``grid=None``: a broadcast nested-loop join; cost is items x dates.
+    * ``grid=None``: any dates, by bins of days. A bin is as wide as the median item is long, or a
+      1024th of the dates' span if that is wider, so a typical item lies in two bins and none in more
+      than 1025. Items and dates meet on the bin, and the exact condition decides.
     * ``grid='month'|'day'|'year'|...``: every calendar date is a truncation to that unit. Each
       item then expands to the grid points inside its interval (``sequence``), which are
-      equi-joined to the calendar: the work is the number of (item, date) matches, not the
-      product. Open-ended items run to the last calendar date.
+      equi-joined to the calendar (broadcast after a size check): the work is the number of
+      (item, date) matches, not the product. Open-ended items run to the last calendar date.
     """
     d = bounded(dates, max_dates)
     if grid is None:
-        cond = (items[start_col] <= d[date_col]) & (items[end_col].isNull() | (items[end_col] >= d[date_col]))
-        j = items.join(d, cond, "inner")
+        day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+        span = F.broadcast(dates.agg(F.min(day(date_col)).alias("__lo"), F.max(day(date_col)).alias("__hi")))
+        begin, end = F.greatest(day(start_col), F.col("__lo")), F.least(F.coalesce(day(end_col), F.col("__hi")), F.col("__hi"))
+        live = items.where(F.col(start_col).isNotNull()).crossJoin(span).withColumn("__b", begin).withColumn("__e", end).where("__b <= __e")
+        width = F.broadcast(live.agg(F.greatest(F.coalesce(F.percentile_approx(F.col("__e") - F.col("__b"), 0.5, 1000), F.lit(1)), F.ceil((F.max("__hi") - F.max("__lo")) / 1024), F.lit(1)).cast("long").alias("__width")))
+        bin_of = lambda c: F.floor((c - F.col("__lo")) / F.col("__width"))
+        binned = live.crossJoin(width).withColumn("__bin", F.explode(F.sequence(bin_of(F.col("__b")), bin_of(F.col("__e"))))).drop("__lo", "__hi", "__width", "__b", "__e")
+        asked = dates.crossJoin(span).crossJoin(width).select(*dates.columns, bin_of(day(date_col)).alias("__date_bin"))
+        inside = (F.col(start_col) <= F.col(date_col)) & (F.col(end_col).isNull() | (F.col(end_col) >= F.col(date_col)))
+        j = binned.join(asked, (F.col("__bin") == F.col("__date_bin")) & inside).drop("__bin", "__date_bin")
     else:
         horizon = F.broadcast(dates.agg(F.max(date_col).alias("__h")))
         it = items.crossJoin(horizon)

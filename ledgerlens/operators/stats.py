@@ -21,13 +21,10 @@ def spearman(df: DataFrame, y: str, x: str) -> DataFrame:
 
     Ranks come from ``windows.global_rank`` (distributed, ties share the mean position), so a
     row-level input of any size is ranked without a single-partition window."""
-    from .windows import value_ranks
+    from .windows import global_rank
 
     both = df.where(F.col(y).isNotNull() & F.col(x).isNotNull()).select(F.col(y).alias("__y"), F.col(x).alias("__x"))
-    # rank each column on its own (value -> mean rank tables), then attach both in one pass
-    ry = value_ranks(both, "__y", "__ry", ties="mean")
-    rx = value_ranks(both, "__x", "__rx", ties="mean")
-    ranked = both.join(ry, "__y").join(rx, "__x")
+    ranked = global_rank(global_rank(both, "__y", "__ry", ties="mean"), "__x", "__rx", ties="mean")
     return ranked.agg(F.corr("__ry", "__rx").alias("spearman_rho"), F.count(F.lit(1)).alias("n"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import safe_ratio
+from ..session import materialize
 
 
 def _keys(on) -> list[str]:
@@ -34,17 +35,45 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple, ties broken by all other columns.
 
-    Expressed as ``max(struct(order..., rest...))``: a partial aggregate, so a key holding a large
-    share of the rows is reduced on each map task before the shuffle. Per-column rules:
+    Per-column rules:
 
     * ``carry_max``: maximum over all versions (a flag that, once set, survives);
     * ``keep_first``: the value of the oldest version (a column an update does not touch);
     * ``latest_non_null``: the newest non-null value (a fill that never writes a null back).
 
-    All three are partial aggregates too (``max``, ``min_by``, ``max_by``). ``first_order`` is
-    the ordering that decides "oldest" for ``keep_first`` (default: ``order``).
+    ``first_order`` is the ordering that decides "oldest" for ``keep_first`` (default: ``order``).
+
+    Most keys have few rows: those are shuffled as they are, once, and sorted behind the shuffle.
+    Hot keys (more than one row in 64, found by a one-row sketch of the keys) are reduced by
+    ``max(struct)`` and its like, so each map task sends one row of them.
     """
     keys = _keys(key)
+    hashed = F.xxhash64(*keys)
+    top, n = df.agg(F.expr(f"approx_top_k({', '.join(['xxhash64(' + ', '.join(f'`{k}`' for k in keys) + ')'])}, 64, 10000)"), F.count(F.lit(1))).first()
+    hot = [r["item"] for r in top or [] if 64 * r["count"] > n]
+    if not hot:
+        return _latest_shuffled(df, keys, order, carry_max, keep_first, latest_non_null, first_order)
+    cold = _latest_shuffled(df.where(~hashed.isin(hot)), keys, order, carry_max, keep_first, latest_non_null, first_order)
+    return _latest_reduced(df.where(hashed.isin(hot)), keys, order, carry_max, keep_first, latest_non_null, first_order).unionByName(cold)
+
+
+def _latest_shuffled(df, keys, order, carry_max, keep_first, latest_non_null, first_order) -> DataFrame:
+    """Newest row per key behind one shuffle. The first row is the one without a predecessor: a
+    ``row_number`` filter would be planned with a sort before the shuffle too, which unique keys do not pay back."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    newest = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in [*order, *rest]))
+    whole = Window.partitionBy(*keys)
+    ordering = F.struct(*[F.col(c) for c in order])
+    rules = {c: F.max(c).over(whole) for c in carry_max}
+    rules |= {c: F.min_by(c, F.struct(*[F.col(x) for x in (first_order or order)])).over(whole) for c in keep_first}
+    rules |= {c: F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).over(whole) for c in latest_non_null}
+    first = F.lag(F.lit(True)).over(newest).isNull().alias("__first")
+    out = df.select(*keys, *(rules.get(c, F.col(c)).alias(c) for c in df.columns if c not in keys), first)
+    return out.where("__first").drop("__first")
+
+
+def _latest_reduced(df, keys, order, carry_max, keep_first, latest_non_null, first_order) -> DataFrame:
+    """Newest row per key by partial aggregates."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordering = F.struct(*[F.col(c) for c in order])
     first_ordering = F.struct(*[F.col(c) for c in (first_order or order)])
@@ -54,12 +83,8 @@ def latest_per_key(
     special += [F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"__x_{c}") for c in latest_non_null]
     out = df.groupBy(*keys).agg(packed, *special)
     rules = set(carry_max) | set(keep_first) | set(latest_non_null)
-    cols = [F.col(k) for k in keys]
-    for c in df.columns:
-        if c in keys:
-            continue
-        cols.append(F.col(f"__x_{c}").alias(c) if c in rules else F.col(f"__best.{c}").alias(c))
-    return out.select(*cols)
+    cols = [F.col(f"__x_{c}").alias(c) if c in rules else F.col(f"__best.{c}").alias(c) for c in df.columns if c not in keys]
+    return out.select(*keys, *cols)
 
 
 def upsert(
@@ -140,46 +165,47 @@ def top_n(df: DataFrame, group, order: str, n: int, tiebreak: Sequence[str] = ()
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
+def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` sorted over the cluster, with its range partition ``__part`` and place ``__at`` in it.
+
+    Rows are range-partitioned by (order, a row number): equal rows are split too, so a value that all
+    rows share is spread over the tasks. How many partitions there are follows from the session and the
+    data's size. Materialised, since sampled ranges may differ when computed again."""
+    at = df.withColumn("__row", F.monotonically_increasing_id())
+    at = at.repartitionByRange(*order, "__row").sortWithinPartitions(*order, "__row").withColumn("__at", F.monotonically_increasing_id())
+    return materialize(at.withColumn("__part", F.shiftright("__at", 33)).drop("__row"))
+
+
 def cum_share(
     df: DataFrame,
     value: str,
     tiebreak: Sequence[str] = (),
     base_total: float | None = None,
-    buckets: int = 256,
 ) -> DataFrame:
     """Cumulative share of the total, largest first: top-k hold x %.
 
     ``pos`` is the position in (value desc, tiebreak) order and ``cum_share_pct`` the running
     total up to and including the row, over the sum of the rows (or ``base_total``).
 
-    No keyless window: rows are split into value buckets by approximate quantiles; a running
-    sum inside each bucket plus the bucket offsets (a running sum over at most ``buckets`` rows)
-    give the exact running total and position. Null values come last.
+    No keyless window over rows: they are sorted over the cluster (``in_order``); a running sum inside
+    each partition plus the partitions' offsets (a running sum over a row a partition) give the
+    running total and position. Null values come last.
     """
     v = F.col(value)
-    if base_total is None:
-        tot = df.agg(F.sum(value).alias("__tot"))
-    else:
-        tot = df.sparkSession.range(1).select(F.lit(float(base_total)).alias("__tot"))
-    key = -v
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.where(v.isNotNull()).agg(F.percentile_approx(key, qs, 10_000).alias("__b"))
-    bk = F.when(v.isNull(), F.lit(buckets)).otherwise(F.size(F.filter(F.array_distinct("__b"), lambda b: b < key)))
-    b = df.crossJoin(F.broadcast(bounds)).withColumn("__bk", bk).drop("__b")
-    per = b.groupBy("__bk").agg(F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    wb = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets + 1 rows
+    rows = in_order(df, [v.desc_nulls_last(), *(F.col(c) for c in tiebreak)])
+    per = rows.groupBy("__part").agg(F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total = F.sum("__s").over(whole) if base_total is None else F.lit(float(base_total))
     offsets = per.select(
-        "__bk", F.coalesce(F.sum("__s").over(wb), F.lit(0)).alias("__s_off"), F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__n_off")
-    )
-    w = Window.partitionBy("__bk").orderBy(v.desc(), *[F.col(c) for c in tiebreak])
-    run = b.withColumn("__run", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "__rn", F.row_number().over(w)
-    )
-    j = run.join(F.broadcast(offsets), "__bk").crossJoin(F.broadcast(tot))
+        "__part", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__s_off"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n_off"), total.alias("__tot"))
+    w = Window.partitionBy("__part").orderBy("__at")
+    run = rows.withColumn("__run", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__rn", F.row_number().over(w))
     return (
-        j.withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("long"))
+        run.join(F.broadcast(offsets), "__part")  # a row a partition
+        .withColumn("pos", (F.col("__n_off") + F.col("__rn")).cast("long"))
         .withColumn("cum_share_pct", safe_ratio(F.col("__s_off") + F.coalesce(F.col("__run"), F.lit(0)), F.col("__tot")) * 100)
-        .drop("__bk", "__s_off", "__n_off", "__run", "__rn", "__tot")
+        .drop("__part", "__at", "__s_off", "__n_off", "__run", "__rn", "__tot")
     )
 
 
@@ -305,71 +331,70 @@ def quadrant(share_a, share_b, cut_a: float, cut_b: float) -> Column:
     return F.concat(a, F.lit("_"), b)
 
 
+def _ranked_values(df: DataFrame, value: str, ties: str, descending: bool, weight: str | None) -> DataFrame:
+    """(__v, __rank, __back, __hot) for each distinct non-null value: its rank, its rank from the other
+    end ('min' ties), and whether more than one row in 64 holds it."""
+    v = F.col(value)
+    counts = df.where(v.isNotNull()).select(v.alias("__v"), (F.col(weight) if weight else F.lit(1)).alias("__w"))
+    counts = counts.groupBy("__v").agg(F.sum("__w").cast("long").alias("__n"))
+    rows = in_order(counts, [F.col("__v").desc() if descending else F.col("__v").asc()])
+    per = rows.groupBy("__part").agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__vals"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # over a row a partition
+    whole = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per.select(
+        "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__row_off"), F.coalesce(F.sum("__vals").over(before), F.lit(0)).alias("__val_off"),
+        F.sum("__rows").over(whole).alias("__all"))
+    inside = Window.partitionBy("__part").orderBy("__at")
+    before_it = F.coalesce(F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    r = rows.withColumn("__before", before_it).withColumn("__dense", F.row_number().over(inside)).join(F.broadcast(offsets), "__part")
+    first = F.col("__row_off") + F.col("__before")
+    rank = {"mean": first + (F.col("__n") + 1) / 2.0, "dense": F.col("__val_off") + F.col("__dense"), "min": first + 1}[ties]
+    return r.select("__v", rank.alias("__rank"), (F.col("__all") - first - F.col("__n") + 1).alias("__back"), (64 * F.col("__n") > F.col("__all")).alias("__hot"))
+
+
 def global_rank(
     df: DataFrame,
     value: str,
     out: str = "rank",
     ties: str = "min",
     descending: bool = False,
-    buckets: int = 256,
-    accuracy: int = 10_000,
     weight: str | None = None,
+    back: str | None = None,
 ) -> DataFrame:
     """Rank of ``value`` over the whole table without a single-partition window.
 
     ``weight`` names a column holding how many rows each input row stands for (pre-aggregated
-    input); by default every row counts once.
+    input); by default every row counts once. ``back`` names a column for the rank from the other
+    end (ties 'min').
 
     ``ties``: 'min' (SQL rank), 'mean' (mean of tied positions, for Spearman) or 'dense'.
     Rows with a null value get a null rank.
 
     1. Per distinct value, count the rows: a partial aggregate, so a value held by a third of all
        rows becomes one row.
-    2. Split the value range into ``buckets`` by approximate quantiles (a one-row sketch).
-    3. Bucket totals (at most ``buckets`` rows) give each bucket's offset.
-    4. A window per bucket over the distinct values gives the position inside it.
-    5. The ranked distinct values join back to the rows on the value.
+    2. Sort the distinct values over the cluster (``in_order``); partition totals give offsets and a
+       window per partition the position inside it.
+    3. The ranks join back to the rows on the value: the hot values (fewer than 64 by their definition)
+       by a broadcast, the others by a shuffle that rows of hot and null values pass spread out.
 
-    The result is exact; the quantiles only balance the buckets. Ranks are long (mean ranks double).
+    The result is exact. Ranks are long (mean ranks double).
     """
-    v = F.col(value)
-    key = (-v) if descending else v
-    w = F.col(weight) if weight else F.lit(1)
-    keyed = df.where(v.isNotNull()).select(v.alias("__v"), key.alias("__k"), w.alias("__w"))
-    counts = keyed.groupBy("__v", "__k").agg(F.sum("__w").cast("long").alias("__n"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = keyed.agg(F.percentile_approx("__k", qs, accuracy).alias("__b"))
-    cb = counts.crossJoin(F.broadcast(bounds)).withColumn(
-        "__bk", F.size(F.filter(F.array_distinct(F.col("__b")), lambda b: b < F.col("__k")))
-    ).drop("__b")
-    per_bucket = cb.groupBy("__bk").agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__vals"))
-    wb = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
-    offsets = per_bucket.select(
-        "__bk",
-        F.coalesce(F.sum("__rows").over(wb), F.lit(0)).alias("__row_off"),
-        F.coalesce(F.sum("__vals").over(wb), F.lit(0)).alias("__val_off"),
-    )
-    wi = Window.partitionBy("__bk").orderBy("__k")
-    inner = cb.withColumn("__before", F.coalesce(F.sum("__n").over(wi.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = inner.withColumn("__dense", F.row_number().over(wi))
-    r = inner.join(F.broadcast(offsets), "__bk")
-    if ties == "mean":
-        rank = F.col("__row_off") + F.col("__before") + (F.col("__n") + 1) / 2.0
-    elif ties == "dense":
-        rank = F.col("__val_off") + F.col("__dense")
-    else:
-        rank = F.col("__row_off") + F.col("__before") + 1
-    ranked = r.select(F.col("__v"), rank.alias(out))
-    return df.join(ranked, df[value] == ranked["__v"], "left").drop("__v")
-
-
-def value_ranks(
-    df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False, buckets: int = 256,
-):
+    ranked = materialize(_ranked_values(df, value, ties, descending, weight))
+    hot = ranked.where("__hot").select(F.col("__v").alias("__hv"), F.col("__rank").alias("__hr"), F.col("__back").alias("__hb"))
+    cold = ranked.where("NOT __hot").select("__v", "__rank", "__back", F.lit(0).alias("__zero"))
+    j = df.join(F.broadcast(hot), F.col(value) == F.col("__hv"), "left")
+    settled = F.col("__hv").isNotNull() | F.col(value).isNull()
+    j = j.withColumn("__key", F.when(~settled, F.col(value))).withColumn("__salt", F.when(settled, F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16))).otherwise(0).cast("int"))
+    j = j.join(cold, (F.col("__key") == F.col("__v")) & (F.col("__salt") == F.col("__zero")), "left")
+    j = j.withColumn(out, F.coalesce("__hr", "__rank"))
+    if back:
+        j = j.withColumn(back, F.coalesce("__hb", "__back"))
+    return j.drop("__hv", "__hr", "__hb", "__key", "__salt", "__v", "__rank", "__back", "__zero")
+
+
+def value_ranks(df: DataFrame, value: str, out: str = "rank", ties: str = "min", descending: bool = False) -> DataFrame:
     """The (value, rank) table of ``global_rank``: one row per distinct non-null value."""
-    d = df.select(value).where(F.col(value).isNotNull())
-    counts = d.groupBy(value).agg(F.count(F.lit(1)).alias("__w"))
-    return global_rank(counts, value, out, ties, descending, buckets, weight="__w").drop("__w")
+    return _ranked_values(df, value, ties, descending, None).select(F.col("__v").alias(value), F.col("__rank").alias(out))
 
 
 def order_by(df: DataFrame, value: str, key: str | None = None) -> DataFrame:

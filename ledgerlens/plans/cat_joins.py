@@ -226,6 +226,24 @@ def q_interval_open(spark, d):
     return x.select("month", "n_open", F.when(F.col("n_open") > F.col("n_open_ended"), F.col("days_to_close_sum")).alias("days_to_close_sum"), "n_open_ended")
 
 
+@register(
+    "open_items",
+    """WITH items AS (SELECT o.o_orderkey, o.o_orderdate AS start_t, m.end_t FROM orders o
+                LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS end_t FROM lineitem GROUP BY 1) m ON o.o_orderkey = m.l_orderkey),
+dates AS (SELECT o_orderpriority AS why, max(o_orderdate) AS at FROM orders GROUP BY o_orderpriority, year(o_orderdate))
+SELECT d.why, d.at, i.o_orderkey, CAST(datediff('day', d.at, i.end_t) AS INTEGER) AS days_to_close
+FROM items i JOIN dates d ON i.start_t <= d.at AND (i.end_t IS NULL OR i.end_t >= d.at)""",
+    ids=("C12",),
+)
+def q_open_items(spark, d):
+    """Items open at arbitrary dates (the last order of each priority in each year), as rows."""
+    t = Tables(spark, d)
+    ends = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("end_t"))
+    items = materialize(t("orders").select("o_orderkey", F.col("o_orderdate").alias("start_t")).join(ends, "o_orderkey", "left"))
+    dates = materialize(t("orders").groupBy(F.col("o_orderpriority").alias("why"), F.year("o_orderdate").alias("yr")).agg(F.max("o_orderdate").alias("at")).drop("yr"))
+    return joins.open_windows(items, dates, "start_t", "end_t", "at").select("why", "at", "o_orderkey", "days_to_close")
+
+
 @register(
     "asof_vintage",
     f"""WITH {cat_windows.SQL_CUM},

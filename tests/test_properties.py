@@ -184,10 +184,10 @@ def test_global_rank_matches_window_rank(spark):
         ("dense", F.dense_rank().over(Window.orderBy("l_quantity"))),
         ("mean", F.rank().over(Window.orderBy("l_quantity")) + (F.count(F.lit(1)).over(Window.partitionBy("l_quantity")) - 1) / 2.0),
     ]:
-        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties, buckets=8).select("rid", "r")
+        got = windows.global_rank(keyed, "l_quantity", "r", ties=ties).select("rid", "r")
         want = keyed.withColumn("r", ref.cast("double")).select("rid", "r")
         assert rows(got.withColumn("r", F.col("r").cast("double"))) == rows(want)
-    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True, buckets=8)
+    desc = windows.global_rank(keyed, "l_quantity", "r", descending=True)
     top = desc.where("r = 1").agg(F.min("l_quantity")).first()[0]
     assert top == keyed.agg(F.max("l_quantity")).first()[0]
 
@@ -282,7 +282,7 @@ def test_json_tables_have_the_union_of_keys(spark):
 def test_cum_share_matches_running_window(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     per = o.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), -4).alias("v"))  # many ties
-    got = windows.cum_share(per, "v", ["o_custkey"], buckets=8).select("o_custkey", "pos", F.round("cum_share_pct", 9))
+    got = windows.cum_share(per, "v", ["o_custkey"]).select("o_custkey", "pos", F.round("cum_share_pct", 9))
     w = Window.orderBy(F.col("v").desc(), "o_custkey")
     tot = per.agg(F.sum("v")).first()[0]
     ref = per.select(
@@ -296,12 +296,12 @@ def test_rank_paths_agree(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_discount")
     keyed = li.withColumn("rid", F.monotonically_increasing_id())
     for ties in ("min", "dense", "mean"):
-        a = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True, buckets=4).select("rid", F.col("r").cast("double"))
+        a = windows.global_rank(keyed, "l_discount", "r", ties=ties, descending=True).select("rid", F.col("r").cast("double"))
         w = Window.orderBy(F.col("l_discount").desc())
         r = {"min": F.rank().over(w), "dense": F.dense_rank().over(w), "mean": F.rank().over(w) + (F.count("*").over(Window.partitionBy("l_discount")) - 1) / 2}[ties]
         assert rows(a) == rows(keyed.select("rid", r.cast("double").alias("r")))
-        va = windows.value_ranks(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double"))
-        up = windows.global_rank(keyed, "l_discount", "r", ties=ties, buckets=4).select("l_discount", F.col("r").cast("double")).distinct()
+        va = windows.value_ranks(keyed, "l_discount", "r", ties=ties).select("l_discount", F.col("r").cast("double"))
+        up = windows.global_rank(keyed, "l_discount", "r", ties=ties).select("l_discount", F.col("r").cast("double")).distinct()
         assert rows(va) == rows(up)
 
 
