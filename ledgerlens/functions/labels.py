@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -68,6 +68,18 @@ def canon_label(c, aliases: Mapping[str, str] | None = None) -> Column:
     return titled
 
 
+def canon_label_by_table(df: DataFrame, c: str, aliases: DataFrame, out: str) -> DataFrame:
+    """``canon_label`` with the aliases kept as a table (spelling, label) of any size (B1).
+
+    Spellings are compared lower-case after the clean-up; of repeated ones the smallest label counts. The
+    table is broadcast only after its rows and bytes are counted; without a match the label is title-cased."""
+    from ..operators.joins import bounded
+
+    table = aliases.groupBy(F.lower(canon_key("spelling")).alias("__spelling")).agg(F.min("label").alias("__label"))
+    j = df.withColumn("__key", F.lower(canon_key(c))).join(bounded(table), F.col("__key") == F.col("__spelling"), "left")
+    return j.withColumn(out, F.coalesce("__label", title_words(canon_key(c)))).drop("__key", "__spelling", "__label")
+
+
 # Default acronym spellings used by ``humanize`` (lower-case word -> display form).
 DEFAULT_ACRONYMS = {
     "fdi": "FDI", "pli": "PLI", "hs": "HS", "ibef": "IBEF", "icra": "ICRA",

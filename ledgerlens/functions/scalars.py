@@ -140,14 +140,22 @@ def parse_amount(c) -> Column:
     """Amount text -> struct(value double, unit string) (H6).
 
     'Rs 1,45,980cr' -> (145980, 'INR_cr'); '₹1.97 Lakh Crore' -> (197000, 'INR_cr');
-    '$776.0bn' -> (776000, 'USD_mn'); '+21.2%' -> (21.2, 'pct'). Case does not matter, either minus
-    sign may stand before or after the currency, and the whole text must be an amount: an unknown
+    '$776.0bn' -> (776000, 'USD_mn'); '+21.2%' -> (21.2, 'pct'). Case does not matter, one sign
+    may stand before or after the currency, and the whole text must be an amount: two signs, an unknown
     suffix or further words give nulls. Without a currency a rupee or dollar suffix tells it.
     """
     c = _col(c)
-    part = lambda i: F.regexp_extract(c, _AMOUNT_RE, i)
+    # one match for all groups; a text that is no amount stays whole and has no parts
+    found = F.split(F.regexp_replace(F.replace(c, F.lit("\x01"), F.lit("?")), _AMOUNT_RE, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    return F.transform(F.array(found), _amount)[0]
+
+
+def _amount(parts: Column) -> Column:
+    """Value and unit of an amount's sign, currency, sign, number and suffix; nulls if those are not five parts."""
+    five = F.size(parts) == 5
+    part = lambda i: F.get(parts, i - 1)
     cur, suf = F.lower(part(2)), collapse_blanks(F.lower(part(5)))
-    base = F.nullif(F.regexp_replace(part(4), ",", ""), F.lit("")).try_cast("double")
+    base = F.when(five, F.replace(part(4), F.lit(",")).try_cast("double"))
     rupees = cur.isin("rs", "rs.", "\u20b9", "inr") | ((cur == "") & suf.isin("lakh", "cr", "crore", "lakh cr", "lakh crore"))
     dollars = cur.isin("$", "usd") | ((cur == "") & suf.isin("mn", "million", "bn", "billion", "tn", "trillion"))
     mult = (
@@ -156,11 +164,12 @@ def parse_amount(c) -> Column:
         .when(dollars, F.try_element_at(literal_map(USD_SUFFIX), suf))
         .when(suf == "", F.lit(1.0))
     )
-    minus = part(1).isin("-", "\u2212") != part(3).isin("-", "\u2212")
-    value = base * mult
-    value = F.when(minus, -value).otherwise(value)
-    unit = F.when(value.isNull(), F.lit(None)).when(suf == "%", F.lit("pct")).when(dollars, F.lit("USD_mn")).when(rupees, F.lit("INR_cr"))
-    return F.struct(value.alias("value"), unit.cast("string").alias("unit"))
+    minus = part(1).isin("-", "\u2212") | part(3).isin("-", "\u2212")
+    two_signs = (part(1) != "") & (part(3) != "")
+    value = F.when(five & ~two_signs, F.when(minus, -base).otherwise(base) * mult)
+    unit = F.when(suf == "%", F.lit("pct")).when(dollars, F.lit("USD_mn")).when(rupees, F.lit("INR_cr"))
+    # a value's nullness is the unit's: each is computed once
+    return F.transform(F.array(value), lambda v: F.struct(v.alias("value"), F.when(v.isNotNull(), unit).cast("string").alias("unit")))[0]
 
 
 # Conversion factors into the base unit of each dimension
@@ -250,15 +259,6 @@ def band(c, cuts: Sequence[tuple[float, str]], default: str, inclusive: bool = T
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit(default)))
 
 
-def classify(rules: Sequence[tuple[str, str]], default: str | None = None, override=None) -> Column:
-    """Rule verdict: rules are (SQL condition, label) in priority order; an override column wins."""
-    out = None
-    for cond, label in rules:
-        out = F.when(F.expr(cond), F.lit(label)) if out is None else out.when(F.expr(cond), F.lit(label))
-    out = out.otherwise(F.lit(default)) if out is not None else F.lit(default)
-    return F.coalesce(_col(override), out) if override is not None else out
-
-
 def status_class(c, patterns: Sequence[tuple[str, str]], default: str = "other") -> Column:
     """Status text -> class by the first matching regex (case-insensitive)."""
     c = F.lower(_col(c))

@@ -44,9 +44,9 @@ def inflow_by_nation(t: Tables) -> DataFrame:
     return li.join(sup, "l_suppkey").groupBy("n_nationkey").agg(F.sum("amt").alias("inflow_amt"))
 
 
-def inflow_by_place(t: Tables) -> DataFrame:
-    """(place, inflow_amt) with the excluded zone left out and aliases merged."""
-    g = geo(t).where(F.col("r_name") != INFLOW_EXCLUDED_ZONE)
+def inflow_by_place(t: Tables, whole: bool = False) -> DataFrame:
+    """(place, inflow_amt) with aliases merged (B1, B2, D1); the excluded zone is left out unless ``whole``."""
+    g = geo(t) if whole else geo(t).where(F.col("r_name") != INFLOW_EXCLUDED_ZONE)
     x = inflow_by_nation(t).join(g, "n_nationkey")
     x = x.withColumn("place", canon_label(F.col("n_name"), PLACE_ALIASES))
     x = drop_labels(x, "place", STOP_LABELS)

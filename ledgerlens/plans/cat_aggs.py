@@ -59,7 +59,7 @@ def q_window_matched_sum(spark, d):
     return o.groupBy("o_orderstatus").agg(F.sum("o_totalprice").cast("decimal(38,2)").alias("amount"), F.count(F.lit(1)).alias("n"))
 
 
-QUARANTINE = {1995: "predates the comparison window", 2001: "partial year (to August)"}
+QUARANTINE = [(1, "yr", "=", "1995", "predates the comparison window"), (2, "yr", "=", "2001", "partial year (to August)")]
 
 
 @register(
@@ -71,8 +71,11 @@ FROM orders GROUP BY 1, 2""",
     ids=("B4",),
 )
 def q_quarantine_reason(spark, d):
-    o = Tables(spark, d)("orders").withColumn("yr", F.year("o_orderdate"))
-    good, bad = filters.quarantine(o, "yr", QUARANTINE)
+    """Orders of a year and their sums, split by the rules table; both outputs are written."""
+    from ..sources.bulletins import scratch_path
+
+    o = Tables(spark, d)("orders").select(F.year("o_orderdate").alias("yr"), "o_totalprice")
+    good, bad = filters.write_quarantine(o, spark.createDataFrame(QUARANTINE, filters.RULES_SCHEMA), scratch_path(spark, "quarantine"))
     g = good.groupBy("yr").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("amount")).withColumn(
         "reason", F.lit(None).cast("string")
     )
@@ -166,6 +169,22 @@ def q_prefer_source(spark, d):
     return out.select("n_name", F.col("v").cast("decimal(38,2)").alias("v"), "basis")
 
 
+@register(
+    "prefer_table",
+    f"""SELECT 'urgent orders' AS wanted, o_orderpriority AS label, {dec('sum(o_totalprice)')} AS v, 'primary' AS basis FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 2
+UNION ALL SELECT 'withdrawn orders', p_type, {dec('sum(p_retailprice)')}, 'fallback' FROM part WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'W') GROUP BY 2""",
+    ids=("D2",),
+)
+def q_prefer_table(spark, d):
+    """The whole-table fallback twice: one primary table has rows, the other has none."""
+    t = Tables(spark, d)
+    sums = lambda df, by, v: df.groupBy(F.col(by).alias("label")).agg(F.sum(v).cast("decimal(38,2)").alias("v"))
+    parts = sums(t("part"), "p_type", "p_retailprice")
+    urgent = aggs.prefer_table(sums(t("orders").where(F.col("o_orderpriority") == "1-URGENT"), "o_orderpriority", "o_totalprice"), parts, "primary", "fallback")
+    gone = aggs.prefer_table(sums(t("orders").where(F.col("o_orderstatus") == "W"), "o_orderpriority", "o_totalprice"), parts, "primary", "fallback")
+    return urgent.select(F.lit("urgent orders").alias("wanted"), "*").unionByName(gone.select(F.lit("withdrawn orders").alias("wanted"), "*"))
+
+
 @register(
     "register_stats",
     """SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(ts) AS first_date, max(ts) AS last_date,

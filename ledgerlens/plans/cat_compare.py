@@ -95,7 +95,7 @@ def full_join_provenance(spark, d):
 
 @register(
     "share_pct",
-    SQL_BASE
+    f"WITH {SQL_GEO},\n{SQL_INFLOW.replace("WHERE g.r_name <> 'AFRICA' ", '')}"
     + """
 SELECT place, CAST(inflow_amt AS DECIMAL(38,2)) AS inflow_amt,
        CAST(inflow_amt / (SELECT sum(inflow_amt) FROM inflow) * 100 AS DECIMAL(38,4)) AS share_pct
@@ -103,7 +103,7 @@ FROM inflow""",
     ids=("D3",),
 )
 def share_pct(spark, d):
-    x = aggs.share_of_total(materialize(bind.inflow_by_place(Tables(spark, d))), "inflow_amt")
+    x = aggs.share_of_total(materialize(bind.inflow_by_place(Tables(spark, d), whole=True)), "inflow_amt")
     return x.select(
         "place", F.col("inflow_amt").cast("decimal(38,2)").alias("inflow_amt"), F.col("share_pct").cast("decimal(38,4)").alias("share_pct")
     )

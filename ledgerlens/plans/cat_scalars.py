@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels, scalars
-from ..operators import aggs
+from ..operators import aggs, filters
 from ..session import materialize
 from . import bind
 from .registry import Tables, register
@@ -55,6 +55,24 @@ def q_to_cell(spark, d):
     return docs.select("doc_id", scalars.to_cell("text", 80).alias("cell"))
 
 
+def _cut_sql(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) > {n} THEN regexp_replace(substr({x}, 1, {n - 1}), '\\s+$', '') || '…' ELSE {x} END"
+
+
+@register(
+    "nested_cells",
+    f"""WITH c AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: {_cut_sql('x', 80)}), '; ') AS lines,
+    'Doc Id: ' || doc_id || '; Source: ' || coalesce(source, '') || '; HS Text: ' || {_cut_sql("replace(coalesce(text, ''), chr(10), ' ')", 60)} AS fields FROM documents)
+SELECT doc_id, {_cut_sql("coalesce(lines, '')", 280)} AS lines_cell, {_cut_sql("fields", 280)} AS fields_cell FROM c""",
+    ids=("H3",),
+)
+def q_nested_cells(spark, d):
+    """Arrays and objects flattened to one cell: a document's lines, and its fields under humanized keys."""
+    docs = Tables(spark, d)("documents")
+    fields = F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string"), F.lit("source"), F.col("source"), F.lit("hs_text"), F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
+    return docs.select("doc_id", scalars.array_to_cell(F.split("text", "\n", -1)).alias("lines_cell"), scalars.map_to_cell(fields).alias("fields_cell"))
+
+
 @register(
     "clean_html",
     """SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
@@ -68,6 +86,24 @@ def q_clean_html(spark, d):
     return p.select("page_id", scalars.clean_html(raw).alias("title"))
 
 
+@register(
+    "canon_label_table",
+    """WITH a AS (SELECT lower(r_name) AS spelling, 'Zone ' || r_regionkey AS label FROM region)
+SELECT coalesce(a.label, upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2))) AS place, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT n_name, n_nationkey FROM nation UNION ALL SELECT r.r_name, c.c_nationkey FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey) x
+LEFT JOIN a ON lower(x.n_name) = a.spelling GROUP BY 1""",
+    ids=("B1",),
+)
+def q_canon_label_table(spark, d):
+    """Labels by an alias table that is data: nation and zone names, the zones' aliases made from ``region``."""
+    t = Tables(spark, d)
+    aliases = t("region").select(F.concat(F.lit("  "), F.upper("r_name"), F.lit(" .")).alias("spelling"), F.concat(F.lit("Zone "), F.col("r_regionkey")).alias("label"))
+    per = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
+    zones = per.join(t("nation").select("n_nationkey", "n_regionkey"), "n_nationkey").join(t("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
+    rows = t("nation").select(F.col("n_name").alias("name"), F.lit(1).cast("long").alias("n")).unionByName(zones.select(F.col("r_name").alias("name"), "n"))
+    return labels.canon_label_by_table(rows, "name", aliases, "place").groupBy("place").agg(F.sum("n").alias("n"))
+
+
 @register(
     "harvest_ids",
     """SELECT id, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_docs
@@ -193,23 +229,25 @@ def q_band_conversion(spark, d):
 
 
 # Fixed values of the test binding: verdict rules in priority order and human overrides.
-VERDICT_RULES = [("p_retailprice >= 1900", "A"), ("p_size >= 40", "B"), ("p_type = 'PROMO'", "C")]
+VERDICT_RULES = [(1, "p_retailprice", ">=", "1900", "A"), (2, "p_size", ">=", "40", "B"), (3, "p_type", "=", "PROMO", "C")]
 VERDICT_OVERRIDES = [("Brand#25", "X"), ("Brand#7", "B-")]
 
 
 @register(
     "rule_verdict",
-    """WITH ov AS (SELECT * FROM (VALUES ('Brand#25', 'X'), ('Brand#7', 'B-')) AS v(p_brand, override))
-SELECT coalesce(ov.override, CASE WHEN p.p_retailprice >= 1900 THEN 'A' WHEN p.p_size >= 40 THEN 'B' WHEN p.p_type = 'PROMO' THEN 'C' ELSE 'D' END) AS verdict,
-       CAST(count(*) AS BIGINT) AS n
-FROM part p LEFT JOIN ov ON p.p_brand = ov.p_brand GROUP BY 1""",
+    """WITH ov AS (SELECT * FROM (VALUES ('Brand#25', 'X'), ('Brand#7', 'B-')) AS v(p_brand, override)),
+rules AS (SELECT * FROM (VALUES (1, 'p_retailprice', 1900, NULL, 'A'), (2, 'p_size', 40, NULL, 'B'), (3, 'p_type', NULL, 'PROMO', 'C')) AS r(priority, field, least, text, label)),
+hits AS (SELECT p.p_partkey, min_by(r.label, r.priority) AS label FROM part p JOIN rules r
+    ON (r.field = 'p_retailprice' AND p.p_retailprice >= r.least) OR (r.field = 'p_size' AND p.p_size >= r.least) OR (r.field = 'p_type' AND p.p_type = r.text) GROUP BY 1)
+SELECT coalesce(ov.override, h.label, 'D') AS verdict, CAST(count(*) AS BIGINT) AS n
+FROM part p LEFT JOIN ov ON p.p_brand = ov.p_brand LEFT JOIN hits h ON h.p_partkey = p.p_partkey GROUP BY 1""",
     ids=("H13",),
 )
 def q_rule_verdict(spark, d):
     p = Tables(spark, d)("part")
     ov = F.broadcast(spark.createDataFrame(VERDICT_OVERRIDES, "p_brand string, override string"))
     j = p.join(ov, "p_brand", "left")
-    v = scalars.classify(VERDICT_RULES, default="D", override="override")
+    v = filters.rule_label(j, spark.createDataFrame(VERDICT_RULES, filters.RULES_SCHEMA), default="D", override="override")
     return j.groupBy(v.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
 
 

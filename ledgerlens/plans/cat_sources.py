@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality
+from ..session import materialize
 from ..sources import bulletins, pages, register as reg
 from .registry import Tables, register
 from .sqlbits import dec
@@ -27,18 +28,18 @@ def q_scan_json_props(spark, d):
 
 @register(
     "bulletin_files",
-    f"""SELECT event_type AS kind, CAST(count(*) AS BIGINT) AS n, {dec('sum(value)')} AS total, CAST('2026-12-01' AS DATE) AS snapshot_date FROM events GROUP BY 1""",
+    f"""SELECT event_type AS kind, CAST(count(*) AS BIGINT) AS n, {dec('sum(value)')} AS total, CAST(DATE '2026-12-01' + CAST(length(event_type) AS INTEGER) AS DATE) AS snapshot_date FROM events GROUP BY 1""",
     ids=("A1",),
 )
 def q_bulletin_files(spark, d):
-    """A multi-line JSON file per kind is written and read back with an explicit schema."""
+    """A multi-line JSON file per kind and date is written and read back with an explicit schema; the date comes from its folder's stamp."""
     e = Tables(spark, d)("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(38,2)").alias("total"))
     text = F.concat(F.lit('{\n  "purpose": "totals",\n  "rows": '), F.to_json(F.struct(F.col("event_type").alias("kind"), "n", "total")), F.lit("\n}"))
-    path = bulletins.scratch_path(spark, "bulletins") + "_2026-12-01"
-    e.select(F.concat(F.lit("k_2026-12-01_"), F.col("event_type")).alias("bulletin"), text.alias("value")).write.partitionBy("bulletin").text(path)
+    path = bulletins.scratch_path(spark, "bulletins")
+    stamp = F.date_add(F.lit("2026-12-01").cast("date"), F.length("event_type")).cast("string")
+    e.select(F.concat(F.col("event_type"), F.lit("_"), stamp).alias("bulletin"), text.alias("value")).write.partitionBy("bulletin").text(path)
     back = bulletins.read_bulletins(spark, path, "purpose string, rows struct<kind:string,n:long,total:decimal(38,2)>")
-    stamp = F.try_to_date(F.regexp_extract("bulletin", bulletins.DATE_IN_NAME, 1), "yyyy-MM-dd")
-    return back.select("rows.kind", "rows.n", "rows.total", F.coalesce("snapshot_date", stamp).alias("snapshot_date"))
+    return back.select("rows.kind", "rows.n", "rows.total", "snapshot_date")
 
 
 @register(
@@ -50,7 +51,7 @@ SELECT s AS entry, s AS file, 'ok' AS status FROM m UNION ALL SELECT s, s || '-o
 def q_listed_files(spark, d):
     """A manifest against the real listing of a written folder (file contents are not read)."""
     path = bulletins.scratch_path(spark, "listed")
-    o = Tables(spark, d)("orders").select("o_orderstatus", "o_orderkey")
+    o = materialize(Tables(spark, d)("orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")))  # the listing needs a file a status, not the orders
     o.write.partitionBy("o_orderstatus").parquet(path)
     listing = bulletins.list_files(spark, f"{path}/*/*.parquet").select(F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("file"))
     s = o.select("o_orderstatus").distinct()
@@ -257,6 +258,35 @@ def q_register_point_range(spark, d):
     return register_query(stored, date_col="date", date_from=lo, date_to=hi).select(F.col("id").alias("event_id"), F.col("date").alias("ts"), "user_id")
 
 
+@register(
+    "register_entity_range",
+    """SELECT event_id, ts, event_type, user_id FROM events WHERE user_id = (SELECT min(user_id) FROM events) AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-03-01'""",
+    ids=("A8", "B5"),
+)
+def q_register_entity_range(spark, d):
+    """One entity's rows in a date range, from the stored bucketed register."""
+    import uuid
+
+    e = Tables(spark, d)("events").select("event_id", "ts", "event_type", "user_id")
+    table = f"register_{uuid.uuid4().hex}"
+    reg.save_register(e, table, bulletins.scratch_path(spark, "register"), "user_id", "ts", buckets=8)
+    who = e.agg(F.min("user_id")).first()[0]
+    return reg.entity_range(spark, table, "user_id", who, "ts", "2024-01-05", "2024-03-01").drop("year")
+
+
+@register(
+    "harvest_files",
+    """SELECT DISTINCT lang, unnest(regexp_extract_all(text, '([0-9]{4,})', 1)) AS id FROM documents""",
+    ids=("A4", "H5"),
+)
+def q_harvest_files(spark, d):
+    """Ids in whole corpus files: the texts are written as files by language, which are read whole."""
+    path = bulletins.scratch_path(spark, "corpus")
+    Tables(spark, d)("documents").where("text IS NOT NULL").select("lang", "text").write.option("maxRecordsPerFile", 1000).partitionBy("lang").text(path)
+    files = reg.read_corpus(spark, path)
+    return reg.harvest_citations(files.withColumn("lang", F.regexp_extract("path", "/lang=([^/]+)/", 1)), "text", r"([0-9]{4,})", id_col="id", doc_col="lang").select("lang", "id")
+
+
 @register(
     "last_indexed",
     "SELECT event_type, max(ts) AS last_indexed FROM events GROUP BY 1",
@@ -278,7 +308,7 @@ def q_merge_backfills(spark, d):
     return reg.merge_registers([first, second], ["event_id"], ["ts"]).select("event_id", "event_type", "ts", "user_id", "value")
 
 
-ADHOC = "SELECT event_type AS kind, count(*) AS n, max(ts) AS last_ts FROM {register} WHERE value > 50 GROUP BY event_type"
+ADHOC = "SELECT event_type AS kind, count(*) AS n, max(ts) AS last_ts FROM {register} WHERE value > :least GROUP BY event_type"
 
 
 @register(
@@ -287,7 +317,7 @@ ADHOC = "SELECT event_type AS kind, count(*) AS n, max(ts) AS last_ts FROM {regi
     ids=("J2", "J3"),
 )
 def q_adhoc_sql(spark, d):
-    return reg.adhoc_sql(spark, ADHOC, register=Tables(spark, d)("events"))
+    return reg.adhoc_sql(spark, ADHOC, {"least": 50}, register=Tables(spark, d)("events"))
 
 
 # ---------------------------------------------------------------------------

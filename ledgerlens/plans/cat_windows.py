@@ -372,6 +372,17 @@ def q_pearson(spark, d):
     return out.select(F.col("pearson_r").cast("decimal(38,6)"), "n")
 
 
+@register(
+    "corr_matrix",
+    " UNION ALL ".join(f"SELECT '{x}' AS x, {dec(f'corr(l_extendedprice, {x})', 6)} AS pearson_r, CAST(count(*) AS BIGINT) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL AND {x} IS NOT NULL"
+                       for x in ("l_quantity", "l_discount", "l_tax")),
+    ids=("D13",),
+)
+def q_corr_matrix(spark, d):
+    out = stats.corr_matrix(Tables(spark, d)("lineitem"), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+    return out.select("x", F.col("pearson_r").cast("decimal(38,6)").alias("pearson_r"), "n")
+
+
 @register(
     "spearman",
     SQL_PANEL

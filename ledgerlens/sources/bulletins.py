@@ -17,13 +17,13 @@ DATE_IN_NAME = r"_(\d{4}-\d{2}-\d{2})"
 def read_bulletins(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """One multi-line JSON object per file, with an explicit schema (no inference pass) (A1).
 
-    ``file_name`` and the date stamped in it come from the file metadata column.
+    ``file_name`` and ``snapshot_date`` come from the file metadata: the date stamped in the file's
+    name, else the one in its folder's name (Spark's writers name folders, not files).
     """
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    fname = F.col("_metadata.file_name")
-    return df.withColumn("file_name", fname).withColumn(
-        "snapshot_date", F.try_to_date(F.nullif(F.regexp_extract(fname, DATE_IN_NAME, 1), F.lit("")), "yyyy-MM-dd")
-    )
+    folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+    stamp = lambda c: F.try_to_date(F.nullif(F.regexp_extract(c, DATE_IN_NAME, 1), F.lit("")), "yyyy-MM-dd")
+    return df.withColumn("file_name", F.col("_metadata.file_name")).withColumn("snapshot_date", F.coalesce(stamp(F.col("_metadata.file_name")), stamp(folder)))
 
 
 def read_snapshots(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

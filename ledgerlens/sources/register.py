@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +47,28 @@ def watermark(df: DataFrame, kind: str, date: str) -> DataFrame:
     return df.groupBy(kind).agg(F.max(date).alias("last_indexed"))
 
 
-def adhoc_sql(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
-    """Ad-hoc SQL over named DataFrames (J2); the frames are bound as query parameters."""
-    return spark.sql(sql, **views)
+def adhoc_sql(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, **views: DataFrame) -> DataFrame:
+    """Ad-hoc SQL over named DataFrames (J2): ``{name}`` stands for a frame, ``:name`` for a value of
+    ``args``. Values are parameters, never part of the text."""
+    return spark.sql(sql, args=dict(args or {}), **views)
+
+
+def save_register(df: DataFrame, table: str, path: str, entity: str, date: str, buckets: int = 32) -> None:
+    """The register as a table at ``path`` that is partitioned by year, bucketed by ``entity`` and
+    sorted by (entity, date) (A8). Each bucket of a year is one sorted file. A look-up by entity reads one
+    bucket, one by date the years' folders, and joins and upserts by entity need no shuffle of it."""
+    out = df.withColumn("year", F.year(date)).repartition(buckets, entity)
+    out.write.mode("overwrite").partitionBy("year").bucketBy(buckets, entity).sortBy(entity, date).option("path", path).saveAsTable(table)
+
+
+def entity_range(spark: SparkSession, table: str, entity: str, value, date: str, date_from, date_to) -> DataFrame:
+    """Rows of one entity with date_from <= date < date_to from a ``save_register`` table."""
+    lo, hi = F.lit(date_from).cast("timestamp_ntz"), F.lit(date_to).cast("timestamp_ntz")
+    rows = spark.table(table).where(F.col("year").between(int(str(date_from)[:4]), int(str(date_to)[:4])))
+    return rows.where((F.col(entity) == F.lit(value)) & (F.col(date) >= lo) & (F.col(date) < hi))
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """Text files below ``path``, one row a file: (path, length, text) (A4). Files are dealt to tasks whole."""
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("value").alias("text"))

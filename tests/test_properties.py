@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -55,11 +56,47 @@ def test_cumulative_roundtrip(spark):
     assert flow.where(~F.col("derivable")).count() == y.select("o_custkey").distinct().count()
 
 
-def test_quarantine_halves_union_is_input(spark):
+def test_quarantine_halves_union_is_input(spark, tmp_path):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumn("yr", F.year("o_orderdate"))
-    good, bad = filters.quarantine(o, "yr", {1995: "early", 2001: "partial"})
+    rules = spark.createDataFrame([(1, "yr", "=", "1995", "early"), (2, "yr", ">=", "2001", "partial")], filters.RULES_SCHEMA)
+    good, bad = filters.quarantine(o, rules)
     assert good.count() + bad.count() == o.count()
     assert bad.where("quarantine_reason IS NULL").count() == 0
+    kept, split = filters.write_quarantine(o, rules, str(tmp_path / "q"))
+    assert kept.columns == o.columns and (kept.count(), split.count()) == (good.count(), bad.count())
+
+
+def test_rules_by_priority_operator_and_override(spark):
+    df = spark.createDataFrame([(1, "Alpha", 5.0, None), (2, "beta", None, None), (3, "gamma", 50.0, "X"), (4, None, 7.5, None), (5, "zeta", -1.0, None)], "id int, s string, v double, ovr string")
+    rules = [(5, "s", "like", "%eta", "like"), (1, "v", ">=", "7.5", "big"), (2, "s", "null", None, "no name"), (3, "s", "regex", "(?i)^al", "regex"), (4, "nowhere", "=", "1", "never"), (None, "v", "<", "-100", "first")]
+    got = {r.id: r[1] for r in df.select("id", filters.rule_label(df, spark.createDataFrame(rules, filters.RULES_SCHEMA), "none", "ovr")).collect()}
+    assert got == {1: "regex", 2: "like", 3: "X", 4: "big", 5: "like"}
+    none = spark.createDataFrame([], filters.RULES_SCHEMA)
+    assert {r[0] for r in df.select(filters.rule_label(df, none, "d")).collect()} == {"d"}
+    with pytest.raises(ValueError):
+        filters.rule_label(df, spark.createDataFrame([(1, "s", "~", "x", "y")], filters.RULES_SCHEMA))
+
+
+def test_bucketed_register_prunes_by_entity_and_date(spark, tmp_path):
+    """A look-up by entity reads one bucket and one by date the years' folders; a join by entity does not shuffle it."""
+    from ledgerlens.sources import register as reg
+
+    df = spark.range(2000).select("id", (F.col("id") % 37).alias("who"), F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, cast(id as int))").alias("at"))
+    table = f"register_{tmp_path.name}".replace("-", "_")
+    reg.save_register(df, table, str(tmp_path / "t"), "who", "at", buckets=4)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan then names the buckets it reads
+    got = reg.entity_range(spark, table, "who", 5, "at", "2021-03-01", "2022-02-01")
+    want = df.where("who = 5 AND at >= timestamp_ntz'2021-03-01' AND at < timestamp_ntz'2022-02-01'")
+    assert rows(got.select("id", "who", "at")) == rows(want)
+    plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "SelectedBucketsCount: 1 out of 4" in plan and "PartitionFilters: [isnotnull(year" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(table).join(spark.range(37).withColumnRenamed("id", "who"), "who")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
 
 
 def test_asof_matches_brute_force(spark):
