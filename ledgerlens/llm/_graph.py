@@ -29,6 +29,38 @@ def components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             return nodes, nodes[label]
 
 
+class Linked:
+    """Numbers of links (weighted by the partner's copies) and components, from pairs that are not kept."""
+
+    def __init__(self, copies: np.ndarray):
+        self.copies, self.links, self.label = copies, np.zeros(len(copies), np.int64), np.arange(len(copies))
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Links between ``i`` and ``j``, pair by pair."""
+        np.add.at(self.links, i, self.copies[j])
+        np.add.at(self.links, j, self.copies[i])
+        self._join(self.label[i], self.label[j])
+
+    def add_row(self, i: int, j: np.ndarray) -> None:
+        """Links of one row with different rows ``j``."""
+        self.links[i] += self.copies[j].sum()
+        self.links[j] += self.copies[i]
+        self._join(np.broadcast_to(self.label[i], len(j)), self.label[j])
+
+    def _join(self, x: np.ndarray, y: np.ndarray) -> None:
+        apart = np.flatnonzero(x != y)
+        if len(apart):  # most pairs of a group are joined already
+            nodes, root = components(x[apart], y[apart])
+            to = np.arange(len(self.label))
+            to[nodes] = root
+            self.label = to[self.label]
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray]:
+        """A link to each component's first row."""
+        a = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return a, self.label[a]
+
+
 def _forest(batches):
     """A spanning forest of the edges of each run of batches."""
     held: list[pa.RecordBatch] = []

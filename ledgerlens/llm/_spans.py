@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-BROADCAST_ROWS = 500_000  # tables of so many short rows at most are broadcast, larger ones are shuffled
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20  # tables of so much at most are broadcast
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are few."""
-    rows = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows and bytes are few, else with one for a hash
+    join behind a shuffle, which does not sort the texts on the other side."""
+    size = F.sum(F.length(F.to_json(F.struct("*"))))
+    n, width = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (width or 0) <= BROADCAST_BYTES else df.hint("shuffle_hash")
 
 
 def text_hash(text: Column) -> Column:

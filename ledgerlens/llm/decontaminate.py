@@ -66,21 +66,23 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     least = (F.col("q") - F.ceil(F.col("q") * num / F.lit(den)) + 1).cast("int")
     sketch = listed.groupBy("item", "part", "q").agg(order.alias("all")).select("item", "part", F.slice("all", F.lit(1), least).alias("sketch"))
     ceilings = {r[0]: r[1] for r in sketch.groupBy("part").agg(F.max(F.array_max("sketch"))).collect()}  # at most one a power of two
-    sketch = sketch.select("item", F.explode("sketch").alias("x"))
+    sketch = sketch.select("item", "part", F.explode("sketch").alias("x"))
     if not lengths:
         lengths, ceilings = [size], {0: -(1 << 63)}
     hashed = rows.select("id", "h", F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
     kept = hashed.select("id", "h", _sketchable("w", lengths, max(ceilings.values())).alias("xs"))
     # outer: a plain explode would push a filter on the arrays' size below, computing them again for each element
-    met = kept.select("id", "h", F.explode_outer("xs").alias("x")).join(small(sketch), "x").select("id", "h", "item").distinct()
-    met = materialize(met)
+    # each size partition is searched with its own ceiling
+    bounds = F.array(*(F.struct(F.lit(p).alias("part"), F.lit(c).alias("most")) for p, c in sorted(ceilings.items())))
+    probes = kept.select("id", "h", F.explode_outer("xs").alias("x")).where("x IS NOT NULL")
+    probes = probes.select("id", "h", "x", F.explode(F.transform(F.filter(bounds, lambda b: F.col("x") <= b["most"]), lambda b: b["part"])).alias("part"))
+    met = materialize(probes.join(small(sketch), ["part", "x"]).select("id", "h", "item").distinct())
     # verification reads only texts with a candidate
-    n_met = met.count()
     wanted = met.select(F.col("id").alias("c_id"), F.col("h").alias("c_h")).distinct()
-    texts = rows.join(small(wanted, n_met), same_rows(["id", "h"], ["c_id", "c_h"]), "left_semi").dropDuplicates(["id", "h"])
+    texts = rows.join(small(wanted), same_rows(["id", "h"], ["c_id", "c_h"]), "left_semi").dropDuplicates(["id", "h"])
     texts = texts.select("id", "h", _words(F.col("t")).alias("w"))
     strings = F.array_distinct(F.concat(*(F.coalesce(_strings("w", k), F.array().cast("array<string>")) for k in lengths)))
-    found = texts.select("id", "h", F.explode_outer(strings).alias("s")).join(small(listed.select("item", "item_id", "q", "s"), shape[1]), "s")
+    found = texts.select("id", "h", F.explode_outer(strings).alias("s")).join(small(listed.select("item", "item_id", "q", "s")), "s")
     hits = found.groupBy("id", "h", "item", "item_id", "q").agg(F.count("*").alias("n_found")).where(F.col("n_found") * den >= F.col("q") * num)
     sure = hits.join(met.select(F.col("id").alias("m_id"), F.col("h").alias("m_h"), F.col("item").alias("m_item")), same_rows(["id", "h", "item"], ["m_id", "m_h", "m_item"]), "left_semi")
     return sure.select("id", "h", "item_id", F.col("q").cast("long").alias("n_item"), "n_found")

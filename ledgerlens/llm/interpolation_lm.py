@@ -250,7 +250,7 @@ def _score_fn(shared, weights, n, v_size):
         total = np.bincount(at, weights=log, minlength=len(u))
         cut = np.flatnonzero(np.diff(u >> 32, prepend=-1)) if len(u) else np.zeros(0, int)
         for lo, hi in zip(cut, np.append(cut[1:], len(u))):
-            yield *flushes[int(u[lo] >> 32)], 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi].astype(np.float32)), b"", b"", []
+            yield *flushes[int(u[lo] >> 32)], 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi]), b"", b"", []
         for r in rows:
             if r["facts"]:
                 yield r["part"], r["seq"], 1, b"", b"", bytes(r["facts"]), b"", r["ids"]
@@ -284,7 +284,7 @@ def _sum_fn(key, table):
     facts = np.frombuffer(table["c"][own].as_py(), np.float64).reshape(4, -1)
     score = np.zeros(facts.shape[1])
     for i in np.flatnonzero(kind == 0):
-        score[T.from_planes(table["a"][int(i)].as_py(), np.uint32)] += T.from_planes(table["b"][int(i)].as_py(), np.float32)  # a document once in each
+        score[T.from_planes(table["a"][int(i)].as_py(), np.uint32)] += T.from_planes(table["b"][int(i)].as_py(), np.float64)  # a document once in each
     ids = table["ids"].chunk(0) if table["ids"].num_chunks == 1 else pa.concat_arrays(table["ids"].chunks)
     return pa.table({"id": ids.slice(own, 1).flatten(), "part": pa.array(np.full(len(score), key[0].as_py(), np.int32)), "seq": np.full(len(score), key[1].as_py(), np.int64),
                      "doc": np.arange(len(score), dtype=np.int32), "held_out": facts[0] > 0,
@@ -297,7 +297,8 @@ def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows whose crc32(id as text) mod ``split`` is 0 are held out: they are scored but not counted;
     those with remainder 1 are deleted while the weights are learned and counted afterwards. A null
     id counts as the empty text, a null text as no words (its one token is the end mark). Repeated
-    rows are counted and scored each. Without training rows only the uniform part is left. Other
+    rows are counted and scored each. A very long text is one row of its flush, whose sums are
+    doubles. Without training rows only the uniform part is left. Other
     columns are not read. No rows give an empty table.
     """
     with T.lean_batches(docs.sparkSession):  # all that reads texts runs in here

@@ -137,9 +137,12 @@ def fitted_space(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     mine = mine.groupBy(key.alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
     n = mine.count()
     share = min(1.0, 0.95 * train_docs / max(1, n))
-    sample = mine.where(F.pmod(F.xxhash64("l_id", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(train_docs)
-    texts = docs.select(key.alias("d_id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(sample), F.col("d_id") == F.col("l_id")).select("label", "t")
-    rows = texts.limit(2 * train_docs).mapInArrow(_counts_fn, "label int, terms binary, counts binary").toPandas()  # a few kB each
+    mine = mine.withColumn("place", F.xxhash64("l_id", F.lit(seed)))
+    sample = mine.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("place", "l_id").limit(train_docs)
+    texts = docs.select(key.alias("d_id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(sample), F.col("d_id") == F.col("l_id"))
+    # repeated ids may give more texts: the bound then takes the first ones by hash, the same in every run
+    order = texts.select("label", "t", "place", F.xxhash64("t").alias("text_place")).orderBy("place", "text_place", "t").limit(2 * train_docs)
+    rows = order.select("label", "t").mapInArrow(_counts_fn, "label int, terms binary, counts binary").toPandas()  # a few kB each
     rows = rows.sort_values(["label", "terms", "counts"]).reset_index(drop=True)[:train_docs] if len(rows) > train_docs else rows
     counts = np.zeros((len(rows), TERMS), np.float32)
     for i, (t, c) in enumerate(zip(rows["terms"], rows["counts"])):
@@ -166,7 +169,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     held_out: crc32(id as text) mod fold[0] is fold[1] (a null id counts as the empty text); such
     rows' labels are not learned. Several labels of an id count by their mean, null ones and labels
-    without a document do not count. Null and empty texts score the training labels' mean. Repeated
+    without a document do not count. Very long texts are counted whole. Null and empty texts score the training labels' mean. Repeated
     rows score alike. Other columns are not read. Without labels every score is 0.5.
     """
     space = fitted_space(docs, labels, id_col, text_col, label_col, fold, **kw)

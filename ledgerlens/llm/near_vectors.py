@@ -25,7 +25,7 @@ from ledgerlens.operators.joins import bounded
 from ledgerlens.session import materialize
 
 from . import _text as T
-from ._graph import components, connected_components
+from ._graph import Linked, connected_components
 
 PROBES = 4  # further buckets of each table that a vector probes
 MISS = 0.001  # share of the pairs at the threshold itself that all tables together may miss
@@ -173,30 +173,6 @@ def _balls_fn(threshold: float):
     return run
 
 
-class _Linked:
-    """Numbers of links and a spanning forest, from pairs that are not kept."""
-
-    def __init__(self, n: int, copies: np.ndarray):
-        self.copies, self.links, self.forest, self.new = copies, np.zeros(n, np.int64), (np.zeros(0, np.int64),) * 2, []
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        np.add.at(self.links, i, self.copies[j])
-        np.add.at(self.links, j, self.copies[i])
-        self.new.append((i, j))
-        if sum(len(x) for x, _ in self.new) > _CHUNK:
-            self.settle()
-
-    def settle(self) -> tuple[np.ndarray, np.ndarray]:
-        a = np.concatenate([self.forest[0], *(x for x, _ in self.new)])
-        b = np.concatenate([self.forest[1], *(y for _, y in self.new)])
-        self.new = []
-        if len(a):
-            a, b = components(a, b)
-            a, b = a[a != b], b[a != b]
-        self.forest = (a, b)
-        return self.forest
-
-
 def _candidates(u, key, side, at, least):
     """Row positions and cosines of the pairs of equal ``key`` whose cosine is at least ``least``, in blocks.
 
@@ -241,7 +217,7 @@ def _product_fn(shared, threshold: float):
         node, first, at = np.unique(table["node"].to_numpy(), return_index=True, return_inverse=True)
         u = _vectors(table["v"].combine_chunks().take(pa.array(first)), d)
         ball = table["ball"].to_numpy()[first]
-        linked = _Linked(len(node), table["copies"].to_numpy()[first])
+        linked = Linked(table["copies"].to_numpy()[first])
         codes, known = np.zeros((len(u), h.tables, 0), np.int64), np.zeros(len(u), bool)
         for x, y, cos in _candidates(u, key, side, at, threshold - _SLACK):
             i, j = at[x], at[y]
@@ -249,6 +225,8 @@ def _product_fn(shared, threshold: float):
             close = np.flatnonzero(hit & (np.abs(cos - threshold) <= _SLACK))
             hit[close] = (u[i[close]] * u[j[close]]).sum(1) >= threshold
             x, i, j = x[hit], i[hit], j[hit]
+            if not len(i):
+                continue
             new = np.unique(np.concatenate((i, j)))
             new = new[~known[new]]  # only vectors with links need their codes
             for k in range(0, len(new), TILE):
@@ -267,7 +245,7 @@ def _product_fn(shared, threshold: float):
                 both = (a[:, :1] == b).any(1) & (b[:, :1] == a).any(1)  # they meet in both own buckets of this table
                 count[here] = ~both | (code[here] == np.minimum(a[:, 0], b[:, 0]))
             linked.add(i[count], j[count])
-        a, b = linked.settle()
+        a, b = linked.forest()
         got = linked.links > 0
         return pa.table({"a": np.concatenate((node[a], node[got])), "b": np.concatenate((node[b], node[got])),
                          "links": np.concatenate((np.zeros(len(a), np.int64), linked.links[got]))})

@@ -19,15 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import bounded
 from ledgerlens.session import materialize
 
 from . import _text as T
-from ._graph import components, connected_components
+from ._graph import Linked, components, connected_components
 
 _U = np.uint64
 _FLUSH = 500_000  # block keys a task holds before it sends them on
 _BUCKET = 800_000  # block keys one reducing group reads
 TILE = 200_000  # shingles of one side of a product's tile
+TILE_ROWS = 8_000  # and its rows
+FAN = 128  # buckets that a task deals to at a time; more are reached in steps
 _COMMON_RUN, _COMMON_IN_RUN = 1_500_000, 8  # a shingle of 8 different sets among so many shingles is common
 _COMMON_MOST = 1 << 18  # common shingles that are broadcast at most, the most frequent ones
 
@@ -168,23 +171,23 @@ def _distinct_pairs(a, b):
 _PACKED = "p int, keys binary, nodes binary, a binary, b binary"
 
 
+def _packed(keys, nodes, a, b, size: int) -> pa.RecordBatch | None:
+    """A row for each bucket of ``size`` that has keys. Of a key's nodes one goes on, the others are linked to it here."""
+    x, y, keys, nodes = _star(np.concatenate(keys), np.concatenate(nodes))
+    a, b = _distinct_pairs(np.concatenate([x, *a]), np.concatenate([y, *b]))
+    p = ((keys >> _U(32)) * _U(size)) >> _U(32)  # ascends with the keys
+    cut = np.concatenate((np.flatnonzero(np.diff(p, prepend=~p[:1])), [len(p)]))
+    rows = []
+    for k, (lo, hi) in enumerate(zip(cut, cut[1:])):
+        o = lo + np.argsort(nodes[lo:hi], kind="stable")
+        e = slice(len(a) * k // (len(cut) - 1), len(a) * (k + 1) // (len(cut) - 1))  # links may go anywhere
+        rows.append((int(p[lo]), T.planes(keys[o]), T.planes(nodes[o]), T.planes(a[e]), T.planes(b[e])))
+    cols = list(zip(*rows))
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]], ["p", "keys", "nodes", "a", "b"])
+
+
 def _keys_fn(size, threshold, buckets, common):
-    """Keys of a task's documents, combined: of a key's nodes one goes on, the others are linked to it here."""
-
-    def packed(keys, nodes):
-        a, b, keys, nodes = _star(np.concatenate(keys), np.concatenate(nodes))
-        a, b = _distinct_pairs(a, b)
-        cut = np.searchsorted(keys, [_U(min((p << 64) // buckets, (1 << 64) - 1)) for p in range(1, buckets)])
-        at = np.concatenate(([0], cut, [len(keys)]))
-        rows = []
-        for p in range(buckets):
-            k, n = keys[at[p]: at[p + 1]], nodes[at[p]: at[p + 1]]
-            o = np.argsort(n, kind="stable")
-            e = slice(len(a) * p // buckets, len(a) * (p + 1) // buckets)
-            if len(k) or len(a[e]):
-                rows.append((p, T.planes(k[o]), T.planes(n[o]), T.planes(a[e]), T.planes(b[e])))
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]], ["p", "keys", "nodes", "a", "b"])
+    """Keys of a task's documents, combined and dealt to ``buckets``."""
 
     def run(batches):
         T.frugal()
@@ -196,14 +199,43 @@ def _keys_fn(size, threshold, buckets, common):
                 nodes.append(n)
                 held += len(k)
                 if held >= _FLUSH:
-                    yield packed(keys, nodes)
+                    yield _packed(keys, nodes, [], [], buckets)
                     keys, nodes, held = [], [], 0
         if held:
-            yield packed(keys, nodes)
+            yield _packed(keys, nodes, [], [], buckets)
+
+    return run
+
+
+def _redeal_fn(buckets):
+    """The rows of a partition, which hold few buckets, combined again and dealt to more ``buckets``."""
+
+    def run(batches):
+        T.frugal()
+        held, n = ([], [], [], []), 0
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("keys", "nodes", "a", "b"))):
+                for out, x, t in zip(held, row, (_U, np.int64, np.int64, np.int64)):
+                    out.append(T.from_planes(x, t))
+                n += len(held[0][-1]) + len(held[2][-1])
+                if n >= _FLUSH:
+                    yield _packed(*held, buckets)
+                    held, n = ([], [], [], []), 0
+        if n:
+            yield _packed(*held, buckets)
 
     return run
 
 
+def deal_steps(buckets: int) -> list[int]:
+    """Numbers of buckets after each step, each at most FAN times the one before; the last is at least ``buckets``."""
+    steps = 1
+    while FAN ** steps < buckets:
+        steps += 1
+    fan = next(f for f in range(1, FAN + 1) if f ** steps >= buckets)
+    return [fan ** k for k in range(1, steps + 1)]
+
+
 def _meet(table: pa.Table) -> pa.Table:
     """A spanning forest of the links among the nodes that share a key of this bucket."""
     T.frugal()
@@ -245,9 +277,9 @@ def _fetch_fn(size, bitmap, bits):
 
 
 def product_tile(side, sets, across: bool, threshold: Fraction):
-    """Linked pairs of a tile (positions), by accumulating overlap counts row by row.
+    """Linked pairs of a tile, row by row: (position, later positions linked to it), by accumulating overlap counts.
 
-    ``across``: only pairs of the two sides (0 and 1) count."""
+    ``across``: only pairs of the two sides (0 and 1) count. Nothing of a row is kept for the next."""
     size = np.array([len(s) for s in sets])
     items = np.concatenate(sets) if len(sets) else np.zeros(0, _U)
     row = np.repeat(np.arange(len(sets)), size)
@@ -256,7 +288,6 @@ def product_tile(side, sets, across: bool, threshold: Fraction):
     by_col, ptr = row[order], np.concatenate(([0], np.cumsum(np.bincount(col)))) if len(col) else np.zeros(1, int)
     start = np.concatenate(([0], np.cumsum(size)))
     num, den = threshold.numerator, threshold.denominator
-    left, right = [], []
     for i in range(len(sets)):
         c = col[start[i]: start[i + 1]]
         many = ptr[c + 1] - ptr[c]
@@ -266,17 +297,14 @@ def product_tile(side, sets, across: bool, threshold: Fraction):
         many = ptr[c + 1] - ptr[c]
         ends = np.cumsum(many)
         who = by_col[np.arange(ends[-1]) - np.repeat(ends - many - ptr[c], many)]
-        overlap = np.bincount(who[who > i], minlength=len(sets))
+        overlap = np.bincount(who[who > i] - i, minlength=len(sets) - i)
         # the bound: overlap >= t/(1+t) * (a + b)
-        hit = np.flatnonzero((num + den) * overlap >= num * (size[i] + size))
-        hit = hit[(hit > i) & (overlap[hit] > 0)]
+        hit = np.flatnonzero((num + den) * overlap >= num * (size[i] + size[i:]))
+        hit = hit[(hit > 0) & (overlap[hit] > 0)] + i
         if across:
             hit = hit[side[hit] != side[i]]
-        left.append(np.full(len(hit), i))
-        right.append(hit)
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int)
-    return np.concatenate(left), np.concatenate(right)
+        if len(hit):
+            yield i, hit
 
 
 def _most_common(read: DataFrame) -> Common:
@@ -294,17 +322,15 @@ def _tile_fn(threshold):
         node, at = np.unique(table["node"].to_numpy(), return_index=True)  # a document that is there twice counts once
         side, copies = table["side"].to_numpy()[at], table["copies"].to_numpy()[at]
         sets = [np.frombuffer(table["items"][int(i)].as_py(), _U) for i in at]
-        x, y = product_tile(side, sets, table["i"][0] != table["j"][0], threshold)
-        links = np.zeros(len(node), np.int64)
-        np.add.at(links, x, copies[y])
-        np.add.at(links, y, copies[x])
-        tree_a, tree_b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(x):  # of the links a spanning forest goes on, and each row's number of them
-            tree_a, tree_b = components(node[x], node[y])
-        got = links > 0
+        linked = Linked(copies)
+        for i, hit in product_tile(side, sets, table["across"][0].as_py(), threshold):
+            linked.add_row(i, hit)
+        # of the links a spanning forest goes on, and each row's number of them
+        a, b = linked.forest()
+        got = linked.links > 0
         return pa.table({
-            "a": np.concatenate((tree_a, node[got])), "b": np.concatenate((tree_b, node[got])),
-            "links": np.concatenate((np.zeros(len(tree_a), np.int64), links[got]))})
+            "a": np.concatenate((node[a], node[got])), "b": np.concatenate((node[b], node[got])),
+            "links": np.concatenate((np.zeros(len(a), np.int64), linked.links[got]))})
     return run
 
 
@@ -316,8 +342,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component_id is the smallest id reachable by links (the row's own included); n_links counts the
     linked rows. Null and empty texts have no shingles: they link with nothing and keep their own id.
     Repeated rows are rows of their own that link with each other; a null id counts as no id, so its
-    row gets the smallest non-null id of its component (null if there is none). Other columns of
-    ``docs`` are not read. No rows give an empty table.
+    row gets the smallest non-null id of its component (null if there is none). Very long texts are
+    read whole: words and shingles are made some at a time, and a set is one row of its tile. Other
+    columns of ``docs`` are not read. No rows give an empty table.
     """
     with T.lean_batches(docs.sparkSession):  # all that Python does runs in here
         return _components(docs, id_col, text_col, threshold, size)
@@ -334,30 +361,48 @@ def _components(docs: DataFrame, id_col: str, text_col: str, threshold: Fraction
     sets = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("sid"), F.count("*").alias("copies"), F.first("n").alias("n"))
     buckets = max(1, -(-int(total * 0.55) // _BUCKET))
 
-    packed = base.select("text").mapInArrow(_keys_fn(size, threshold, buckets, common), _PACKED)
-    pairs = packed.repartition(buckets, "p").groupBy("p").applyInArrow(_meet, "a long, b long")
+    first, *more = deal_steps(buckets)  # the rows of a flush do not grow with the number of buckets
+    packed = base.select("text").mapInArrow(_keys_fn(size, threshold, first, common), _PACKED)
+    for buckets in more:
+        packed = packed.repartition(first, "p").mapInArrow(_redeal_fn(buckets), _PACKED)
+        first = buckets
+    pairs = packed.repartition(first, "p").groupBy("p").applyInArrow(_meet, "a long, b long")
     cand = connected_components(pairs, reduced=True)
     cand = materialize(cand.join(sets, "node"))
     n_cand, = cand.agg(F.count("*")).first()
     bitmap, bits = _bitmap(cand.select("node"), n_cand)
     fetched = base.mapInArrow(_fetch_fn(size, spark.sparkContext.broadcast(bitmap), bits), f"fid {id_type}, fnode long, items binary")
 
-    weight = cand.groupBy("comp").agg(F.sum("n").alias("w"))
+    # a row weighs its shingles, or its share of TILE_ROWS if that is more, so tiles are bounded in rows too
+    cand = cand.withColumn("load", F.greatest("n", F.lit(-(-TILE // TILE_ROWS))))
+    weight = cand.groupBy("comp").agg(F.sum("load").alias("w"))
     small = weight.where(F.col("w") <= TILE).agg(F.sum("w")).first()[0] or 0
     packs = max(1, -(-int(small) // TILE))
+    # rows of a large component are tiled by size class: partners are in the same class or the next one
+    step = float(1 / threshold) * 1.01
+    classed = cand.join(weight, "comp").withColumn("class", F.when(F.col("w") > TILE, F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(step))))).otherwise(0).cast("int"))
+    tiles = classed.where(F.col("w") > TILE).groupBy("comp", "class").agg(F.ceil(F.sum("load") / TILE).cast("int").alias("tiles"))
+    up, down = (tiles.select(F.col("comp").alias(f"{x}_comp"), (F.col("class") + d).alias(f"{x}_class"), F.col("tiles").alias(f"{x}_tiles")) for x, d in (("up", -1), ("down", 1)))
+    tiles = tiles.join(up, (F.col("comp") == F.col("up_comp")) & (F.col("class") == F.col("up_class")), "left").join(
+        down, (F.col("comp") == F.col("down_comp")) & (F.col("class") == F.col("down_class")), "left")
+    tiles = materialize(tiles.select(F.col("comp").alias("of"), F.col("class").alias("of_class"), "tiles", F.coalesce("up_tiles", F.lit(0)).alias("up_tiles"), F.coalesce("down_tiles", F.lit(0)).alias("down_tiles")))
+    upto = lambda n: F.slice(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), F.lit(1), n)
+    cell = lambda low, across, i, j, side: F.struct(low.alias("low"), across.alias("across"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    # cells: with each tile of its own class (of two, the lower is side 0), of the class above and of the class below
+    own = F.transform(upto(F.col("tiles")), lambda x: F.when(F.col("tile") <= x, cell(F.col("class"), F.col("tile") != x, F.col("tile"), x, 0)).otherwise(cell(F.col("class"), F.lit(True), x, F.col("tile"), 1)))
+    above = F.transform(upto(F.col("up_tiles")), lambda x: cell(F.col("class"), F.lit(True), F.col("tile"), -1 - x, 0))
+    below = F.transform(upto(F.col("down_tiles")), lambda x: cell(F.col("class") - 1, F.lit(True), x, -1 - F.col("tile"), 1))
+    zero = F.lit(0)
     placed = (
-        cand.join(weight, "comp")
-        .withColumn("tiles", F.ceil(F.col("w") / TILE).cast("int"))
-        .withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-        .withColumn("grp", F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.col("comp")))
-        .withColumn("big", F.col("tiles") > 1)
+        classed.join(bounded(tiles), (F.col("comp") == F.col("of")) & (F.col("class") == F.col("of_class")), "left")
+        .withColumn("big", F.col("tiles").isNotNull())
+        .withColumn("tile", F.coalesce(F.pmod(F.xxhash64("node"), "tiles"), zero).cast("int"))
+        .withColumn("grp", F.when(F.col("big"), F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(packs))))
         .join(fetched, (F.col("node") == F.col("fnode")) & F.col("sid").eqNullSafe(F.col("fid")))
-        .select("big", "grp", "tile", "tiles", "node", "copies", "items")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("big", "grp", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-                F.when(F.col("tile") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "copies", "items")
+        .withColumn("cell", F.explode(F.when(F.col("big"), F.concat(own, above, below)).otherwise(F.array(cell(zero, F.lit(False), zero, zero, 0)))))
+        .select("big", "grp", "cell.low", "cell.across", "cell.i", "cell.j", "cell.side", "node", "copies", "items")
     )
-    linked = materialize(placed.groupBy("big", "grp", "i", "j").applyInArrow(_tile_fn(threshold), "a long, b long, links long"))
+    linked = materialize(placed.groupBy("big", "grp", "low", "across", "i", "j").applyInArrow(_tile_fn(threshold), "a long, b long, links long"))
 
     comps = connected_components(linked.where("a <> b"), reduced=True)
     links = linked.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("more"))

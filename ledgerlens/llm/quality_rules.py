@@ -130,16 +130,24 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     rows = materialize(measures(docs, F.col(text_col), keep).withColumn("base_failed", base_failed()))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
     cutoffs = materialize(certified_cutoffs(rows.where("NOT base_failed").join(good, "id", "left_semi"), alpha, delta))
-    by_stratum = cutoffs.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
-    joined = rows.join(by_stratum.select(F.col("stratum").alias("of"), *(F.col(r).alias(f"c_{r}") for r in RULES)), F.col("stratum") == F.col("of"), "left")
-    failed = F.array_compact(F.array(*(F.when(v > F.col(f"c_{r}"), F.lit(r)) for r, v in rule_values().items())))
-    out = joined.select("id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", failed.alias("failed_rules"))
+    out = _judged(rows, cutoffs).select("id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules")
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).withColumnRenamed("id", id_col), cutoffs
 
 
+def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``rows`` with the rules that they fail. There is a row of cutoffs for each stratum that has one."""
+    by_stratum = cutoffs.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
+    joined = rows.join(small(by_stratum.select(F.col("stratum").alias("of"), *(F.col(r).alias(f"c_{r}") for r in RULES))), F.col("stratum") == F.col("of"), "left")
+    return joined.withColumn("failed_rules", F.array_compact(F.array(*(F.when(v > F.col(f"c_{r}"), F.lit(r)) for r, v in rule_values().items()))))
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
-    verdicts, _ = quality_verdicts(docs, labels, id_col, text_col, **kw)
-    of, hashed = fresh(docs, "kept_id"), fresh(docs, "kept_hash")
-    keys = materialize(verdicts.where("kept").select(F.col(id_col).alias(of), F.col("text_hash").alias(hashed)).distinct())
-    return docs.join(small(keys), F.col(id_col).eqNullSafe(F.col(of)) & text_hash(F.col(text_col)).eqNullSafe(F.col(hashed)), "left_semi")
+    """The rows of ``docs`` that are kept, with their columns.
+
+    The texts are measured again beside the certified cutoffs, so no text is joined with a verdict."""
+    _, cutoffs = quality_verdicts(docs, labels, id_col, text_col, **kw)
+    stratum_col = kw.get("stratum_col", "lang")
+    stratum = F.col(stratum_col).cast("string") if stratum_col else F.lit("all")
+    keep = {"row": F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "stratum": F.coalesce(F.concat(F.lit("="), stratum), F.lit("null"))}
+    rows = measures(docs, F.col(text_col), keep).withColumn("base_failed", base_failed()).where("NOT base_failed")
+    return _judged(rows, cutoffs).where(F.size("failed_rules") == 0).select("row.*")

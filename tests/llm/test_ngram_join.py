@@ -103,3 +103,55 @@ def test_every_linked_pair_shares_a_key():
             for common in (shared, J.Common(np.zeros(0, np.uint64), np.zeros(0, int))):
                 k, node = J.block_keys(np.concatenate((x, y)), np.array([0, len(x), len(x) + len(y)]), np.array([1, 2]), J.Fraction(4, 5), common)
                 assert len(np.intersect1d(k[node == 1], k[node == 2])), (n, d)
+
+
+def test_a_full_tile_of_short_near_copies_keeps_no_pairs():
+    """8,000 rows of 9 shingles that differ in one: all 32 million pairs link, in little memory."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n = 8_000
+    sets = [np.sort(np.append(np.arange(1, 9, dtype=np.uint64), np.uint64(100 + i))).tobytes() for i in range(n)]
+    t = pa.table({"across": pa.array([False] * n), "node": pa.array(range(n), pa.int64()), "side": pa.array([0] * n), "copies": pa.array([1] * n, pa.int64()), "items": pa.array(sets, pa.binary())})
+    tracemalloc.start()
+    out = J._tile_fn(J.Fraction(4, 5))(t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = out.to_pydict()
+    assert sorted(x for x, y, k in zip(got["a"], got["b"], got["links"]) if k == n - 1) == list(range(n))
+    assert sum(1 for x, y in zip(got["a"], got["b"]) if x != y) == n - 1
+    assert peak < 100e6
+
+
+def test_dealing_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(J, "FAN", 3)
+    monkeypatch.setattr(J, "_BUCKET", 40)
+    monkeypatch.setattr(J, "_FLUSH", 300)
+    assert J.deal_steps(1) == [1] and J.deal_steps(3) == [3] and J.deal_steps(20) == [3, 9, 27] and J.deal_steps(7) == [3, 9]
+    rnd = random.Random(9)
+    base = [["w%d" % rnd.randrange(500) for _ in range(60)] for _ in range(25)]
+    rows = []
+    for k in range(120):
+        words = list(rnd.choice(base))
+        words[rnd.randrange(60)] = "x%d" % rnd.randrange(9)
+        rows.append((k, " ".join(words)))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+
+
+def test_size_classes_of_a_large_component(spark, monkeypatch):
+    """A chain of growing texts: one component over many size classes, tiled by class and rows."""
+    monkeypatch.setattr(J, "TILE", 300)
+    monkeypatch.setattr(J, "TILE_ROWS", 8)
+    words = ["w%d" % i for i in range(700)]
+    rows = [(k, " ".join(words[: 20 + 4 * k])) for k in range(160)] + [(500 + k, " ".join(words[:200] + ["y%d" % k])) for k in range(20)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(4)
+    words = ["w%d" % rnd.randrange(10**6) for _ in range(150_000)]
+    other = words[:-20_000] + ["z%d" % i for i in range(10_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:75_000]))]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
