@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
+from .ngram_join import deal_steps
 
 _U = np.uint64
 _TOP = _U(1 << 63)
@@ -96,14 +97,64 @@ def _short(head, code):
     return np.where(head.words[at] == code, (at + 1).astype(_U), code)
 
 
-_FAT = "p int, part int, seq long, v binary, w binary, d binary, ids array<{id}>, facts binary"
+_FAT = "p int, flushes binary, f binary, v binary, w binary, d binary, ids array<{id}>, facts binary"
+_FAT_NAMES = ["p", "flushes", "f", "v", "w", "d", "ids", "facts"]
+
+
+def _part_of(hashed, n):
+    """Of n parts the one of each hash; more parts that are a multiple of n refine them."""
+    return (((hashed >> _U(32)) * _U(n)) >> _U(32)).astype(np.int64)
+
+
+def _home(flushes, n):
+    """Of n groups the one that collects each flush's documents. A flush is (scan partition, number there)."""
+    with np.errstate(over="ignore"):
+        return _part_of(T.mix(flushes[:, 0].astype(_U) * _U(0x9E3779B1) + T.mix(flushes[:, 1].astype(_U))), n)
+
+
+def _local(f, n):
+    """Index of each entry's flush in its row's list; nothing is written where the row has one flush."""
+    return T.from_planes(f, np.uint32).astype(np.int64) if f else np.zeros(n, np.int64)
+
+
+def _listed(flushes, local):
+    """The flushes of all rows, and the index there of each entry's flush."""
+    every, of = np.unique(np.concatenate(flushes), axis=0, return_inverse=True)
+    of, start = of.reshape(-1), np.cumsum([0, *map(len, flushes)])
+    return every, np.concatenate([of[s + x] for x, s in zip(local, start)])
+
+
+def _some(flushes, at):
+    """The flushes that occur in ``at``, and each entry's index among them (nothing for one flush)."""
+    used, local = np.unique(at, return_inverse=True)
+    return flushes[used].tobytes(), T.planes(local.astype(np.uint32)) if len(used) > 1 else b""
+
+
+def _flush_list(x):
+    return np.frombuffer(x, np.int64).reshape(-1, 2)
+
+
+def _pair_rows(flushes, at, v, w, d, buckets, id_type):
+    """The pairs of some flushes, one row for each bucket. ``at``: each pair's flush."""
+    bits = max(20, int(buckets).bit_length())
+    rare = v >= _TOP
+    with np.errstate(over="ignore"):
+        p = _part_of(T.mix(np.where(rare, v, v * _U(0x9E3779B1) + T.mix(w))), buckets)
+    order = np.argsort((p.astype(_U) << _U(64 - bits)) | (np.where(rare, v >> _U(20), (v << _U(22)) | (w & _U((1 << 22) - 1))) >> _U(bits - 20)))
+    p = p[order]
+    cut = np.flatnonzero(np.diff(p, prepend=-1))
+    none = pa.array([[]], pa.list_(id_type))
+    for lo, hi in zip(cut, np.append(cut[1:], len(p))):
+        o = order[lo:hi]
+        listed, f = _some(flushes, at[o])
+        yield pa.RecordBatch.from_arrays([pa.array([p[lo]], pa.int32()), *(pa.array([x], pa.binary()) for x in (listed, f, T.planes(v[o]), T.planes(w[o]), T.planes(d[o]))),
+                                          none, pa.array([b""], pa.binary())], _FAT_NAMES)
 
 
 def _deal_fn(shared, buckets, n, v_size):
-    """A flush's pairs by bucket, and its documents' own facts with one of the buckets.
+    """A flush's pairs by bucket, and its documents' own facts as a row of their own.
 
     A flush is named by the scan partition and its number there, a document by its index in the flush."""
-    bits = max(20, int(buckets).bit_length())
 
     def run(batches):
         head = T.received(shared)
@@ -114,11 +165,6 @@ def _deal_fn(shared, buckets, n, v_size):
             v[1:] = w[:-1]
             v[0] = 0
             v[ends[:-1] + 1] = 0
-            rare = v >= _TOP
-            with np.errstate(over="ignore"):
-                spread = T.mix(np.where(rare, v, v * _U(0x9E3779B1) + T.mix(w)))
-            p = ((spread >> _U(32)) * _U(buckets)) >> _U(32)
-            order = np.argsort((p << _U(64 - bits)) | (np.where(rare, v >> _U(20), (v << _U(22)) | (w & _U((1 << 22) - 1))) >> _U(bits - 20)))
             d = (who.astype(np.uint32) << np.uint32(2)) | ((rest[who] == 1).astype(np.uint32) << np.uint32(1)) | (rest[who] != 0)
             known = w < _TOP
             c = np.zeros(len(w))
@@ -127,16 +173,40 @@ def _deal_fn(shared, buckets, n, v_size):
             docs = len(rest)
             facts = np.stack((rest == 0, np.bincount(who, minlength=docs), np.bincount(who, weights=known & (c > 0), minlength=docs),
                               np.bincount(who, weights=base, minlength=docs))).astype(np.float64)
-            at = np.concatenate(([0], np.cumsum(np.bincount(p.astype(np.int64), minlength=buckets))))
-            home = (part * 1_000_003 + seq) % buckets
-            for q in range(buckets):
-                o = order[at[q]: at[q + 1]]
-                if len(o) or q == home:
-                    mine = pa.concat_arrays(ids) if q == home else ids[0].slice(0, 0)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([q], pa.int32()), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([T.planes(v[o])], pa.binary()), pa.array([T.planes(w[o])], pa.binary()),
-                        pa.array([T.planes(d[o])], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(mine)], pa.int32()), mine),
-                        pa.array([facts.tobytes() if q == home else b""], pa.binary())], ["p", "part", "seq", "v", "w", "d", "ids", "facts"])
+            me, mine = np.array([[part, seq]], np.int64), pa.concat_arrays(ids)
+            yield from _pair_rows(me, np.zeros(len(w), np.int8), v, w, d, buckets, mine.type)
+            yield pa.RecordBatch.from_arrays([pa.array(_home(me, buckets), pa.int32()), pa.array([me.tobytes()], pa.binary()), *[pa.array([b""], pa.binary())] * 4,
+                                              pa.ListArray.from_arrays(pa.array([0, len(mine)], pa.int32()), mine), pa.array([facts.tobytes()], pa.binary())], _FAT_NAMES)
+
+    return run
+
+
+def _redeal_fn(buckets):
+    """The rows of a partition, which hold few buckets, put together and dealt to more ``buckets``."""
+
+    def run(batches):
+        T.frugal()
+        held, size, id_type = [], 0, None
+
+        def dealt():
+            listed, f, v, w, d = zip(*held)
+            flushes, at = _listed([_flush_list(x) for x in listed], [_local(x, len(y) // 4) for x, y in zip(f, d)])
+            col = lambda rows, t: np.concatenate([T.from_planes(x, t) for x in rows])
+            return _pair_rows(flushes, at, col(v, _U), col(w, _U), col(d, np.uint32), buckets, id_type)
+
+        for batch in batches:
+            id_type = batch.schema.field("ids").type.value_type
+            for i, (facts, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("facts", "flushes", "f", "v", "w", "d")))):
+                if facts:
+                    yield pa.RecordBatch.from_arrays([pa.array(_home(_flush_list(row[0]), buckets), pa.int32()), *(batch.column(c).slice(i, 1) for c in _FAT_NAMES[1:])], _FAT_NAMES)
+                    continue
+                held.append(row)
+                size += len(row[-1]) // 4
+                if size >= _FLUSH:
+                    yield from dealt()
+                    held, size = [], 0
+        if held:
+            yield from dealt()
 
     return run
 
@@ -230,15 +300,32 @@ def learn_weights(cell: np.ndarray, many: np.ndarray, v_size: int, rounds: int =
     return weight
 
 
-def _score_fn(shared, weights, n, v_size):
+_SUMS = "g int, kind int, a binary, b binary, c binary, flushes binary, ids array<{id}>"
+_SUM_NAMES = ["g", "kind", "a", "b", "c", "flushes", "ids"]
+
+
+def _sum_rows(flushes, u, total, groups):
+    """Documents' sums, one row for each group of flushes. ``u``: a document's flush and index, each once."""
+    g = _home(flushes, groups)[u >> 32]
+    order = np.argsort(g, kind="stable")
+    g = g[order]
+    cut = np.flatnonzero(np.diff(g, prepend=-1))
+    for lo, hi in zip(cut, np.append(cut[1:], len(g))):
+        o = order[lo:hi]
+        listed, f = _some(flushes, u[o] >> 32)
+        yield int(g[lo]), 0, T.planes((u[o] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[o]), f, listed, []
+
+
+def _score_fn(shared, weights, n, v_size, groups):
     """Sums of log probabilities by document, and the occurrences whose word's count is elsewhere."""
 
     def run(rows):
         head = T.received(shared)
         rows = list(rows)
-        flushes = sorted({(r["part"], r["seq"]) for r in rows})
-        number = {x: i for i, x in enumerate(flushes)}  # in this task only
-        flush = np.concatenate([np.full(len(r["d"]) // 4, number[r["part"], r["seq"]], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+        if not rows:
+            return
+        # flushes are numbered in this task only
+        flushes, flush = _listed([_flush_list(r["flushes"]) for r in rows], [_local(r["f"], len(r["d"]) // 4) for r in rows])
         _, w, d, _, cvw, _, cv, _ = _meet(rows, head)
         doc = (d >> 2).astype(np.int64)
         b = bucket_of(cv)
@@ -247,18 +334,47 @@ def _score_fn(shared, weights, n, v_size):
         log = np.log10(two[known] + weights[b[known], 1] * head.c[w[known].astype(np.int64)] / max(1, n) + weights[b[known], 2] / (v_size + 1))
         uid = (flush << 32) | doc
         u, at = np.unique(uid[known], return_inverse=True)
-        total = np.bincount(at, weights=log, minlength=len(u))
-        cut = np.flatnonzero(np.diff(u >> 32, prepend=-1)) if len(u) else np.zeros(0, int)
-        for lo, hi in zip(cut, np.append(cut[1:], len(u))):
-            yield *flushes[int(u[lo] >> 32)], 0, T.planes((u[lo:hi] & 0xFFFFFFFF).astype(np.uint32)), T.planes(total[lo:hi]), b"", b"", []
+        yield from _sum_rows(flushes, u, np.bincount(at, weights=log, minlength=len(u)), groups)
         for r in rows:
             if r["facts"]:
-                yield r["part"], r["seq"], 1, b"", b"", bytes(r["facts"]), b"", r["ids"]
+                yield int(_home(_flush_list(r["flushes"]), groups)[0]), 1, b"", b"", bytes(r["facts"]), bytes(r["flushes"]), r["ids"]
         rest = ~known
         if rest.any():
             o = np.flatnonzero(rest)
             o = o[np.argsort(uid[o], kind="stable")]
-            yield -1, -1, 2, T.planes(w[o]), T.planes(np.concatenate((cvw[o], cv[o])).astype(np.uint64)), T.planes(uid[o]), np.array(flushes, np.int64).tobytes(), []
+            yield -1, 2, T.planes(w[o]), T.planes(np.concatenate((cvw[o], cv[o])).astype(np.uint64)), T.planes(uid[o]), flushes.tobytes(), []
+
+    return run
+
+
+def _resum_fn(groups):
+    """The sums of a partition, which holds few groups, added up and dealt to more ``groups``."""
+
+    def run(batches):
+        T.frugal()
+        held, size, kind = [], 0, None
+
+        def dealt():
+            a, b, c, listed = zip(*held)
+            flushes, at = _listed([_flush_list(x) for x in listed], [_local(x, len(y) // 4) for x, y in zip(c, a)])
+            u, to = np.unique((at << 32) | np.concatenate([T.from_planes(x, np.uint32) for x in a]).astype(np.int64), return_inverse=True)
+            total = np.bincount(to, weights=np.concatenate([T.from_planes(x, np.float64) for x in b]), minlength=len(u))
+            for g, k, *parts, ids in _sum_rows(flushes, u, total, groups):
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in parts), pa.array([ids], kind)], _SUM_NAMES)
+
+        for batch in batches:
+            kind = batch.schema.field("ids").type
+            for i, (of, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("kind", "a", "b", "c", "flushes")))):
+                if of == 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(_home(_flush_list(row[-1]), groups), pa.int32()), *(batch.column(c).slice(i, 1) for c in _SUM_NAMES[1:])], _SUM_NAMES)
+                    continue
+                held.append(row)
+                size += len(row[0]) // 4
+                if size >= _FLUSH:
+                    yield from dealt()
+                    held, size = [], 0
+        if held:
+            yield from dealt()
 
     return run
 
@@ -277,17 +393,25 @@ def _tail_fn(weights):
     return run
 
 
-def _sum_fn(key, table):
-    """A flush's documents with the sums that its buckets returned."""
+def _sum_fn(table):
+    """A group's documents with the sums that the buckets returned."""
     kind = table["kind"].to_numpy()
-    own = int(np.flatnonzero(kind == 1)[0])
-    facts = np.frombuffer(table["c"][own].as_py(), np.float64).reshape(4, -1)
-    score = np.zeros(facts.shape[1])
+    own = np.flatnonzero(kind == 1)
+    value = lambda name, i: table[name][int(i)].as_py()
+    flushes = np.concatenate([_flush_list(value("flushes", i)) for i in own])
+    facts = [np.frombuffer(value("c", i), np.float64).reshape(4, -1) for i in own]
+    sizes = [x.shape[1] for x in facts]
+    start = np.cumsum([0, *sizes])
+    number = {tuple(x): s for x, s in zip(flushes.tolist(), start.tolist())}
+    score = np.zeros(start[-1])
     for i in np.flatnonzero(kind == 0):
-        score[T.from_planes(table["a"][int(i)].as_py(), np.uint32)] += T.from_planes(table["b"][int(i)].as_py(), np.float64)  # a document once in each
+        doc = T.from_planes(value("a", i), np.uint32).astype(np.int64)
+        at = np.array([number[tuple(x)] for x in _flush_list(value("flushes", i)).tolist()])
+        score[at[_local(value("c", i), len(doc))] + doc] += T.from_planes(value("b", i), np.float64)  # a document once in each row
     ids = table["ids"].chunk(0) if table["ids"].num_chunks == 1 else pa.concat_arrays(table["ids"].chunks)
-    return pa.table({"id": ids.slice(own, 1).flatten(), "part": pa.array(np.full(len(score), key[0].as_py(), np.int32)), "seq": np.full(len(score), key[1].as_py(), np.int64),
-                     "doc": np.arange(len(score), dtype=np.int32), "held_out": facts[0] > 0,
+    facts = np.concatenate(facts, axis=1)
+    return pa.table({"id": ids.take(pa.array(own)).flatten(), "part": np.repeat(flushes[:, 0], sizes).astype(np.int32), "seq": np.repeat(flushes[:, 1], sizes),
+                     "doc": np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]), "held_out": facts[0] > 0,
                      "n_tokens": facts[1].astype(np.int64), "known": facts[2].astype(np.int64), "base": facts[3], "score": score})
 
 
@@ -322,7 +446,11 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words:
     shared = T.send(spark, head)
 
     buckets = max(1, -(-int(tokens) // _BUCKET))
-    dealt = base.mapInArrow(_deal_fn(shared, buckets, n, v_size), _FAT.format(id=id_type)).repartitionById(buckets, "p").rdd
+    first, *more = deal_steps(buckets)  # the rows of a flush do not grow with the number of buckets
+    fat = base.mapInArrow(_deal_fn(shared, first, n, v_size), _FAT.format(id=id_type))
+    for before, after in zip([first, *more], more):
+        fat = fat.repartitionById(before, "p").mapInArrow(_redeal_fn(after), _FAT.format(id=id_type))
+    dealt = fat.repartitionById([first, *more][-1], "p").rdd
     # both jobs below read the files of this one shuffle
     tally = spark.createDataFrame(dealt.mapPartitions(_tally_fn(shared, n, n_fold)), "cell binary, many binary, tail binary, tail_many binary", verifySchema=False).cache()
     left = max(1, n - n_fold)
@@ -334,8 +462,13 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, split: int, head_words:
     tally.unpersist()
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["many"].to_numpy(float), v_size)
 
-    scored = T.stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size)), f"part int, seq long, kind int, a binary, b binary, c binary, flushes binary, ids array<{id_type}>", verifySchema=False))
-    known = scored.where("kind < 2").groupBy("part", "seq").applyInArrow(_sum_fn, f"id {id_type}, part int, seq long, doc int, held_out boolean, n_tokens long, known long, base double, score double")
+    # the documents' sums go back the same way, to groups of flushes
+    sums = _SUMS.format(id=id_type)
+    scored = T.stored(spark.createDataFrame(dealt.mapPartitions(_score_fn(shared, weights, n, v_size, first)), sums, verifySchema=False))
+    back = scored.where("kind < 2")
+    for before, after in zip([first, *more], more):
+        back = back.repartition(before, "g").mapInArrow(_resum_fn(after), sums)
+    known = back.groupBy("g").applyInArrow(_sum_fn, f"id {id_type}, part int, seq long, doc int, held_out boolean, n_tokens long, known long, base double, score double")
     c = F.coalesce("c", F.lit(0))
     weight = lambda k: F.get(F.array(*(F.lit(float(x)) for x in weights[:, k])), F.col("b"))
     rest = (

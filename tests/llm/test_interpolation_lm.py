@@ -5,9 +5,10 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 
-from ledgerlens.llm import interpolation_lm as L
+from ledgerlens.llm import interpolation_lm as L, ngram_join
 
 A_Z = {c: c + 32 for c in range(65, 91)}
 
@@ -66,6 +67,35 @@ def test_scores_match_plain_counts(spark, head):
     check(df, [tuple(r) for r in df.collect()], head_words=head)
 
 
+@pytest.mark.parametrize("head", [1 << 18, 40])
+def test_dealing_in_steps_gives_the_same_scores(spark, monkeypatch, head):
+    """Buckets and groups that are reached in three steps; the counts and scores stay those of plain counters."""
+    monkeypatch.setattr(ngram_join, "FAN", 2)
+    monkeypatch.setattr(L, "_BUCKET", 1500)
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(40)
+    rows = [tuple(r) for r in df.collect()] + [(None, "a b"), (5, None), (6, ""), (6, "")]
+    assert len(L.deal_steps(-(-sum(len((t or "").split()) + 1 for _, t in rows) // 1500))) >= 3
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, head_words=head)
+
+
+def test_a_long_text_is_one_row_of_its_flush(spark):
+    rows = [(1, " ".join(f"w{i % 997} x" for i in range(400_000))), (2, "w1 x w2"), (11, "w3 x " * 10)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+@pytest.mark.parametrize("buckets", [8, 64, 4096])
+def test_rows_of_a_step_do_not_grow_with_the_buckets(buckets):
+    """A partition of one bucket of the step before sends at most FAN rows on for each flush."""
+    rng = np.random.default_rng(1)
+    w = rng.integers(1 << 62, 1 << 63, 20_000).astype(np.uint64) | L._TOP
+    at, d = np.zeros(len(w), np.int8), np.zeros(len(w), np.uint32)
+    rows, most = [L.pa.Table.from_batches(L._pair_rows(np.array([[0, k]]), at, w, w, d, 8, L.pa.int64())) for k in range(3)], 8
+    mine = [b for t in rows for b in t.filter(pc.equal(t["p"], 3)).to_batches()]
+    out = list(L._redeal_fn(buckets)(mine))
+    assert len(out) <= buckets // most and all(b.column("p")[0].as_py() * most // buckets == 3 for b in out)
+    assert sum(len(b.column("d")[0].as_py()) for b in out) == sum(len(x) for b in mine for x in b.column("d").to_pylist())
+
+
 def test_nulls_empty_texts_repeats_and_other_columns(spark):
     rows = [(1, "a b a b"), (2, None), (3, ""), (4, "  \t\n "), (None, "a b"), (5, "B a É é"), (5, "B a É é"), (5, "other"), (6, "x " * 5000), (7, "a"), (11, "b b a")]
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, score int, uid int")
@@ -94,15 +124,15 @@ def dealt_scores(monkeypatch, texts, partition, head, buckets=3):
     rows = [r for b in L._deal_fn(head, buckets, 50, 9)(batches) for r in b.to_pylist()]
     out, rare = [], []
     for q in range(buckets):
-        out += list(L._score_fn(head, weights, 50, 9)([r for r in rows if r["p"] == q]))
-    names = ["part", "seq", "kind", "a", "b", "c", "flushes", "ids"]
+        out += list(L._score_fn(head, weights, 50, 9, buckets)([r for r in rows if r["p"] == q]))
+    names = L._SUM_NAMES
     known = {}
-    for part, seq in sorted({r[:2] for r in out if r[2] < 2}):
-        mine = [dict(zip(names, r)) for r in out if r[:2] == (part, seq)]
-        t = L._sum_fn((L.pa.scalar(part, L.pa.int32()), L.pa.scalar(seq)), L.pa.Table.from_pylist(mine, L.pa.schema(
-            [("part", L.pa.int32()), ("seq", L.pa.int64()), ("kind", L.pa.int32()), *((n, L.pa.binary()) for n in "abc"), ("flushes", L.pa.binary()), ("ids", L.pa.list_(L.pa.int64()))])))
+    for g in sorted({r[0] for r in out if r[1] < 2}):
+        mine = [dict(zip(names, r)) for r in out if r[0] == g]
+        t = L._sum_fn(L.pa.Table.from_pylist(mine, L.pa.schema(
+            [("g", L.pa.int32()), ("kind", L.pa.int32()), *((n, L.pa.binary()) for n in "abc"), ("flushes", L.pa.binary()), ("ids", L.pa.list_(L.pa.int64()))])))
         known |= {(r["part"], r["seq"], r["doc"]): (r["id"], r["n_tokens"], r["score"]) for r in t.to_pylist()}
-    tail = [dict(zip(names, r)) for r in out if r[2] == 2]
+    tail = [dict(zip(names, r)) for r in out if r[1] == 2]
     if tail:
         for b in L._tail_fn(weights)([L.pa.RecordBatch.from_pylist(tail)]):
             rare += [(r["part"], r["seq"], r["doc"], r["w"], round(r["two"], 9)) for r in b.to_pylist()]
