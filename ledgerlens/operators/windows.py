@@ -48,15 +48,20 @@ def latest_per_key(
     ``max(struct)`` and its like, so each map task sends one row of them.
     """
     keys = _keys(key)
-    hashed = F.xxhash64(*keys)
-    top, n = df.agg(F.expr(f"approx_top_k({', '.join(['xxhash64(' + ', '.join(f'`{k}`' for k in keys) + ')'])}, 64, 10000)"), F.count(F.lit(1))).first()
-    hot = [r["item"] for r in top or [] if 64 * r["count"] > n]
+    hashed, hot = F.xxhash64(*keys), hot_hashes(df, keys)
     if not hot:
         return _latest_shuffled(df, keys, order, carry_max, keep_first, latest_non_null, first_order)
     cold = _latest_shuffled(df.where(~hashed.isin(hot)), keys, order, carry_max, keep_first, latest_non_null, first_order)
     return _latest_reduced(df.where(hashed.isin(hot)), keys, order, carry_max, keep_first, latest_non_null, first_order).unionByName(cold)
 
 
+def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """``xxhash64`` of the keys that hold more than one row in 64, from a one-row sketch."""
+    hashed = f"xxhash64({', '.join(f'`{k}`' for k in keys)})"
+    top, n = df.agg(F.expr(f"approx_top_k({hashed}, 64, 10000)"), F.count(F.lit(1))).first()
+    return [r["item"] for r in top or [] if 64 * r["count"] > n]
+
+
 def _latest_shuffled(df, keys, order, carry_max, keep_first, latest_non_null, first_order) -> DataFrame:
     """Newest row per key behind one shuffle. The first row is the one without a predecessor: a
     ``row_number`` filter would be planned with a sort before the shuffle too, which unique keys do not pay back."""

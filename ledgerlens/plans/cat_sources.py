@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..session import materialize
-from ..sources import bulletins, pages, register as reg
+from ..sources import bulletins, pages, register as reg, snapshots
 from .registry import Tables, register
 from .sqlbits import dec
 
@@ -439,3 +439,98 @@ def q_dq_null_zero(spark, d):
     t = Tables(spark, d)
     j = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
     return aggs.completeness(j, None, ["quality", "toxic"])
+
+
+# ---------------------------------------------------------------------------
+# A2 / C9 / K2 / K3 / K6 over stored snapshots
+# ---------------------------------------------------------------------------
+
+# three stored dates: granted in the second, refiled and partly withdrawn in the third
+SQL_STORED = """s1 AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+s2 AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'F' ELSE o_orderstatus END AS o_orderstatus
+       FROM orders WHERE o_orderdate < TIMESTAMP '2000-06-01'),
+s3 AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'F'
+                               WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'P' ELSE o_orderstatus END AS o_orderstatus
+       FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'))"""
+
+
+def _sql_diff(old: str, new: str, date: str) -> str:
+    return f"""SELECT DATE '{date}' AS snapshot_date, coalesce(p.o_orderkey, c.o_orderkey) AS o_orderkey,
+       CASE WHEN p.o_orderkey IS NULL THEN 'added' WHEN c.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       p.o_orderstatus AS old_o_orderstatus, c.o_orderstatus AS new_o_orderstatus
+FROM {old} p FULL OUTER JOIN {new} c ON p.o_orderkey = c.o_orderkey WHERE p.o_orderstatus IS DISTINCT FROM c.o_orderstatus"""
+
+
+SQL_NONE = "(SELECT * FROM s1 WHERE false)"
+
+
+def _stored_orders(spark, d) -> str:
+    """A store of the orders at three dates."""
+    from . import bind
+
+    o = Tables(spark, d)("orders")
+    path = bulletins.scratch_path(spark, "orders-store")
+    before = lambda day: F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz")
+    granted = F.when((F.col("o_orderstatus") == "P") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("F")).otherwise(F.col("o_orderstatus"))
+    withdrawn = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
+    bulletins.write_snapshot(o.where(before("1998-01-01")).select("o_orderkey", "o_orderstatus"), path, "2026-03-31")
+    bulletins.write_snapshot(o.where(before("2000-06-01")).select("o_orderkey", granted.alias("o_orderstatus")), path, "2026-06-30")
+    bulletins.write_snapshot(o.where(~withdrawn).select("o_orderkey", bind.after_status().alias("o_orderstatus")), path, "2026-09-30")
+    return path
+
+
+@register(
+    "stored_snapshot_diff",
+    f"WITH {SQL_STORED} SELECT o_orderkey, change, old_o_orderstatus, new_o_orderstatus FROM ({_sql_diff('s1', 's3', '2026-09-30')})",
+    ids=("A2", "C9"),
+)
+def q_stored_snapshot_diff(spark, d):
+    """What changed between two dates on which nothing was stored: the snapshots that hold there are compared."""
+    out = snapshots.diff_between(spark, _stored_orders(spark, d), "2026-05-15", "2026-12-01", "o_orderkey", ["o_orderstatus"])
+    return out.select("o_orderkey", "change", "old_o_orderstatus", "new_o_orderstatus")
+
+
+@register(
+    "snapshot_change_feed",
+    f"""WITH {SQL_STORED} {_sql_diff(SQL_NONE, 's1', '2026-03-31')}
+UNION ALL {_sql_diff('s1', 's2', '2026-06-30')} UNION ALL {_sql_diff('s2', 's3', '2026-09-30')}""",
+    ids=("C9",),
+)
+def q_snapshot_change_feed(spark, d):
+    return snapshots.change_feed(spark, _stored_orders(spark, d), "o_orderkey", ["o_orderstatus"])
+
+
+@register(
+    "dq_stored_snapshots",
+    f"""WITH {SQL_STORED}, c AS (SELECT '2026-03-31' AS day, count(*) AS n FROM s1 UNION ALL SELECT '2026-06-30', count(*) FROM s2 UNION ALL SELECT '2026-09-30', count(*) FROM s3)
+SELECT 'monotone' AS "check", day AS key, CAST(lag(n) OVER (ORDER BY day) AS BIGINT) AS expected, CAST(n AS BIGINT) AS found, coalesce(n >= lag(n) OVER (ORDER BY day), true) AS passed FROM c
+UNION ALL SELECT 'known_ids', 'o_orderkey', 0, CAST(count(*) AS BIGINT), count(*) = 0 FROM s1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s3)""",
+    ids=("K2", "K3"),
+)
+def q_dq_stored_snapshots(spark, d):
+    """The gates of a refresh on what is stored: counts never shrink, ids of the first date resolve in the last."""
+    path = _stored_orders(spark, d)
+    ids = snapshots.check_stored_ids(spark, path, "2026-03-31", "2026-09-30", "o_orderkey")
+    return snapshots.check_stored_monotone(spark, path).unionByName(ids)
+
+
+@register(
+    "gate_refresh",
+    f"""WITH {SQL_STORED}, x AS ({_sql_diff('s2', 's3', '2026-09-30')}),
+p AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0)
+SELECT 'orders' AS gate, DATE '2026-09-30' AS last_snapshot, DATE '2026-06-30' AS previous_snapshot, (SELECT count(*) FROM s3) AS n_rows,
+       count(*) FILTER (change = 'added') AS n_added, count(*) FILTER (change = 'changed') AS n_changed, count(*) FILTER (change = 'removed') AS n_removed FROM x
+UNION ALL SELECT 'customers', DATE '2026-07-31', DATE '2026-04-30', count(*), count(*) FILTER (c_custkey NOT IN (SELECT c_custkey FROM p)), 0, 0 FROM customer
+UNION ALL SELECT 'parts', DATE '2026-07-31', NULL, count(*), count(*), 0, 0 FROM part""",
+    ids=("K6",),
+)
+def q_gate_refresh(spark, d):
+    """Per gate the last stored date and the size of its delta; a gate with one snapshot has only additions."""
+    t = Tables(spark, d)
+    customers, parts = bulletins.scratch_path(spark, "customers-store"), bulletins.scratch_path(spark, "parts-store")
+    c = t("customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    bulletins.write_snapshot(c.where("c_acctbal >= 0"), customers, "2026-04-30")
+    bulletins.write_snapshot(c, customers, "2026-07-31")
+    bulletins.write_snapshot(t("part").select("p_partkey", "p_type"), parts, "2026-07-31")
+    return snapshots.refresh_status(spark, {
+        "orders": (_stored_orders(spark, d), "o_orderkey", ["o_orderstatus"]), "customers": (customers, "c_custkey", ["c_mktsegment"]), "parts": (parts, "p_partkey", ["p_type"])})
