@@ -52,8 +52,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     of an item's distinct ``size``-word shingles, once for equal rows.
 
     Words are lower-cased. Items of fewer words must occur as they are. Null and empty texts and
-    items hold and match nothing; repeated items count once; null ids are ids. Other columns are not
-    read. An empty table on either side gives no rows.
+    items hold and match nothing; repeated items count once; null ids are ids. Very long texts are
+    searched whole, to their last word. Other columns are not read. An empty table on either side
+    gives no rows.
     """
     num, den = threshold
     listed = materialize(item_shingles(items, item_col, item_text_col, size))

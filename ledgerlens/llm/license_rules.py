@@ -169,8 +169,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     base_labels and labels are distinct, sorted and comma-joined; first_word and last_word are null
     without base phrases; score is the confidence of the strongest rule or base phrase, 0 without
-    any. A null text is an empty one. Repeated rows get the same result each; ids may repeat or be
-    null. Other columns are not read. No rows give an empty table.
+    any. A null text is an empty one. Very long texts are scanned whole; a text's detections meet in
+    one window. Repeated rows get the same result each; ids may repeat or be null. Other columns are not read. No rows give an empty table.
     """
     best = F.coalesce(*(F.when(F.col("priority") == p, F.lit(c)) for p, c in CONFIDENCE.items()))
     det = license_detections(docs, id_col, text_col).groupBy(F.col("id").alias("r_id"), F.col("h").alias("r_h")).agg(F.collect_set("label").alias("more"), F.max(best).alias("best"))

@@ -47,7 +47,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Lines end at line feeds and are compared whole; blank ones are never boilerplate. The first
     document holding a line is the one with the smallest id (a null id is the smallest; of one id the
     smallest text hash); it keeps all its occurrences. kept is false where every line that is not
-    blank was removed. Texts without a removed line stay as they are, null ones null. Repeated rows
+    blank was removed. Texts without a removed line stay as they are, null ones null. Very long texts
+    are split whole, and very long lines compared by the same 64-bit hash as others. Repeated rows
     are treated alike. Columns of ``docs`` of the names added are replaced. No rows give an empty table.
     """
     text = F.col(text_col).cast("string")

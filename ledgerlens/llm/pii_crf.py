@@ -442,8 +442,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The counts are of base spans; spans has those and the mentions that the field labels, each as
     ``kind:start:end`` in code points, by start and then kind, comma-joined. A null text is an empty
-    one and has none. Repeated rows get the same result each; ids may repeat or be null. Other
-    columns are not read. Only where no document has base spans are there no weights, and nothing is added.
+    one and has none. Very long texts are searched whole; their field has a few edges a mention, so
+    it grows with the mentions alone. Repeated rows get the same result each; ids may repeat or be
+    null. Other columns are not read. Only where no document has base spans are there no weights, and nothing is added.
     """
     w = weights or trained_weights(docs, id_col, text_col)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))

@@ -122,8 +122,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     n_dup_lines, n_repeat_words, base_failed, failed_rules, kept. Good labelled documents are those
     with a label 1 (of several labels of an id the highest counts, null ones do not) that pass the
     base test; repeated document rows count as documents each. A null stratum is a stratum; a null
-    id has no label; a null text has no words and fails the base test. Other columns of the tables
-    are not read. No labels: only the base test rejects. No rows: no verdicts.
+    id has no label; a null text has no words and fails the base test. Very long texts are measured
+    whole, inside their row. Other columns of the tables are not read. No labels: only the base test
+    rejects. No rows: no verdicts.
     """
     stratum = F.col(stratum_col).cast("string") if stratum_col else F.lit("all")
     keep = {"id": F.col(id_col), "text_hash": text_hash(F.col(text_col)), "stratum": F.coalesce(F.concat(F.lit("="), stratum), F.lit("null"))}

@@ -74,8 +74,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, n_assign, n_access, n_hex, base_spans, spans) for each row of ``docs``.
 
     Spans are ``kind:start:end`` in code points, by start and then kind, comma-joined. A null or empty
-    text has none. Repeated rows get the same spans each; ids may repeat or be null. Other columns
-    are not read. No rows give an empty table.
+    text has none. Very long texts are searched whole, their parts joined by bins of the scope. Repeated
+    rows get the same spans each; ids may repeat or be null. Other columns are not read. No rows give
+    an empty table.
     """
     order = list(KINDS)
     parts = secret_parts(docs, id_col, text_col, scope)

@@ -241,7 +241,8 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
 
     round_trip: decoding the ids gives the text (false for a text that itself holds the marker);
     parity: the sentencepiece library gives the same ids. A null text has null ids and no tokens;
-    an empty one has none. Repeated rows are encoded each. Other columns are not read.
+    an empty one has none. Very long texts are encoded whole, segment by segment. Repeated rows are
+    encoded each. Other columns are not read.
     """
     base = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("_text"))
     kind = base.schema[id_col].dataType.simpleString()
