@@ -3,7 +3,8 @@
 The walk is level by level with built-in JSON functions inside each row: an object is read as
 ``map<string,string>`` (keys keep their order, which a variant does not, and nested values stay JSON
 text), an array likewise. Only the open containers of the last level are read again; the nodes done
-stay as they are and are sorted by their positions at the end. There is no shuffle and one scan.
+stay as they are and are sorted by their positions at the end. No group is formed: the only shuffle
+deals the documents out before the walk if the scan leaves them uneven (``session.spread``).
 """
 
 from __future__ import annotations
@@ -32,67 +33,79 @@ def _kind(v: Column) -> Column:
 
 
 def _bound(c: Column, use) -> Column:
-    """``use(c)`` with ``c`` computed once, however often it is used."""
-    return F.transform(F.array(c), use)[0]
+    """``use(c)`` with ``c`` computed once, however often it is used, and neither it nor the result copied."""
+    return F.aggregate(F.array(F.lit(0)), c, lambda a, _: a, use)
 
 
-def entries(raw: Column) -> Column:
-    """array<struct<key, raw, kind>> of an object's members, or of an array's items (with a null key).
+def _container(n: Column) -> Column:
+    return (n["kind"] == "object") | (n["kind"] == "array")
 
-    A value's text tells a scalar or null from a container; only if some text looks like a container
-    (it may be a string that does) are the values parsed as variants too, which tell."""
-    nested = lambda x: x["raw"].startswith("{") | x["raw"].startswith("[")
-    plain = lambda x: F.when(x["raw"].isNull(), F.lit("null")).otherwise(F.lit("scalar"))
-    entry = lambda x, kind: F.struct(x["key"].alias("key"), x["raw"].alias("raw"), kind.alias("kind"))
 
-    def typed(found, variants):
-        return _bound(found, lambda xs: F.when(F.exists(xs, nested), F.zip_with(xs, variants, lambda x, v: entry(x, _kind(v)))).otherwise(F.transform(xs, lambda x: entry(x, plain(x)))))
+def _nested(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
 
-    members = F.transform(F.map_entries(F.from_json(raw, "map<string,string>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw")))
-    items = F.transform(F.from_json(raw, "array<string>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw")))
-    return F.when(F.ltrim(raw).startswith("{"), typed(members, F.map_values(F.from_json(raw, "map<string,variant>")))).otherwise(typed(items, F.from_json(raw, "array<variant>")))
+
+def _typed(raw: Column, found: Column, variants: Column, value, make) -> Column:
+    """``make(x, i, kind)`` for each x of ``found``, the members or items of ``raw`` read as texts; ``value(x)`` is x's text.
+
+    Text without a further bracket holds no container. Else a value's text tells a scalar or null from a
+    container; of text that looks like a container (it may be a string that does) the variant tells. Null
+    if there is such text and ``variants``, the same members or items as variants, cannot be read."""
+    plain = lambda x: F.nvl2(value(x), F.lit("scalar"), F.lit("null"))
+    scalars = F.transform(found, lambda x, i: make(x, i, plain(x)))
+    mixed = lambda vs: F.transform(found, lambda x, i: make(x, i, F.when(_nested(value(x)), _kind(value(F.get(vs, i)))).otherwise(plain(x))))
+    unread = F.when(~F.exists(found, lambda x: _nested(value(x))), scalars)
+    return F.when((F.locate("{", raw, 2) == 0) & (F.locate("[", raw, 2) == 0), scalars).otherwise(_bound(variants, lambda vs: F.when(vs.isNotNull(), mixed(vs)).otherwise(unread)))
+
+
+def _members(raw: Column, kind: str = "string") -> Column:
+    return F.map_entries(F.from_json(raw, f"map<string,{kind}>"))
+
+
+def _items(raw: Column, make) -> Column:
+    """``make(item's text, i, kind)`` for each item of an array."""
+    return _typed(raw, F.from_json(raw, "array<string>"), F.from_json(raw, "array<variant>"), lambda x: x, make)
 
 
 def json_depth(c: Column) -> Column:
     """How deep a JSON text's containers are nested (strings do not count)."""
-    bare = F.regexp_replace(c, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
-    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
-    step = lambda a, x: F.struct(
-        (a["now"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("now"), F.greatest(a["most"], a["now"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("most"))
-    return F.coalesce(F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"]), F.lit(0))
+    marks = F.regexp_replace(c, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}"]++|"', "")
+    # a run of opening marks before each closing one: deepest where a run ends
+    step = lambda a, run: F.struct((a["now"] + F.length(run) - 1).alias("now"), F.greatest(a["most"], a["now"] + F.length(run)).alias("most"))
+    return F.coalesce(F.aggregate(F.split(marks, r"[\]}]"), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"]), F.lit(0))
 
 
 def _walked(df: DataFrame, id_col: str, json_col: str, max_depth: int | None, reserved: tuple[str, ...]) -> DataFrame:
-    """(id, nodes) with all nodes of each document in pre-order, the root first.
+    """(id, nodes) with all nodes of each document level by level, the root first; their positions sort in pre-order.
 
-    Each row carries the nodes done and the frontier of open containers; a level reads the frontier
-    only, and its children are the next one. A row takes as many levels as its own depth."""
+    Each row carries its nodes; a level reads the open containers of the last one only and adds their
+    children. A row takes as many levels as its own depth, which is found once."""
     raw = F.col(json_col)
     kind = F.when(F.ltrim(raw).startswith("{"), F.lit("object")).when(F.ltrim(raw).startswith("["), F.lit("array")).otherwise(F.lit("scalar"))
     root = F.array(_node(F.array().cast("array<int>"), F.lit("$"), F.lit(0), F.lit(None).cast("string"), raw, kind)).cast(_NODE)
-    is_open = lambda n: n["kind"].isin("object", "array")
 
     def children(n, level):
-        kids = entries(n["raw"])
-        if reserved:
-            kids = _bound(kids, lambda k: F.when(level == 0, drop_reserved(k, reserved)).otherwise(k))
+        def members(kind):
+            found = _members(n["raw"], kind)
+            return F.when(level == 0, drop_reserved(found, reserved)).otherwise(found) if reserved else found
 
-        def child(e, i):
-            path = F.concat(n["path"], F.coalesce(F.concat(F.lit("."), e["key"]), F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
-            return _node(F.concat(n["pos_path"], F.array(i)), path, level + 1, e["key"], e["raw"], e["kind"])
+        def child(i, path, key, text, kind):
+            return _node(F.array_append(n["pos_path"], i), F.concat(n["path"], *path), level + 1, key, text, kind)
 
-        return F.transform(kids, child)
+        member = lambda e, i, kind: child(i, (F.lit("."), e["key"]), e["key"], e["value"], kind)
+        item = lambda x, i, kind: child(i, (F.lit("["), i.cast("string"), F.lit("]")), F.lit(None).cast("string"), x, kind)
+        return F.when(F.ltrim(n["raw"]).startswith("{"), _typed(n["raw"], members("string"), members("variant"), lambda e: e["value"], member)).otherwise(_items(n["raw"], item))
 
-    def step(at, level):
+    def step(nodes, level):
         # text that is no JSON has no children
-        kids = F.flatten(F.filter(F.transform(at["open"], lambda n: children(n, level)), lambda k: k.isNotNull()))
-        return _bound(kids, lambda k: F.struct(F.concat(at["done"], k).alias("done"), F.filter(k, is_open).alias("open")))
+        kids = F.transform(F.filter(nodes, lambda n: (n["depth"] == level) & _container(n)), lambda n: F.coalesce(children(n, level), F.array().cast(_NODE)))
+        return F.concat(nodes, F.flatten(kids))
 
     df = spread(df.select(id_col, json_col))
     depth = json_depth(raw) if max_depth is None else F.least(json_depth(raw), F.lit(max_depth))
-    levels = F.filter(F.sequence(F.lit(0), depth), lambda x: x < depth)
-    start = F.struct(root.alias("done"), F.filter(root, is_open).alias("open"))
-    return df.select(F.col(id_col).alias("id"), F.sort_array(F.aggregate(levels, start, step, lambda at: at["done"])).alias("nodes"))
+    # bound: a lambda's body is computed for each element
+    levels = _bound(depth, lambda d: F.filter(F.sequence(F.lit(0), d), lambda x: x < d))
+    return df.select(F.col(id_col).alias("id"), F.aggregate(levels, root, step).alias("nodes"))
 
 
 def json_tree(
@@ -114,12 +127,12 @@ def json_tree(
     """
 
     def with_text(n):
-        value = F.when(~n["kind"].isin("object", "array") | n["key"].isNull(), F.coalesce(n["raw"], F.lit("null")))
-        text = F.concat_ws(": ", F.when(n["key"].isNotNull(), humanize(n["key"])), value)
+        value = F.when(~_container(n) | n["key"].isNull(), F.coalesce(n["raw"], F.lit("null")))
+        text = F.concat_ws(": ", humanize(n["key"]), value)
         return F.struct(n["pos_path"].alias("pos_path"), n["path"].alias("path"), n["depth"].alias("depth"), n["key"].alias("key"), n["kind"].alias("kind"), _bound(text, lambda t: to_cell(t, item_chars)).alias("text"))
 
     cur = _walked(df, id_col, json_col, max_depth, reserved)
-    cur = cur.select("id", F.transform(F.filter("nodes", lambda n: n["depth"] > 0), with_text).alias("nodes"))
+    cur = cur.select("id", F.transform(F.sort_array(F.filter("nodes", lambda n: n["depth"] > 0)), with_text).alias("nodes"))
     if max_chars is not None:
         count = F.aggregate(
             "nodes",
@@ -140,13 +153,14 @@ def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280
     The columns are the union of the objects' keys in first-seen order, with humanized names; a key
     that an object lacks gives an empty cell; a nested value gives its JSON text, cut."""
     arrays = F.filter("nodes", lambda n: n["kind"] == "array")
-    found = F.transform(arrays, lambda n: F.struct(n["path"].alias("path"), entries(n["raw"]).alias("items")))
+    item = lambda x, i, kind: F.struct(x.alias("raw"), kind.alias("kind"))
+    found = F.transform(arrays, lambda n: F.struct(n["path"].alias("path"), _items(n["raw"], item).alias("items")))
     lists = F.filter(found, lambda t: (F.size(t["items"]) > 0) & F.forall(t["items"], lambda e: e["kind"] == "object"))
     # a table in its row: the objects' members and the columns in first-seen order
-    members = lambda e: F.transform(F.map_entries(F.from_json(e["raw"], "map<string,string>")), lambda m: F.struct(m["key"].alias("key"), m["value"].alias("raw")))
+    members = lambda e: _members(e["raw"])
     tables = _walked(df, id_col, json_col, None, reserved).select("id", F.explode_outer(F.transform(lists, lambda t: F.struct(t["path"].alias("path"), F.transform(t["items"], members).alias("objects")))).alias("t")).where("t IS NOT NULL")
     tables = tables.select("id", "t.path", "t.objects", F.array_distinct(F.flatten(F.transform("t.objects", lambda o: F.transform(o, lambda m: m["key"])))).alias("columns"))
     rows = tables.select("id", "path", "columns", F.posexplode_outer("objects").alias("row_no", "object"))
     cells = rows.select("id", "path", "row_no", "object", F.posexplode_outer("columns").alias("col_no", "key")).where("col_no IS NOT NULL")
-    value = F.try_element_at(F.filter("object", lambda m: m["key"] == F.col("key")), F.lit(-1))["raw"]  # of a repeated key the last value
+    value = F.try_element_at(F.filter("object", lambda m: m["key"] == F.col("key")), F.lit(-1))["value"]  # of a repeated key the last value
     return cells.select("id", "path", "row_no", "col_no", humanize(F.col("key")).alias("column"), to_cell(value, cell_chars).alias("cell"))

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -55,13 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+TASKS_PER_CORE = 4  # of rows dealt out anew: short tasks even out what rows cost
+
+
 def spread(df):
-    """``df`` dealt round-robin over the cores if its scan has fewer splits than there are cores.
+    """``df`` dealt round-robin, several tasks per core, if one split of its scan has more than a core's share of the rows.
 
-    For work that is heavy for each row: a small file is one split and would keep one core busy.
-    A scan with enough splits is left as it is, so large inputs are not shuffled."""
+    For work that is heavy for each row. The number of splits does not tell: a row group is read by one
+    of the splits that a file is cut into, and the others are empty. So the rows of each split are counted, which
+    reads no columns; a scan that is even is left as it is, so large inputs in many files are not shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    n = df.groupBy(F.spark_partition_id().alias("split")).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    return df.repartition(TASKS_PER_CORE * cores) if n["most"] and n["most"] * cores > n["all"] else df
 
 
 # called with each materialised frame once it has run; set by the plan audit only
