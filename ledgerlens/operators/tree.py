@@ -152,7 +152,7 @@ def json_tables(df: DataFrame, id_col: str, json_col: str, cell_chars: int = 280
 
     The columns are the union of the objects' keys in first-seen order, with humanized names; a key
     that an object lacks gives an empty cell; a nested value gives its JSON text, cut."""
-    arrays = F.filter("nodes", lambda n: n["kind"] == "array")
+    arrays = F.filter("nodes", lambda n: (n["kind"] == "array") & n["raw"].rlike(r"^\s*\[\s*\{"))  # others do not begin with an object
     item = lambda x, i, kind: F.struct(x.alias("raw"), kind.alias("kind"))
     found = F.transform(arrays, lambda n: F.struct(n["path"].alias("path"), _items(n["raw"], item).alias("items")))
     lists = F.filter(found, lambda t: (F.size(t["items"]) > 0) & F.forall(t["items"], lambda e: e["kind"] == "object"))

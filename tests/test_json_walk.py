@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.tree import json_tree
+from ledgerlens.operators.tree import json_tables, json_tree
 from ledgerlens.session import spread
 
 N = 4000
@@ -53,3 +53,16 @@ def test_json_tree_deep_and_looking_like_containers(spark):
     want |= {(2, "$.a"): ("scalar", 1), (2, "$.b"): ("scalar", 1), (2, "$.c"): ("array", 1), (2, "$.c[0]"): ("object", 2), (2, "$.c[0].d"): ("scalar", 3)}
     want |= {(5, "$.s"): ("scalar", 1), (5, "$.t"): ("object", 1), (5, "$.t.purpose"): ("array", 2), (5, "$.t.purpose[0]"): ("object", 3)}
     assert got == want
+
+
+def test_json_tables_are_dealt_and_find_the_depth_once(spark, one_row_group):
+    out = json_tables(one_row_group, "id", "j")
+    assert largest(out) <= N / spark.sparkContext.defaultParallelism
+    assert out.count() == 4 * N
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("(?:\\\\.") == 1
+
+
+def test_json_tables_of_lists_that_begin_with_an_object(spark):
+    docs = [(1, ' [ {"a" : 1 } ,\n {"b":[{"c":"[{"}]} ]'), (2, '{"s":"[{\\"a\\":1}]","m":[{"a":1},2],"n":[2,{"a":1}],"e":[[],[{}]],"t":[{"a":2}]}'), (None, '[{"a":null}]')]
+    got = {(r.id, r.path, r.row_no, r.column, r.cell) for r in json_tables(spark.createDataFrame(docs, "id int, j string"), "id", "j").collect()}
+    assert got == {(1, "$", 0, "A", "1"), (1, "$", 0, "B", ""), (1, "$", 1, "A", ""), (1, "$", 1, "B", '[{"c":"[{"}]'), (1, "$[1].b", 0, "C", "[{"), (2, "$.t", 0, "A", "2"), (None, "$", 0, "A", "")}
