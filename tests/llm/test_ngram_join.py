@@ -155,3 +155,82 @@ def test_very_long_texts(spark):
     other = words[:-20_000] + ["z%d" % i for i in range(10_000)]
     rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:75_000]))]
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_pairs_of_unlike_sizes_at_the_threshold_share_a_key():
+    """Sizes up to n / t and across size classes, with as few columns in common as the threshold lets them have."""
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    tried = 0
+    for t in (J.Fraction(4, 5), J.Fraction(1, 2), J.Fraction(1, 1)):
+        for a in [*range(1, 30), 49, 50, 77, 78, 97, 120, 121, 188, 189, 294, 460, 717, 718, 1000]:
+            for b in {a, int(a / t), *rnd.integers(a, int(a / t) + 1, 4).tolist()}:
+                both = -(-t.numerator * (a + b) // (t.numerator + t.denominator))
+                x = np.unique(rnd.integers(0, 1 << 63, a, dtype=np.uint64))
+                y = np.unique(np.append(x[rnd.permutation(a)[:both]], rnd.integers(0, 1 << 63, max(0, b - both), dtype=np.uint64)))
+                if both > a or (len(x), len(y)) != (a, b):
+                    continue
+                for common in (J.Common(x[: a // 3], np.full(a // 3, 9)), J.Common(np.zeros(0, np.uint64), np.zeros(0, int))):
+                    k, node = J.block_keys(np.concatenate((x, y)), np.array([0, a, a + b]), np.array([1, 2]), t, common)
+                    assert len(np.intersect1d(k[node == 1], k[node == 2])), (t, a, b)
+                    tried += 1
+    assert tried > 600
+
+
+def test_a_set_sends_keys_for_two_fifths_of_its_shingles_at_most():
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    sizes = np.arange(100, 1500, 7)
+    values = np.concatenate([np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for n in sizes])
+    off = np.concatenate(([0], np.cumsum(sizes)))
+    keys, node = J.block_keys(values, off, np.arange(len(sizes)), J.Fraction(4, 5), J.Common(np.zeros(0, np.uint64), np.zeros(0, int)))
+    assert set(node) == set(range(len(sizes)))
+    assert len(keys) <= J._KEYS_EACH * len(values)
+
+
+def near_rows(n, words, seed):
+    rnd = random.Random(seed)
+    base = [["w%d" % rnd.randrange(5000) for _ in range(words)] for _ in range(n // 5)]
+    rows = []
+    for k in range(n):
+        text = list(rnd.choice(base))
+        text[rnd.randrange(words)] = "x%d" % rnd.randrange(9)
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_more_buckets_than_fan_are_dealt_at_once_while_rows_hold_many_keys(spark, monkeypatch):
+    """Each step writes all keys again; one of many buckets is taken as long as a flush fills its rows."""
+    def again(buckets):
+        raise AssertionError("dealt twice")
+
+    rows = near_rows(100, 60, 5)
+    monkeypatch.setattr(J, "_redeal_fn", again)
+    monkeypatch.setattr(J, "_BUCKET", 14)  # some 150 buckets
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+
+
+def shuffle_bytes(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in (found.apply(i) for i in range(found.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_no_job_leaves_its_shuffle_files_to_the_next(spark):
+    """Keys and sets that were dealt are on no disk when the components are known; each job may read its own only."""
+    import time
+
+    rows = near_rows(600, 300, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).checkpoint()
+    before = shuffle_bytes(spark)
+    out = J.jaccard_components(df)
+    for _ in range(40):  # files go in the background
+        left = sum(n for name, n in shuffle_bytes(spark).items() if name not in before)
+        if left < 100_000:
+            break
+        time.sleep(0.5)
+    assert left < 100_000
+    assert out.count() == 600 and out.count() == 600  # the result can be computed again
+    assert sorted(out.collect()) == sorted(out.collect())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
