@@ -111,3 +111,20 @@ def test_empty_documents(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{D}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert CP.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copy_stage_leaves_no_shuffle_files(spark):
+    """What its jobs deal goes with them, also where rows are there twice; the same documents stay."""
+    import time
+
+    rows = test_ngram_join.near_rows(500, 300, 7)
+    docs = spark.createDataFrame([*rows, *rows[:3]], "doc_id long, text string").repartition(4).checkpoint()
+    before = test_ngram_join.shuffle_bytes(spark)
+    out = CP.near_copies(spark, docs, D)
+    for _ in range(40):  # files go in the background
+        left = sum(n for name, n in test_ngram_join.shuffle_bytes(spark).items() if name not in before)
+        if left < 60_000:
+            break
+        time.sleep(0.5)
+    assert left < 60_000, left
+    assert sorted(r.doc_id for r in out.collect()) == sorted({k for _, _, k, _ in test_ngram_join.brute(rows)})
